@@ -1,0 +1,106 @@
+"""Run registered queries in Spark and their oracle SQL in DuckDB; compare.
+
+Usage: python tests/oracle_check.py [sf_dir] [key ...]
+Prints one line per key; exit code 1 if any key mismatches.
+"""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+import time
+
+import duckdb
+import pandas as pd
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"create view {t} as select * from read_parquet('{p}')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        return None if math.isnan(v) else v
+    if hasattr(v, "item") and not isinstance(v, (str, bytes)):
+        try:
+            v = v.item()
+        except Exception:
+            pass
+    if isinstance(v, pd.Timestamp):
+        v = v.to_pydatetime()
+    return v
+
+
+def rows_of(cols, records):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    out = [tuple(_norm(r[i]) for i in order) for r in records]
+    return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def compare(spark, sf_dir, keys=None, verbose=True):
+    import __spark_entry__ as E
+    qs, sql = E.queries(), E.oracle_sql()
+    con = duck(sf_dir)
+    bad = []
+    for k in keys or list(qs):
+        t0 = time.time()
+        try:
+            sdf = qs[k](spark, sf_dir)
+            s_cols = sdf.columns
+            s_rows = [tuple(r) for r in sdf.collect()]
+        except Exception as e:  # noqa: BLE001
+            bad.append(k)
+            print(f"{k:40s} SPARK ERROR {type(e).__name__}: {str(e)[:400]}")
+            continue
+        ts = time.time() - t0
+        if k not in sql:
+            print(f"{k:40s} rows={len(s_rows)} (no oracle) {ts:.1f}s")
+            continue
+        try:
+            res = con.sql(sql[k])
+            d_cols = res.columns
+            d_rows = res.fetchall()
+        except Exception as e:  # noqa: BLE001
+            bad.append(k)
+            print(f"{k:40s} DUCKDB ERROR {type(e).__name__}: {str(e)[:400]}")
+            continue
+        msg = []
+        if sorted(s_cols) != sorted(d_cols):
+            msg.append(f"cols spark={sorted(s_cols)} duck={sorted(d_cols)}")
+        if len(s_rows) != len(d_rows):
+            msg.append(f"rows spark={len(s_rows)} duck={len(d_rows)}")
+        if not msg:
+            a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
+            diff = [(x, y) for x, y in zip(a, b) if x != y]
+            if diff:
+                msg.append(f"{len(diff)} rows differ; first: spark={diff[0][0]} duck={diff[0][1]}")
+        if msg:
+            bad.append(k)
+        status = "MISMATCH " + " | ".join(msg) if msg else "ok"
+        if verbose or msg:
+            print(f"{k:40s} rows={len(s_rows):6d} {ts:5.1f}s {status}")
+    return bad
+
+
+if __name__ == "__main__":
+    from ordermill.session import local_session
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    keys = sys.argv[2:] or None
+    spark = local_session(8)
+    bad = compare(spark, sf, keys)
+    print("MISMATCHED:", bad)
+    sys.exit(1 if bad else 0)
