@@ -60,7 +60,9 @@ def _safe_cast_one(name: str, dtype) -> Column:
         # A whole number that travelled through a float ("5.0") is still that
         # number; anything else that does not parse becomes NULL.
         t = dtype.simpleString()
-        return F.coalesce(c.try_cast(t), c.try_cast("double").try_cast(t)).alias(name)
+        d = c.try_cast("double")
+        whole = F.when(d == F.floor(d), d.try_cast(t))
+        return F.coalesce(c.try_cast(t), whole).alias(name)
     return c.try_cast(dtype).alias(name)
 
 

@@ -167,3 +167,143 @@ ORACLE["gold_weekly_sales"] = WITH + f"""
 select order_year, order_week, count(*) as order_count, {r('sum(order_total_value)')} as total_sales,
   {r('avg(review_score)')} as avg_review_score
 from o where order_status <> 'canceled' group by order_year, order_week"""
+
+# ------------------------------------------------------------- profiling
+_CLEAN_COLS = ["Id", "order_status", "order_products_value", "order_freight_value", "order_items_qty",
+               "order_purchase_timestamp", "order_aproved_at", "order_delivered_customer_date",
+               "customer_city", "customer_state", "customer_zip_code_prefix", "review_score",
+               "delivery_days", "approval_hours", "order_total_value", "order_date", "order_year", "order_week"]
+
+ORACLE["profile_nulls"] = WITH + ", per_col as (" + "\nunion all\n".join(
+    f"select '{c}' as column_name, count(*) filter (where {c} is null) as null_count, "
+    f"{r('100 * count(*) filter (where ' + c + ' is null) / cast(count(*) as double)', 1)} as null_pct from o"
+    for c in _CLEAN_COLS) + ")\nselect * from per_col where null_count > 0"
+
+ORACLE["profile_status"] = WITH + f"""
+select order_status, count(*) as order_count,
+  {r('100 * count(*) / cast(sum(count(*)) over () as double)')} as percentage
+from o group by order_status"""
+
+ORACLE["profile_top_states"] = WITH + """
+select customer_state, count(*) as order_count from o group by customer_state
+order by order_count desc, customer_state asc nulls first limit 10"""
+
+ORACLE["profile_top_cities"] = WITH + """
+select customer_city, count(*) as order_count from o group by customer_city
+order by order_count desc, customer_city asc nulls first limit 5"""
+
+# CSV spoilage, restated: Id % 89 -> Id text "id<n>" (NULL), Id % 97 ->
+# purchase time dd/MM/yyyy (NULL), Id % 83 with a score -> "<n>.0" (NULL);
+# each such row is malformed.
+_CSV_BAD = "(Id % 89 = 0 or Id % 97 = 0 or (Id % 83 = 0 and review_score is not null))"
+CSV_PARSED = f"""
+csv as (
+  select case when Id % 89 = 0 then null else Id end as Id,
+    order_status, order_products_value, order_freight_value, order_items_qty,
+    case when Id % 97 = 0 then null else order_purchase_timestamp end as order_purchase_timestamp,
+    order_aproved_at, order_delivered_customer_date, customer_city, customer_state,
+    customer_zip_code_prefix,
+    case when Id % 83 = 0 then null else review_score end as review_score,
+    {_CSV_BAD} as malformed
+  from src
+)"""
+
+ORACLE["csv_roundtrip"] = f"with {ADAPTER},{CSV_PARSED}\nselect * from csv"
+
+ORACLE["profile_summary"] = f"""with {ADAPTER},{CSV_PARSED},
+o as ({CLEAN_SELECT}, malformed from csv)
+select count(*) as total_rows, count(*) filter (where malformed) as malformed_rows,
+  count(distinct customer_state) + coalesce(max(case when customer_state is null then 1 else 0 end), 0)
+    as distinct_states
+from o"""
+
+# Safe-cast spoilage, restated: score "n/a" (Id % 11) -> NULL, score "<n>.0"
+# (Id % 7) -> n; purchase "yesterday" (Id % 19) -> NULL, ISO 'T' form
+# (Id % 5) -> same instant; value "abc" (Id % 23) -> NULL; quantity "<n>.0"
+# (Id % 2) -> n.
+ORACLE["safe_cast"] = f"""with {ADAPTER}
+select Id, order_status,
+  case when Id % 23 = 0 then null else order_products_value end as order_products_value,
+  order_freight_value, order_items_qty,
+  case when Id % 19 = 0 then null else order_purchase_timestamp end as order_purchase_timestamp,
+  order_aproved_at, order_delivered_customer_date, customer_city, customer_state, customer_zip_code_prefix,
+  case when Id % 11 = 0 then null else review_score end as review_score
+from src"""
+
+ORACLE["events_to_publish"] = f"""with {ADAPTER}
+select coalesce(customer_state, 'UNKNOWN') as kafka_key, * from src"""
+
+# ----------------------------------------------------- serving and SQL
+_STATE_SALES = f"""
+ss as (select customer_state, count(*) as order_count,
+  {r('sum(order_total_value)')} as total_sales, {r('avg(order_total_value)')} as avg_order_value
+  from o where order_status <> 'canceled' group by customer_state)"""
+
+_CITY_SALES = f"""
+cs as (select customer_city, customer_state, count(*) as order_count,
+  {r('sum(order_products_value)')} as total_product_sales, {r('sum(order_freight_value)')} as total_freight,
+  {r('sum(order_total_value)')} as total_sales, {r('avg(order_total_value)')} as avg_order_value
+  from o where order_status <> 'canceled' group by customer_city, customer_state)"""
+
+_REVIEW_DIST = """
+rd as (select review_score, count(*) as num_orders from o group by review_score)"""
+
+ORACLE["serve_kpis"] = WITH + "," + _STATE_SALES + "," + _REVIEW_DIST + f"""
+select (select cast(sum(order_count) as bigint) from ss) as total_completed_orders,
+  (select {r('sum(total_sales)')} from ss) as gross_revenue,
+  (select count(*) from ss) as states_serviced,
+  (select {r('sum(review_score * num_orders) / cast(sum(num_orders) as double)')} from rd) as avg_review_score,
+  (select {r('sum(review_score * num_orders) / cast(sum(case when review_score is not null then num_orders end) as double)')}
+   from rd) as avg_review_score_rated"""
+
+ORACLE["serve_top10_cities"] = WITH + "," + _CITY_SALES + """
+select customer_city, customer_state, total_sales from cs
+order by total_sales desc, customer_city asc nulls first, customer_state asc nulls first limit 10"""
+
+ORACLE["catalog_roundtrip"] = ORACLE["clean_orders"]
+
+ORACLE["sql_top_cities"] = WITH + "," + _CITY_SALES + """
+select customer_city, customer_state, order_count, total_sales, avg_order_value from cs
+order by total_sales desc, customer_city asc nulls first, customer_state asc nulls first limit 5"""
+
+ORACLE["sql_monthly_sales"] = WITH + f"""
+select strftime(order_purchase_timestamp, '%Y-%m') as month, count(*) as orders,
+  {r('sum(order_total_value)')} as revenue
+from o where order_status <> 'canceled' group by 1"""
+
+ORACLE["sql_adhoc"] = WITH + "," + _STATE_SALES + f""",
+ds as (select order_date, customer_state, count(*) as order_count, {r('sum(order_total_value)')} as total_sales
+  from o where order_status <> 'canceled' group by order_date, customer_state)
+select d.order_date, d.customer_state, d.order_count, d.total_sales, s.total_sales as state_total_sales
+from ds d join ss s on d.customer_state = s.customer_state
+where d.customer_state = 'GERMANY'"""
+
+# ------------------------------------------------------------- streaming
+_BRONZE = f"""
+select coalesce(s.customer_state, 'UNKNOWN') as kafka_key, cast(s.Id % 3 as integer) as kafka_partition,
+  cast(s.Id as bigint) as kafka_offset, s.order_purchase_timestamp as kafka_ingest_time,
+  o.* exclude (Id), false as parse_failed, o.Id
+from src s join o on s.Id = o.Id"""
+
+ORACLE["stream_bronze"] = WITH + _BRONZE
+ORACLE["stream_restart"] = WITH + _BRONZE
+
+ORACLE["stream_state_totals"] = WITH + f"""
+select customer_state, count(*) as orders, {r('sum(order_total_value)')} as running_sales
+from o group by customer_state"""
+
+# --------------------------------------------- generic operators on events
+ORACLE["events_type_distribution"] = f"""
+select event_type, count(*) as event_count,
+  {r('100 * count(*) / cast(sum(count(*)) over () as double)')} as percentage
+from events group by event_type"""
+
+ORACLE["events_top_users"] = """
+select user_id, count(*) as event_count from events group by user_id
+order by event_count desc, user_id asc nulls first limit 10"""
+
+ORACLE["events_value_pearson"] = f"""
+select 'value' as metric_a, 'user_id' as metric_b, {r(_pearson('value', 'user_id'), 4)} as pearson_corr
+from events
+union all
+select 'value', 'hour', {r(_pearson('value', 'hour(ts)'), 4)} from events"""

@@ -9,10 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..functions.clean import clean
-from ..operators import gold
-from ..sources.star import orders_from_star
+from ..functions.clean import clean, safe_cast
+from ..operators import gold, profile, serve
+from ..schema import ENVELOPE_SCHEMA, ORDER_COLUMNS, ORDERS_SCHEMA
+from ..session import scratch_path
+from ..sinks.events import JSON_OPTIONS, order_events
+from ..sources.orders_csv import ingest_csv, write_orders_csv
+from ..sources.renderings import csv_text, safe_cast_text
+from ..sources.star import orders_from_star, read_table
+from ..streaming import bronze
+from . import catalog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +33,128 @@ def _gold(fn) -> Query:
     return lambda spark, sf_dir: fn(cleaned(spark, sf_dir))
 
 
+def csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixture orders -> CSV text (spoiled fields) -> permissive parse."""
+    base = scratch_path(spark, "csv")
+    write_orders_csv(csv_text(orders_from_star(spark, sf_dir)), f"{base}/orders_csv")
+    return ingest_csv(spark, f"{base}/orders_csv", f"{base}/parsed")
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = csv_orders(spark, sf_dir)
+    return parsed.select(*ORDER_COLUMNS, F.col("_corrupt_record").isNotNull().alias("malformed"))
+
+
+def safe_cast_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return safe_cast(safe_cast_text(orders_from_star(spark, sf_dir)), ORDERS_SCHEMA)
+
+
+def events_to_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publishable records, read back: key plus every field parsed from the value."""
+    ev = order_events(orders_from_star(spark, sf_dir))
+    parsed = F.from_json("value", ORDERS_SCHEMA, JSON_OPTIONS).alias("d")
+    return ev.select(F.col("key").alias("kafka_key"), parsed).select("kafka_key", "d.*")
+
+
+def envelope(orders: DataFrame) -> DataFrame:
+    """Kafka-shaped rows for a file stream: 3 partitions, offset = order id."""
+    src = orders.select(
+        F.coalesce(F.col("customer_state"), F.lit("UNKNOWN")).cast("binary").alias("key"),
+        F.to_json(F.struct(*[F.col(c) for c in ORDER_COLUMNS]), JSON_OPTIONS).cast("binary").alias("value"),
+        F.lit(bronze.TOPIC).alias("topic"),
+        F.pmod(F.col("Id"), F.lit(3)).cast("int").alias("partition"),
+        F.col("Id").cast("long").alias("offset"),
+        F.col("order_purchase_timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+    return src.select(*[f.name for f in ENVELOPE_SCHEMA.fields])
+
+
+def _drain(q) -> None:
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+
+
+def stream_bronze(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
+    base = scratch_path(spark, "stream")
+    envelope(orders_from_star(spark, sf_dir)).repartition(files).write.parquet(f"{base}/topic/part0")
+    rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*"))
+    _drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt_bronze"))
+    return spark.read.parquet(f"{base}/bronze")
+
+
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs on one checkpoint, new files arriving in between, then a
+    third run with nothing new: every row lands in bronze exactly once."""
+    base = scratch_path(spark, "restart")
+    ev = envelope(orders_from_star(spark, sf_dir))
+    parity = F.col("offset") % 2
+    ev.filter(parity == 0).repartition(2).write.parquet(f"{base}/topic/part0")
+    rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*"))
+    _drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt"))
+    ev.filter(parity != 0).repartition(2).write.parquet(f"{base}/topic/part1")
+    for _ in range(2):
+        _drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt"))
+    return spark.read.parquet(f"{base}/bronze")
+
+
+def stream_state_totals(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
+    base = scratch_path(spark, "totals")
+    envelope(orders_from_star(spark, sf_dir)).repartition(files).write.parquet(f"{base}/topic/part0")
+    rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*"))
+    _drain(bronze.start_totals(rows, f"{base}/totals", f"{base}/ckpt"))
+    return spark.read.parquet(f"{base}/totals")
+
+
+def _published(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
+    base = scratch_path(spark, "catalog")
+    db = catalog.ensure_database(spark, catalog.DATABASE, f"{base}/db")
+    catalog.publish_all(cleaned(spark, sf_dir).drop("_corrupt_record"), db, base, names)
+    return db
+
+
+def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db = _published(spark, sf_dir, ["orders_clean"])
+    return spark.table(f"{db}.orders_clean").select(*gold.orders_clean(cleaned(spark, sf_dir)).columns)
+
+
+def sql_top_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db = _published(spark, sf_dir, ["city_sales"])
+    return catalog.run_sql(spark, catalog.TOP_CITIES_SQL.format(db=db))
+
+
+def sql_monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db = _published(spark, sf_dir, ["orders_clean"])
+    return catalog.run_sql(spark, catalog.MONTHLY_SALES_SQL.format(db=db))
+
+
+# Free-form SQL as a user types it (trailing ';' included): one state's daily
+# sales joined to its state totals; the state filter prunes partitions.
+ADHOC_SQL = """
+SELECT d.order_date, d.customer_state, d.order_count, d.total_sales,
+       s.total_sales AS state_total_sales
+FROM {db}.daily_sales_by_state d
+JOIN {db}.state_sales s ON d.customer_state = s.customer_state
+WHERE d.customer_state = 'GERMANY'
+ORDER BY d.order_date;
+"""
+
+
+def sql_adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db = _published(spark, sf_dir, ["daily_sales_by_state", "state_sales"])
+    return catalog.run_sql(spark, ADHOC_SQL.format(db=db))
+
+
+def _serve_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = cleaned(spark, sf_dir)
+    return serve.kpis(gold.state_sales(c), gold.review_score_distribution(c))
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "events")
+
+
 QUERIES: dict[str, Query] = {
     "clean_orders": lambda spark, sf_dir: gold.orders_clean(cleaned(spark, sf_dir)),
     "gold_city_sales": _gold(gold.city_sales),
@@ -39,4 +169,27 @@ QUERIES: dict[str, Query] = {
     "gold_daily_sales_by_state": _gold(gold.daily_sales_by_state),
     "gold_weekly_sales": _gold(gold.weekly_sales),
     "rank_delivery_days": _gold(gold.delivery_review_ranked),
+    "profile_summary": lambda spark, sf_dir: profile.summary(csv_orders(spark, sf_dir).transform(clean)),
+    "profile_nulls": _gold(profile.null_profile),
+    "profile_status": _gold(profile.status_distribution),
+    "profile_top_states": _gold(profile.top_states),
+    "profile_top_cities": _gold(profile.top_cities),
+    "serve_kpis": _serve_kpis,
+    "serve_top10_cities": _gold(lambda c: serve.top_cities_by_revenue(gold.city_sales(c), 10)),
+    "csv_roundtrip": csv_roundtrip,
+    "safe_cast": safe_cast_query,
+    "events_to_publish": events_to_publish,
+    "catalog_roundtrip": catalog_roundtrip,
+    "sql_top_cities": sql_top_cities,
+    "sql_monthly_sales": sql_monthly_sales,
+    "sql_adhoc": sql_adhoc,
+    "stream_bronze": stream_bronze,
+    "stream_restart": stream_restart,
+    "stream_state_totals": stream_state_totals,
+    "events_type_distribution": lambda spark, sf_dir: profile.distribution(
+        _events(spark, sf_dir), "event_type", "event_count", "percentage"),
+    "events_top_users": lambda spark, sf_dir: profile.top_values(_events(spark, sf_dir), "user_id", 10, "event_count"),
+    "events_value_pearson": lambda spark, sf_dir: gold.pearson(
+        _events(spark, sf_dir).withColumn("hour", F.hour("ts")), [("value", "user_id"), ("value", "hour")],
+        null_policy="pairwise"),
 }
