@@ -276,7 +276,7 @@ ds as (select order_date, customer_state, count(*) as order_count, {r('sum(order
   from o where order_status <> 'canceled' group by order_date, customer_state)
 select d.order_date, d.customer_state, d.order_count, d.total_sales, s.total_sales as state_total_sales
 from ds d join ss s on d.customer_state = s.customer_state
-where d.customer_state = 'GERMANY'"""
+where d.customer_state = 'NATION_7'"""
 
 # ------------------------------------------------------------- streaming
 _BRONZE = f"""

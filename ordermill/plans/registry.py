@@ -136,7 +136,7 @@ SELECT d.order_date, d.customer_state, d.order_count, d.total_sales,
        s.total_sales AS state_total_sales
 FROM {db}.daily_sales_by_state d
 JOIN {db}.state_sales s ON d.customer_state = s.customer_state
-WHERE d.customer_state = 'GERMANY'
+WHERE d.customer_state = 'NATION_7'
 ORDER BY d.order_date;
 """
 
