@@ -17,8 +17,15 @@ from pyspark.sql import functions as F
 from ..functions.clean import round2, round_to
 from ..functions.stats import exact_median, global_rank, pearson, pearson_expr
 
-NOT_CANCELED = F.col("order_status") != "canceled"  # also drops NULL status
-DELIVERED = F.col("order_delivered_customer_date").isNotNull()
+
+def not_canceled():
+    """``order_status != 'canceled'``; a NULL status is dropped too."""
+    return F.col("order_status") != "canceled"
+
+
+def delivered():
+    return F.col("order_delivered_customer_date").isNotNull()
+
 
 # The correlation pairs of the value/freight/quantity table.
 VALUE_FREIGHT_QTY_PAIRS = [
@@ -42,7 +49,7 @@ def one_row(*frames: DataFrame) -> DataFrame:
 
 def city_sales(df: DataFrame) -> DataFrame:
     return (
-        df.filter(NOT_CANCELED)
+        df.filter(not_canceled())
         .groupBy("customer_city", "customer_state")
         .agg(
             F.count(F.lit(1)).alias("order_count"),
@@ -57,7 +64,7 @@ def city_sales(df: DataFrame) -> DataFrame:
 
 def state_sales(df: DataFrame) -> DataFrame:
     return (
-        df.filter(NOT_CANCELED)
+        df.filter(not_canceled())
         .groupBy("customer_state")
         .agg(
             F.count(F.lit(1)).alias("order_count"),
@@ -74,7 +81,7 @@ def value_freight_qty_correlation(df: DataFrame, null_policy: str = "zero") -> D
 
 
 def delivery_timing_summary(df: DataFrame) -> DataFrame:
-    d = df.filter(DELIVERED).select("delivery_days", "approval_hours")
+    d = df.filter(delivered()).select("delivery_days", "approval_hours")
     basic = d.agg(
         round2(F.avg("delivery_days")).alias("avg_delivery_days"),
         round2(F.min("delivery_days")).alias("min_delivery_days"),
@@ -121,7 +128,7 @@ def review_by_city(df: DataFrame, min_orders: int = 5) -> DataFrame:
 
 def city_delivery_performance(df: DataFrame, min_orders: int = 5) -> DataFrame:
     return (
-        df.filter(DELIVERED)
+        df.filter(delivered())
         .groupBy("customer_city", "customer_state")
         .agg(
             F.count(F.lit(1)).alias("delivered_orders"),
@@ -133,7 +140,7 @@ def city_delivery_performance(df: DataFrame, min_orders: int = 5) -> DataFrame:
 
 
 def delivery_vs_review(df: DataFrame) -> DataFrame:
-    d = df.filter(DELIVERED).select("review_score", "delivery_days")
+    d = df.filter(delivered()).select("review_score", "delivery_days")
     stats = d.groupBy("review_score").agg(
         F.count(F.lit(1)).alias("num_orders"),
         round2(F.avg("delivery_days")).alias("avg_delivery_days"),
@@ -148,7 +155,7 @@ def delivery_vs_review(df: DataFrame) -> DataFrame:
 
 def delivery_review_ranked(df: DataFrame, buckets: int = 64) -> DataFrame:
     """Delivered orders with ``rank_delivery`` and ``rank_review``."""
-    d = df.filter(DELIVERED).select("Id", "delivery_days", "review_score")
+    d = df.filter(delivered()).select("Id", "delivery_days", "review_score")
     r = global_rank(d, "delivery_days", "rank_delivery", buckets)
     return global_rank(r, "review_score", "rank_review", buckets)
 
@@ -168,7 +175,7 @@ def delivery_review_correlation(df: DataFrame, null_policy: str = "zero", bucket
 
 def daily_sales_by_state(df: DataFrame) -> DataFrame:
     return (
-        df.filter(NOT_CANCELED)
+        df.filter(not_canceled())
         .groupBy("order_date", "customer_state")
         .agg(
             F.count(F.lit(1)).alias("order_count"),
@@ -180,7 +187,7 @@ def daily_sales_by_state(df: DataFrame) -> DataFrame:
 
 def weekly_sales(df: DataFrame) -> DataFrame:
     return (
-        df.filter(NOT_CANCELED)
+        df.filter(not_canceled())
         .groupBy("order_year", "order_week")
         .agg(
             F.count(F.lit(1)).alias("order_count"),
