@@ -29,7 +29,19 @@ from pyspark.sql import functions as F
 
 from .clean import round_to
 
-DEFAULT_BUCKETS = 64
+MIN_BUCKETS, MAX_BUCKETS = 64, 1024
+
+
+def default_buckets(df: DataFrame) -> int:
+    """Buckets follow the session's shuffle width, within fixed bounds, so
+    the window stage gets cluster-wide parallelism and the cut points sent
+    to the driver stay a bounded handful."""
+    conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+    try:
+        n = int(conf)
+    except ValueError:
+        n = MIN_BUCKETS
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, n))
 
 
 # ---------------------------------------------------------------- Pearson
@@ -72,13 +84,22 @@ def _bucket_of(v: Column, cuts: list, lo: int = 0, hi: int | None = None) -> Col
     return F.when(v >= F.lit(cuts[mid]), _bucket_of(v, cuts, mid + 1, hi)).otherwise(_bucket_of(v, cuts, lo, mid))
 
 
-def value_cuts(df: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS) -> list:
-    """At most ``buckets - 1`` sorted distinct cut points (bounded driver data)."""
-    if buckets <= 1:
-        return []
+def value_cuts_many(df: DataFrame, values: Sequence[str], buckets: int | None = None) -> dict[str, list]:
+    """Per column, at most ``buckets - 1`` sorted distinct cut points.
+
+    One aggregate pass for all columns; the result is bounded by
+    ``buckets`` per column whatever the data size.
+    """
+    buckets = buckets or default_buckets(df)
+    if buckets <= 1 or not values:
+        return {v: [] for v in values}
     qs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(value, qs, 10 * buckets).alias("q")).first()
-    return sorted({x for x in (row["q"] or []) if x is not None})
+    row = df.agg(*[F.percentile_approx(v, qs, 10 * buckets).alias(f"_q{i}") for i, v in enumerate(values)]).first()
+    return {v: sorted({x for x in (row[f"_q{i}"] or []) if x is not None}) for i, v in enumerate(values)}
+
+
+def value_cuts(df: DataFrame, value: str, buckets: int | None = None) -> list:
+    return value_cuts_many(df, [value], buckets)[value]
 
 
 def bucket_column(value: str, cuts: list) -> Column:
@@ -88,7 +109,7 @@ def bucket_column(value: str, cuts: list) -> Column:
 
 
 def value_positions(df: DataFrame, value: str, groups: Sequence[str] = (),
-                    buckets: int = DEFAULT_BUCKETS, cuts: list | None = None) -> DataFrame:
+                    buckets: int | None = None, cuts: list | None = None) -> DataFrame:
     """Distinct ``(groups..., value)`` with ``_n_at``, ``_n_below``, ``_n_group``.
 
     ``_n_below`` counts rows of the same group whose value sorts strictly
@@ -124,7 +145,8 @@ def value_positions(df: DataFrame, value: str, groups: Sequence[str] = (),
                          F.col("_n_group").cast("long").alias("_n_group"))
 
 
-def global_rank(df: DataFrame, value: str, out: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def global_rank(df: DataFrame, value: str, out: str, buckets: int | None = None,
+                cuts: list | None = None) -> DataFrame:
     """``df`` plus ``out`` = ``rank()`` over ascending ``value``, nulls first.
 
     Equal to ``F.rank().over(Window.orderBy(value))`` (ties share the lowest
@@ -132,7 +154,8 @@ def global_rank(df: DataFrame, value: str, out: str, buckets: int = DEFAULT_BUCK
     value's position in an equi-join on (bucket, value); AQE splits a hot
     value or broadcasts the positions when they turn out small.
     """
-    cuts = value_cuts(df, value, buckets)
+    if cuts is None:
+        cuts = value_cuts(df, value, buckets)
     pos = value_positions(df, value, (), buckets, cuts).select(
         F.col("_bucket").alias("_pb"), F.col(value).alias("_pv"), (F.col("_n_below") + 1).alias(out))
     rows = df.withColumn("_rb", bucket_column(value, cuts))
@@ -140,8 +163,17 @@ def global_rank(df: DataFrame, value: str, out: str, buckets: int = DEFAULT_BUCK
     return joined.drop("_rb", "_pb", "_pv")
 
 
+def global_ranks(df: DataFrame, specs: Sequence[tuple[str, str]], buckets: int | None = None) -> DataFrame:
+    """Several global ranks; all cut points come from one pass over ``df``."""
+    cuts = value_cuts_many(df, [v for v, _ in specs], buckets)
+    out = df
+    for value, name in specs:
+        out = global_rank(out, value, name, buckets, cuts[value])
+    return out
+
+
 def exact_median(df: DataFrame, value: str, groups: Sequence[str] = (), out: str | None = None,
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 buckets: int | None = None, cuts: list | None = None) -> DataFrame:
     """Lower median (``percentile_disc(0.5)``) of non-null ``value`` per group.
 
     The value at 1-based position ``ceil(n / 2)`` in ascending order, exact
@@ -151,7 +183,7 @@ def exact_median(df: DataFrame, value: str, groups: Sequence[str] = (), out: str
     out = out or f"median_{value}"
     groups = list(groups)
     vals = df.select(*groups, value).filter(F.col(value).isNotNull())
-    pos = value_positions(vals, value, groups, buckets)
+    pos = value_positions(vals, value, groups, buckets, cuts)
     k = F.ceil(F.col("_n_group") / 2)
     hit = pos.filter((F.col("_n_below") < k) & (F.col("_n_below") + F.col("_n_at") >= k))
     if groups:

@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import round2, round_to
-from ..functions.stats import exact_median, global_rank, pearson, pearson_expr
+from ..functions.stats import exact_median, global_ranks, pearson, pearson_expr, value_cuts_many
 
 
 def not_canceled():
@@ -88,8 +88,9 @@ def delivery_timing_summary(df: DataFrame) -> DataFrame:
         round2(F.max("delivery_days")).alias("max_delivery_days"),
         round2(F.avg("approval_hours")).alias("avg_approval_hours"),
     )
-    med_d = exact_median(d, "delivery_days", out="_md")
-    med_a = exact_median(d, "approval_hours", out="_ma")
+    cuts = value_cuts_many(d, ["delivery_days", "approval_hours"])  # one pass for both
+    med_d = exact_median(d, "delivery_days", out="_md", cuts=cuts["delivery_days"])
+    med_a = exact_median(d, "approval_hours", out="_ma", cuts=cuts["approval_hours"])
     row = one_row(basic, med_d, med_a)
     return row.select(
         "avg_delivery_days",
@@ -104,11 +105,11 @@ def delivery_timing_summary(df: DataFrame) -> DataFrame:
 def review_score_distribution(df: DataFrame) -> DataFrame:
     """Orders per score (NULL is a group) and its share of all rows.
 
-    The total is a window over the handful of score groups, so nothing is
-    counted eagerly and an empty input gives an empty table.
+    The total is a scalar subquery inside the same plan: nothing is counted
+    eagerly, and an empty input gives an empty table.
     """
     counts = df.groupBy("review_score").agg(F.count(F.lit(1)).alias("num_orders"))
-    total = F.sum("num_orders").over(Window.partitionBy())
+    total = df.agg(F.count(F.lit(1))).scalar()
     return (counts.withColumn("pct", round2(F.lit(100) * F.col("num_orders") / total))
             .orderBy("review_score"))
 
@@ -153,14 +154,14 @@ def delivery_vs_review(df: DataFrame) -> DataFrame:
             .orderBy("review_score"))
 
 
-def delivery_review_ranked(df: DataFrame, buckets: int = 64) -> DataFrame:
+def delivery_review_ranked(df: DataFrame, buckets: int | None = None) -> DataFrame:
     """Delivered orders with ``rank_delivery`` and ``rank_review``."""
     d = df.filter(delivered()).select("Id", "delivery_days", "review_score")
-    r = global_rank(d, "delivery_days", "rank_delivery", buckets)
-    return global_rank(r, "review_score", "rank_review", buckets)
+    return global_ranks(d, [("delivery_days", "rank_delivery"), ("review_score", "rank_review")], buckets)
 
 
-def delivery_review_correlation(df: DataFrame, null_policy: str = "zero", buckets: int = 64) -> DataFrame:
+def delivery_review_correlation(df: DataFrame, null_policy: str = "zero",
+                                buckets: int | None = None) -> DataFrame:
     """Pearson of (delivery days, score) and Pearson of their ranks (Spearman
     with minimum ranks for ties), one aggregate over the ranked rows."""
     ranked = delivery_review_ranked(df, buckets)

@@ -8,7 +8,7 @@ field of every row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import round_to
@@ -47,7 +47,9 @@ def distribution(df: DataFrame, col: str, count_name: str = "order_count",
                  pct_name: str = "percentage") -> DataFrame:
     """Rows per value and its percentage of all rows, most frequent first."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias(count_name))
-    total = F.sum(count_name).over(Window.partitionBy())  # over the distinct values only
+    # A scalar subquery, not a global window: the distinct values stay spread
+    # over the cluster however many there are.
+    total = df.agg(F.count(F.lit(1))).scalar()
     return (counts.withColumn(pct_name, round_to(F.lit(100) * F.col(count_name) / total, 2))
             .orderBy(F.desc(count_name), F.col(col).asc_nulls_first()))
 

@@ -43,7 +43,15 @@ def ensure_database(spark: SparkSession, db: str = DATABASE, location: str | Non
 
 def publish_table(df: DataFrame, db: str, name: str, path: str,
                   partition_by: list[str] | None = None) -> DataFrame:
-    """Overwrite ``db.name`` with ``df`` (Parquet at ``path``); return the table."""
+    """Overwrite ``db.name`` with ``df`` (Parquet at ``path``); return the table.
+
+    A partitioned write first rebalances on the partition columns: AQE
+    merges small partitions and splits a hot key (one state holding a third
+    of the rows) into advisory-sized tasks, so each task writes few, full
+    files instead of every task writing a sliver of every partition.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite").format("parquet").option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
