@@ -95,3 +95,26 @@ def start_totals(rows: DataFrame, path: str, checkpoint: str | None = None,
         w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
     return w.start()
+
+
+def start_stream_pipeline(raw: DataFrame, bronze_path: str, bronze_checkpoint: str, totals_path: str,
+                          totals_checkpoint: str | None = None, available_now: bool = True,
+                          processing_time: str | None = None) -> list[StreamingQuery]:
+    """Both queries from one plan, started together: bronze and live totals.
+
+    Give ``totals_checkpoint`` so a rerun resumes the totals as bronze does,
+    instead of recounting from the earliest offset.
+    """
+    rows = bronze_rows(raw)
+    q1 = start_bronze(rows, bronze_path, bronze_checkpoint, available_now, processing_time)
+    q2 = start_totals(rows, totals_path, totals_checkpoint, available_now)
+    return [q1, q2]
+
+
+def await_all(queries: list[StreamingQuery]) -> None:
+    """Wait for each query in turn; re-raise the first failure."""
+    for q in queries:
+        q.awaitTermination()
+    for q in queries:
+        if q.exception():
+            raise q.exception()
