@@ -145,30 +145,47 @@ def value_positions(df: DataFrame, value: str, groups: Sequence[str] = (),
                          F.col("_n_group").cast("long").alias("_n_group"))
 
 
+def rank_table(df: DataFrame, value: str, out: str, cuts: list, buckets: int | None = None) -> DataFrame:
+    """Distinct ``value`` -> rank (``_pb`` bucket, ``_pv`` value, ``out``)."""
+    return value_positions(df, value, (), buckets, cuts).select(
+        F.col("_bucket").alias("_pb"), F.col(value).alias("_pv"), (F.col("_n_below") + 1).alias(out))
+
+
+def attach_rank(rows: DataFrame, ranks: DataFrame, value: str, cuts: list) -> DataFrame:
+    """Rows meet their value's rank in an equi-join on (bucket, value).
+
+    AQE splits a hot value's partition, or broadcasts the rank table when it
+    turns out small; NULL matches NULL.
+    """
+    r = rows.withColumn("_rb", bucket_column(value, cuts))
+    joined = r.join(ranks, (r["_rb"] == ranks["_pb"]) & r[value].eqNullSafe(ranks["_pv"]), "inner")
+    return joined.drop("_rb", "_pb", "_pv")
+
+
 def global_rank(df: DataFrame, value: str, out: str, buckets: int | None = None,
                 cuts: list | None = None) -> DataFrame:
     """``df`` plus ``out`` = ``rank()`` over ascending ``value``, nulls first.
 
     Equal to ``F.rank().over(Window.orderBy(value))`` (ties share the lowest
-    rank) without moving the rows to one partition.  The rows meet their
-    value's position in an equi-join on (bucket, value); AQE splits a hot
-    value or broadcasts the positions when they turn out small.
+    rank) without moving the rows to one partition.
     """
     if cuts is None:
         cuts = value_cuts(df, value, buckets)
-    pos = value_positions(df, value, (), buckets, cuts).select(
-        F.col("_bucket").alias("_pb"), F.col(value).alias("_pv"), (F.col("_n_below") + 1).alias(out))
-    rows = df.withColumn("_rb", bucket_column(value, cuts))
-    joined = rows.join(pos, (rows["_rb"] == pos["_pb"]) & rows[value].eqNullSafe(pos["_pv"]), "inner")
-    return joined.drop("_rb", "_pb", "_pv")
+    return attach_rank(df, rank_table(df, value, out, cuts, buckets), value, cuts)
 
 
 def global_ranks(df: DataFrame, specs: Sequence[tuple[str, str]], buckets: int | None = None) -> DataFrame:
-    """Several global ranks; all cut points come from one pass over ``df``."""
+    """Several global ranks of the same rows.
+
+    All cut points come from one pass over ``df``, and every rank table is
+    built from ``df`` itself (not from the previous join's output), so each
+    is one histogram pass over the base rows.
+    """
     cuts = value_cuts_many(df, [v for v, _ in specs], buckets)
+    tables = [(v, rank_table(df, v, name, cuts[v], buckets)) for v, name in specs]
     out = df
-    for value, name in specs:
-        out = global_rank(out, value, name, buckets, cuts[value])
+    for value, table in tables:
+        out = attach_rank(out, table, value, cuts[value])
     return out
 
 
