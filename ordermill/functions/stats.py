@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .clean import round_to
 
-MIN_BUCKETS, MAX_BUCKETS = 64, 1024
+MIN_BUCKETS, MAX_BUCKETS = 64, 512
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -145,47 +145,75 @@ def value_positions(df: DataFrame, value: str, groups: Sequence[str] = (),
                          F.col("_n_group").cast("long").alias("_n_group"))
 
 
-def rank_table(df: DataFrame, value: str, out: str, cuts: list, buckets: int | None = None) -> DataFrame:
-    """Distinct ``value`` -> rank (``_pb`` bucket, ``_pv`` value, ``out``)."""
-    return value_positions(df, value, (), buckets, cuts).select(
-        F.col("_bucket").alias("_pb"), F.col(value).alias("_pv"), (F.col("_n_below") + 1).alias(out))
+def _sub_of(v: Column, cuts: list, lo: int = 0, hi: int | None = None) -> Column:
+    """Sub-bucket of v: 2j for the open interval (c[j-1], c[j]), 2j+1 for v == c[j]."""
+    hi = len(cuts) if hi is None else hi
+    if lo >= hi:  # lo = number of cut points <= v
+        return F.lit(0) if lo == 0 else F.when(v == F.lit(cuts[lo - 1]), F.lit(2 * lo - 1)).otherwise(F.lit(2 * lo))
+    mid = (lo + hi) // 2
+    return F.when(v >= F.lit(cuts[mid]), _sub_of(v, cuts, mid + 1, hi)).otherwise(_sub_of(v, cuts, lo, mid))
 
 
-def attach_rank(rows: DataFrame, ranks: DataFrame, value: str, cuts: list) -> DataFrame:
-    """Rows meet their value's rank in an equi-join on (bucket, value).
+def sub_bucket_column(value: str, cuts: list) -> Column:
+    """Order-preserving key: -1 for NULL, odd = exactly a cut point, even = between cuts.
 
-    AQE splits a hot value's partition, or broadcasts the rank table when it
-    turns out small; NULL matches NULL.
+    A value holding more than about 1/buckets of the rows is always one of
+    the cut points, so it lands in its own odd sub-bucket and no even
+    (open) sub-bucket holds a hot value.
     """
-    r = rows.withColumn("_rb", bucket_column(value, cuts))
-    joined = r.join(ranks, (r["_rb"] == ranks["_pb"]) & r[value].eqNullSafe(ranks["_pv"]), "inner")
-    return joined.drop("_rb", "_pb", "_pv")
+    v = F.col(value)
+    return F.when(v.isNull(), F.lit(-1)).otherwise(_sub_of(v, cuts))
+
+
+def _sub_offsets(rows: DataFrame, groups: list[str]) -> DataFrame:
+    """Per (groups, _sb): row count ``_c``, rows in earlier sub-buckets
+    ``_off`` and the group size ``_n``.  At most 2 * buckets + 2 rows per
+    group; the window runs over these counts only."""
+    per_group = Window.partitionBy(*groups)
+    return (rows.groupBy(*groups, "_sb").agg(F.count(F.lit(1)).alias("_c"))
+            .withColumn("_off", F.coalesce(F.sum("_c").over(
+                per_group.orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+            .withColumn("_n", F.sum("_c").over(per_group)))
 
 
 def global_rank(df: DataFrame, value: str, out: str, buckets: int | None = None,
-                cuts: list | None = None) -> DataFrame:
+                cuts: list | None = None, counts_from: DataFrame | None = None) -> DataFrame:
     """``df`` plus ``out`` = ``rank()`` over ascending ``value``, nulls first.
 
     Equal to ``F.rank().over(Window.orderBy(value))`` (ties share the lowest
-    rank) without moving the rows to one partition.
+    rank) without moving the rows to one partition.  Rows equal to a cut
+    point (a hot value among them) or NULL take ``offset + 1`` in place; the
+    other rows rank inside their open sub-bucket (``Window.partitionBy``), a
+    slice of about 1/buckets of the rows.  ``counts_from`` (same rows, e.g.
+    the base of an earlier rank) lets the counts skip recomputing ``df``.
     """
     if cuts is None:
         cuts = value_cuts(df, value, buckets)
-    return attach_rank(df, rank_table(df, value, out, cuts, buckets), value, cuts)
+    sb = sub_bucket_column(value, cuts)
+    offsets = F.broadcast(  # at most 2 * len(cuts) + 2 rows: a proven bound
+        _sub_offsets((counts_from if counts_from is not None else df).withColumn("_sb", sb), [])
+        .select(F.col("_sb").alias("_osb"), "_off"))
+    rows = df.withColumn("_sb", sb)
+    point = (F.col("_sb") == -1) | (F.col("_sb") % 2 == 1)
+    in_place = rows.filter(point).withColumn("_r", F.lit(1))
+    windowed = rows.filter(~point).withColumn(
+        "_r", F.rank().over(Window.partitionBy("_sb").orderBy(F.col(value).asc_nulls_first())))
+    both = in_place.unionByName(windowed)
+    joined = both.join(offsets, both["_sb"] == offsets["_osb"], "inner")
+    return joined.withColumn(out, (F.col("_off") + F.col("_r")).cast("int")).drop("_sb", "_osb", "_off", "_r")
 
 
 def global_ranks(df: DataFrame, specs: Sequence[tuple[str, str]], buckets: int | None = None) -> DataFrame:
     """Several global ranks of the same rows.
 
-    All cut points come from one pass over ``df``, and every rank table is
-    built from ``df`` itself (not from the previous join's output), so each
-    is one histogram pass over the base rows.
+    All cut points come from one pass over ``df``, and every rank's counts
+    come from ``df`` itself (the same rows), not from the previous rank's
+    output.
     """
     cuts = value_cuts_many(df, [v for v, _ in specs], buckets)
-    tables = [(v, rank_table(df, v, name, cuts[v], buckets)) for v, name in specs]
     out = df
-    for value, table in tables:
-        out = attach_rank(out, table, value, cuts[value])
+    for value, name in specs:
+        out = global_rank(out, value, name, buckets, cuts[value], counts_from=df)
     return out
 
 
@@ -193,16 +221,41 @@ def exact_median(df: DataFrame, value: str, groups: Sequence[str] = (), out: str
                  buckets: int | None = None, cuts: list | None = None) -> DataFrame:
     """Lower median (``percentile_disc(0.5)``) of non-null ``value`` per group.
 
-    The value at 1-based position ``ceil(n / 2)`` in ascending order, exact
-    at any scale and partitioning.  Global (no groups): one row, NULL when
-    there are no values.  Grouped: one row per group that has a value.
+    The value at 1-based position ``k = ceil(n / 2)`` in ascending order,
+    exact at any scale and partitioning.  Sub-bucket counts locate the
+    sub-bucket holding position k; if it is a cut point the answer is that
+    cut, otherwise only that open sub-bucket's rows (about 1/buckets of the
+    group) are sorted.  Global (no groups): one row, NULL when there are no
+    values.  Grouped: one row per group that has a value.
     """
     out = out or f"median_{value}"
     groups = list(groups)
     vals = df.select(*groups, value).filter(F.col(value).isNotNull())
-    pos = value_positions(vals, value, groups, buckets, cuts)
-    k = F.ceil(F.col("_n_group") / 2)
-    hit = pos.filter((F.col("_n_below") < k) & (F.col("_n_below") + F.col("_n_at") >= k))
+    if cuts is None:
+        cuts = value_cuts(vals, value, buckets)
+    rows = vals.withColumn("_sb", sub_bucket_column(value, cuts))
+    k = F.ceil(F.col("_n") / 2)
+    target = (_sub_offsets(rows, groups).filter((F.col("_off") < k) & (F.col("_off") + F.col("_c") >= k))
+              .select(*groups, "_sb", (k - F.col("_off")).alias("_k")))
+    dtype = df.schema[value].dataType
+    if cuts:
+        at_cut = F.element_at(F.array(*[F.lit(c) for c in cuts]), ((F.col("_sb") - 1) / 2 + 1).cast("int"))
+    else:
+        at_cut = F.lit(None)
+    from_cut = target.filter(F.col("_sb") % 2 == 1).select(*groups, at_cut.cast(dtype).alias(out))
+    open_t = target.filter(F.col("_sb") % 2 == 0)
+    if not groups:
+        open_t = F.broadcast(open_t)  # at most one row
+    cand = rows.filter(F.col("_sb") % 2 == 0)
+    cond = cand["_sb"] == open_t["_sb"]
+    for g in groups:
+        cond = cond & cand[g].eqNullSafe(open_t[g])
+    sel = cand.join(open_t, cond, "inner").select(*[cand[g] for g in groups], cand[value], cand["_sb"], "_k")
+    picked = (sel.withColumn("_rn", F.row_number().over(
+        Window.partitionBy(*groups, "_sb").orderBy(F.col(value))))
+        .filter(F.col("_rn") == F.col("_k"))
+        .select(*groups, F.col(value).alias(out)))
+    hit = from_cut.unionByName(picked)
     if groups:
-        return hit.select(*groups, F.col(value).alias(out))
-    return hit.agg(F.max(value).alias(out))
+        return hit
+    return hit.agg(F.max(out).alias(out))
