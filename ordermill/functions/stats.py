@@ -6,18 +6,18 @@
   on constant or empty input.  ``null_policy="zero"`` treats NULL as 0.0 as
   ``DataFrame.stat.corr`` does; ``"pairwise"`` drops incomplete pairs.
 
-* ``value_positions`` is the engine of ``global_rank`` and ``exact_median``:
-  for every distinct value (per group) it yields how many rows lie strictly
-  below it and how many share it.  A plain ``rank().over(Window.orderBy(v))``
-  moves every row to one task; here ties collapse first (a hot value is one
-  row after a map-side combine), the distinct values are cut into buckets at
-  bounds taken from one ``percentile_approx`` row (a fixed number of cut
-  points, so its size is bounded whatever the data), bucket totals give
-  offsets, and a running count inside ``Window.partitionBy(group, bucket)``
-  gives the rest.  The only single-partition step is the offset window over
-  the bucket totals: ``buckets + 1`` rows per group.  The bounds are fixed as
-  literals before the main plan runs, so a recomputed stage buckets exactly
-  as before; they only balance load and never change a result.
+* ``global_rank`` / ``exact_median`` replace ``rank().over(Window.orderBy(v))``
+  and a median over one sorted partition, which both move every row to one
+  task.  One ``percentile_approx`` row gives at most ``buckets - 1`` cut
+  points (a size bound independent of the data, fixed as literals before the
+  main plan runs, so a recomputed stage buckets exactly as before).  Each row
+  gets an order-preserving sub-bucket: NULL, exactly a cut point, or the open
+  interval between two cuts.  A value holding more than about 1/buckets of
+  the rows is always a cut point, so a hot value never lands in an open
+  interval.  Sub-bucket counts (at most ``2 * buckets + 2`` rows per group)
+  give each sub-bucket its offset; rows at a cut point (or NULL) need no
+  sort at all, and the others are ordered only within their own open
+  interval.  Cut points balance load; they never change a result.
 """
 
 from __future__ import annotations
@@ -75,15 +75,6 @@ def pearson(df: DataFrame, pairs: Sequence[tuple[str, str]], null_policy: str =
 
 
 # ----------------------------------------------------- positions and rank
-def _bucket_of(v: Column, cuts: list, lo: int = 0, hi: int | None = None) -> Column:
-    """Number of cut points <= v, as a balanced tree of comparisons."""
-    hi = len(cuts) if hi is None else hi
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(v >= F.lit(cuts[mid]), _bucket_of(v, cuts, mid + 1, hi)).otherwise(_bucket_of(v, cuts, lo, mid))
-
-
 def value_cuts_many(df: DataFrame, values: Sequence[str], buckets: int | None = None) -> dict[str, list]:
     """Per column, at most ``buckets - 1`` sorted distinct cut points.
 
@@ -102,49 +93,6 @@ def value_cuts(df: DataFrame, value: str, buckets: int | None = None) -> list:
     return value_cuts_many(df, [value], buckets)[value]
 
 
-def bucket_column(value: str, cuts: list) -> Column:
-    v = F.col(value)
-    return F.when(v.isNull(), F.lit(-1)).otherwise(_bucket_of(v, cuts)) if cuts else \
-        F.when(v.isNull(), F.lit(-1)).otherwise(F.lit(0))
-
-
-def value_positions(df: DataFrame, value: str, groups: Sequence[str] = (),
-                    buckets: int | None = None, cuts: list | None = None) -> DataFrame:
-    """Distinct ``(groups..., value)`` with ``_n_at``, ``_n_below``, ``_n_group``.
-
-    ``_n_below`` counts rows of the same group whose value sorts strictly
-    lower (NULL sorts lowest: ascending, nulls first); ``_n_group`` is the
-    group's row count.  No window spans more than one bucket of one group,
-    except those over the bucket totals (``buckets + 1`` rows per group).
-    """
-    groups = list(groups)
-    if cuts is None:
-        cuts = value_cuts(df, value, buckets)
-    b = "_bucket"
-    hist = (df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n_at"))
-            .withColumn(b, bucket_column(value, cuts)))
-    before = Window.unboundedPreceding
-    in_bucket = hist.withColumn(
-        "_below_in",
-        F.coalesce(F.sum("_n_at").over(
-            Window.partitionBy(*groups, b).orderBy(F.col(value).asc_nulls_first()).rowsBetween(before, -1)),
-            F.lit(0)))
-    per_group = Window.partitionBy(*groups)
-    offsets = (hist.groupBy(*groups, b).agg(F.sum("_n_at").alias("_bn"))
-               .withColumn("_off", F.coalesce(F.sum("_bn").over(per_group.orderBy(b).rowsBetween(before, -1)),
-                                              F.lit(0)))
-               .withColumn("_n_group", F.sum("_bn").over(per_group))
-               .drop("_bn"))
-    keys = [in_bucket[c].eqNullSafe(offsets[c]) for c in [*groups, b]]
-    cond = keys[0]
-    for k in keys[1:]:
-        cond = cond & k
-    joined = in_bucket.join(offsets, cond, "inner")
-    return joined.select(*[in_bucket[c] for c in groups], in_bucket[value], in_bucket[b], "_n_at",
-                         (F.col("_off") + F.col("_below_in")).cast("long").alias("_n_below"),
-                         F.col("_n_group").cast("long").alias("_n_group"))
-
-
 def _sub_of(v: Column, cuts: list, lo: int = 0, hi: int | None = None) -> Column:
     """Sub-bucket of v: 2j for the open interval (c[j-1], c[j]), 2j+1 for v == c[j]."""
     hi = len(cuts) if hi is None else hi

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ordermill.functions.stats import exact_median, global_rank, pearson, value_positions
+from ordermill.functions.stats import exact_median, global_rank, pearson, sub_bucket_column
 
 NULL_ROWS = [(1.0, 2.0), (2.0, None), (3.0, 5.0), (None, 7.0), (4.0, 9.0)]
 
@@ -81,10 +81,11 @@ def test_exact_median_grouped_and_empty(spark):
     assert exact_median(empty, "x", out="m").collect()[0].m is None
 
 
-def test_value_positions_counts(spark):
-    df = spark.createDataFrame([(None,), (1,), (1,), (3,)], "v int")
-    got = {r.v: (r._n_below, r._n_at, r._n_group) for r in value_positions(df, "v", buckets=2).collect()}
-    assert got == {None: (0, 1, 4), 1: (1, 2, 4), 3: (3, 1, 4)}
+def test_sub_buckets_preserve_order(spark):
+    """NULL < (-inf, 2) < {2} < (2, 5) < {5} < (5, inf)."""
+    df = spark.createDataFrame([(None,), (1.0,), (2.0,), (3.0,), (5.0,), (9.0,)], "v double")
+    got = [r.sb for r in df.select(sub_bucket_column("v", [2.0, 5.0]).alias("sb")).collect()]
+    assert got == [-1, 0, 1, 2, 3, 4]
 
 
 def test_rank_plan_has_no_single_partition_exchange_over_rows(spark):
