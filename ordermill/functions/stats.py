@@ -22,26 +22,36 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (ByteType, DateType, DoubleType, FloatType, IntegerType, NumericType, ShortType,
+                               StructField, StructType, TimestampNTZType, TimestampType)
 
 from .clean import round_to
 
-MIN_BUCKETS, MAX_BUCKETS = 64, 512
+# Bucket sizing: about ROWS_PER_BUCKET rows per open interval, so a window
+# task's share stays bounded as the data grows; the cut points (and the
+# per-sub-bucket counts broadcast back) stay bounded by MAX_BUCKETS.
+ROWS_PER_BUCKET = 1_000_000
+MIN_BUCKETS, MAX_BUCKETS = 64, 100_000
+# Types that are not exactly representable as double use a comparison tree,
+# whose expression size caps the bucket count.
+MAX_TREE_BUCKETS = 256
 
 
-def default_buckets(df: DataFrame) -> int:
-    """Buckets follow the session's shuffle width, within fixed bounds, so
-    the window stage gets cluster-wide parallelism and the cut points sent
-    to the driver stay a bounded handful."""
+def default_buckets(df: DataFrame, n_rows: int | None = None) -> int:
+    """At least the shuffle width, about one bucket per ROWS_PER_BUCKET rows."""
     conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
     try:
-        n = int(conf)
+        width = int(conf)
     except ValueError:
-        n = MIN_BUCKETS
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, n))
+        width = MIN_BUCKETS
+    by_rows = -(-n_rows // ROWS_PER_BUCKET) if n_rows else 0
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, max(width, by_rows)))
 
 
 # ---------------------------------------------------------------- Pearson
@@ -75,18 +85,59 @@ def pearson(df: DataFrame, pairs: Sequence[tuple[str, str]], null_policy: str =
 
 
 # ----------------------------------------------------- positions and rank
+_QUANTILE_TYPES = (NumericType, DateType, TimestampType, TimestampNTZType)
+
+
+def _bucketizable(dtype) -> bool:
+    return isinstance(dtype, (ByteType, ShortType, IntegerType, FloatType, DoubleType))
+
+
 def value_cuts_many(df: DataFrame, values: Sequence[str], buckets: int | None = None) -> dict[str, list]:
-    """Per column, at most ``buckets - 1`` sorted distinct cut points.
+    """Per column, sorted distinct cut points (at most ``buckets - 1``).
 
-    One aggregate pass for all columns; the result is bounded by
-    ``buckets`` per column whatever the data size.
+    Two small jobs: a row count sizes the buckets (unless given), then one
+    aggregate computes every column's cut points.  What reaches the driver is
+    bounded by ``MAX_BUCKETS`` per column whatever the data size.
     """
-    buckets = buckets or default_buckets(df)
-    if buckets <= 1 or not values:
-        return {v: [] for v in values}
-    qs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(*[F.percentile_approx(v, qs, 10 * buckets).alias(f"_q{i}") for i, v in enumerate(values)]).first()
-    return {v: sorted({x for x in (row[f"_q{i}"] or []) if x is not None}) for i, v in enumerate(values)}
+    if not values:
+        return {}
+    n_rows = None
+    if buckets is None:
+        n_rows = df.count()
+        buckets = default_buckets(df, n_rows)
+    out = {v: [] for v in values}
+    aggs = []
+    for i, v in enumerate(values):
+        dtype = df.schema[v].dataType
+        b = buckets if _bucketizable(dtype) else min(buckets, MAX_TREE_BUCKETS)
+        if b <= 1:
+            continue
+        if isinstance(dtype, _QUANTILE_TYPES):
+            qs = [j / b for j in range(1, b)]
+            aggs.append((v, F.percentile_approx(v, qs, 10 * b).alias(f"_q{i}"), f"_q{i}"))
+        else:
+            out[v] = _sampled_cuts(df, v, b, n_rows)
+    row = df.agg(*[a for _, a, _ in aggs]).first() if aggs else None
+    for v, _, name in aggs:
+        cuts = {x + 0 if isinstance(x, float) else x for x in (row[name] or []) if x is not None}
+        out[v] = sorted(x for x in cuts if not (isinstance(x, float) and math.isnan(x)))
+    return out
+
+
+def _sampled_cuts(df: DataFrame, value: str, buckets: int, n_rows: int | None) -> list:
+    """Cut points for types without ``percentile_approx`` (strings...): every
+    k-th value of a seeded sample of about 64 values per bucket.  The sample
+    sent to the driver is bounded by ``64 * MAX_TREE_BUCKETS`` values."""
+    want = 64 * buckets
+    n = n_rows if n_rows is not None else df.count()
+    if n == 0:
+        return []
+    vals = df.select(value).where(F.col(value).isNotNull())
+    if n > want:
+        vals = vals.sample(fraction=min(1.0, 2.0 * want / n), seed=17)
+    sample = [r[0] for r in vals.orderBy(value).limit(2 * want).collect()]
+    step = max(1, len(sample) // buckets)
+    return sorted(set(sample[step - 1::step][: buckets - 1]))
 
 
 def value_cuts(df: DataFrame, value: str, buckets: int | None = None) -> list:
@@ -103,16 +154,38 @@ def _sub_of(v: Column, cuts: list, lo: int = 0, hi: int | None = None) -> Column
 
 
 def sub_bucket_column(value: str, cuts: list) -> Column:
-    """Order-preserving key: -1 for NULL, odd = exactly a cut point, even = between cuts.
-
-    A value holding more than about 1/buckets of the rows is always one of
-    the cut points, so it lands in its own odd sub-bucket and no even
-    (open) sub-bucket holds a hot value.
-    """
+    """Order-preserving key as one expression (comparison tree): -1 for NULL,
+    odd = exactly a cut point, even = between cuts."""
     v = F.col(value)
     return F.when(v.isNull(), F.lit(-1)).otherwise(_sub_of(v, cuts))
 
 
+def with_sub_bucket(df: DataFrame, value: str, cuts: list, out: str = "_sb") -> DataFrame:
+    """``df`` plus the sub-bucket of ``value``: -1 NULL, 2j+1 for v == c[j],
+    2j for the open interval (c[j-1], c[j]).
+
+    A value holding more than about 1/buckets of the rows is always a cut
+    point, so it lands in its own odd sub-bucket and no open (even)
+    sub-bucket holds a hot value.  Numeric values go through two JVM
+    ``Bucketizer`` binary searches: splits at each cut give ``#cuts <= v``,
+    splits just above each cut give ``#cuts < v``; their sum is the key.
+    Other types use a comparison tree over at most ``MAX_TREE_BUCKETS`` cuts.
+    """
+    dtype = df.schema[value].dataType
+    if not cuts or not _bucketizable(dtype):
+        return df.withColumn(out, sub_bucket_column(value, cuts))
+    inf = float("inf")
+    x = F.col(value).cast("double")
+    tmp = df.withColumn("_bz_x", F.when(x == 0.0, F.lit(0.0)).otherwise(x))  # -0.0 sorts as 0.0
+    cuts_d = [float(c) for c in cuts]
+    at_most = Bucketizer(splits=[-inf, *cuts_d, inf], inputCol="_bz_x", outputCol="_bz_le", handleInvalid="keep")
+    below = Bucketizer(splits=[-inf, *[math.nextafter(c, inf) for c in cuts_d], inf], inputCol="_bz_x",
+                       outputCol="_bz_lt", handleInvalid="keep")
+    tmp = below.transform(at_most.transform(tmp))
+    key = F.when(F.col(value).isNull(), F.lit(-1)).otherwise((F.col("_bz_le") + F.col("_bz_lt")).cast("int"))
+    return tmp.withColumn(out, key).drop("_bz_x", "_bz_le", "_bz_lt")
+
+
 def _sub_offsets(rows: DataFrame, groups: list[str]) -> DataFrame:
     """Per (groups, _sb): row count ``_c``, rows in earlier sub-buckets
     ``_off`` and the group size ``_n``.  At most 2 * buckets + 2 rows per
@@ -137,11 +210,10 @@ def global_rank(df: DataFrame, value: str, out: str, buckets: int | None = None,
     """
     if cuts is None:
         cuts = value_cuts(df, value, buckets)
-    sb = sub_bucket_column(value, cuts)
+    base = counts_from if counts_from is not None else df
     offsets = F.broadcast(  # at most 2 * len(cuts) + 2 rows: a proven bound
-        _sub_offsets((counts_from if counts_from is not None else df).withColumn("_sb", sb), [])
-        .select(F.col("_sb").alias("_osb"), "_off"))
-    rows = df.withColumn("_sb", sb)
+        _sub_offsets(with_sub_bucket(base, value, cuts), []).select(F.col("_sb").alias("_osb"), "_off"))
+    rows = with_sub_bucket(df, value, cuts)
     point = (F.col("_sb") == -1) | (F.col("_sb") % 2 == 1)
     in_place = rows.filter(point).withColumn("_r", F.lit(1))
     windowed = rows.filter(~point).withColumn(
@@ -181,16 +253,18 @@ def exact_median(df: DataFrame, value: str, groups: Sequence[str] = (), out: str
     vals = df.select(*groups, value).filter(F.col(value).isNotNull())
     if cuts is None:
         cuts = value_cuts(vals, value, buckets)
-    rows = vals.withColumn("_sb", sub_bucket_column(value, cuts))
+    rows = with_sub_bucket(vals, value, cuts)
     k = F.ceil(F.col("_n") / 2)
     target = (_sub_offsets(rows, groups).filter((F.col("_off") < k) & (F.col("_off") + F.col("_c") >= k))
               .select(*groups, "_sb", (k - F.col("_off")).alias("_k")))
     dtype = df.schema[value].dataType
-    if cuts:
-        at_cut = F.element_at(F.array(*[F.lit(c) for c in cuts]), ((F.col("_sb") - 1) / 2 + 1).cast("int"))
-    else:
-        at_cut = F.lit(None)
-    from_cut = target.filter(F.col("_sb") % 2 == 1).select(*groups, at_cut.cast(dtype).alias(out))
+    # Cut point j is the value of sub-bucket 2j+1: a table of at most
+    # MAX_BUCKETS rows, built from the bounded cut list.
+    cut_table = df.sparkSession.createDataFrame(
+        [(2 * j + 1, c) for j, c in enumerate(cuts)],
+        StructType([StructField("_sb", IntegerType()), StructField(out, dtype)]))
+    from_cut = (target.filter(F.col("_sb") % 2 == 1).join(F.broadcast(cut_table), "_sb", "inner")
+                .select(*groups, out))
     open_t = target.filter(F.col("_sb") % 2 == 0)
     if not groups:
         open_t = F.broadcast(open_t)  # at most one row

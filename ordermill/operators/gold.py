@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import round2, round_to
+from ..session import materialize as _materialize
 from ..functions.stats import exact_median, global_ranks, pearson, pearson_expr, value_cuts_many
 
 
@@ -80,8 +81,15 @@ def value_freight_qty_correlation(df: DataFrame, null_policy: str = "zero") -> D
     return pearson(df, VALUE_FREIGHT_QTY_PAIRS, null_policy=null_policy, digits=4)
 
 
-def delivery_timing_summary(df: DataFrame) -> DataFrame:
-    d = df.filter(delivered()).select("delivery_days", "approval_hours")
+def _delivered(df: DataFrame, cols: list[str], materialize: bool) -> DataFrame:
+    """Delivered rows, few columns; checkpointed when the input is costly to
+    recompute (several passes follow: cut points, counts, windows)."""
+    d = df.filter(delivered()).select(*cols)
+    return _materialize(d) if materialize else d
+
+
+def delivery_timing_summary(df: DataFrame, materialize: bool = False) -> DataFrame:
+    d = _delivered(df, ["delivery_days", "approval_hours"], materialize)
     basic = d.agg(
         round2(F.avg("delivery_days")).alias("avg_delivery_days"),
         round2(F.min("delivery_days")).alias("min_delivery_days"),
@@ -140,8 +148,8 @@ def city_delivery_performance(df: DataFrame, min_orders: int = 5) -> DataFrame:
     )
 
 
-def delivery_vs_review(df: DataFrame) -> DataFrame:
-    d = df.filter(delivered()).select("review_score", "delivery_days")
+def delivery_vs_review(df: DataFrame, materialize: bool = False) -> DataFrame:
+    d = _delivered(df, ["review_score", "delivery_days"], materialize)
     stats = d.groupBy("review_score").agg(
         F.count(F.lit(1)).alias("num_orders"),
         round2(F.avg("delivery_days")).alias("avg_delivery_days"),
@@ -154,17 +162,17 @@ def delivery_vs_review(df: DataFrame) -> DataFrame:
             .orderBy("review_score"))
 
 
-def delivery_review_ranked(df: DataFrame, buckets: int | None = None) -> DataFrame:
+def delivery_review_ranked(df: DataFrame, buckets: int | None = None, materialize: bool = False) -> DataFrame:
     """Delivered orders with ``rank_delivery`` and ``rank_review``."""
-    d = df.filter(delivered()).select("Id", "delivery_days", "review_score")
+    d = _delivered(df, ["Id", "delivery_days", "review_score"], materialize)
     return global_ranks(d, [("delivery_days", "rank_delivery"), ("review_score", "rank_review")], buckets)
 
 
 def delivery_review_correlation(df: DataFrame, null_policy: str = "zero",
-                                buckets: int | None = None) -> DataFrame:
+                                buckets: int | None = None, materialize: bool = False) -> DataFrame:
     """Pearson of (delivery days, score) and Pearson of their ranks (Spearman
     with minimum ranks for ties), one aggregate over the ranked rows."""
-    ranked = delivery_review_ranked(df, buckets)
+    ranked = delivery_review_ranked(df, buckets, materialize)
     pol = (lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))) if null_policy == "zero" \
         else (lambda c: F.col(c).cast("double"))
     return ranked.agg(

@@ -10,6 +10,7 @@ select by name, never by position.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.gold import GOLD
 
@@ -59,6 +60,13 @@ def publish_table(df: DataFrame, db: str, name: str, path: str,
     return df.sparkSession.table(f"{db}.{name}")
 
 
+def register_table(spark: SparkSession, db: str, name: str, path: str) -> DataFrame:
+    """Publish Parquet already written at ``path`` as ``db.name`` without copying it."""
+    spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
+    spark.catalog.createTable(f"{db}.{name}", path=path, source="parquet")
+    return spark.table(f"{db}.{name}")
+
+
 def publish_all(silver: DataFrame, db: str, base: str, names: list[str] | None = None) -> dict[str, DataFrame]:
     """Publish the gold tables built from ``silver`` and silver itself."""
     out = {}
@@ -68,11 +76,30 @@ def publish_all(silver: DataFrame, db: str, base: str, names: list[str] | None =
     return out
 
 
+def use_database(spark: SparkSession, db: str = DATABASE) -> None:
+    spark.catalog.setCurrentDatabase(db)
+
+
 def table_counts(spark: SparkSession, db: str = DATABASE) -> DataFrame:
     """``SHOW TABLES`` of the database."""
     return spark.sql(f"SHOW TABLES IN {db}")
 
 
+def table_row_counts(spark: SparkSession, db: str, names: list[str] | None = None) -> DataFrame:
+    """``table_name, row_count`` for the given (or all) tables of ``db``.
+
+    One job: a union of per-table counts (each a metadata-light aggregate).
+    The table list is catalog metadata, a handful of names.
+    """
+    names = names or sorted(r.tableName for r in table_counts(spark, db).collect() if not r.isTemporary)
+    parts = [spark.table(f"{db}.{n}").agg(F.count(F.lit(1)).alias("row_count"))
+             .select(F.lit(n).alias("table_name"), "row_count") for n in names]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def run_sql(spark: SparkSession, text: str) -> DataFrame:
     """Free-form SQL; trailing semicolons and spaces are dropped."""
     return spark.sql(text.strip().rstrip(";").strip())

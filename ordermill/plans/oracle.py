@@ -307,3 +307,11 @@ select 'value' as metric_a, 'user_id' as metric_b, {r(_pearson('value', 'user_id
 from events
 union all
 select 'value', 'hour', {r(_pearson('value', 'hour(ts)'), 4)} from events"""
+
+# Row count of every published table: each gold statement above, counted.
+_GOLD_KEYS = ["city_sales", "state_sales", "value_freight_qty_correlation", "delivery_timing_summary",
+              "review_score_distribution", "review_by_city", "city_delivery_performance", "delivery_vs_review",
+              "delivery_review_correlation", "daily_sales_by_state", "weekly_sales"]
+ORACLE["catalog_publish_all"] = "\nunion all\n".join(
+    [f"select '{n}' as table_name, count(*) as row_count from ({ORACLE['gold_' + n]}) t" for n in _GOLD_KEYS]
+    + [f"select 'orders_clean' as table_name, count(*) as row_count from ({ORACLE['clean_orders']}) t"])

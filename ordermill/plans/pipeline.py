@@ -9,6 +9,8 @@ silver, not a recomputation of the source joins.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.clean import clean
@@ -28,16 +30,31 @@ def build_silver(orders: DataFrame, path: str) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, orders: DataFrame, out: str, publish_db: str | None = None,
-                 names: list[str] | None = None) -> dict[str, str]:
-    """Write silver and the gold tables under ``out``; optionally publish."""
+                 names: list[str] | None = None, concurrency: int = 4) -> dict[str, str]:
+    """Write silver and the gold tables under ``out``; optionally publish.
+
+    The gold tables are independent jobs over silver; up to ``concurrency``
+    of them are submitted at once (Spark schedules concurrent jobs from
+    several threads), so small aggregates do not leave the cluster idle.
+    """
     paths = {"orders_clean": f"{out}/silver/orders_clean"}
     silver = build_silver(orders, paths["orders_clean"])
-    for name in names or list(GOLD):
+    names = names or list(GOLD)
+    for name in names:
         paths[name] = f"{out}/gold/{name}"
+
+    def write(name: str) -> None:
         write_layer(GOLD[name](silver), paths[name], files=None if name in GROWING else 1)
+
+    with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
+        for f in [pool.submit(write, n) for n in names]:
+            f.result()
     if publish_db:
         catalog.ensure_database(spark, publish_db, f"{out}/catalog_db")
         for name, p in paths.items():
-            catalog.publish_table(spark.read.parquet(p), publish_db, name, f"{out}/catalog/{name}",
-                                  catalog.PARTITIONED.get(name))
+            part = catalog.PARTITIONED.get(name)
+            if part:  # state-partitioned copy, for partition pruning
+                catalog.publish_table(spark.read.parquet(p), publish_db, name, f"{out}/catalog/{name}", part)
+            else:  # the layer files themselves, registered in place
+                catalog.register_table(spark, publish_db, name, p)
     return paths

@@ -26,8 +26,12 @@ SCALE_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ordermill",
-                  extra: dict | None = None) -> SparkSession:
-    """A local session for tests / bench.  UI off, UTC, AQE on."""
+                  extra: dict | None = None, hive: bool = False) -> SparkSession:
+    """A local session for tests / bench / CLI.  UI off, UTC, AQE on.
+
+    ``hive=True`` asks for a Hive metastore catalog (needs Hive classes on
+    the classpath); the default in-memory catalog serves everything here.
+    """
     b = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -38,6 +42,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     for k, v in {**SCALE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
+    if hive:
+        b = b.enableHiveSupport()
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -45,15 +51,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint directory of this session, set only if unset."""
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if d:
-        return d
-    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="ordermill-ckpt-"))
-    return sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no context here
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is not None:
+        conf = conf or sc.getConf().get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="ordermill-ckpt-"))
+        return sc.getCheckpointDir()
+    return conf or tempfile.mkdtemp(prefix="ordermill-ckpt-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint root."""
     return f"{checkpoint_root(spark).rstrip('/')}/ordermill/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut the lineage of a multi-pass input: a reliable checkpoint under the
+    shared ``spark.checkpoint.dir`` (never a local checkpoint), so later
+    passes and recomputed stages read it instead of re-running its plan."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

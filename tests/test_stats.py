@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ordermill.functions.stats import exact_median, global_rank, pearson, sub_bucket_column
+from ordermill.functions.stats import (exact_median, global_rank, pearson, sub_bucket_column,
+                                       with_sub_bucket)
 
 NULL_ROWS = [(1.0, 2.0), (2.0, None), (3.0, 5.0), (None, 7.0), (4.0, 9.0)]
 
@@ -122,3 +123,28 @@ def test_grouped_median_open_and_cut_targets(spark):
     got = {r.g: r.m for r in exact_median(df, "x", ["g"], out="m", buckets=8).collect()}
     want = {g: _lower_median([x for gg, x in rows if gg == g]) for g in ("hot", "flat", None)}
     assert got == want
+
+
+@pytest.mark.parametrize("dtype", ["double", "int"])
+def test_bucketizer_key_equals_comparison_tree(spark, dtype):
+    rnd = random.Random(9)
+    cuts = [-3, 0, 2, 5, 11] if dtype == "int" else [-2.5, -0.0 + 0, 1.25, 1.2500000000000002, 7.0]
+    vals = [None, -0.0 if dtype == "double" else 0] + [c for c in cuts] + \
+           [rnd.choice([-5, -3, -1, 0, 1, 2, 3, 5, 8, 11, 13]) if dtype == "int" else rnd.uniform(-4, 9)
+            for _ in range(300)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], f"i int, v {dtype}")
+    got = {r.i: r._sb for r in with_sub_bucket(df, "v", sorted(set(cuts))).collect()}
+    want = {r.i: r.sb for r in df.select("i", sub_bucket_column("v", sorted(set(cuts))).alias("sb")).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("dtype", ["bigint", "string"])
+def test_rank_on_tree_typed_columns(spark, dtype):
+    rnd = random.Random(13)
+    vals = [(i, None if i % 17 == 0 else (str(rnd.randint(0, 60)) if dtype == "string" else rnd.randint(0, 60)))
+            for i in range(500)]
+    df = spark.createDataFrame(vals, f"id int, v {dtype}")
+    want = {r.id: r.rk for r in df.withColumn("rk", F.rank().over(Window.orderBy(F.col("v").asc_nulls_first())))
+            .collect()}
+    assert {r.id: r.rk for r in global_rank(df, "v", "rk", buckets=8).collect()} == want
+    assert exact_median(df, "v", out="m", buckets=8).first().m == _lower_median([v for _, v in vals])
