@@ -97,10 +97,18 @@ def compare(spark, sf_dir, keys=None, verbose=True):
 
 
 if __name__ == "__main__":
-    from ordermill.session import local_session
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    keys = sys.argv[2:] or None
-    spark = local_session(8)
+    args = sys.argv[1:]
+    plain = "--plain" in args  # a bare session, as an outside caller might build it
+    args = [a for a in args if a != "--plain"]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    keys = args[1:] or None
+    if plain:
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from ordermill.session import local_session
+        spark = local_session(8)
     bad = compare(spark, sf, keys)
     print("MISMATCHED:", bad)
     sys.exit(1 if bad else 0)
