@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import clean, safe_cast
 from ..operators import gold, profile, serve
-from ..schema import ENVELOPE_SCHEMA, ORDER_COLUMNS, ORDERS_SCHEMA
+from ..schema import ORDER_COLUMNS, ORDERS_SCHEMA
 from ..session import scratch_path
 from ..sinks.events import JSON_OPTIONS, order_events
 from ..sources.orders_csv import ingest_csv, write_orders_csv
@@ -56,20 +56,6 @@ def events_to_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("key").alias("kafka_key"), parsed).select("kafka_key", "d.*")
 
 
-def envelope(orders: DataFrame) -> DataFrame:
-    """Kafka-shaped rows for a file stream: 3 partitions, offset = order id."""
-    src = orders.select(
-        F.coalesce(F.col("customer_state"), F.lit("UNKNOWN")).cast("binary").alias("key"),
-        F.to_json(F.struct(*[F.col(c) for c in ORDER_COLUMNS]), JSON_OPTIONS).cast("binary").alias("value"),
-        F.lit(bronze.TOPIC).alias("topic"),
-        F.pmod(F.col("Id"), F.lit(3)).cast("int").alias("partition"),
-        F.col("Id").cast("long").alias("offset"),
-        F.col("order_purchase_timestamp").alias("timestamp"),
-        F.lit(0).alias("timestampType"),
-    )
-    return src.select(*[f.name for f in ENVELOPE_SCHEMA.fields])
-
-
 def _drain(q) -> None:
     q.awaitTermination()
     if q.exception():
@@ -78,7 +64,7 @@ def _drain(q) -> None:
 
 def stream_bronze(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
     base = scratch_path(spark, "stream")
-    envelope(orders_from_star(spark, sf_dir)).repartition(files).write.parquet(f"{base}/topic/part0")
+    bronze.to_envelope(orders_from_star(spark, sf_dir)).repartition(files).write.parquet(f"{base}/topic/part0")
     rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*"))
     _drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt_bronze"))
     return spark.read.parquet(f"{base}/bronze")
@@ -88,7 +74,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs on one checkpoint, new files arriving in between, then a
     third run with nothing new: every row lands in bronze exactly once."""
     base = scratch_path(spark, "restart")
-    ev = envelope(orders_from_star(spark, sf_dir))
+    ev = bronze.to_envelope(orders_from_star(spark, sf_dir))
     parity = F.col("offset") % 2
     ev.filter(parity == 0).repartition(2).write.parquet(f"{base}/topic/part0")
     rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*"))
@@ -101,7 +87,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_state_totals(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
     base = scratch_path(spark, "totals")
-    envelope(orders_from_star(spark, sf_dir)).repartition(files).write.parquet(f"{base}/topic/part0")
+    bronze.to_envelope(orders_from_star(spark, sf_dir)).repartition(files).write.parquet(f"{base}/topic/part0")
     rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*"))
     _drain(bronze.start_totals(rows, f"{base}/totals", f"{base}/ckpt"))
     return spark.read.parquet(f"{base}/totals")

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.clean import clean, round2, safe_cast
-from ..schema import ENVELOPE_COLUMNS, ENVELOPE_SCHEMA, ORDERS_SCHEMA, string_schema
+from ..schema import ENVELOPE_COLUMNS, ENVELOPE_SCHEMA, ORDER_COLUMNS, ORDERS_SCHEMA, string_schema
+from ..sinks.events import JSON_OPTIONS
 
 # Consumer defaults (topic, offsets per micro-batch, start).
 TOPIC = "target_orders"
@@ -44,6 +45,22 @@ def envelope_file_source(spark: SparkSession, path: str, max_files_per_trigger:
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(path))
 
 
+def to_envelope(orders: DataFrame, partitions: int = 3) -> DataFrame:
+    """Kafka-shaped rows from order rows (the file stand-in for a topic):
+    key = state or ``UNKNOWN``, value = row JSON, ``partitions`` topic
+    partitions by order id, offset = order id, timestamp = purchase time."""
+    src = orders.select(
+        F.coalesce(F.col("customer_state"), F.lit("UNKNOWN")).cast("binary").alias("key"),
+        F.to_json(F.struct(*[F.col(c) for c in ORDER_COLUMNS]), JSON_OPTIONS).cast("binary").alias("value"),
+        F.lit(TOPIC).alias("topic"),
+        F.pmod(F.col("Id"), F.lit(partitions)).cast("int").alias("partition"),
+        F.col("Id").cast("long").alias("offset"),
+        F.col("order_purchase_timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+    return src.select(*[f.name for f in ENVELOPE_SCHEMA.fields])
+
+
 def parse_envelope(raw: DataFrame) -> DataFrame:
     """Kafka columns renamed, JSON value parsed to text fields, flattened.
 

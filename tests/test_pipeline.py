@@ -5,10 +5,9 @@ from ordermill.operators.gold import GOLD
 from ordermill.plans import catalog
 from ordermill.plans.cli import profile_report, sql_shell
 from ordermill.plans.pipeline import run_pipeline
-from ordermill.plans.registry import envelope
 from ordermill.session import scratch_path
 from ordermill.sources.star import orders_from_star
-from ordermill.streaming.bronze import await_all, envelope_file_source, start_stream_pipeline
+from ordermill.streaming.bronze import await_all, envelope_file_source, start_stream_pipeline, to_envelope
 
 from .conftest import SF_SMALL
 
@@ -41,7 +40,7 @@ def test_sql_shell_survives_errors(spark):
 
 def test_two_queries_from_one_plan(spark):
     base = scratch_path(spark, "twoq")
-    envelope(orders_from_star(spark, SF_SMALL)).repartition(3).write.parquet(f"{base}/topic")
+    to_envelope(orders_from_star(spark, SF_SMALL)).repartition(3).write.parquet(f"{base}/topic")
     qs = start_stream_pipeline(envelope_file_source(spark, f"{base}/topic"), f"{base}/bronze", f"{base}/c1",
                                f"{base}/totals", f"{base}/c2")
     await_all(qs)
