@@ -113,11 +113,12 @@ def delivery_timing_summary(df: DataFrame, materialize: bool = False) -> DataFra
 def review_score_distribution(df: DataFrame) -> DataFrame:
     """Orders per score (NULL is a group) and its share of all rows.
 
-    The total is a scalar subquery inside the same plan: nothing is counted
-    eagerly, and an empty input gives an empty table.
+    The total is a scalar subquery over the grouped counts (the same shuffle,
+    reused): nothing is counted eagerly, the input is read once, and an
+    empty input gives an empty table.
     """
     counts = df.groupBy("review_score").agg(F.count(F.lit(1)).alias("num_orders"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("num_orders")).scalar()
     return (counts.withColumn("pct", round2(F.lit(100) * F.col("num_orders") / total))
             .orderBy("review_score"))
 

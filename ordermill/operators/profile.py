@@ -47,9 +47,9 @@ def distribution(df: DataFrame, col: str, count_name: str = "order_count",
                  pct_name: str = "percentage") -> DataFrame:
     """Rows per value and its percentage of all rows, most frequent first."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias(count_name))
-    # A scalar subquery, not a global window: the distinct values stay spread
-    # over the cluster however many there are.
-    total = df.agg(F.count(F.lit(1))).scalar()
+    # A scalar subquery over the grouped counts (the same shuffle, reused), not
+    # a global window: the distinct values stay spread over the cluster.
+    total = counts.agg(F.sum(count_name)).scalar()
     return (counts.withColumn(pct_name, round_to(F.lit(100) * F.col(count_name) / total, 2))
             .orderBy(F.desc(count_name), F.col(col).asc_nulls_first()))
 
