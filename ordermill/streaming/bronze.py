@@ -105,9 +105,11 @@ def state_totals(rows: DataFrame) -> DataFrame:
 STATE_PARTITIONS = 8
 
 
-def start_totals(rows: DataFrame, path: str, checkpoint: str | None = None,
-                 available_now: bool = True, state_partitions: int = STATE_PARTITIONS) -> StreamingQuery:
-    """Complete-mode totals; each trigger replaces the table at ``path``.
+def start_totals(rows: DataFrame, path: str | None, checkpoint: str | None = None,
+                 available_now: bool = True, state_partitions: int = STATE_PARTITIONS,
+                 console_rows: int = 10) -> StreamingQuery:
+    """Complete-mode totals; each trigger replaces the table at ``path``, or,
+    with ``path=None``, prints the first ``console_rows`` rows untruncated.
 
     A streaming aggregate takes its state-partition count from the session's
     shuffle width when it first starts (AQE does not apply to streams); it is
@@ -117,7 +119,11 @@ def start_totals(rows: DataFrame, path: str, checkpoint: str | None = None,
     def publish(batch: DataFrame, _epoch: int) -> None:
         batch.write.mode("overwrite").parquet(path)
 
-    w = state_totals(rows).writeStream.outputMode("complete").foreachBatch(publish)
+    w = state_totals(rows).writeStream.outputMode("complete")
+    if path is None:
+        w = w.format("console").option("numRows", console_rows).option("truncate", False)
+    else:
+        w = w.foreachBatch(publish)
     if checkpoint:
         w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")

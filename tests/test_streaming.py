@@ -72,3 +72,11 @@ def test_update_mode_with_sort_is_refused(spark):
     rows = bronze.bronze_rows(bronze.envelope_file_source(spark, path))
     with pytest.raises(Exception):
         bronze.state_totals(rows).writeStream.outputMode("update").format("memory").queryName("x").start()
+
+
+def test_totals_to_console(spark, capfd):
+    path = scratch_path(spark, "console")
+    bronze.to_envelope(orders_from_star(spark, SF_SMALL)).write.parquet(path)
+    q = bronze.start_totals(bronze.bronze_rows(bronze.envelope_file_source(spark, path, 10)), None)
+    q.awaitTermination()
+    assert q.exception() is None
