@@ -70,16 +70,21 @@ def stream_bronze(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame
     return spark.read.parquet(f"{base}/bronze")
 
 
-def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_restart(spark: SparkSession, sf_dir: str, first_wave_before: str = "1998-01-01") -> DataFrame:
     """Two runs on one checkpoint, new files arriving in between, then a
-    third run with nothing new: every row lands in bronze exactly once."""
+    third run with nothing new: every row lands in bronze exactly once.
+
+    All events are written: those purchased before ``first_wave_before``
+    arrive first, every other one (later or without a time) in the second
+    wave, after the first run has committed.
+    """
     base = scratch_path(spark, "restart")
     ev = bronze.to_envelope(orders_from_star(spark, sf_dir))
-    parity = F.col("offset") % 2
-    ev.filter(parity == 0).repartition(2).write.parquet(f"{base}/topic/part0")
+    early = F.coalesce(F.col("timestamp") < F.lit(first_wave_before).cast("timestamp"), F.lit(False))
+    ev.filter(early).repartition(2).write.parquet(f"{base}/topic/part0")
     rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*"))
     _drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt"))
-    ev.filter(parity != 0).repartition(2).write.parquet(f"{base}/topic/part1")
+    ev.filter(~early).repartition(2).write.parquet(f"{base}/topic/part1")
     for _ in range(2):
         _drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt"))
     return spark.read.parquet(f"{base}/bronze")
@@ -94,6 +99,8 @@ def stream_state_totals(spark: SparkSession, sf_dir: str, files: int = 4) -> Dat
 
 
 def _published(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
+    """Publish the named tables (gold built from the cleaned orders) under a
+    fresh shared path; return the database."""
     base = scratch_path(spark, "catalog")
     db = catalog.ensure_database(spark, catalog.DATABASE, f"{base}/db")
     catalog.publish_all(cleaned(spark, sf_dir).drop("_corrupt_record"), db, base, names)
