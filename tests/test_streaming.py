@@ -34,10 +34,40 @@ def test_restart_adds_no_duplicates(spark):
 
 
 def test_totals_equal_batch_aggregate(spark):
+    from ordermill.functions.clean import round2
     got = {r.customer_state: (r.orders, r.running_sales) for r in registry.stream_state_totals(spark, SF_SMALL).collect()}
     c = orders_from_star(spark, SF_SMALL).transform(clean)
-    want = {r.customer_state: r.orders for r in c.groupBy("customer_state").agg(F.count("*").alias("orders")).collect()}
-    assert {k: v[0] for k, v in got.items()} == want
+    want = {r.customer_state: (r.orders, r.sales) for r in c.groupBy("customer_state").agg(
+        F.count("*").alias("orders"), round2(F.sum("order_total_value")).alias("sales")).collect()}
+    assert got == want
+
+
+def test_totals_resume_from_checkpoint(spark):
+    """With a checkpoint, a rerun reads only what arrived since; the
+    complete totals still cover everything."""
+    base = scratch_path(spark, "resume")
+    ev = bronze.to_envelope(orders_from_star(spark, SF_SMALL))
+    early = F.col("timestamp") < F.lit("1998-01-01").cast("timestamp")
+    ev.filter(early).write.parquet(f"{base}/topic/a")
+    rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*"))
+    bronze.start_totals(rows, f"{base}/totals", f"{base}/ckpt").awaitTermination()
+    ev.filter(~early).write.parquet(f"{base}/topic/b")
+    q = bronze.start_totals(rows, f"{base}/totals", f"{base}/ckpt")
+    q.awaitTermination()
+    read_second = sum(p["numInputRows"] for p in q.recentProgress)
+    assert read_second == ev.filter(~early).count()
+    n = orders_from_star(spark, SF_SMALL).count()
+    assert spark.read.parquet(f"{base}/totals").groupBy().sum("orders").first()[0] == n
+
+
+def test_event_key_defaults_to_unknown(spark):
+    """A NULL state gives the key UNKNOWN, not the text None."""
+    from ordermill.sinks.events import order_events
+    from ordermill.schema import ORDERS_SCHEMA
+    row = tuple(None for _ in ORDERS_SCHEMA.fields)
+    ev = order_events(spark.createDataFrame([row], ORDERS_SCHEMA)).first()
+    assert ev.key == "UNKNOWN"
+    assert '"customer_state":null' in ev.value and '"review_score":null' in ev.value
 
 
 def test_envelope_parse_keeps_bad_payloads(spark):
@@ -45,13 +75,17 @@ def test_envelope_parse_keeps_bad_payloads(spark):
     rows = [(b"SP", b'{"Id": 1, "review_score": 5.0, "customer_state": "sp"}', "t", 0, 1, None, 0),
             (b"SP", b"not json", "t", 0, 2, None, 0),
             (None, None, "t", 1, 3, None, 0),
-            (b"RJ", b'{"Id": "7", "review_score": null}', "t", 1, 4, None, 0)]
+            (b"RJ", b'{"Id": "7", "review_score": null}', "t", 1, 4, None, 0),
+            (b"RJ", b'{"Id": 8, "order_purchase_timestamp": "21/11/2017"}', "t", 1, 5, None, 0),
+            (b"RJ", b'{"Id": 9, "order_purchase_timestamp": "2017-11-21 14:54:03"}', "t", 1, 6, None, 0)]
     raw = spark.createDataFrame(rows, ENVELOPE_SCHEMA)
     parsed = {r.kafka_offset: r for r in bronze.bronze_rows(raw).collect()}
     assert parsed[1].review_score == 5 and parsed[1].Id == 1 and not parsed[1].parse_failed
     assert parsed[2].parse_failed and parsed[2].Id is None
     assert parsed[3].parse_failed and parsed[3].kafka_key is None
     assert parsed[4].Id == 7 and parsed[4].review_score is None and not parsed[4].parse_failed
+    assert parsed[5].Id == 8 and parsed[5].order_purchase_timestamp is None           # bad timestamp -> NULL
+    assert parsed[6].order_purchase_timestamp is not None and parsed[6].order_date is not None
     assert parse_envelope(raw).columns[:4] == ["kafka_key", "kafka_partition", "kafka_offset", "kafka_ingest_time"]
 
 
