@@ -220,7 +220,8 @@ def global_rank(df: DataFrame, value: str, out: str, buckets: int | None = None,
         "_r", F.rank().over(Window.partitionBy("_sb").orderBy(F.col(value).asc_nulls_first())))
     both = in_place.unionByName(windowed)
     joined = both.join(offsets, both["_sb"] == offsets["_osb"], "inner")
-    return joined.withColumn(out, (F.col("_off") + F.col("_r")).cast("int")).drop("_sb", "_osb", "_off", "_r")
+    # bigint: a rank passes 2**31 long before 100 TB
+    return joined.withColumn(out, (F.col("_off") + F.col("_r")).cast("long")).drop("_sb", "_osb", "_off", "_r")
 
 
 def global_ranks(df: DataFrame, specs: Sequence[tuple[str, str]], buckets: int | None = None) -> DataFrame:

@@ -51,6 +51,18 @@ def rows_of(cols, records):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT",
+                 "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_diffs(sdf, res) -> list[str]:
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in sdf.schema.fields}
+    d_types = dict(zip(res.columns, [str(t) for t in res.types]))
+    return [f"{c}: spark {s_types[c]} duck {d_types.get(c)}" for c in s_types if s_types[c] != d_types.get(c)]
+
+
 def compare(spark, sf_dir, keys=None, verbose=True):
     import __spark_entry__ as E
     qs, sql = E.queries(), E.oracle_sql()
@@ -79,6 +91,9 @@ def compare(spark, sf_dir, keys=None, verbose=True):
             print(f"{k:40s} DUCKDB ERROR {type(e).__name__}: {str(e)[:400]}")
             continue
         msg = []
+        td = type_diffs(sdf, res)
+        if td:
+            msg.append("types " + "; ".join(td))
         if sorted(s_cols) != sorted(d_cols):
             msg.append(f"cols spark={sorted(s_cols)} duck={sorted(d_cols)}")
         if len(s_rows) != len(d_rows):
