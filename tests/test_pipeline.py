@@ -47,3 +47,19 @@ def test_two_queries_from_one_plan(spark):
     n = orders_from_star(spark, SF_SMALL).count()
     assert spark.read.parquet(f"{base}/bronze").count() == n
     assert spark.read.parquet(f"{base}/totals").groupBy().sum("orders").first()[0] == n
+
+
+def test_cli_pipeline_from_csv_and_stream_from_envelopes(spark, capsys):
+    from ordermill.plans.cli import main
+    from ordermill.sources.orders_csv import write_orders_csv
+    from ordermill.sources.renderings import csv_text
+    base = scratch_path(spark, "cli")
+    orders = orders_from_star(spark, SF_SMALL)
+    write_orders_csv(csv_text(orders), f"{base}/orders_csv")
+    assert main(["pipeline", "--csv", f"{base}/orders_csv", "--out", f"{base}/out"], spark=spark) == 0
+    assert spark.read.parquet(f"{base}/out/silver/orders_clean").count() == orders.count()
+    to_envelope(orders).write.parquet(f"{base}/topic")
+    assert main(["stream", "--envelope-dir", f"{base}/topic", "--out", f"{base}/s"], spark=spark) == 0
+    assert spark.read.parquet(f"{base}/s/bronze").count() == orders.count()
+    assert main(["sql", "--db", "default", "SELECT 42 AS answer;"], spark=spark) == 0
+    assert "42" in capsys.readouterr().out
