@@ -63,3 +63,14 @@ def test_cli_pipeline_from_csv_and_stream_from_envelopes(spark, capsys):
     assert spark.read.parquet(f"{base}/s/bronze").count() == orders.count()
     assert main(["sql", "--db", "default", "SELECT 42 AS answer;"], spark=spark) == 0
     assert "42" in capsys.readouterr().out
+
+
+def test_gold_over_silver_pushes_filters_and_prunes_columns(spark):
+    from ordermill.operators import gold
+    from ordermill.plans.pipeline import build_silver
+    silver = build_silver(orders_from_star(spark, SF_SMALL), scratch_path(spark, "silver"))
+    plan = gold.state_sales(silver)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(order_status), Not(EqualTo(order_status,canceled))]" in plan
+    assert "ReadSchema: struct<order_status:string,customer_state:string,order_total_value:double>" in plan
+    plan = gold.city_delivery_performance(silver)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(order_delivered_customer_date)]" in plan
