@@ -63,6 +63,8 @@ def test_cli_pipeline_from_csv_and_stream_from_envelopes(spark, capsys):
     assert spark.read.parquet(f"{base}/s/bronze").count() == orders.count()
     assert main(["sql", "--db", "default", "SELECT 42 AS answer;"], spark=spark) == 0
     assert "42" in capsys.readouterr().out
+    assert main(["serve", "--gold-dir", f"{base}/out/gold"], spark=spark) == 0
+    assert "Total completed orders" in capsys.readouterr().out
 
 
 def test_gold_over_silver_pushes_filters_and_prunes_columns(spark):
