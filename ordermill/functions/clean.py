@@ -27,6 +27,13 @@ def round2(c) -> Column:
     return round_to(c, 2)
 
 
+def money_sum(c) -> Column:
+    """Exact sum of a money column (at most 4 decimals): decimal addition is
+    order-independent, so the total is the same at any partitioning and in
+    any engine, and a half-cent tie rounds the same way everywhere."""
+    return F.sum(_c(c).cast("decimal(18,4)"))
+
+
 def epoch_seconds(c) -> Column:
     """Timestamp to whole epoch seconds (fraction dropped, floor)."""
     return _c(c).cast("long")

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clean import round2, round_to
+from ..functions.clean import money_sum, round2, round_to
 from ..session import materialize as _materialize
 from ..functions.stats import exact_median, global_ranks, pearson, pearson_expr, value_cuts_many
 
@@ -54,9 +54,9 @@ def city_sales(df: DataFrame) -> DataFrame:
         .groupBy("customer_city", "customer_state")
         .agg(
             F.count(F.lit(1)).alias("order_count"),
-            round2(F.sum("order_products_value")).alias("total_product_sales"),
-            round2(F.sum("order_freight_value")).alias("total_freight"),
-            round2(F.sum("order_total_value")).alias("total_sales"),
+            round2(money_sum("order_products_value")).alias("total_product_sales"),
+            round2(money_sum("order_freight_value")).alias("total_freight"),
+            round2(money_sum("order_total_value")).alias("total_sales"),
             round2(F.avg("order_total_value")).alias("avg_order_value"),
         )
         .orderBy(F.desc("total_sales"))
@@ -69,7 +69,7 @@ def state_sales(df: DataFrame) -> DataFrame:
         .groupBy("customer_state")
         .agg(
             F.count(F.lit(1)).alias("order_count"),
-            round2(F.sum("order_total_value")).alias("total_sales"),
+            round2(money_sum("order_total_value")).alias("total_sales"),
             round2(F.avg("order_total_value")).alias("avg_order_value"),
         )
         .orderBy(F.desc("total_sales"))
@@ -189,7 +189,7 @@ def daily_sales_by_state(df: DataFrame) -> DataFrame:
         .groupBy("order_date", "customer_state")
         .agg(
             F.count(F.lit(1)).alias("order_count"),
-            round2(F.sum("order_total_value")).alias("total_sales"),
+            round2(money_sum("order_total_value")).alias("total_sales"),
         )
         .orderBy("order_date", "customer_state")
     )
@@ -201,7 +201,7 @@ def weekly_sales(df: DataFrame) -> DataFrame:
         .groupBy("order_year", "order_week")
         .agg(
             F.count(F.lit(1)).alias("order_count"),
-            round2(F.sum("order_total_value")).alias("total_sales"),
+            round2(money_sum("order_total_value")).alias("total_sales"),
             round2(F.avg("review_score")).alias("avg_review_score"),
         )
         .orderBy("order_year", "order_week")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clean import round2
+from ..functions.clean import money_sum, round2
 from .gold import one_row
 
 
@@ -18,7 +18,7 @@ def kpis(state_sales: DataFrame, review_dist: DataFrame) -> DataFrame:
     """
     sales = state_sales.agg(
         F.sum("order_count").cast("long").alias("total_completed_orders"),
-        round2(F.sum("total_sales")).alias("gross_revenue"),
+        round2(money_sum("total_sales")).alias("gross_revenue"),
         F.count(F.lit(1)).alias("states_serviced"),  # a NULL state is a row
     )
     weighted = F.sum(F.col("review_score") * F.col("num_orders"))

@@ -28,7 +28,7 @@ LIMIT 5
 MONTHLY_SALES_SQL = """
 SELECT DATE_FORMAT(order_purchase_timestamp, 'yyyy-MM') AS month,
        COUNT(*) AS orders,
-       CAST(ROUND(CAST(SUM(order_total_value) AS DECIMAL(28,8)), 2) AS DOUBLE) AS revenue
+       CAST(ROUND(CAST(SUM(CAST(order_total_value AS DECIMAL(18,4))) AS DECIMAL(28,8)), 2) AS DOUBLE) AS revenue
 FROM {db}.orders_clean
 WHERE order_status <> 'canceled'
 GROUP BY 1

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 
 def r(x: str, digits: int = 2) -> str:
-    """Engine-stable rounding, the SQL twin of ``functions.clean.round_to``."""
+    """Engine-stable rounding, the SQL twin of ``functions.clean.round_to``.
+    Money sums are written as exact decimal sums (``cast(x as decimal(18,4))``)."""
     return f"cast(round(cast({x} as decimal(28,8)), {digits}) as double)"
 
 
@@ -89,16 +90,16 @@ ORACLE["clean_orders"] = WITH + "select * from o"
 
 ORACLE["gold_city_sales"] = WITH + f"""
 select customer_city, customer_state, count(*) as order_count,
-  {r('sum(order_products_value)')} as total_product_sales,
-  {r('sum(order_freight_value)')} as total_freight,
-  {r('sum(order_total_value)')} as total_sales,
+  {r('sum(cast(order_products_value as decimal(18,4)))')} as total_product_sales,
+  {r('sum(cast(order_freight_value as decimal(18,4)))')} as total_freight,
+  {r('sum(cast(order_total_value as decimal(18,4)))')} as total_sales,
   {r('avg(order_total_value)')} as avg_order_value
 from o where order_status <> 'canceled'
 group by customer_city, customer_state"""
 
 ORACLE["gold_state_sales"] = WITH + f"""
 select customer_state, count(*) as order_count,
-  {r('sum(order_total_value)')} as total_sales,
+  {r('sum(cast(order_total_value as decimal(18,4)))')} as total_sales,
   {r('avg(order_total_value)')} as avg_order_value
 from o where order_status <> 'canceled'
 group by customer_state"""
@@ -160,11 +161,11 @@ select 'delivery_days_vs_review_score' as relationship,
 from ranked"""
 
 ORACLE["gold_daily_sales_by_state"] = WITH + f"""
-select order_date, customer_state, count(*) as order_count, {r('sum(order_total_value)')} as total_sales
+select order_date, customer_state, count(*) as order_count, {r('sum(cast(order_total_value as decimal(18,4)))')} as total_sales
 from o where order_status <> 'canceled' group by order_date, customer_state"""
 
 ORACLE["gold_weekly_sales"] = WITH + f"""
-select order_year, order_week, count(*) as order_count, {r('sum(order_total_value)')} as total_sales,
+select order_year, order_week, count(*) as order_count, {r('sum(cast(order_total_value as decimal(18,4)))')} as total_sales,
   {r('avg(review_score)')} as avg_review_score
 from o where order_status <> 'canceled' group by order_year, order_week"""
 
@@ -236,13 +237,13 @@ select coalesce(customer_state, 'UNKNOWN') as kafka_key, * from src"""
 # ----------------------------------------------------- serving and SQL
 _STATE_SALES = f"""
 ss as (select customer_state, count(*) as order_count,
-  {r('sum(order_total_value)')} as total_sales, {r('avg(order_total_value)')} as avg_order_value
+  {r('sum(cast(order_total_value as decimal(18,4)))')} as total_sales, {r('avg(order_total_value)')} as avg_order_value
   from o where order_status <> 'canceled' group by customer_state)"""
 
 _CITY_SALES = f"""
 cs as (select customer_city, customer_state, count(*) as order_count,
-  {r('sum(order_products_value)')} as total_product_sales, {r('sum(order_freight_value)')} as total_freight,
-  {r('sum(order_total_value)')} as total_sales, {r('avg(order_total_value)')} as avg_order_value
+  {r('sum(cast(order_products_value as decimal(18,4)))')} as total_product_sales, {r('sum(cast(order_freight_value as decimal(18,4)))')} as total_freight,
+  {r('sum(cast(order_total_value as decimal(18,4)))')} as total_sales, {r('avg(order_total_value)')} as avg_order_value
   from o where order_status <> 'canceled' group by customer_city, customer_state)"""
 
 _REVIEW_DIST = """
@@ -250,7 +251,7 @@ rd as (select review_score, count(*) as num_orders from o group by review_score)
 
 ORACLE["serve_kpis"] = WITH + "," + _STATE_SALES + "," + _REVIEW_DIST + f"""
 select (select cast(sum(order_count) as bigint) from ss) as total_completed_orders,
-  (select {r('sum(total_sales)')} from ss) as gross_revenue,
+  (select {r('sum(cast(total_sales as decimal(18,4)))')} from ss) as gross_revenue,
   (select count(*) from ss) as states_serviced,
   (select {r('sum(review_score * num_orders) / cast(sum(num_orders) as double)')} from rd) as avg_review_score,
   (select {r('sum(review_score * num_orders) / cast(sum(case when review_score is not null then num_orders end) as double)')}
@@ -268,11 +269,11 @@ order by total_sales desc, customer_city asc nulls first, customer_state asc nul
 
 ORACLE["sql_monthly_sales"] = WITH + f"""
 select strftime(order_purchase_timestamp, '%Y-%m') as month, count(*) as orders,
-  {r('sum(order_total_value)')} as revenue
+  {r('sum(cast(order_total_value as decimal(18,4)))')} as revenue
 from o where order_status <> 'canceled' group by 1"""
 
 ORACLE["sql_adhoc"] = WITH + "," + _STATE_SALES + f""",
-ds as (select order_date, customer_state, count(*) as order_count, {r('sum(order_total_value)')} as total_sales
+ds as (select order_date, customer_state, count(*) as order_count, {r('sum(cast(order_total_value as decimal(18,4)))')} as total_sales
   from o where order_status <> 'canceled' group by order_date, customer_state)
 select d.order_date, d.customer_state, d.order_count, d.total_sales, s.total_sales as state_total_sales
 from ds d join ss s on d.customer_state = s.customer_state
@@ -289,7 +290,7 @@ ORACLE["stream_bronze"] = WITH + _BRONZE
 ORACLE["stream_restart"] = WITH + _BRONZE
 
 ORACLE["stream_state_totals"] = WITH + f"""
-select customer_state, count(*) as orders, {r('sum(order_total_value)')} as running_sales
+select customer_state, count(*) as orders, {r('sum(cast(order_total_value as decimal(18,4)))')} as running_sales
 from o group by customer_state"""
 
 # --------------------------------------------- generic operators on events

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.clean import clean, round2, safe_cast
+from ..functions.clean import clean, money_sum, round2, safe_cast
 from ..schema import ENVELOPE_COLUMNS, ENVELOPE_SCHEMA, ORDER_COLUMNS, ORDERS_SCHEMA, string_schema
 from ..sinks.events import JSON_OPTIONS
 
@@ -96,7 +96,7 @@ def start_bronze(rows: DataFrame, path: str, checkpoint: str, available_now: boo
 def state_totals(rows: DataFrame) -> DataFrame:
     """Running orders and sales per state, largest sales first."""
     return (rows.groupBy("customer_state")
-            .agg(F.count(F.lit(1)).alias("orders"), round2(F.sum("order_total_value")).alias("running_sales"))
+            .agg(F.count(F.lit(1)).alias("orders"), round2(money_sum("order_total_value")).alias("running_sales"))
             .orderBy(F.desc("running_sales")))
 
 
