@@ -28,8 +28,8 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ByteType, DateType, DoubleType, FloatType, IntegerType, NumericType, ShortType,
-                               StructField, StructType, TimestampNTZType, TimestampType)
+from pyspark.sql.types import (ByteType, DateType, DoubleType, FloatType, IntegerType, LongType, NumericType,
+                               ShortType, StructField, StructType, TimestampNTZType, TimestampType)
 
 from .clean import round_to
 
@@ -38,8 +38,9 @@ from .clean import round_to
 # per-sub-bucket counts broadcast back) stay bounded by MAX_BUCKETS.
 ROWS_PER_BUCKET = 1_000_000
 MIN_BUCKETS, MAX_BUCKETS = 64, 100_000
-# Types that are not exactly representable as double use a comparison tree,
-# whose expression size caps the bucket count.
+# Types that are not exactly representable as double (strings, decimals,
+# timestamps, bigints beyond 2**53) use a comparison tree, whose expression
+# size caps the bucket count.
 MAX_TREE_BUCKETS = 256
 
 
@@ -88,8 +89,27 @@ def pearson(df: DataFrame, pairs: Sequence[tuple[str, str]], null_policy: str =
 _QUANTILE_TYPES = (NumericType, DateType, TimestampType, TimestampNTZType)
 
 
-def _bucketizable(dtype) -> bool:
-    return isinstance(dtype, (ByteType, ShortType, IntegerType, FloatType, DoubleType))
+EXACT_DOUBLE = 2 ** 53 - 2  # integers strictly inside this bound are exact as doubles
+
+
+def _bucketizable(dtype, cuts: list | None = None) -> bool:
+    """Whether the Bucketizer (which compares as double) keys this column
+    exactly.  A bigint qualifies when every cut point is exact as a double:
+    any larger value then lies beyond all cuts, in an outer open interval
+    that is ordered by the exact value."""
+    if isinstance(dtype, (ByteType, ShortType, IntegerType, FloatType, DoubleType)):
+        return True
+    if isinstance(dtype, LongType):
+        return cuts is None or all(abs(c) < EXACT_DOUBLE for c in cuts)
+    return False
+
+
+def _thin(cuts: list, keep: int) -> list:
+    """At most ``keep`` of the cut points, evenly spaced (still valid cuts)."""
+    if len(cuts) <= keep:
+        return cuts
+    step = len(cuts) / keep
+    return sorted({cuts[int(i * step)] for i in range(keep)})
 
 
 def value_cuts_many(df: DataFrame, values: Sequence[str], buckets: int | None = None) -> dict[str, list]:
@@ -109,7 +129,7 @@ def value_cuts_many(df: DataFrame, values: Sequence[str], buckets: int | None =
     aggs = []
     for i, v in enumerate(values):
         dtype = df.schema[v].dataType
-        b = buckets if _bucketizable(dtype) else min(buckets, MAX_TREE_BUCKETS)
+        b = buckets if _bucketizable(dtype) else min(buckets, MAX_TREE_BUCKETS)  # bigint: refined below
         if b <= 1:
             continue
         if isinstance(dtype, _QUANTILE_TYPES):
@@ -120,7 +140,10 @@ def value_cuts_many(df: DataFrame, values: Sequence[str], buckets: int | None =
     row = df.agg(*[a for _, a, _ in aggs]).first() if aggs else None
     for v, _, name in aggs:
         cuts = {x + 0 if isinstance(x, float) else x for x in (row[name] or []) if x is not None}
-        out[v] = sorted(x for x in cuts if not (isinstance(x, float) and math.isnan(x)))
+        cuts = sorted(x for x in cuts if not (isinstance(x, float) and math.isnan(x)))
+        if not _bucketizable(df.schema[v].dataType, cuts):
+            cuts = _thin(cuts, MAX_TREE_BUCKETS - 1)  # the comparison tree keys these
+        out[v] = cuts
     return out
 
 
@@ -172,8 +195,8 @@ def with_sub_bucket(df: DataFrame, value: str, cuts: list, out: str = "_sb") ->
     Other types use a comparison tree over at most ``MAX_TREE_BUCKETS`` cuts.
     """
     dtype = df.schema[value].dataType
-    if not cuts or not _bucketizable(dtype):
-        return df.withColumn(out, sub_bucket_column(value, cuts))
+    if not cuts or not _bucketizable(dtype, cuts):
+        return df.withColumn(out, sub_bucket_column(value, _thin(cuts, MAX_TREE_BUCKETS - 1)))
     inf = float("inf")
     x = F.col(value).cast("double")
     tmp = df.withColumn("_bz_x", F.when(x == 0.0, F.lit(0.0)).otherwise(x))  # -0.0 sorts as 0.0

@@ -148,3 +148,14 @@ def test_rank_on_tree_typed_columns(spark, dtype):
             .collect()}
     assert {r.id: r.rk for r in global_rank(df, "v", "rk", buckets=8).collect()} == want
     assert exact_median(df, "v", out="m", buckets=8).first().m == _lower_median([v for _, v in vals])
+
+
+@pytest.mark.parametrize("big", [False, True])
+def test_bigint_rank_exact_beyond_double_precision(spark, big):
+    """bigint keys use the Bucketizer while every cut is exact as a double;
+    values past 2**53 still rank exactly (they lie beyond all cuts)."""
+    base = 2 ** 53 if big else 0
+    vals = [(i, base + (i % 50) if i % 7 else i) for i in range(700)] + [(700, 2 ** 62), (701, 2 ** 62 + 1)]
+    df = spark.createDataFrame(vals, "id int, v bigint")
+    want = {r.id: r.rk for r in df.withColumn("rk", F.rank().over(Window.orderBy("v"))).collect()}
+    assert {r.id: r.rk for r in global_rank(df, "v", "rk", buckets=16).collect()} == want
