@@ -112,6 +112,12 @@ def _thin(cuts: list, keep: int) -> list:
     return sorted({cuts[int(i * step)] for i in range(keep)})
 
 
+def usable_cuts(dtype, cuts: list) -> list:
+    """The cut points a column's keying can take: all of them for the
+    Bucketizer, at most ``MAX_TREE_BUCKETS - 1`` for the comparison tree."""
+    return cuts if _bucketizable(dtype, cuts) else _thin(cuts, MAX_TREE_BUCKETS - 1)
+
+
 def value_cuts_many(df: DataFrame, values: Sequence[str], buckets: int | None = None) -> dict[str, list]:
     """Per column, sorted distinct cut points (at most ``buckets - 1``).
 
@@ -141,9 +147,7 @@ def value_cuts_many(df: DataFrame, values: Sequence[str], buckets: int | None =
     for v, _, name in aggs:
         cuts = {x + 0 if isinstance(x, float) else x for x in (row[name] or []) if x is not None}
         cuts = sorted(x for x in cuts if not (isinstance(x, float) and math.isnan(x)))
-        if not _bucketizable(df.schema[v].dataType, cuts):
-            cuts = _thin(cuts, MAX_TREE_BUCKETS - 1)  # the comparison tree keys these
-        out[v] = cuts
+        out[v] = usable_cuts(df.schema[v].dataType, cuts)
     return out
 
 
@@ -192,11 +196,11 @@ def with_sub_bucket(df: DataFrame, value: str, cuts: list, out: str = "_sb") ->
     sub-bucket holds a hot value.  Numeric values go through two JVM
     ``Bucketizer`` binary searches: splits at each cut give ``#cuts <= v``,
     splits just above each cut give ``#cuts < v``; their sum is the key.
-    Other types use a comparison tree over at most ``MAX_TREE_BUCKETS`` cuts.
+    Other types use a comparison tree; pass cuts through ``usable_cuts``.
     """
     dtype = df.schema[value].dataType
     if not cuts or not _bucketizable(dtype, cuts):
-        return df.withColumn(out, sub_bucket_column(value, _thin(cuts, MAX_TREE_BUCKETS - 1)))
+        return df.withColumn(out, sub_bucket_column(value, cuts))
     inf = float("inf")
     x = F.col(value).cast("double")
     tmp = df.withColumn("_bz_x", F.when(x == 0.0, F.lit(0.0)).otherwise(x))  # -0.0 sorts as 0.0
@@ -231,8 +235,7 @@ def global_rank(df: DataFrame, value: str, out: str, buckets: int | None = None,
     slice of about 1/buckets of the rows.  ``counts_from`` (same rows, e.g.
     the base of an earlier rank) lets the counts skip recomputing ``df``.
     """
-    if cuts is None:
-        cuts = value_cuts(df, value, buckets)
+    cuts = value_cuts(df, value, buckets) if cuts is None else usable_cuts(df.schema[value].dataType, cuts)
     base = counts_from if counts_from is not None else df
     offsets = F.broadcast(  # at most 2 * len(cuts) + 2 rows: a proven bound
         _sub_offsets(with_sub_bucket(base, value, cuts), []).select(F.col("_sb").alias("_osb"), "_off"))
@@ -275,8 +278,7 @@ def exact_median(df: DataFrame, value: str, groups: Sequence[str] = (), out: str
     out = out or f"median_{value}"
     groups = list(groups)
     vals = df.select(*groups, value).filter(F.col(value).isNotNull())
-    if cuts is None:
-        cuts = value_cuts(vals, value, buckets)
+    cuts = value_cuts(vals, value, buckets) if cuts is None else usable_cuts(df.schema[value].dataType, cuts)
     rows = with_sub_bucket(vals, value, cuts)
     k = F.ceil(F.col("_n") / 2)
     target = (_sub_offsets(rows, groups).filter((F.col("_off") < k) & (F.col("_off") + F.col("_c") >= k))

@@ -159,3 +159,14 @@ def test_bigint_rank_exact_beyond_double_precision(spark, big):
     df = spark.createDataFrame(vals, "id int, v bigint")
     want = {r.id: r.rk for r in df.withColumn("rk", F.rank().over(Window.orderBy("v"))).collect()}
     assert {r.id: r.rk for r in global_rank(df, "v", "rk", buckets=16).collect()} == want
+
+
+def test_median_with_many_given_cuts_on_a_tree_keyed_column(spark):
+    """Cut lists longer than the comparison tree takes are thinned once, for
+    keying and for reading the median back alike."""
+    vals = [(str(i).zfill(5),) for i in range(2000)]
+    df = spark.createDataFrame(vals, "v string")
+    cuts = sorted(v for (v,) in vals)[::3]  # ~667 cuts, more than the tree takes
+    assert exact_median(df, "v", out="m", cuts=cuts).first().m == _lower_median([v for (v,) in vals])
+    got = {r.v: r.rk for r in global_rank(df, "v", "rk", cuts=cuts).collect()}
+    assert got["01000"] == 1001
