@@ -199,6 +199,10 @@ def with_sub_bucket(df: DataFrame, value: str, cuts: list, out: str = "_sb") ->
     Other types use a comparison tree; pass cuts through ``usable_cuts``.
     """
     dtype = df.schema[value].dataType
+    if not cuts and isinstance(dtype, (FloatType, DoubleType)):
+        v = F.col(value)
+        return df.withColumn(out, F.when(v.isNull(), F.lit(-1)).when(F.isnan(v), F.lit(_nan_sub(cuts)))
+                             .otherwise(F.lit(0)))
     if not cuts or not _bucketizable(dtype, cuts):
         return df.withColumn(out, sub_bucket_column(value, cuts))
     inf = float("inf")
@@ -209,10 +213,18 @@ def with_sub_bucket(df: DataFrame, value: str, cuts: list, out: str = "_sb") ->
     below = Bucketizer(splits=[-inf, *[math.nextafter(c, inf) for c in cuts_d], inf], inputCol="_bz_x",
                        outputCol="_bz_lt", handleInvalid="keep")
     tmp = below.transform(at_most.transform(tmp))
-    key = F.when(F.col(value).isNull(), F.lit(-1)).otherwise((F.col("_bz_le") + F.col("_bz_lt")).cast("int"))
+    key = (F.when(F.col(value).isNull(), F.lit(-1))
+           # NaN sorts above every number and equals itself: one point sub-bucket at the top
+           .when(F.isnan(F.col("_bz_x")), F.lit(_nan_sub(cuts)))
+           .otherwise((F.col("_bz_le") + F.col("_bz_lt")).cast("int")))
     return tmp.withColumn(out, key).drop("_bz_x", "_bz_le", "_bz_lt")
 
 
+def _nan_sub(cuts: list) -> int:
+    """Point sub-bucket for NaN: just above the last open interval (2 * len(cuts))."""
+    return 2 * len(cuts) + 1
+
+
 def _sub_offsets(rows: DataFrame, groups: list[str]) -> DataFrame:
     """Per (groups, _sb): row count ``_c``, rows in earlier sub-buckets
     ``_off`` and the group size ``_n``.  At most 2 * buckets + 2 rows per
@@ -286,9 +298,11 @@ def exact_median(df: DataFrame, value: str, groups: Sequence[str] = (), out: str
     dtype = df.schema[value].dataType
     # Cut point j is the value of sub-bucket 2j+1: a table of at most
     # MAX_BUCKETS rows, built from the bounded cut list.
+    points = [(2 * j + 1, c) for j, c in enumerate(cuts)]
+    if isinstance(dtype, (FloatType, DoubleType)):
+        points.append((_nan_sub(cuts), float("nan")))
     cut_table = df.sparkSession.createDataFrame(
-        [(2 * j + 1, c) for j, c in enumerate(cuts)],
-        StructType([StructField("_sb", IntegerType()), StructField(out, dtype)]))
+        points, StructType([StructField("_sb", IntegerType()), StructField(out, dtype)]))
     from_cut = (target.filter(F.col("_sb") % 2 == 1).join(F.broadcast(cut_table), "_sb", "inner")
                 .select(*groups, out))
     open_t = target.filter(F.col("_sb") % 2 == 0)

@@ -170,3 +170,23 @@ def test_median_with_many_given_cuts_on_a_tree_keyed_column(spark):
     assert exact_median(df, "v", out="m", cuts=cuts).first().m == _lower_median([v for (v,) in vals])
     got = {r.v: r.rk for r in global_rank(df, "v", "rk", cuts=cuts).collect()}
     assert got["01000"] == 1001
+
+
+def test_nan_is_a_hot_point_value(spark):
+    """A third of the values NaN: Spark orders NaN last and equal; it ranks in
+    place (no window), and the median can land on it."""
+    rnd = random.Random(21)
+    vals = [(i, float("nan") if i % 3 == 0 else rnd.uniform(0, 10)) for i in range(900)] + [(900, None)]
+    df = spark.createDataFrame(vals, "id int, v double")
+    want = {r.id: r.rk for r in df.withColumn("rk", F.rank().over(Window.orderBy(F.col("v").asc_nulls_first())))
+            .collect()}
+    assert {r.id: r.rk for r in global_rank(df, "v", "rk", buckets=16).collect()} == want
+    assert exact_median(df, "v", out="m", buckets=16).first().m == \
+        df.selectExpr("percentile_disc(0.5) within group (order by v) as m").first().m
+    mostly_nan = df.withColumn("v", F.when(F.col("id") % 4 != 0, F.lit(float("nan"))).otherwise(F.col("v")))
+    m = exact_median(mostly_nan, "v", out="m", buckets=16).first().m
+    assert m != m  # NaN
+    all_nan = df.withColumn("v", F.lit(float("nan")))
+    assert {r.rk for r in global_rank(all_nan, "v", "rk", buckets=16).collect()} == {1}
+    m = exact_median(all_nan, "v", out="m", buckets=16).first().m
+    assert m != m
