@@ -190,3 +190,19 @@ def test_nan_is_a_hot_point_value(spark):
     assert {r.rk for r in global_rank(all_nan, "v", "rk", buckets=16).collect()} == {1}
     m = exact_median(all_nan, "v", out="m", buckets=16).first().m
     assert m != m
+
+
+@pytest.mark.parametrize("dtype", ["timestamp", "date"])
+def test_rank_and_median_on_time_columns(spark, dtype):
+    import datetime as dt
+    rnd = random.Random(23)
+    base = dt.datetime(2017, 1, 1)
+    vals = [(i, None if i % 19 == 0 else base + dt.timedelta(days=rnd.randint(0, 40), hours=rnd.randint(0, 3)))
+            for i in range(600)]
+    df = spark.createDataFrame(vals, "id int, v timestamp")
+    if dtype == "date":
+        df = df.withColumn("v", F.to_date("v"))
+    want = {r.id: r.rk for r in df.withColumn("rk", F.rank().over(Window.orderBy(F.col("v").asc_nulls_first())))
+            .collect()}
+    assert {r.id: r.rk for r in global_rank(df, "v", "rk", buckets=8).collect()} == want
+    assert exact_median(df, "v", out="m", buckets=8).first().m == _lower_median([r.v for r in df.collect()])
