@@ -90,6 +90,32 @@ _QUANTILE_TYPES = (NumericType, DateType, TimestampType, TimestampNTZType)
 
 
 EXACT_DOUBLE = 2 ** 53 - 2  # integers strictly inside this bound are exact as doubles
+_TIME_TYPES = (DateType, TimestampType, TimestampNTZType)
+
+
+def _order_key(value: str, dtype) -> Column:
+    """The column itself, or for dates / timestamps an exact integer with the
+    same order (days or microseconds since the epoch), which the Bucketizer
+    can key exactly."""
+    c = F.col(value)
+    if isinstance(dtype, DateType):
+        return F.unix_date(c)
+    if isinstance(dtype, TimestampType):
+        return F.unix_micros(c)
+    if isinstance(dtype, TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', `{value}`)")
+    return c
+
+
+def _from_order_key(k: Column, dtype) -> Column:
+    """Inverse of ``_order_key`` (cut points back to the column's type)."""
+    if isinstance(dtype, DateType):
+        return F.date_from_unix_date(k.cast("int"))
+    if isinstance(dtype, TimestampType):
+        return F.timestamp_micros(k)
+    if isinstance(dtype, TimestampNTZType):
+        return F.expr("timestampadd(MICROSECOND, _ck, timestamp_ntz'1970-01-01 00:00:00')")
+    return k.cast(dtype)
 
 
 def _bucketizable(dtype, cuts: list | None = None) -> bool:
@@ -99,7 +125,7 @@ def _bucketizable(dtype, cuts: list | None = None) -> bool:
     that is ordered by the exact value."""
     if isinstance(dtype, (ByteType, ShortType, IntegerType, FloatType, DoubleType)):
         return True
-    if isinstance(dtype, LongType):
+    if isinstance(dtype, (LongType, *_TIME_TYPES)):  # time types: cuts are integer order keys
         return cuts is None or all(abs(c) < EXACT_DOUBLE for c in cuts)
     return False
 
@@ -140,7 +166,7 @@ def value_cuts_many(df: DataFrame, values: Sequence[str], buckets: int | None =
             continue
         if isinstance(dtype, _QUANTILE_TYPES):
             qs = [j / b for j in range(1, b)]
-            aggs.append((v, F.percentile_approx(v, qs, 10 * b).alias(f"_q{i}"), f"_q{i}"))
+            aggs.append((v, F.percentile_approx(_order_key(v, dtype), qs, 10 * b).alias(f"_q{i}"), f"_q{i}"))
         else:
             out[v] = _sampled_cuts(df, v, b, n_rows)
     row = df.agg(*[a for _, a, _ in aggs]).first() if aggs else None
@@ -180,10 +206,10 @@ def _sub_of(v: Column, cuts: list, lo: int = 0, hi: int | None = None) -> Column
     return F.when(v >= F.lit(cuts[mid]), _sub_of(v, cuts, mid + 1, hi)).otherwise(_sub_of(v, cuts, lo, mid))
 
 
-def sub_bucket_column(value: str, cuts: list) -> Column:
+def sub_bucket_column(value: str | Column, cuts: list) -> Column:
     """Order-preserving key as one expression (comparison tree): -1 for NULL,
     odd = exactly a cut point, even = between cuts."""
-    v = F.col(value)
+    v = F.col(value) if isinstance(value, str) else value
     return F.when(v.isNull(), F.lit(-1)).otherwise(_sub_of(v, cuts))
 
 
@@ -203,10 +229,11 @@ def with_sub_bucket(df: DataFrame, value: str, cuts: list, out: str = "_sb") ->
         v = F.col(value)
         return df.withColumn(out, F.when(v.isNull(), F.lit(-1)).when(F.isnan(v), F.lit(_nan_sub(cuts)))
                              .otherwise(F.lit(0)))
+    key = _order_key(value, dtype)
     if not cuts or not _bucketizable(dtype, cuts):
-        return df.withColumn(out, sub_bucket_column(value, cuts))
+        return df.withColumn(out, sub_bucket_column(key, cuts))
     inf = float("inf")
-    x = F.col(value).cast("double")
+    x = key.cast("double")
     tmp = df.withColumn("_bz_x", F.when(x == 0.0, F.lit(0.0)).otherwise(x))  # -0.0 sorts as 0.0
     cuts_d = [float(c) for c in cuts]
     at_most = Bucketizer(splits=[-inf, *cuts_d, inf], inputCol="_bz_x", outputCol="_bz_le", handleInvalid="keep")
@@ -301,8 +328,12 @@ def exact_median(df: DataFrame, value: str, groups: Sequence[str] = (), out: str
     points = [(2 * j + 1, c) for j, c in enumerate(cuts)]
     if isinstance(dtype, (FloatType, DoubleType)):
         points.append((_nan_sub(cuts), float("nan")))
-    cut_table = df.sparkSession.createDataFrame(
-        points, StructType([StructField("_sb", IntegerType()), StructField(out, dtype)]))
+    if isinstance(dtype, _TIME_TYPES):  # cut points are order keys: convert back
+        cut_table = (df.sparkSession.createDataFrame(points, "_sb int, _ck bigint")
+                     .select("_sb", _from_order_key(F.col("_ck"), dtype).alias(out)))
+    else:
+        cut_table = df.sparkSession.createDataFrame(
+            points, StructType([StructField("_sb", IntegerType()), StructField(out, dtype)]))
     from_cut = (target.filter(F.col("_sb") % 2 == 1).join(F.broadcast(cut_table), "_sb", "inner")
                 .select(*groups, out))
     open_t = target.filter(F.col("_sb") % 2 == 0)

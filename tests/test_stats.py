@@ -192,7 +192,7 @@ def test_nan_is_a_hot_point_value(spark):
     assert m != m
 
 
-@pytest.mark.parametrize("dtype", ["timestamp", "date"])
+@pytest.mark.parametrize("dtype", ["timestamp", "date", "timestamp_ntz"])
 def test_rank_and_median_on_time_columns(spark, dtype):
     import datetime as dt
     rnd = random.Random(23)
@@ -202,6 +202,8 @@ def test_rank_and_median_on_time_columns(spark, dtype):
     df = spark.createDataFrame(vals, "id int, v timestamp")
     if dtype == "date":
         df = df.withColumn("v", F.to_date("v"))
+    if dtype == "timestamp_ntz":
+        df = df.withColumn("v", F.col("v").cast("timestamp_ntz"))
     want = {r.id: r.rk for r in df.withColumn("rk", F.rank().over(Window.orderBy(F.col("v").asc_nulls_first())))
             .collect()}
     assert {r.id: r.rk for r in global_rank(df, "v", "rk", buckets=8).collect()} == want
