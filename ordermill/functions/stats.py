@@ -147,34 +147,50 @@ def usable_cuts(dtype, cuts: list) -> list:
 def value_cuts_many(df: DataFrame, values: Sequence[str], buckets: int | None = None) -> dict[str, list]:
     """Per column, sorted distinct cut points (at most ``buckets - 1``).
 
-    Two small jobs: a row count sizes the buckets (unless given), then one
-    aggregate computes every column's cut points.  What reaches the driver is
-    bounded by ``MAX_BUCKETS`` per column whatever the data size.
+    With ``buckets`` unset, one aggregate computes the row count together
+    with cut points at the minimum resolution (the shuffle width); only when
+    the count calls for more buckets (over ``ROWS_PER_BUCKET`` rows each) does
+    a second, finer pass run.  What reaches the driver is bounded by
+    ``MAX_BUCKETS`` per column whatever the data size.
     """
     if not values:
         return {}
-    n_rows = None
-    if buckets is None:
-        n_rows = df.count()
-        buckets = default_buckets(df, n_rows)
+    if buckets is not None:
+        return _cuts_pass(df, values, buckets, None)[0]
+    first = default_buckets(df, None)
+    cuts, n_rows = _cuts_pass(df, values, first, count=True)
+    wanted = default_buckets(df, n_rows)
+    if wanted > first:
+        cuts = _cuts_pass(df, values, wanted, None, n_rows)[0]
+    return cuts
+
+
+def _cuts_pass(df: DataFrame, values: Sequence[str], buckets: int, count: bool | None,
+               n_rows: int | None = None) -> tuple[dict[str, list], int | None]:
     out = {v: [] for v in values}
-    aggs = []
+    aggs = [F.count(F.lit(1)).alias("_n")] if count else []
+    names = []
     for i, v in enumerate(values):
         dtype = df.schema[v].dataType
-        b = buckets if _bucketizable(dtype) else min(buckets, MAX_TREE_BUCKETS)  # bigint: refined below
-        if b <= 1:
+        b = buckets if _bucketizable(dtype) else min(buckets, MAX_TREE_BUCKETS)
+        if b <= 1 or not isinstance(dtype, _QUANTILE_TYPES):
             continue
-        if isinstance(dtype, _QUANTILE_TYPES):
-            qs = [j / b for j in range(1, b)]
-            aggs.append((v, F.percentile_approx(_order_key(v, dtype), qs, 10 * b).alias(f"_q{i}"), f"_q{i}"))
-        else:
-            out[v] = _sampled_cuts(df, v, b, n_rows)
-    row = df.agg(*[a for _, a, _ in aggs]).first() if aggs else None
-    for v, _, name in aggs:
+        qs = [j / b for j in range(1, b)]
+        aggs.append(F.percentile_approx(_order_key(v, dtype), qs, 10 * b).alias(f"_q{i}"))
+        names.append((v, f"_q{i}"))
+    row = df.agg(*aggs).first() if aggs else None
+    if count:
+        n_rows = row["_n"]
+    for v, name in names:
         cuts = {x + 0 if isinstance(x, float) else x for x in (row[name] or []) if x is not None}
         cuts = sorted(x for x in cuts if not (isinstance(x, float) and math.isnan(x)))
         out[v] = usable_cuts(df.schema[v].dataType, cuts)
-    return out
+    for i, v in enumerate(values):  # types without percentile_approx (strings...)
+        dtype = df.schema[v].dataType
+        b = min(buckets, MAX_TREE_BUCKETS)
+        if b > 1 and not isinstance(dtype, _QUANTILE_TYPES):
+            out[v] = _sampled_cuts(df, v, b, n_rows)
+    return out, n_rows
 
 
 def _sampled_cuts(df: DataFrame, value: str, buckets: int, n_rows: int | None) -> list:

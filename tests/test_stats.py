@@ -208,3 +208,16 @@ def test_rank_and_median_on_time_columns(spark, dtype):
             .collect()}
     assert {r.id: r.rk for r in global_rank(df, "v", "rk", buckets=8).collect()} == want
     assert exact_median(df, "v", out="m", buckets=8).first().m == _lower_median([r.v for r in df.collect()])
+
+
+def test_bucket_count_follows_the_row_count(spark, monkeypatch):
+    """With few rows per bucket allowed, a second, finer cut pass runs; the
+    result is still exact."""
+    from ordermill.functions import stats
+    monkeypatch.setattr(stats, "ROWS_PER_BUCKET", 10)
+    rnd = random.Random(29)
+    df = spark.createDataFrame([(i, round(rnd.uniform(0, 1000), 1)) for i in range(3000)], "id int, v double")
+    cuts = stats.value_cuts(df, "v")
+    assert len(cuts) > 100  # about 300 buckets wanted, not the 64 of the first pass
+    want = {r.id: r.rk for r in df.withColumn("rk", F.rank().over(Window.orderBy("v"))).collect()}
+    assert {r.id: r.rk for r in global_rank(df, "v", "rk").collect()} == want
