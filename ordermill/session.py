@@ -25,6 +25,24 @@ SCALE_CONF = {
 }
 
 
+# A starting profile for ~100 TB on ~1000 executors (pass to the cluster's
+# session builder; library code never sets these itself).  Shuffles start
+# wide and AQE coalesces them to ~256 MB partitions, so no reduce task holds
+# more than it can sort in memory; scans split at 512 MB; skewed join
+# partitions above 5x the median are split; partitioned writes rebalance.
+CLUSTER_CONF = {
+    **SCALE_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ordermill",
                   extra: dict | None = None, hive: bool = False) -> SparkSession:
     """A local session for tests / bench / CLI.  UI off, UTC, AQE on.
