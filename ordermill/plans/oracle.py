@@ -316,3 +316,10 @@ _GOLD_KEYS = ["city_sales", "state_sales", "value_freight_qty_correlation", "del
 ORACLE["catalog_publish_all"] = "\nunion all\n".join(
     [f"select '{n}' as table_name, count(*) as row_count from ({ORACLE['gold_' + n]}) t" for n in _GOLD_KEYS]
     + [f"select 'orders_clean' as table_name, count(*) as row_count from ({ORACLE['clean_orders']}) t"])
+
+ORACLE["events_value_rank"] = """
+select event_id, value, rank() over (order by value asc nulls first) as value_rank from events"""
+
+ORACLE["events_median_by_type"] = """
+select event_type, quantile_disc(value, 0.5) as median_value from events
+where value is not null group by event_type"""

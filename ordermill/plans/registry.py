@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clean import clean, safe_cast
+from ..functions.stats import exact_median, global_rank, pearson
 from ..operators import gold, profile, serve
 from ..schema import ORDER_COLUMNS, ORDERS_SCHEMA
 from ..session import scratch_path
@@ -193,7 +194,11 @@ QUERIES: dict[str, Query] = {
     "events_type_distribution": lambda spark, sf_dir: profile.distribution(
         _events(spark, sf_dir), "event_type", "event_count", "percentage"),
     "events_top_users": lambda spark, sf_dir: profile.top_values(_events(spark, sf_dir), "user_id", 10, "event_count"),
-    "events_value_pearson": lambda spark, sf_dir: gold.pearson(
+    "events_value_rank": lambda spark, sf_dir: global_rank(
+        _events(spark, sf_dir).select("event_id", "value"), "value", "value_rank"),
+    "events_median_by_type": lambda spark, sf_dir: exact_median(
+        _events(spark, sf_dir), "value", ["event_type"], "median_value"),
+    "events_value_pearson": lambda spark, sf_dir: pearson(
         _events(spark, sf_dir).withColumn("hour", F.hour("ts")), [("value", "user_id"), ("value", "hour")],
         null_policy="pairwise"),
 }
