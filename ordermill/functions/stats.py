@@ -297,10 +297,10 @@ def global_rank(df: DataFrame, value: str, out: str, buckets: int | None = None,
     rows = with_sub_bucket(df, value, cuts)
     point = (F.col("_sb") == -1) | (F.col("_sb") % 2 == 1)
     in_place = rows.filter(point).withColumn("_r", F.lit(1))
-    # Range-partitioned on the sub-bucket: each task gets a contiguous run of
-    # equal-sized open intervals (hashing a few ids is lumpy).  The window
-    # reuses this partitioning; any bounds keep a sub-bucket in one task.
-    windowed = rows.filter(~point).repartitionByRange("_sb").withColumn(
+    # Hash-partitioned on the sub-bucket: a task may get a few open intervals
+    # (each bounded), which costs less than range partitioning's extra
+    # sampling pass over all the rows.
+    windowed = rows.filter(~point).withColumn(
         "_r", F.rank().over(Window.partitionBy("_sb").orderBy(F.col(value).asc_nulls_first())))
     both = in_place.unionByName(windowed)
     joined = both.join(offsets, both["_sb"] == offsets["_osb"], "inner")
