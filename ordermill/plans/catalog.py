@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..operators.gold import GOLD
 
 # Default database and the two state-partitioned tables.
-DATABASE = "target_retail"
+DATABASE = "retail"
 PARTITIONED = {"daily_sales_by_state": ["customer_state"], "orders_clean": ["customer_state"]}
 
 TOP_CITIES_SQL = """

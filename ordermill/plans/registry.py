@@ -144,7 +144,7 @@ def catalog_publish_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver + eleven gold tables written, published (two partitioned), counted."""
     from .pipeline import run_pipeline
     base = scratch_path(spark, "publish")
-    db = "target_retail_all"
+    db = "retail_published"
     run_pipeline(spark, orders_from_star(spark, sf_dir), base, publish_db=db)
     return catalog.table_row_counts(spark, db, [*gold.GOLD, "orders_clean"])
 

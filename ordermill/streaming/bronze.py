@@ -22,7 +22,7 @@ from ..schema import ENVELOPE_COLUMNS, ENVELOPE_SCHEMA, ORDER_COLUMNS, ORDERS_SC
 from ..sinks.events import JSON_OPTIONS
 
 # Consumer defaults (topic, offsets per micro-batch, start).
-TOPIC = "target_orders"
+TOPIC = "orders"
 MAX_OFFSETS_PER_TRIGGER = 500
 STARTING_OFFSETS = "earliest"
 

@@ -91,7 +91,7 @@ def test_envelope_parse_keeps_bad_payloads(spark):
 
 def test_kafka_options():
     o = kafka_source_options("broker:9092")
-    assert o["subscribe"] == "target_orders" and o["maxOffsetsPerTrigger"] == "500"
+    assert o["subscribe"] == "orders" and o["maxOffsetsPerTrigger"] == "500"
     assert o["startingOffsets"] == "earliest"
 
 
