@@ -31,10 +31,10 @@ ORDERS_SCHEMA = StructType([
 
 ORDER_COLUMNS = [f.name for f in ORDERS_SCHEMA.fields]
 
-# Columns added by ``functions.clean.clean``, in order.
+# The derived columns added by ``functions.clean.clean`` (in
+# order), the corrupt-record column name and the contract's timestamp format.
 DERIVED_COLUMNS = ["delivery_days", "approval_hours", "order_total_value",
                    "order_date", "order_year", "order_week"]
-
 CORRUPT_COLUMN = "_corrupt_record"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
