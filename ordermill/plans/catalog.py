@@ -61,9 +61,12 @@ def publish_table(df: DataFrame, db: str, name: str, path: str,
 
 
 def register_table(spark: SparkSession, db: str, name: str, path: str) -> DataFrame:
-    """Publish Parquet already written at ``path`` as ``db.name`` without copying it."""
+    """Publish Parquet already written at ``path`` as ``db.name`` without
+    copying it; a partitioned directory gets its partitions registered."""
     spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
     spark.catalog.createTable(f"{db}.{name}", path=path, source="parquet")
+    if spark.sql(f"DESCRIBE TABLE {db}.{name}").filter("col_name = '# Partition Information'").count():
+        spark.catalog.recoverPartitions(f"{db}.{name}")
     return spark.table(f"{db}.{name}")
 
 
