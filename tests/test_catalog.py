@@ -27,3 +27,14 @@ def test_state_filter_prunes_partitions(spark):
 
 def test_run_sql_strips_trailing_semicolons(spark):
     assert catalog.run_sql(spark, "SELECT 1 AS x ;;  ").first().x == 1
+
+
+def test_use_database_sets_current(spark):
+    base = scratch_path(spark, "usedb")
+    db = catalog.ensure_database(spark, "use_db", f"{base}/db")
+    before = spark.catalog.currentDatabase()
+    try:
+        catalog.use_database(spark, db)
+        assert spark.catalog.currentDatabase() == db
+    finally:
+        spark.catalog.setCurrentDatabase(before)

@@ -82,3 +82,16 @@ def test_gold_over_silver_pushes_filters_and_prunes_columns(spark):
     assert "ReadSchema: struct<order_status:string,customer_state:string,order_total_value:double>" in plan
     plan = gold.city_delivery_performance(silver)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(order_delivered_customer_date)]" in plan
+
+
+def test_event_limit_and_layer_writer_returns_input(spark):
+    from ordermill.sinks.events import kafka_writer_options, order_events
+    from ordermill.sinks.layers import write_layer
+    orders = orders_from_star(spark, SF_SMALL)
+    assert order_events(orders, limit=5).count() == 5            # the producer's first-N option
+    assert order_events(orders).count() == orders.count()         # default: the whole table
+    o = kafka_writer_options("b:9092", "orders")
+    assert (o["kafka.acks"], o["kafka.retries"], o["kafka.linger.ms"], o["topic"]) == ("all", "3", "5", "orders")
+    path = scratch_path(spark, "layer")
+    assert write_layer(orders, path, files=1) is orders
+    assert spark.read.parquet(path).count() == orders.count()
