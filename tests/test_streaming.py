@@ -114,3 +114,15 @@ def test_totals_to_console(spark, capfd):
     q = bronze.start_totals(bronze.bronze_rows(bronze.envelope_file_source(spark, path, 10)), None)
     q.awaitTermination()
     assert q.exception() is None
+
+
+def test_kafka_source_needs_the_connector(spark):
+    """Open item: the Kafka connector is not on this machine; the reader is
+    built with our options and Spark names the missing source clearly."""
+    import pytest
+    try:
+        bronze.kafka_source(spark, "localhost:9092")
+    except Exception as e:  # noqa: BLE001 - connector absent here
+        assert "kafka" in str(e).lower()
+    else:
+        pytest.skip("Kafka connector present; covered by a live-broker run")
