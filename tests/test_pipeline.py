@@ -95,3 +95,11 @@ def test_event_limit_and_layer_writer_returns_input(spark):
     path = scratch_path(spark, "layer")
     assert write_layer(orders, path, files=1) is orders
     assert spark.read.parquet(path).count() == orders.count()
+
+
+def test_cluster_profile_names_real_sql_settings(spark):
+    """A typo in a setting name would be silently ignored; every key must be
+    a known, session-settable SQL configuration."""
+    from ordermill.session import CLUSTER_CONF
+    for key in CLUSTER_CONF:
+        assert spark.conf.isModifiable(key), key
