@@ -8,16 +8,20 @@
 
 * ``global_rank`` / ``exact_median`` replace ``rank().over(Window.orderBy(v))``
   and a median over one sorted partition, which both move every row to one
-  task.  One ``percentile_approx`` row gives at most ``buckets - 1`` cut
-  points (a size bound independent of the data, fixed as literals before the
-  main plan runs, so a recomputed stage buckets exactly as before).  Each row
-  gets an order-preserving sub-bucket: NULL, exactly a cut point, or the open
-  interval between two cuts.  A value holding more than about 1/buckets of
+  task.  One aggregate gives the row count and ``percentile_approx`` cut
+  points; buckets hold about ``ROWS_PER_BUCKET`` rows (at most
+  ``MAX_BUCKETS``, so what reaches the driver is bounded whatever the data),
+  and the cut points are fixed as literals, so a recomputed stage buckets
+  exactly as before.  Each row gets an order-preserving sub-bucket: NULL,
+  exactly a cut point, the open interval between two cuts, or NaN (above
+  all).  Numeric, date and timestamp values are keyed by two JVM
+  ``Bucketizer`` binary searches over an exact double order key; other types
+  by a small comparison tree.  A value holding more than about 1/buckets of
   the rows is always a cut point, so a hot value never lands in an open
-  interval.  Sub-bucket counts (at most ``2 * buckets + 2`` rows per group)
-  give each sub-bucket its offset; rows at a cut point (or NULL) need no
-  sort at all, and the others are ordered only within their own open
-  interval.  Cut points balance load; they never change a result.
+  interval: its rows rank in place with no sort.  Sub-bucket counts (at most
+  ``2 * buckets + 2`` rows per group, broadcast) give offsets; the other rows
+  are ordered only within their own open interval.  Cut points balance load;
+  they never change a result.
 """
 
 from __future__ import annotations
