@@ -42,6 +42,13 @@ CLUSTER_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "64m",
 }
 
+# Context-level settings (fixed when the cluster session starts): reliable
+# checkpoints of multi-pass inputs are removed once no DataFrame refers to
+# them, so the shared checkpoint folder does not grow run after run.
+CLUSTER_CORE_CONF = {
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ordermill",
                   extra: dict | None = None, hive: bool = False) -> SparkSession:
