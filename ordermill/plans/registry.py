@@ -42,11 +42,13 @@ def csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parsed CSV rows (spoiled fields NULL) and a malformed flag."""
     parsed = csv_orders(spark, sf_dir)
     return parsed.select(*ORDER_COLUMNS, F.col("_corrupt_record").isNotNull().alias("malformed"))
 
 
 def safe_cast_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: every field of text rows cast back to the contract; bad values NULL."""
     return safe_cast(safe_cast_text(orders_from_star(spark, sf_dir)), ORDERS_SCHEMA)
 
 
@@ -64,6 +66,7 @@ def _drain(q) -> None:
 
 
 def stream_bronze(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
+    """K3/ST1-ST4: Kafka-shaped files drained into bronze, one file per trigger."""
     base = scratch_path(spark, "stream")
     bronze.to_envelope(orders_from_star(spark, sf_dir)).repartition(files).write.parquet(f"{base}/topic/part0")
     rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*"))
@@ -92,6 +95,7 @@ def stream_restart(spark: SparkSession, sf_dir: str, first_wave_before: str = "1
 
 
 def stream_state_totals(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
+    """K4/ST5-ST6: the complete-mode running totals per state after the drain."""
     base = scratch_path(spark, "totals")
     bronze.to_envelope(orders_from_star(spark, sf_dir)).repartition(files).write.parquet(f"{base}/topic/part0")
     rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*"))
@@ -109,16 +113,19 @@ def _published(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
 
 
 def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver published partitioned by state, read back by name."""
     db = _published(spark, sf_dir, ["orders_clean"])
     return spark.table(f"{db}.orders_clean").select(*gold.orders_clean(cleaned(spark, sf_dir)).columns)
 
 
 def sql_top_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 over the published city table."""
     db = _published(spark, sf_dir, ["city_sales"])
     return catalog.run_sql(spark, catalog.TOP_CITIES_SQL.format(db=db))
 
 
 def sql_monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 over the published silver table."""
     db = _published(spark, sf_dir, ["orders_clean"])
     return catalog.run_sql(spark, catalog.MONTHLY_SALES_SQL.format(db=db))
 
@@ -136,6 +143,7 @@ ORDER BY d.order_date;
 
 
 def sql_adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3: free-form SQL (a join and a pruned state filter) through run_sql."""
     db = _published(spark, sf_dir, ["daily_sales_by_state", "state_sales"])
     return catalog.run_sql(spark, ADHOC_SQL.format(db=db))
 
