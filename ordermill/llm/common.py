@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space of the word definition: space and the code points 9 to 13.
 #: ``bytes.split()`` without arguments splits on exactly these.
@@ -35,6 +36,18 @@ def text_bytes(column: str = "text") -> Column:
     return F.col(column).cast("binary")
 
 
+_TYPES = {pa.int64(): T.LongType(), pa.int32(): T.IntegerType(), pa.float64(): T.DoubleType(),
+          pa.string(): T.StringType(), pa.bool_(): T.BooleanType(), pa.binary(): T.BinaryType()}
+
+
+def spark_struct(struct: pa.StructType) -> T.StructType:
+    """The Spark type of a flat Arrow struct or of lists of flat types; needs no session."""
+    def of(kind: pa.DataType) -> T.DataType:
+        return T.ArrayType(of(kind.value_type)) if pa.types.is_list(kind) else _TYPES[kind]
+
+    return T.StructType([T.StructField(f.name, of(f.type)) for f in struct])
+
+
 def structs(rows: list[tuple], struct: pa.StructType) -> pa.StructArray:
     """Python tuples as an Arrow struct array (one array per field)."""
     columns = list(zip(*rows)) if rows else [() for _ in struct]

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, id_bucket, structs, table, unit_hash
+from .common import held_out, id_bucket, spark_struct, structs, table, unit_hash
 
 BUCKET_BITS = 16
 DIM = 16
@@ -39,7 +39,6 @@ UNKNOWN = "und"
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 ASCII_LETTER = re.compile("[A-Za-z]")
 FIELDS = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("accepted", pa.bool_())])
-FIELDS_DDL = "struct<lang_pred:string,score:double,accepted:boolean>"
 
 
 @dataclass
@@ -135,7 +134,7 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS, l
 
 def language(model: LangModel | None, text_col: str = "text") -> Column:
     """A struct (lang_pred, score, accepted) of the whole text."""
-    @F.arrow_udf(FIELDS_DDL)
+    @F.arrow_udf(spark_struct(FIELDS))
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
             yield structs([predict(model, v.as_py()) for v in batch], FIELDS)

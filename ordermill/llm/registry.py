@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from .langid import op9_language_id
+from .license_scan import op6_license_scan
+from .lm_score import op8_lm_score
 from .mixing import MIXING_SQL, op1_mixing
 from .quality_rules import op3_quality_rules
 from .warc import WARC_SQL, op2_warc
@@ -11,6 +13,8 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_warc": op2_warc,
     "op3_quality_rules": op3_quality_rules,
+    "op6_license_scan": op6_license_scan,
+    "op8_lm_score": op8_lm_score,
     "op9_language_id": op9_language_id,
 }
 

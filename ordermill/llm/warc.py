@@ -29,6 +29,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from ..session import scratch_path
 from .common import table
@@ -72,7 +73,7 @@ def member(data: bytes) -> bytes:
     return packed[:-1]
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(BinaryType())
 def _packed(page_id: pa.Array, url: pa.Array, payload: pa.Array, digest: pa.Array, first: pa.Array) -> pa.Array:
     rows = zip(*(c.to_pylist() for c in (page_id, url, payload, digest, first)))
     return pa.array([member(record(*r)) for r in rows], pa.binary())
