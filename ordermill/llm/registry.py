@@ -7,6 +7,7 @@ from .license_scan import op6_license_scan
 from .lm_score import op8_lm_score
 from .mixing import MIXING_SQL, op1_mixing
 from .quality_rules import op3_quality_rules
+from .rule_ensemble import op10_rule_ensemble
 from .warc import WARC_SQL, op2_warc
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op6_license_scan": op6_license_scan,
     "op8_lm_score": op8_lm_score,
     "op9_language_id": op9_language_id,
+    "op10_rule_ensemble": op10_rule_ensemble,
 }
 
 ORACLE = {
