@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontam import op4_decontamination
 from .langid import op9_language_id
 from .license_scan import op6_license_scan
 from .lm_score import op8_lm_score
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_warc": op2_warc,
     "op3_quality_rules": op3_quality_rules,
+    "op4_decontamination": op4_decontamination,
     "op6_license_scan": op6_license_scan,
     "op8_lm_score": op8_lm_score,
     "op9_language_id": op9_language_id,
