@@ -7,6 +7,7 @@ from .langid import op9_language_id
 from .license_scan import op6_license_scan
 from .lm_score import op8_lm_score
 from .mixing import MIXING_SQL, op1_mixing
+from .ngram_join import op7_ngram_join
 from .quality_rules import op3_quality_rules
 from .rule_ensemble import op10_rule_ensemble
 from .warc import WARC_SQL, op2_warc
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_decontamination": op4_decontamination,
     "op6_license_scan": op6_license_scan,
+    "op7_ngram_join": op7_ngram_join,
     "op8_lm_score": op8_lm_score,
     "op9_language_id": op9_language_id,
     "op10_rule_ensemble": op10_rule_ensemble,
