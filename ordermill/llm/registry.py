@@ -10,6 +10,7 @@ from .mixing import MIXING_SQL, op1_mixing
 from .ngram_join import op7_ngram_join
 from .quality_rules import op3_quality_rules
 from .rule_ensemble import op10_rule_ensemble
+from .tool_calls import TOOL_CALLS_SQL, op5_tool_calls
 from .warc import WARC_SQL, op2_warc
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_quality_rules": op3_quality_rules,
     "op4_decontamination": op4_decontamination,
+    "op5_tool_calls": op5_tool_calls,
     "op6_license_scan": op6_license_scan,
     "op7_ngram_join": op7_ngram_join,
     "op8_lm_score": op8_lm_score,
@@ -27,4 +29,5 @@ QUERIES = {
 ORACLE = {
     "op1_mixing": MIXING_SQL,
     "op2_warc": WARC_SQL,
+    "op5_tool_calls": TOOL_CALLS_SQL,
 }
