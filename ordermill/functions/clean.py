@@ -18,9 +18,11 @@ def round_to(c, digits: int) -> Column:
 
     Double sums and averages may differ in their last bit between runs and
     engines (summation order); rounding through decimal(28,8) first absorbs
-    that noise before the half-up rounding step.
+    that noise before the half-up rounding step.  NaN, infinities and values
+    beyond that decimal are rounded as doubles.
     """
-    return F.round(_c(c).cast("decimal(28,8)"), digits).cast("double")
+    exact = F.round(_c(c).try_cast("decimal(28,8)"), digits).cast("double")
+    return F.coalesce(exact, F.round(_c(c).cast("double"), digits))
 
 
 def round2(c) -> Column:
@@ -28,10 +30,13 @@ def round2(c) -> Column:
 
 
 def money_sum(c) -> Column:
-    """Exact sum of a money column (at most 4 decimals): decimal addition is
-    order-independent, so the total is the same at any partitioning and in
-    any engine, and a half-cent tie rounds the same way everywhere."""
-    return F.sum(_c(c).cast("decimal(18,4)"))
+    """Sum of a money column.  Decimal addition does not depend on the order,
+    so where every value fits decimal(38,10) the total is the same at any
+    partitioning.  Otherwise (NaN, infinities, a total that overflows) it is
+    the plain double sum."""
+    exact = _c(c).try_cast("decimal(38,10)")
+    whole = F.when(F.count(exact) == F.count(_c(c)), F.try_sum(exact).cast("double"))
+    return F.coalesce(whole, F.sum(_c(c).cast("double")))
 
 
 def epoch_seconds(c) -> Column:

@@ -1,9 +1,8 @@
 """Data-quality profile of an orders DataFrame (any table, by column name).
 
-Each section is a lazy DataFrame; the reporting wrapper in ``plans.cli``
-shows them.  Null counts and row totals come from one aggregate pass that
-references every column, so a permissive CSV scan parses (and flags) every
-field of every row.
+Each section is a lazy DataFrame; ``plans.cli`` shows them.  The summary and
+the null counts each take one aggregate pass that references every column, so
+a permissive CSV scan parses (and flags) every field of every row.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import round_to
 from ..schema import CORRUPT_COLUMN
+from ..sources.orders_csv import malformed
 
 
 def distinct_with_null(c: str):
@@ -22,11 +22,10 @@ def distinct_with_null(c: str):
 
 def summary(df: DataFrame, state_col: str = "customer_state") -> DataFrame:
     """One row: ``total_rows``, ``malformed_rows``, ``distinct_states``."""
-    malformed = (F.count_if(F.col(CORRUPT_COLUMN).isNotNull()) if CORRUPT_COLUMN in df.columns
-                 else F.lit(0).cast("long"))
+    bad = F.count_if(malformed(df)) if CORRUPT_COLUMN in df.columns else F.lit(0).cast("long")
     return df.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        malformed.alias("malformed_rows"),
+        bad.alias("malformed_rows"),
         distinct_with_null(state_col).cast("long").alias("distinct_states"),
     )
 

@@ -3,8 +3,8 @@
 Tables are written as catalog tables whose data lives at an explicit path
 under the shared scratch/warehouse base the caller gives, so they survive
 the session and any executor.  Partitioned tables put the partition column
-last and map NULL to Hive's default partition (read back as NULL); readers
-select by name, never by position.
+last and map NULL and empty text to the default partition (read back as
+NULL); readers select by name, never by position.
 """
 
 from __future__ import annotations
@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.gold import GOLD
-
 # Default database and the two state-partitioned tables.
 DATABASE = "retail"
 PARTITIONED = {"daily_sales_by_state": ["customer_state"], "orders_clean": ["customer_state"]}
@@ -28,7 +26,8 @@ LIMIT 5
 MONTHLY_SALES_SQL = """
 SELECT DATE_FORMAT(order_purchase_timestamp, 'yyyy-MM') AS month,
        COUNT(*) AS orders,
-       CAST(ROUND(CAST(SUM(CAST(order_total_value AS DECIMAL(18,4))) AS DECIMAL(28,8)), 2) AS DOUBLE) AS revenue
+       COALESCE(CAST(ROUND(TRY_CAST(SUM(order_total_value) AS DECIMAL(28,8)), 2) AS DOUBLE),
+                ROUND(SUM(order_total_value), 2)) AS revenue
 FROM {db}.orders_clean
 WHERE order_status <> 'canceled'
 GROUP BY 1
@@ -61,29 +60,33 @@ def publish_table(df: DataFrame, db: str, name: str, path: str,
 
 
 def register_table(spark: SparkSession, db: str, name: str, path: str) -> DataFrame:
-    """Publish Parquet already written at ``path`` as ``db.name`` without
-    copying it; a partitioned directory gets its partitions registered."""
+    """Publish unpartitioned Parquet already written at ``path`` as
+    ``db.name`` without copying it; its column types are the files'."""
     spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
     spark.catalog.createTable(f"{db}.{name}", path=path, source="parquet")
-    if spark.sql(f"DESCRIBE TABLE {db}.{name}").filter("col_name = '# Partition Information'").count():
-        spark.catalog.recoverPartitions(f"{db}.{name}")
     return spark.table(f"{db}.{name}")
 
 
-def publish_all(silver: DataFrame, db: str, base: str, names: list[str] | None = None) -> dict[str, DataFrame]:
-    """Publish the gold tables built from ``silver`` and silver itself."""
-    out = {}
-    for name in names or [*GOLD, "orders_clean"]:
-        df = silver if name == "orders_clean" else GOLD[name](silver)
-        out[name] = publish_table(df, db, name, f"{base}/{name}", PARTITIONED.get(name))
-    return out
+def publish_layers(spark: SparkSession, db: str, paths: dict[str, str], base: str) -> None:
+    """Publish written layers (table name -> path) as tables of ``db``.
+
+    Unpartitioned tables are the layer files in place.  A table partitioned by
+    state is a copy of its layer under ``base``; the catalog keeps the declared
+    column types, so a state such as ``07`` stays text.  A partition key cannot
+    tell an empty text from NULL: both read as NULL in the copy.
+    """
+    for name, path in paths.items():
+        if name in PARTITIONED:
+            publish_table(spark.read.parquet(path), db, name, f"{base}/{name}", PARTITIONED[name])
+        else:
+            register_table(spark, db, name, path)
 
 
 def use_database(spark: SparkSession, db: str = DATABASE) -> None:
     spark.catalog.setCurrentDatabase(db)
 
 
-def table_counts(spark: SparkSession, db: str = DATABASE) -> DataFrame:
+def list_tables(spark: SparkSession, db: str = DATABASE) -> DataFrame:
     """``SHOW TABLES`` of the database."""
     return spark.sql(f"SHOW TABLES IN {db}")
 
@@ -94,7 +97,7 @@ def table_row_counts(spark: SparkSession, db: str, names: list[str] | None = Non
     One job: a union of per-table counts (each a metadata-light aggregate).
     The table list is catalog metadata, a handful of names.
     """
-    names = names or sorted(r.tableName for r in table_counts(spark, db).collect() if not r.isTemporary)
+    names = names or sorted(r.tableName for r in list_tables(spark, db).collect() if not r.isTemporary)
     parts = [spark.table(f"{db}.{n}").agg(F.count(F.lit(1)).alias("row_count"))
              .select(F.lit(n).alias("table_name"), "row_count") for n in names]
     out = parts[0]

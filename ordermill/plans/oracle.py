@@ -10,8 +10,8 @@ from __future__ import annotations
 
 
 def r(x: str, digits: int = 2) -> str:
-    """Engine-stable rounding, the SQL twin of ``functions.clean.round_to``.
-    Money sums are written as exact decimal sums (``cast(x as decimal(18,4))``)."""
+    """Engine-stable rounding, the SQL twin of ``functions.clean.round_to`` on
+    finite values.  Money sums are plain sums of doubles."""
     return f"cast(round(cast({x} as decimal(28,8)), {digits}) as double)"
 
 
@@ -90,16 +90,16 @@ ORACLE["clean_orders"] = WITH + "select * from o"
 
 ORACLE["gold_city_sales"] = WITH + f"""
 select customer_city, customer_state, count(*) as order_count,
-  {r('sum(cast(order_products_value as decimal(18,4)))')} as total_product_sales,
-  {r('sum(cast(order_freight_value as decimal(18,4)))')} as total_freight,
-  {r('sum(cast(order_total_value as decimal(18,4)))')} as total_sales,
+  {r('sum(order_products_value)')} as total_product_sales,
+  {r('sum(order_freight_value)')} as total_freight,
+  {r('sum(order_total_value)')} as total_sales,
   {r('avg(order_total_value)')} as avg_order_value
 from o where order_status <> 'canceled'
 group by customer_city, customer_state"""
 
 ORACLE["gold_state_sales"] = WITH + f"""
 select customer_state, count(*) as order_count,
-  {r('sum(cast(order_total_value as decimal(18,4)))')} as total_sales,
+  {r('sum(order_total_value)')} as total_sales,
   {r('avg(order_total_value)')} as avg_order_value
 from o where order_status <> 'canceled'
 group by customer_state"""
@@ -161,11 +161,11 @@ select 'delivery_days_vs_review_score' as relationship,
 from ranked"""
 
 ORACLE["gold_daily_sales_by_state"] = WITH + f"""
-select order_date, customer_state, count(*) as order_count, {r('sum(cast(order_total_value as decimal(18,4)))')} as total_sales
+select order_date, customer_state, count(*) as order_count, {r('sum(order_total_value)')} as total_sales
 from o where order_status <> 'canceled' group by order_date, customer_state"""
 
 ORACLE["gold_weekly_sales"] = WITH + f"""
-select order_year, order_week, count(*) as order_count, {r('sum(cast(order_total_value as decimal(18,4)))')} as total_sales,
+select order_year, order_week, count(*) as order_count, {r('sum(order_total_value)')} as total_sales,
   {r('avg(review_score)')} as avg_review_score
 from o where order_status <> 'canceled' group by order_year, order_week"""
 
@@ -237,13 +237,13 @@ select coalesce(customer_state, 'UNKNOWN') as kafka_key, * from src"""
 # ----------------------------------------------------- serving and SQL
 _STATE_SALES = f"""
 ss as (select customer_state, count(*) as order_count,
-  {r('sum(cast(order_total_value as decimal(18,4)))')} as total_sales, {r('avg(order_total_value)')} as avg_order_value
+  {r('sum(order_total_value)')} as total_sales, {r('avg(order_total_value)')} as avg_order_value
   from o where order_status <> 'canceled' group by customer_state)"""
 
 _CITY_SALES = f"""
 cs as (select customer_city, customer_state, count(*) as order_count,
-  {r('sum(cast(order_products_value as decimal(18,4)))')} as total_product_sales, {r('sum(cast(order_freight_value as decimal(18,4)))')} as total_freight,
-  {r('sum(cast(order_total_value as decimal(18,4)))')} as total_sales, {r('avg(order_total_value)')} as avg_order_value
+  {r('sum(order_products_value)')} as total_product_sales, {r('sum(order_freight_value)')} as total_freight,
+  {r('sum(order_total_value)')} as total_sales, {r('avg(order_total_value)')} as avg_order_value
   from o where order_status <> 'canceled' group by customer_city, customer_state)"""
 
 _REVIEW_DIST = """
@@ -251,7 +251,7 @@ rd as (select review_score, count(*) as num_orders from o group by review_score)
 
 ORACLE["serve_kpis"] = WITH + "," + _STATE_SALES + "," + _REVIEW_DIST + f"""
 select (select cast(sum(order_count) as bigint) from ss) as total_completed_orders,
-  (select {r('sum(cast(total_sales as decimal(18,4)))')} from ss) as gross_revenue,
+  (select {r('sum(total_sales)')} from ss) as gross_revenue,
   (select count(*) from ss) as states_serviced,
   (select {r('sum(review_score * num_orders) / cast(sum(num_orders) as double)')} from rd) as avg_review_score,
   (select {r('sum(review_score * num_orders) / cast(sum(case when review_score is not null then num_orders end) as double)')}
@@ -261,6 +261,36 @@ ORACLE["serve_top10_cities"] = WITH + "," + _CITY_SALES + """
 select customer_city, customer_state, total_sales from cs
 order by total_sales desc, customer_city asc nulls first, customer_state asc nulls first limit 10"""
 
+ORACLE["profile_summary_lazy"] = ORACLE["profile_summary"]
+
+# Money beyond cents and beyond 1e15: Id % 50 = 1 -> value 1e15 + Id,
+# Id % 3 = 0 -> value 0.00004.
+ORACLE["gold_state_sales_any_money"] = f"""with {ADAPTER},
+odd as (select * replace (case when Id % 50 = 1 then 1e15 + Id when Id % 3 = 0 then 0.00004::double
+                          else order_products_value end as order_products_value) from src),
+o as ({CLEAN_SELECT} from odd)
+select customer_state, count(*) as order_count,
+  round(sum(order_total_value), -1) as total_sales
+from o where order_status <> 'canceled' group by customer_state"""
+
+# Published content, over states a reader could mistake for numbers or
+# blanks: Id % 10 = 0 -> '07', 1 -> '7', 2 -> blanks, 3 -> NULL.
+_ODD_STATES = f"""with {ADAPTER},
+odd as (select * replace (case Id % 10 when 0 then '07' when 1 then '7' when 2 then '  ' when 3 then null
+                          else customer_state end as customer_state) from src),
+o as ({CLEAN_SELECT} from odd)"""
+
+ORACLE["catalog_published_state_sales"] = _ODD_STATES + f"""
+select customer_state, count(*) as order_count, {r('sum(order_total_value)')} as total_sales,
+  {r('avg(order_total_value)')} as avg_order_value
+from o where order_status <> 'canceled' group by customer_state"""
+
+# The catalog's partition key keeps '' and NULL in one partition, read as NULL.
+ORACLE["catalog_published_daily"] = _ODD_STATES + f"""
+select order_date, nullif(customer_state, '') as customer_state, order_count, total_sales from (
+  select order_date, customer_state, count(*) as order_count, {r('sum(order_total_value)')} as total_sales
+  from o where order_status <> 'canceled' group by order_date, customer_state)"""
+
 ORACLE["catalog_roundtrip"] = ORACLE["clean_orders"]
 
 ORACLE["sql_top_cities"] = WITH + "," + _CITY_SALES + """
@@ -269,11 +299,11 @@ order by total_sales desc, customer_city asc nulls first, customer_state asc nul
 
 ORACLE["sql_monthly_sales"] = WITH + f"""
 select strftime(order_purchase_timestamp, '%Y-%m') as month, count(*) as orders,
-  {r('sum(cast(order_total_value as decimal(18,4)))')} as revenue
+  {r('sum(order_total_value)')} as revenue
 from o where order_status <> 'canceled' group by 1"""
 
 ORACLE["sql_adhoc"] = WITH + "," + _STATE_SALES + f""",
-ds as (select order_date, customer_state, count(*) as order_count, {r('sum(cast(order_total_value as decimal(18,4)))')} as total_sales
+ds as (select order_date, customer_state, count(*) as order_count, {r('sum(order_total_value)')} as total_sales
   from o where order_status <> 'canceled' group by order_date, customer_state)
 select d.order_date, d.customer_state, d.order_count, d.total_sales, s.total_sales as state_total_sales
 from ds d join ss s on d.customer_state = s.customer_state
@@ -289,8 +319,33 @@ from src s join o on s.Id = o.Id"""
 ORACLE["stream_bronze"] = WITH + _BRONZE
 ORACLE["stream_restart"] = WITH + _BRONZE
 
+# Bad payloads, by offset (the order id) % 20: 0 no JSON, 1 NULL (both fail,
+# no fields), 2 score "<n>.0" (still n), 3 purchase time "soon" (NULL).
+ORACLE["stream_bad_payloads"] = WITH + """
+select cast(Id as bigint) as kafka_offset, Id % 20 < 2 as parse_failed,
+  case when Id % 20 >= 2 then Id end as Id, case when Id % 20 >= 2 then review_score end as review_score,
+  case when Id % 20 not in (0, 1, 3) then order_purchase_timestamp end as order_purchase_timestamp,
+  case when Id % 20 >= 2 then customer_city end as customer_city
+from o"""
+
+_SRC_COLS = _CLEAN_COLS[:12]
+ORACLE["events_json_text"] = f"""with {ADAPTER}
+select Id, coalesce(customer_state, 'UNKNOWN') as kafka_key, '{",".join(_SRC_COLS)}' as fields,
+  cast({" + ".join(f"({c} is null)::int" for c in _SRC_COLS)} as integer) as nulls,
+  Id::varchar as id_text, strftime(order_purchase_timestamp, '%Y-%m-%d %H:%M:%S') as time_text
+from src"""
+
+# Order: each row's place and its sort columns.
+for _key, _of, _cols, _by in (
+        ("ordered_state_sales", "gold_state_sales", "total_sales", "total_sales desc"),
+        ("ordered_weekly_sales", "gold_weekly_sales", "order_year, order_week",
+         "order_year nulls first, order_week nulls first"),
+        ("ordered_review_scores", "gold_review_score_distribution", "review_score", "review_score nulls first"),
+        ("ordered_status", "profile_status", "order_count, order_status", "order_count desc, order_status nulls first")):
+    ORACLE[_key] = f"select row_number() over (order by {_by}) - 1 as place, {_cols} from ({ORACLE[_of]}) t"
+
 ORACLE["stream_state_totals"] = WITH + f"""
-select customer_state, count(*) as orders, {r('sum(cast(order_total_value as decimal(18,4)))')} as running_sales
+select customer_state, count(*) as orders, {r('sum(order_total_value)')} as running_sales
 from o group by customer_state"""
 
 # --------------------------------------------- generic operators on events

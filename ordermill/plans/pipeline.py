@@ -23,14 +23,10 @@ from . import catalog
 GROWING = {"city_sales", "daily_sales_by_state", "review_by_city", "city_delivery_performance"}
 
 
-def build_silver(orders: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write silver once and read it back.  Partitioned (for a published,
-    prunable table) it is rebalanced first, so a hot state is split into
-    advisory-sized tasks rather than one task writing a third of the rows."""
-    silver = orders.transform(clean).drop("_corrupt_record")
-    if partition_by:
-        silver = silver.hint("rebalance", *partition_by)
-    write_layer(silver, path, partition_by=partition_by)
+def build_silver(orders: DataFrame, path: str) -> DataFrame:
+    """Write silver once, unpartitioned, and read it back: a directory
+    partitioned by state would have its state values re-typed by a reader."""
+    write_layer(orders.transform(clean).drop("_corrupt_record"), path)
     return orders.sparkSession.read.parquet(path)
 
 
@@ -41,29 +37,22 @@ def run_pipeline(spark: SparkSession, orders: DataFrame, out: str, publish_db: s
     The gold tables are independent jobs over silver; up to ``concurrency``
     of them are submitted at once (Spark schedules concurrent jobs from
     several threads), so small aggregates do not leave the cluster idle.
-    Publishing registers the written layer files in place: the tables the
-    catalog partitions by state are written partitioned to begin with, so
-    nothing is copied a second time.
+    Publishing comes after: it registers the written files, and copies only
+    the tables that the catalog partitions, so it cannot change a result.
     """
-    part = catalog.PARTITIONED if publish_db else {}
     paths = {"orders_clean": f"{out}/silver/orders_clean"}
-    silver = build_silver(orders, paths["orders_clean"], part.get("orders_clean"))
-    names = names or list(GOLD)
+    silver = build_silver(orders, paths["orders_clean"])
+    names = list(GOLD) if names is None else names
     for name in names:
         paths[name] = f"{out}/gold/{name}"
 
     def write(name: str) -> None:
-        df = GOLD[name](silver)
-        if name in part:
-            df = df.hint("rebalance", *part[name])
-        small = name not in GROWING and name not in part
-        write_layer(df, paths[name], files=1 if small else None, partition_by=part.get(name))
+        write_layer(GOLD[name](silver), paths[name], files=None if name in GROWING else 1)
 
     with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
         for f in [pool.submit(write, n) for n in names]:
             f.result()
     if publish_db:
         catalog.ensure_database(spark, publish_db, f"{out}/catalog_db")
-        for name, path in paths.items():
-            catalog.register_table(spark, publish_db, name, path)
+        catalog.publish_layers(spark, publish_db, paths, f"{out}/catalog")
     return paths

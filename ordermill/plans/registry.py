@@ -17,11 +17,12 @@ from ..operators import gold, profile, serve
 from ..schema import ORDER_COLUMNS, ORDERS_SCHEMA
 from ..session import scratch_path
 from ..sinks.events import JSON_OPTIONS, order_events
-from ..sources.orders_csv import ingest_csv, write_orders_csv
+from ..sources.orders_csv import ingest_csv, read_orders_csv, write_orders_csv
 from ..sources.renderings import csv_text, safe_cast_text
 from ..sources.star import orders_from_star, read_table
 from ..streaming import bronze
 from . import catalog
+from .pipeline import run_pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +35,13 @@ def _gold(fn) -> Query:
     return lambda spark, sf_dir: fn(cleaned(spark, sf_dir))
 
 
+def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixture orders -> CSV text (spoiled fields) -> lazy permissive scan."""
+    path = f"{scratch_path(spark, 'csv')}/orders_csv"
+    write_orders_csv(csv_text(orders_from_star(spark, sf_dir)), path)
+    return read_orders_csv(spark, path)
+
+
 def csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture orders -> CSV text (spoiled fields) -> permissive parse."""
     base = scratch_path(spark, "csv")
@@ -65,15 +73,53 @@ def _drain(q) -> None:
         raise q.exception()
 
 
-def stream_bronze(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
-    """K3/ST1-ST4: Kafka-shaped files drained into bronze, one file per trigger."""
+def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3/ST1-ST4: Kafka-shaped files drained into bronze."""
     base = scratch_path(spark, "stream")
-    bronze.to_envelope(orders_from_star(spark, sf_dir)).repartition(files).write.parquet(f"{base}/topic/part0")
+    bronze.to_envelope(orders_from_star(spark, sf_dir)).write.parquet(f"{base}/topic/part0")
     rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*"))
     _drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt_bronze"))
     return spark.read.parquet(f"{base}/bronze")
 
 
+def stream_bad_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST4/P2: payloads that are no JSON, NULL, or hold ``5.0`` for an integer
+    and a bad time; every row lands in bronze, failures flagged."""
+    base = scratch_path(spark, "badpayloads")
+    text, slot = F.col("value").cast("string"), F.col("offset") % 20
+    spoiled = (F.when(slot == 0, F.lit("no json")).when(slot == 1, F.lit(None).cast("string"))
+               .when(slot == 2, F.regexp_replace(text, '("review_score":\\d+)', "$1.0"))
+               .when(slot == 3, F.regexp_replace(text, '"order_purchase_timestamp":"[^"]*"', '"order_purchase_timestamp":"soon"'))
+               .otherwise(text))
+    ev = bronze.to_envelope(orders_from_star(spark, sf_dir)).withColumn("value", spoiled.cast("binary"))
+    ev.write.parquet(f"{base}/topic/part0")
+    rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*"))
+    _drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt"))
+    return spark.read.parquet(f"{base}/bronze").select(
+        "kafka_offset", "parse_failed", "Id", "review_score", "order_purchase_timestamp", "customer_city")
+
+
+def events_json_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the record's text itself holds: its keys in order, its
+    explicit nulls, and two fields as they stand."""
+    ev = order_events(orders_from_star(spark, sf_dir), keep=["Id"])
+    return ev.select("Id", F.col("key").alias("kafka_key"),
+                     F.array_join(F.json_object_keys("value"), ",").alias("fields"),
+                     F.regexp_count("value", F.lit(r":null[,}]")).alias("nulls"),
+                     F.get_json_object("value", "$.Id").alias("id_text"),
+                     F.get_json_object("value", "$.order_purchase_timestamp").alias("time_text"))
+
+
+def _ordered(fn, *columns: str) -> Query:
+    """O1/O2: the sort columns of a small sorted table and each row's place in
+    its written file, so a wrong order shows."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "ordered")
+        fn(cleaned(spark, sf_dir)).coalesce(1).write.parquet(path)
+        return spark.read.parquet(path).coalesce(1).select(F.monotonically_increasing_id().alias("place"), *columns)
+    return run
+
+
 def stream_restart(spark: SparkSession, sf_dir: str, first_wave_before: str = "1998-01-01") -> DataFrame:
     """Two runs on one checkpoint, new files arriving in between, then a
     third run with nothing new: every row lands in bronze exactly once.
@@ -85,36 +131,53 @@ def stream_restart(spark: SparkSession, sf_dir: str, first_wave_before: str = "1
     base = scratch_path(spark, "restart")
     ev = bronze.to_envelope(orders_from_star(spark, sf_dir))
     early = F.coalesce(F.col("timestamp") < F.lit(first_wave_before).cast("timestamp"), F.lit(False))
-    ev.filter(early).repartition(2).write.parquet(f"{base}/topic/part0")
+    ev.filter(early).write.parquet(f"{base}/topic/part0")
     rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*"))
     _drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt"))
-    ev.filter(~early).repartition(2).write.parquet(f"{base}/topic/part1")
+    ev.filter(~early).write.parquet(f"{base}/topic/part1")
     for _ in range(2):
         _drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt"))
     return spark.read.parquet(f"{base}/bronze")
 
 
-def stream_state_totals(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
+def stream_state_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4/ST5-ST6: the complete-mode running totals per state after the drain."""
     base = scratch_path(spark, "totals")
-    bronze.to_envelope(orders_from_star(spark, sf_dir)).repartition(files).write.parquet(f"{base}/topic/part0")
+    bronze.to_envelope(orders_from_star(spark, sf_dir)).write.parquet(f"{base}/topic/part0")
     rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*"))
     _drain(bronze.start_totals(rows, f"{base}/totals", f"{base}/ckpt"))
-    return spark.read.parquet(f"{base}/totals")
+    return bronze.read_totals(spark, f"{base}/totals")
 
 
 def _published(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
-    """Publish the named tables (gold built from the cleaned orders) under a
-    fresh shared path; return the database."""
-    base = scratch_path(spark, "catalog")
-    db = catalog.ensure_database(spark, catalog.DATABASE, f"{base}/db")
-    catalog.publish_all(cleaned(spark, sf_dir).drop("_corrupt_record"), db, base, names)
-    return db
+    """Silver and the named gold tables, written and published under a fresh
+    shared path; returns the database."""
+    run_pipeline(spark, orders_from_star(spark, sf_dir), scratch_path(spark, "catalog"), catalog.DATABASE, names)
+    return catalog.DATABASE
+
+
+def _odd_states_published(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A published table over states that look like numbers, blanks or nothing."""
+    slot = F.col("Id") % 10
+    state = (F.when(slot == 0, "07").when(slot == 1, "7").when(slot == 2, "  ")
+             .when(slot == 3, F.lit(None).cast("string")).otherwise(F.col("customer_state")))
+    orders = orders_from_star(spark, sf_dir).withColumn("customer_state", state)
+    run_pipeline(spark, orders, scratch_path(spark, "catalog"), "retail_states", [name])
+    return spark.table(f"retail_states.{name}")
+
+
+def state_sales_any_money(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G2 over values with more than four decimals and beyond 1e15."""
+    value = (F.when(F.col("Id") % 50 == 1, F.lit(1e15) + F.col("Id")).when(F.col("Id") % 3 == 0, F.lit(0.00004))
+             .otherwise(F.col("order_products_value")))
+    orders = orders_from_star(spark, sf_dir).withColumn("order_products_value", value)
+    sales = gold.state_sales(orders.transform(clean)).drop("avg_order_value")
+    return sales.withColumn("total_sales", F.round("total_sales", -1))  # doubles of 1e15 hold no cents
 
 
 def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver published partitioned by state, read back by name."""
-    db = _published(spark, sf_dir, ["orders_clean"])
+    db = _published(spark, sf_dir, [])
     return spark.table(f"{db}.orders_clean").select(*gold.orders_clean(cleaned(spark, sf_dir)).columns)
 
 
@@ -126,7 +189,7 @@ def sql_top_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q2 over the published silver table."""
-    db = _published(spark, sf_dir, ["orders_clean"])
+    db = _published(spark, sf_dir, [])
     return catalog.run_sql(spark, catalog.MONTHLY_SALES_SQL.format(db=db))
 
 
@@ -150,7 +213,6 @@ def sql_adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog_publish_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver + eleven gold tables written, published (two partitioned), counted."""
-    from .pipeline import run_pipeline
     base = scratch_path(spark, "publish")
     db = "retail_published"
     run_pipeline(spark, orders_from_star(spark, sf_dir), base, publish_db=db)
@@ -182,6 +244,7 @@ QUERIES: dict[str, Query] = {
     "gold_weekly_sales": _gold(gold.weekly_sales),
     "rank_delivery_days": _gold(lambda c: gold.delivery_review_ranked(c, materialize=True)),
     "profile_summary": lambda spark, sf_dir: profile.summary(csv_orders(spark, sf_dir).transform(clean)),
+    "profile_summary_lazy": lambda spark, sf_dir: profile.summary(csv_scan(spark, sf_dir).transform(clean)),
     "profile_nulls": _gold(profile.null_profile),
     "profile_status": _gold(profile.status_distribution),
     "profile_top_states": _gold(profile.top_states),
@@ -191,12 +254,21 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip,
     "safe_cast": safe_cast_query,
     "events_to_publish": events_to_publish,
+    "events_json_text": events_json_text,
+    "ordered_state_sales": _ordered(gold.state_sales, "total_sales"),
+    "ordered_weekly_sales": _ordered(gold.weekly_sales, "order_year", "order_week"),
+    "ordered_review_scores": _ordered(gold.review_score_distribution, "review_score"),
+    "ordered_status": _ordered(profile.status_distribution, "order_count", "order_status"),
     "catalog_roundtrip": catalog_roundtrip,
     "catalog_publish_all": catalog_publish_all,
+    "catalog_published_state_sales": lambda spark, sf_dir: _odd_states_published(spark, sf_dir, "state_sales"),
+    "catalog_published_daily": lambda spark, sf_dir: _odd_states_published(spark, sf_dir, "daily_sales_by_state"),
+    "gold_state_sales_any_money": state_sales_any_money,
     "sql_top_cities": sql_top_cities,
     "sql_monthly_sales": sql_monthly_sales,
     "sql_adhoc": sql_adhoc,
     "stream_bronze": stream_bronze,
+    "stream_bad_payloads": stream_bad_payloads,
     "stream_restart": stream_restart,
     "stream_state_totals": stream_state_totals,
     "events_type_distribution": lambda spark, sf_dir: profile.distribution(

@@ -49,7 +49,9 @@ ENVELOPE_SCHEMA = StructType([
     StructField("timestampType", IntegerType(), True),
 ])
 
+# Names of the envelope columns in bronze; source column and type of each.
 ENVELOPE_COLUMNS = ["kafka_key", "kafka_partition", "kafka_offset", "kafka_ingest_time"]
+ENVELOPE_SOURCES = [("key", "string"), ("partition", "int"), ("offset", "bigint"), ("timestamp", "timestamp")]
 
 
 def string_schema(schema: StructType = ORDERS_SCHEMA) -> StructType:

@@ -24,10 +24,12 @@ KAFKA_PRODUCER_OPTIONS = {
 }
 
 
-def order_events(orders: DataFrame, key_col: str = "customer_state", limit: int | None = None) -> DataFrame:
-    """``key``, ``value`` text columns, one record per order row."""
+def order_events(orders: DataFrame, key_col: str = "customer_state", limit: int | None = None,
+                 keep: list[str] | None = None) -> DataFrame:
+    """``key``, ``value`` text columns, one record per order row (``keep``: order columns beside them)."""
     src = orders.limit(limit) if limit else orders
     return src.select(
+        *(keep or []),
         F.coalesce(F.col(key_col).cast("string"), F.lit("UNKNOWN")).alias("key"),
         F.to_json(F.struct(*[F.col(c) for c in ORDER_COLUMNS]), JSON_OPTIONS).alias("value"),
     )

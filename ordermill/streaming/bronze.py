@@ -15,43 +15,48 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import StreamingQueryException
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.clean import clean, money_sum, round2, safe_cast
-from ..schema import ENVELOPE_COLUMNS, ENVELOPE_SCHEMA, ORDER_COLUMNS, ORDERS_SCHEMA, string_schema
-from ..sinks.events import JSON_OPTIONS
+from ..schema import CORRUPT_COLUMN, ENVELOPE_COLUMNS, ENVELOPE_SCHEMA, ENVELOPE_SOURCES, ORDERS_SCHEMA, string_schema, with_corrupt_column
+from ..sinks.events import order_events
 
-# Consumer defaults (topic, offsets per micro-batch, start).
+# Topic, start, and the offsets per micro-batch of a small deployment.
 TOPIC = "orders"
-MAX_OFFSETS_PER_TRIGGER = 500
+SMALL_BATCH_OFFSETS = 500
+KEPT_EPOCHS = 10  # totals folders a reader may still be in
 STARTING_OFFSETS = "earliest"
 
 
-def kafka_source_options(bootstrap: str, topic: str = TOPIC, max_offsets: int = MAX_OFFSETS_PER_TRIGGER,
+def kafka_source_options(bootstrap: str, topic: str = TOPIC, max_offsets: int | None = None,
                          starting: str = STARTING_OFFSETS) -> dict:
-    return {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
-            "startingOffsets": starting, "maxOffsetsPerTrigger": str(max_offsets)}
+    """``max_offsets`` bounds a micro-batch (``SMALL_BATCH_OFFSETS`` for a trickle); None takes what is there."""
+    limit = {"maxOffsetsPerTrigger": str(max_offsets)} if max_offsets else {}
+    return {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting, **limit}
 
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str = TOPIC,
-                 max_offsets: int = MAX_OFFSETS_PER_TRIGGER, starting: str = STARTING_OFFSETS) -> DataFrame:
+                 max_offsets: int | None = None, starting: str = STARTING_OFFSETS) -> DataFrame:
     return (spark.readStream.format("kafka")
             .options(**kafka_source_options(bootstrap, topic, max_offsets, starting)).load())
 
 
-def envelope_file_source(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Envelope rows from Parquet files, rate-limited by files per trigger."""
-    return (spark.readStream.schema(ENVELOPE_SCHEMA)
-            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(path))
+def envelope_file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Envelope rows from Parquet files; ``max_files_per_trigger`` bounds a micro-batch."""
+    reader = spark.readStream.schema(ENVELOPE_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path)
 
 
 def to_envelope(orders: DataFrame, partitions: int = 3) -> DataFrame:
     """Kafka-shaped rows from order rows (the file stand-in for a topic):
     key = state or ``UNKNOWN``, value = row JSON, ``partitions`` topic
     partitions by order id, offset = order id, timestamp = purchase time."""
-    src = orders.select(
-        F.coalesce(F.col("customer_state"), F.lit("UNKNOWN")).cast("binary").alias("key"),
-        F.to_json(F.struct(*[F.col(c) for c in ORDER_COLUMNS]), JSON_OPTIONS).cast("binary").alias("value"),
+    src = order_events(orders, keep=["Id", "order_purchase_timestamp"]).select(
+        F.col("key").cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
         F.lit(TOPIC).alias("topic"),
         F.pmod(F.col("Id"), F.lit(partitions)).cast("int").alias("partition"),
         F.col("Id").cast("long").alias("offset"),
@@ -67,15 +72,12 @@ def parse_envelope(raw: DataFrame) -> DataFrame:
     ``parse_failed`` marks a value that is NULL or not a JSON object; its row
     is kept with NULL fields.
     """
-    value = F.col("value").cast("string")
-    return raw.select(
-        F.col("key").cast("string").alias("kafka_key"),
-        F.col("partition").alias("kafka_partition"),
-        F.col("offset").alias("kafka_offset"),
-        F.col("timestamp").alias("kafka_ingest_time"),
-        F.from_json(value, string_schema(ORDERS_SCHEMA)).alias("d"),
-        F.json_object_keys(value).isNull().alias("parse_failed"),
-    ).select(*ENVELOPE_COLUMNS, "d.*", "parse_failed")
+    fields = with_corrupt_column(string_schema(ORDERS_SCHEMA))
+    parsed = F.from_json(F.col("value").cast("string"), fields, {"columnNameOfCorruptRecord": CORRUPT_COLUMN})
+    names = [F.col(source).cast(kind).alias(name) for name, (source, kind) in zip(ENVELOPE_COLUMNS, ENVELOPE_SOURCES)]
+    rows = raw.select(*names, parsed.alias("d"))
+    failed = F.col("d").isNull() | F.col(f"d.{CORRUPT_COLUMN}").isNotNull()
+    return rows.select(*ENVELOPE_COLUMNS, *[f"d.{f.name}" for f in ORDERS_SCHEMA.fields], failed.alias("parse_failed"))
 
 
 def bronze_rows(raw: DataFrame) -> DataFrame:
@@ -100,24 +102,22 @@ def state_totals(rows: DataFrame) -> DataFrame:
             .orderBy(F.desc("running_sales")))
 
 
-# State is keyed by state code: a bounded key set, so a small, fixed number
-# of state-store partitions (recorded in the checkpoint on first start).
-STATE_PARTITIONS = 8
-
-
 def start_totals(rows: DataFrame, path: str | None, checkpoint: str | None = None,
-                 available_now: bool = True, state_partitions: int = STATE_PARTITIONS,
-                 console_rows: int = 10) -> StreamingQuery:
-    """Complete-mode totals; each trigger replaces the table at ``path``, or,
-    with ``path=None``, prints the first ``console_rows`` rows untruncated.
-
-    A streaming aggregate takes its state-partition count from the session's
-    shuffle width when it first starts (AQE does not apply to streams); it is
-    set to ``state_partitions`` just for the start and then restored.
+                 available_now: bool = True, console_rows: int = 10,
+                 processing_time: str | None = None) -> StreamingQuery:
+    """Complete-mode totals.  Each micro-batch writes the whole table to its
+    own folder ``path/epoch=<n>``; ``read_totals`` takes the last complete one,
+    so a reader never sees a half-written or missing table and a retried batch
+    replaces only its own.  With ``path=None`` the first ``console_rows`` rows
+    are printed untruncated.
+
+    The number of state partitions is the session's shuffle width at the
+    first start; the checkpoint keeps it.
     """
 
-    def publish(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def publish(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        _folder(batch.sparkSession, f"{path}/epoch={epoch - KEPT_EPOCHS}", delete=True)
 
     w = state_totals(rows).writeStream.outputMode("complete")
     if path is None:
@@ -126,14 +126,29 @@ def start_totals(rows: DataFrame, path: str | None, checkpoint: str | None = Non
         w = w.foreachBatch(publish)
     if checkpoint:
         w = w.option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
-    conf = rows.sparkSession.conf
-    before = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        return w.start()
-    finally:
-        conf.set("spark.sql.shuffle.partitions", before)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "5 seconds")
+    return w.start()
+
+
+def _folder(spark: SparkSession, path: str, delete: bool = False) -> list[str]:
+    """Names in a folder of any file system Spark knows; or delete the folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(at):
+        return []
+    if delete:
+        files.delete(at, True)
+        return []
+    return [s.getPath().getName() for s in files.listStatus(at)]
+
+
+def read_totals(spark: SparkSession, path: str) -> DataFrame:
+    """The totals of the last completed micro-batch under ``path``."""
+    epochs = [int(name[6:]) for name in _folder(spark, path)
+              if name.startswith("epoch=") and "_SUCCESS" in _folder(spark, f"{path}/{name}")]
+    if not epochs:
+        raise FileNotFoundError(f"no completed totals under {path}")
+    return spark.read.parquet(f"{path}/epoch={max(epochs)}")
 
 
 def start_stream_pipeline(raw: DataFrame, bronze_path: str, bronze_checkpoint: str, totals_path: str,
@@ -146,14 +161,21 @@ def start_stream_pipeline(raw: DataFrame, bronze_path: str, bronze_checkpoint: s
     """
     rows = bronze_rows(raw)
     q1 = start_bronze(rows, bronze_path, bronze_checkpoint, available_now, processing_time)
-    q2 = start_totals(rows, totals_path, totals_checkpoint, available_now)
+    q2 = start_totals(rows, totals_path, totals_checkpoint, available_now, processing_time=processing_time)
     return [q1, q2]
 
 
-def await_all(queries: list[StreamingQuery]) -> None:
-    """Wait for each query in turn; re-raise the first failure."""
-    for q in queries:
-        q.awaitTermination()
-    for q in queries:
-        if q.exception():
-            raise q.exception()
+def await_all(queries: list[StreamingQuery], poll_seconds: float = 1.0) -> None:
+    """Wait until every query has ended.  If one fails, stop the others and
+    raise its error at once."""
+    live = list(queries)
+    while live:
+        for q in list(live):
+            try:
+                ended = q.awaitTermination(poll_seconds / len(live))
+            except StreamingQueryException:
+                for other in queries:
+                    other.stop()
+                raise
+            if ended:
+                live.remove(q)

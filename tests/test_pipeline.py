@@ -1,13 +1,15 @@
 """Pipeline, CLI helpers and the two-query stream job."""
 
+from pyspark.sql import functions as F
+
 from ordermill.functions.clean import clean
 from ordermill.operators.gold import GOLD
 from ordermill.plans import catalog
-from ordermill.plans.cli import profile_report, sql_shell
+from ordermill.plans.cli import main, run_statement
 from ordermill.plans.pipeline import run_pipeline
 from ordermill.session import scratch_path
 from ordermill.sources.star import orders_from_star
-from ordermill.streaming.bronze import await_all, envelope_file_source, start_stream_pipeline, to_envelope
+from ordermill.streaming.bronze import await_all, envelope_file_source, read_totals, start_stream_pipeline, to_envelope
 
 from .conftest import SF_SMALL
 
@@ -19,10 +21,10 @@ def test_pipeline_writes_silver_gold_and_publishes(spark):
     n = orders_from_star(spark, SF_SMALL).count()
     assert spark.read.parquet(paths["orders_clean"]).count() == n
     assert spark.table("pipe_db.orders_clean").count() == n
-    tables = {r.tableName for r in catalog.table_counts(spark, "pipe_db").collect()}
+    tables = {r.tableName for r in catalog.list_tables(spark, "pipe_db").collect()}
     assert tables >= set(GOLD)
     assert spark.table("pipe_db.daily_sales_by_state").columns[-1] == "customer_state"
-    # silver was written partitioned once and registered in place: a state filter prunes directories
+    # the catalog copy is partitioned: a state filter prunes directories
     q = spark.sql("SELECT * FROM pipe_db.orders_clean WHERE customer_state = 'NATION_7'")
     files = q.inputFiles()
     assert files and all("customer_state=NATION_7" in f for f in files)
@@ -30,29 +32,45 @@ def test_pipeline_writes_silver_gold_and_publishes(spark):
     assert q.count() == want > 0
 
 
-def test_profile_report_prints_seven_sections(spark, capsys):
-    lines = []
-    profile_report(orders_from_star(spark, SF_SMALL).transform(clean), out=lines.append)
-    assert lines[0].startswith("Total rows loaded: ")
-    assert any(x.startswith("Unique customer states: ") for x in lines)
+def test_publishing_does_not_change_gold(spark):
+    slot = F.col("Id") % 4
+    state = F.when(slot == 0, "07").when(slot == 1, "7").when(slot == 2, " ")
+    orders = orders_from_star(spark, SF_SMALL).withColumn("customer_state", state)
+    plain = run_pipeline(spark, orders, scratch_path(spark, "plain"), names=["state_sales"])
+    shown = run_pipeline(spark, orders, scratch_path(spark, "shown"), publish_db="states_db", names=["state_sales"])
+    rows = [sorted(map(str, spark.read.parquet(p["state_sales"]).collect())) for p in (plain, shown)]
+    assert rows[0] == rows[1] and len(rows[0]) == 4
+    assert dict(spark.table("states_db.orders_clean").dtypes)["customer_state"] == "string"
+    assert spark.sql("select * from states_db.orders_clean where customer_state = '07'").select(
+        "customer_state").distinct().collect()[0][0] == "07"
+
+
+def test_statement_runs_in_its_database_from_layers(spark):
+    out = scratch_path(spark, "sqlout")
+    run_pipeline(spark, orders_from_star(spark, SF_SMALL), out, names=["state_sales"])
+    for name in set(GOLD) - {"state_sales"}:  # a full layer folder
+        spark.range(1).write.parquet(f"{out}/gold/{name}")
+    fresh = spark.newSession()
+    n = run_statement(fresh, "layers_db", "SELECT count(*) AS n FROM state_sales;", layers=out).first()[0]
+    assert n == spark.read.parquet(f"{out}/gold/state_sales").count() > 0
 
 
-def test_sql_shell_survives_errors(spark):
-    inputs = iter(["SELECT 1 AS x;", "SELEC nonsense", "exit"])
-    errors = []
-    sql_shell(spark, "default", read=lambda _p: next(inputs), out=errors.append)
-    assert len(errors) == 1 and errors[0].startswith("Error executing statement")
+def test_profile_command_shows_every_section(spark, capsys):
+    main(["profile", "--sf-dir", SF_SMALL], spark=spark)
+    shown = capsys.readouterr().out
+    for column in ("malformed_rows", "null_pct", "percentage", "customer_state", "customer_city"):
+        assert column in shown
 
 
 def test_two_queries_from_one_plan(spark):
     base = scratch_path(spark, "twoq")
-    to_envelope(orders_from_star(spark, SF_SMALL)).repartition(3).write.parquet(f"{base}/topic")
+    to_envelope(orders_from_star(spark, SF_SMALL)).write.parquet(f"{base}/topic")
     qs = start_stream_pipeline(envelope_file_source(spark, f"{base}/topic"), f"{base}/bronze", f"{base}/c1",
                                f"{base}/totals", f"{base}/c2")
     await_all(qs)
     n = orders_from_star(spark, SF_SMALL).count()
     assert spark.read.parquet(f"{base}/bronze").count() == n
-    assert spark.read.parquet(f"{base}/totals").groupBy().sum("orders").first()[0] == n
+    assert read_totals(spark, f"{base}/totals").groupBy().sum("orders").first()[0] == n
 
 
 def test_cli_pipeline_from_csv_and_stream_from_envelopes(spark, capsys):
@@ -70,7 +88,7 @@ def test_cli_pipeline_from_csv_and_stream_from_envelopes(spark, capsys):
     assert main(["sql", "--db", "default", "SELECT 42 AS answer;"], spark=spark) == 0
     assert "42" in capsys.readouterr().out
     assert main(["serve", "--gold-dir", f"{base}/out/gold"], spark=spark) == 0
-    assert "Total completed orders" in capsys.readouterr().out
+    assert "total_completed_orders" in capsys.readouterr().out
 
 
 def test_gold_over_silver_pushes_filters_and_prunes_columns(spark):

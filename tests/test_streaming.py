@@ -57,7 +57,33 @@ def test_totals_resume_from_checkpoint(spark):
     read_second = sum(p["numInputRows"] for p in q.recentProgress)
     assert read_second == ev.filter(~early).count()
     n = orders_from_star(spark, SF_SMALL).count()
-    assert spark.read.parquet(f"{base}/totals").groupBy().sum("orders").first()[0] == n
+    assert bronze.read_totals(spark, f"{base}/totals").groupBy().sum("orders").first()[0] == n
+
+
+def test_totals_keep_the_callers_session_settings(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    registry.stream_state_totals(spark, SF_SMALL)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_unfinished_totals_are_not_read(spark):
+    base = scratch_path(spark, "epochs")
+    spark.range(3).write.parquet(f"{base}/epoch=0")
+    spark.range(5).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{base}/epoch=1")
+    assert bronze.read_totals(spark, base).count() == 3
+
+
+def test_a_failing_query_stops_its_sibling(spark):
+    import pytest
+    base = scratch_path(spark, "sibling")
+    bronze.to_envelope(orders_from_star(spark, SF_SMALL)).write.parquet(f"{base}/topic")
+    raw = bronze.envelope_file_source(spark, f"{base}/topic")
+    steady = bronze.start_bronze(bronze.bronze_rows(raw), f"{base}/bronze", f"{base}/c1", available_now=False)
+    broken = raw.select(F.raise_error(F.lit("broken")).alias("x")).writeStream.format("noop").option(
+        "checkpointLocation", f"{base}/c2").start()
+    with pytest.raises(Exception, match="broken"):
+        bronze.await_all([steady, broken])
+    assert not steady.isActive
 
 
 def test_event_key_defaults_to_unknown(spark):
@@ -91,7 +117,8 @@ def test_envelope_parse_keeps_bad_payloads(spark):
 
 def test_kafka_options():
     o = kafka_source_options("broker:9092")
-    assert o["subscribe"] == "orders" and o["maxOffsetsPerTrigger"] == "500"
+    assert o["subscribe"] == "orders" and "maxOffsetsPerTrigger" not in o
+    assert kafka_source_options("b", max_offsets=bronze.SMALL_BATCH_OFFSETS)["maxOffsetsPerTrigger"] == "500"
     assert o["startingOffsets"] == "earliest"
 
 
