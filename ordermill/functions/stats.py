@@ -8,20 +8,22 @@
 
 * ``global_rank`` / ``exact_median`` replace ``rank().over(Window.orderBy(v))``
   and a median over one sorted partition, which both move every row to one
-  task.  One aggregate gives the row count and ``percentile_approx`` cut
-  points; buckets hold about ``ROWS_PER_BUCKET`` rows (at most
-  ``MAX_BUCKETS``, so what reaches the driver is bounded whatever the data),
-  and the cut points are fixed as literals, so a recomputed stage buckets
-  exactly as before.  Each row gets an order-preserving sub-bucket: NULL,
-  exactly a cut point, the open interval between two cuts, or NaN (above
-  all).  Numeric, date and timestamp values are keyed by two JVM
-  ``Bucketizer`` binary searches over an exact double order key; other types
-  by a small comparison tree.  A value holding more than about 1/buckets of
-  the rows is always a cut point, so a hot value never lands in an open
-  interval: its rows rank in place with no sort.  Sub-bucket counts (at most
-  ``2 * buckets + 2`` rows per group, broadcast) give offsets; the other rows
-  are ordered only within their own open interval.  Cut points balance load;
-  they never change a result.
+  task.  Cut points split the values into buckets of about
+  ``ROWS_PER_BUCKET`` rows (at most ``MAX_BUCKETS``).  They come from a sample
+  of some ``SAMPLE_PER_BUCKET`` values per bucket, drawn where the rows lie:
+  no task gathers what grows with the number of tasks.  So **planning a rank
+  or a median runs two small jobs per column** (a count and the sample), and
+  the cut points are literals from then on: a recomputed stage buckets as
+  before.  Each row gets an order-preserving sub-bucket: NULL, exactly a cut
+  point, the open interval between two cuts, or NaN (above all).  Numeric,
+  date and timestamp values are keyed by two JVM ``Bucketizer`` binary
+  searches over an exact double order key; other types by a small comparison
+  tree of at most ``MAX_TREE_BUCKETS`` leaves.  A value holding more than a few
+  buckets' worth of rows is practically always sampled as a cut point; its
+  rows take their rank from the counts and are spread by a salt.  Sub-bucket
+  counts (at most ``2 * buckets + 2`` rows per group, broadcast) give offsets;
+  the other rows are ordered only within their own open interval.  Cut points
+  balance load; they never change a result.
 """
 
 from __future__ import annotations
@@ -32,31 +34,27 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ByteType, DateType, DoubleType, FloatType, IntegerType, LongType, NumericType,
-                               ShortType, StructField, StructType, TimestampNTZType, TimestampType)
+from pyspark.sql.types import (ByteType, DateType, DoubleType, FloatType, IntegerType, LongType, ShortType,
+                               StructField, StructType, TimestampNTZType, TimestampType)
 
 from .clean import round_to
 
 # Bucket sizing: about ROWS_PER_BUCKET rows per open interval, so a window
-# task's share stays bounded as the data grows; the cut points (and the
-# per-sub-bucket counts broadcast back) stay bounded by MAX_BUCKETS.
+# task's share stays bounded as the data grows; the cut points, their sample
+# and the per-sub-bucket counts broadcast back stay bounded by MAX_BUCKETS.
 ROWS_PER_BUCKET = 1_000_000
-MIN_BUCKETS, MAX_BUCKETS = 64, 100_000
+MIN_BUCKETS, MAX_BUCKETS = 64, 20_000
+SAMPLE_PER_BUCKET = 64
 # Types that are not exactly representable as double (strings, decimals,
-# timestamps, bigints beyond 2**53) use a comparison tree, whose expression
-# size caps the bucket count.
+# bigints beyond 2**53) use a comparison tree, whose expression size caps the
+# bucket count.
 MAX_TREE_BUCKETS = 256
+SALTS = 64  # over which the rows of a sub-bucket that needs no sorting are spread
 
 
-def default_buckets(df: DataFrame, n_rows: int | None = None) -> int:
-    """At least the shuffle width, about one bucket per ROWS_PER_BUCKET rows."""
-    conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
-    try:
-        width = int(conf)
-    except ValueError:
-        width = MIN_BUCKETS
-    by_rows = -(-n_rows // ROWS_PER_BUCKET) if n_rows else 0
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, max(width, by_rows)))
+def default_buckets(n_rows: int) -> int:
+    """About one bucket per ROWS_PER_BUCKET rows."""
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, -(-n_rows // ROWS_PER_BUCKET)))
 
 
 # ---------------------------------------------------------------- Pearson
@@ -90,9 +88,6 @@ def pearson(df: DataFrame, pairs: Sequence[tuple[str, str]], null_policy: str =
 
 
 # ----------------------------------------------------- positions and rank
-_QUANTILE_TYPES = (NumericType, DateType, TimestampType, TimestampNTZType)
-
-
 EXACT_DOUBLE = 2 ** 53 - 2  # integers strictly inside this bound are exact as doubles
 _TIME_TYPES = (DateType, TimestampType, TimestampNTZType)
 
@@ -151,66 +146,35 @@ def usable_cuts(dtype, cuts: list) -> list:
 def value_cuts_many(df: DataFrame, values: Sequence[str], buckets: int | None = None) -> dict[str, list]:
     """Per column, sorted distinct cut points (at most ``buckets - 1``).
 
-    With ``buckets`` unset, one aggregate computes the row count together
-    with cut points at the minimum resolution (the shuffle width); only when
-    the count calls for more buckets (over ``ROWS_PER_BUCKET`` rows each) does
-    a second, finer pass run.  What reaches the driver is bounded by
-    ``MAX_BUCKETS`` per column whatever the data size.
+    One aggregate counts each column's values; then each column is sampled at
+    the rate that gives about ``SAMPLE_PER_BUCKET`` values per bucket, and
+    every k-th sampled value is a cut.  NULLs do not count, so a column that is
+    mostly NULL gets as many cuts as its values call for.
     """
     if not values:
         return {}
-    if buckets is not None:
-        return _cuts_pass(df, values, buckets, None)[0]
-    first = default_buckets(df, None)
-    cuts, n_rows = _cuts_pass(df, values, first, count=True)
-    wanted = default_buckets(df, n_rows)
-    if wanted > first:
-        cuts = _cuts_pass(df, values, wanted, None, n_rows)[0]
-    return cuts
-
-
-def _cuts_pass(df: DataFrame, values: Sequence[str], buckets: int, count: bool | None,
-               n_rows: int | None = None) -> tuple[dict[str, list], int | None]:
-    out = {v: [] for v in values}
-    aggs = [F.count(F.lit(1)).alias("_n")] if count else []
-    names = []
-    for i, v in enumerate(values):
-        dtype = df.schema[v].dataType
-        b = buckets if _bucketizable(dtype) else min(buckets, MAX_TREE_BUCKETS)
-        if b <= 1 or not isinstance(dtype, _QUANTILE_TYPES):
-            continue
-        qs = [j / b for j in range(1, b)]
-        aggs.append(F.percentile_approx(_order_key(v, dtype), qs, 10 * b).alias(f"_q{i}"))
-        names.append((v, f"_q{i}"))
-    row = df.agg(*aggs).first() if aggs else None
-    if count:
-        n_rows = row["_n"]
-    for v, name in names:
-        cuts = {x + 0 if isinstance(x, float) else x for x in (row[name] or []) if x is not None}
-        cuts = sorted(x for x in cuts if not (isinstance(x, float) and math.isnan(x)))
-        out[v] = usable_cuts(df.schema[v].dataType, cuts)
-    for i, v in enumerate(values):  # types without percentile_approx (strings...)
-        dtype = df.schema[v].dataType
-        b = min(buckets, MAX_TREE_BUCKETS)
-        if b > 1 and not isinstance(dtype, _QUANTILE_TYPES):
-            out[v] = _sampled_cuts(df, v, b, n_rows)
-    return out, n_rows
-
-
-def _sampled_cuts(df: DataFrame, value: str, buckets: int, n_rows: int | None) -> list:
-    """Cut points for types without ``percentile_approx`` (strings...): every
-    k-th value of a seeded sample of about 64 values per bucket.  The sample
-    sent to the driver is bounded by ``64 * MAX_TREE_BUCKETS`` values."""
-    want = 64 * buckets
-    n = n_rows if n_rows is not None else df.count()
-    if n == 0:
+    keys = {v: _order_key(v, df.schema[v].dataType) for v in values}
+    found = df.agg(*[F.count(k).alias(f"_n{i}") for i, k in enumerate(keys.values())]).first()
+    return {v: _sampled_cuts(df, v, k, found[f"_n{i}"], buckets) for i, (v, k) in enumerate(keys.items())}
+
+
+def _sampled_cuts(df: DataFrame, value: str, key: Column, n: int, buckets: int | None) -> list:
+    dtype = df.schema[value].dataType
+    b = default_buckets(n) if buckets is None else buckets
+    if not _bucketizable(dtype):
+        b = min(b, MAX_TREE_BUCKETS)
+    if n == 0 or b <= 1:
         return []
-    vals = df.select(value).where(F.col(value).isNotNull())
+    rows = df.select(key.alias("_k")).filter(F.col("_k").isNotNull())
+    if isinstance(dtype, (FloatType, DoubleType)):
+        rows = rows.filter(~F.isnan("_k"))
+    want = SAMPLE_PER_BUCKET * b
     if n > want:
-        vals = vals.sample(fraction=min(1.0, 2.0 * want / n), seed=17)
-    sample = [r[0] for r in vals.orderBy(value).limit(2 * want).collect()]
-    step = max(1, len(sample) // buckets)
-    return sorted(set(sample[step - 1::step][: buckets - 1]))
+        rows = rows.sample(fraction=want / n, seed=17)
+    sample = sorted(r[0] for r in rows.collect())  # about ``want`` values
+    step = max(1, len(sample) // b)
+    cuts = sample[step - 1::step][: b - 1]
+    return usable_cuts(dtype, sorted({c + 0 if isinstance(c, float) else c for c in cuts}))  # -0.0 is 0.0
 
 
 def value_cuts(df: DataFrame, value: str, buckets: int | None = None) -> list:
@@ -288,28 +252,27 @@ def global_rank(df: DataFrame, value: str, out: str, buckets: int | None = None,
     """``df`` plus ``out`` = ``rank()`` over ascending ``value``, nulls first.
 
     Equal to ``F.rank().over(Window.orderBy(value))`` (ties share the lowest
-    rank) without moving the rows to one partition.  Rows equal to a cut
-    point (a hot value among them) or NULL take ``offset + 1`` in place; the
-    other rows rank inside their open sub-bucket (``Window.partitionBy``), a
-    slice of about 1/buckets of the rows.  ``counts_from`` (same rows, e.g.
+    rank) without moving the rows to one partition, reading them once.  Rows
+    equal to a cut point (a hot value among them) or NULL take ``offset + 1``;
+    the other rows rank inside their open sub-bucket, a slice of about
+    1/buckets of the rows.  ``counts_from`` (same rows, e.g.
     the base of an earlier rank) lets the counts skip recomputing ``df``.
     """
     cuts = value_cuts(df, value, buckets) if cuts is None else usable_cuts(df.schema[value].dataType, cuts)
     base = counts_from if counts_from is not None else df
     offsets = F.broadcast(  # at most 2 * len(cuts) + 2 rows: a proven bound
         _sub_offsets(with_sub_bucket(base, value, cuts), []).select(F.col("_sb").alias("_osb"), "_off"))
-    rows = with_sub_bucket(df, value, cuts)
+    # One window over all rows.  Rows that equal a cut point (or are NULL) all
+    # have the first place of their sub-bucket; a salt spreads them, so a hot
+    # value fills no task.  The others share a sub-bucket, salt 0, and are sorted.
     point = (F.col("_sb") == -1) | (F.col("_sb") % 2 == 1)
-    in_place = rows.filter(point).withColumn("_r", F.lit(1))
-    # Hash-partitioned on the sub-bucket: a task may get a few open intervals
-    # (each bounded), which costs less than range partitioning's extra
-    # sampling pass over all the rows.
-    windowed = rows.filter(~point).withColumn(
-        "_r", F.rank().over(Window.partitionBy("_sb").orderBy(F.col(value).asc_nulls_first())))
-    both = in_place.unionByName(windowed)
-    joined = both.join(offsets, both["_sb"] == offsets["_osb"], "inner")
+    salted = (with_sub_bucket(df, value, cuts)
+              .withColumn("_salt", F.when(point, F.pmod(F.spark_partition_id(), F.lit(SALTS)) + 1).otherwise(0)))
+    inside = F.rank().over(Window.partitionBy("_sb", "_salt").orderBy(F.col(value).asc_nulls_first()))
+    placed = salted.withColumn("_r", F.when(point, F.lit(1)).otherwise(inside))
+    joined = placed.join(offsets, placed["_sb"] == offsets["_osb"], "inner")
     # bigint: a rank passes 2**31 long before 100 TB
-    return joined.withColumn(out, (F.col("_off") + F.col("_r")).cast("long")).drop("_sb", "_osb", "_off", "_r")
+    return joined.withColumn(out, (F.col("_off") + F.col("_r")).cast("long")).drop("_sb", "_salt", "_osb", "_off", "_r")
 
 
 def global_ranks(df: DataFrame, specs: Sequence[tuple[str, str]], buckets: int | None = None) -> DataFrame:
