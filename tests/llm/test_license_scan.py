@@ -1,0 +1,65 @@
+"""License scan: base phrases against a restatement, rules, suppression."""
+
+import re
+
+from ordermill.llm import license_scan as s
+from ordermill.llm.common import table
+from tests.conftest import SF_SMALL
+
+from .helpers import no_docs, odd_docs
+
+GATE = s.keyword_gate(s.rules())
+
+
+def restated(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    places = [(i, label) for phrase, label in s.BASE_PHRASES.items() for i in range(len(words))
+              if words[i:i + len(phrase.split())] == phrase.split()]
+    at = [i for i, _ in places]
+    return (len(words), len(places), min(at, default=None), max(at, default=None),
+            ",".join(sorted({label for _, label in places})))
+
+
+def check(row, text):
+    assert (row.n_words, row.n_base, row.first_word, row.last_word, row.base_labels) == restated(text)
+    assert set(filter(None, row.base_labels.split(","))) <= set(filter(None, row.labels.split(",")))
+    assert 0 <= row.score <= 1
+
+
+def test_query_equals_restatement(spark):
+    got = {r.doc_id: r for r in s.op6_license_scan(spark, SF_SMALL).collect()}
+    docs = table(spark, SF_SMALL, "documents").collect()
+    assert len(got) == len(docs)
+    for d in docs:
+        check(got[d.doc_id], d.text)
+
+
+def test_odd_rows(spark):
+    for r in odd_docs(spark).select("text", s.license_scan().alias("v")).collect():
+        check(r.v, r.text)
+    assert no_docs(spark).select(s.license_scan()).count() == 0
+
+
+def found(text):
+    return [x.split(":", 1)[1] for x in s.scan(text.encode(), GATE)[7]]
+
+
+def test_hundreds_of_rules_each_behind_a_keyword():
+    rules = s.rules()
+    assert len(rules) >= 300 and all(r.keyword for r in rules)
+    assert [r.order for r in rules] == list(range(len(rules)))
+
+
+def test_longer_and_earlier_rules_suppress_contained_ones():
+    assert found("Licensed under the GNU General Public License, version 3.") == ["gpl-3.0"]
+    assert found("Licensed under CC BY-NC 4.0.") == ["cc-by-nc"]
+    assert found("SPDX-License-Identifier: MIT\nsee the Apache License, Version 2.0") == ["mit", "apache-2.0"]
+    assert found("the modified BSD license") == ["bsd-3-clause"]
+    assert found("a license to thrill") == []
+
+
+def test_many_places_in_a_long_text_stay_linear():
+    text = "cc by " * 20_000
+    row = s.scan(text.encode(), GATE)
+    assert row[1] == 20_000 and row[3] == 39_998 and len(row[7]) == 20_000
