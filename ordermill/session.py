@@ -10,6 +10,7 @@ a laptop) do we create one.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -75,19 +76,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint directory of this session, set only if unset."""
+    """The shared checkpoint directory of this session.
+
+    A local session without one gets a temporary folder; anywhere else that
+    would be some machine's own disk, so an unset directory is an error.
+    """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a remote (Connect) session has no context here
         sc = None
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    conf = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is not None:
+        root = root or sc.getConf().get("spark.checkpoint.dir", None)
+        if not root and re.fullmatch(r"local(\[.*\])?", sc.master):
+            root = tempfile.mkdtemp(prefix="ordermill-ckpt-")
+    if not root:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if sc is not None:
-        conf = conf or sc.getConf().get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="ordermill-ckpt-"))
+        sc.setCheckpointDir(root)
         return sc.getCheckpointDir()
-    return conf or tempfile.mkdtemp(prefix="ordermill-ckpt-")
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -13,7 +13,7 @@ SF_ORACLE = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from ordermill.session import local_session
-    s = local_session(4, shuffle_partitions=4, app="ordermill-tests",
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="ordermill-test-ckpt-")})
-    yield s
-    s.stop()
+    with tempfile.TemporaryDirectory(prefix="ordermill-test-ckpt-", ignore_cleanup_errors=True) as scratch:
+        s = local_session(4, shuffle_partitions=4, app="ordermill-tests", extra={"spark.checkpoint.dir": scratch})
+        yield s
+        s.stop()
