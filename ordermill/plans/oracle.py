@@ -270,7 +270,7 @@ odd as (select * replace (case when Id % 50 = 1 then 1e15 + Id when Id % 3 = 0 t
                           else order_products_value end as order_products_value) from src),
 o as ({CLEAN_SELECT} from odd)
 select customer_state, count(*) as order_count,
-  round(sum(order_total_value), -1) as total_sales
+  round(sum(order_total_value), -3) as total_sales
 from o where order_status <> 'canceled' group by customer_state"""
 
 # Published content, over states a reader could mistake for numbers or
