@@ -3,9 +3,8 @@
 Assistant messages carry tool calls, tool messages carry results.  Both are
 unpacked, joined by (conversation, call id), and put in topological order: a
 string argument ``$call:<id>`` names another call of the conversation, whose
-result it needs.  Levels come from peeling the calls that wait for nothing,
-round by round over all conversations at once; what never gets free waits in a
-cycle.  Arguments are validated against the tool's schema and every call is
+result it needs.  Levels are found over all conversations at once, chains by
+pointer doubling, the rest by peeling; what never gets free waits in a cycle.  Arguments are validated against the tool's schema and every call is
 serialised as canonical JSON.  No conversation is ever gathered in one place.
 
 Cases: of calls with one id the first by turn is linked, later ones are
@@ -20,6 +19,7 @@ empty results.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import json
 import math
@@ -157,25 +157,64 @@ def _on(condition: str):
     return F.expr(f"l.conv_id <=> r.conv_id and {condition}")
 
 
-def _without(left: DataFrame, right: DataFrame, column: str = "call_id") -> DataFrame:
-    """Rows of ``left`` whose (conv_id, ``column``) is no call of ``right``."""
-    return left.alias("l").join(right.alias("r"), _on(f"l.{column} = r.call_id"), "left_anti")
+def _mark(left: DataFrame, calls: DataFrame, column: str = "call_id") -> DataFrame:
+    """``left`` with ``met``: is (conv_id, ``column``) one of ``calls``?"""
+    known = calls.select("conv_id", "call_id", F.lit(True).alias("met"))
+    marked = left.alias("l").join(known.alias("r"), _on(f"l.{column} = r.call_id"), "left")
+    return marked.select("l.*", F.coalesce("r.met", F.lit(False)).alias("met"))
+
+
+def chains(single: DataFrame, calls: int, path: str) -> DataFrame:
+    """Calls with one need each (conv_id, call_id, up): the first call above
+    them that has no or several needs, and the steps to it.  The pointers
+    double every round; one that points to a call with one need after more
+    steps than there are ``calls`` runs in a cycle and is left out."""
+    hops = saved(single.withColumn("steps", F.lit(1)).withColumn("moves", F.lit(True)), f"{path}/hops0")
+    for turn in itertools.count(1):
+        above = hops.select("conv_id", "call_id", F.col("up").alias("next"), F.col("steps").alias("more"))
+        hops = hops.alias("l").join(above.alias("r"), _on("l.up = r.call_id"), "left").select(
+            "l.conv_id", "l.call_id", F.coalesce("r.next", "l.up").alias("up"),
+            (F.col("l.steps") + F.coalesce("r.more", F.lit(0))).alias("steps"), F.col("r.next").isNotNull().alias("moves"))
+        hops = saved(hops, f"{path}/hops{turn}")
+        if hops.filter("moves").isEmpty():
+            return hops.drop("moves")
+        if 2 ** turn > calls:
+            return _mark(hops.drop("moves"), single, "up").filter("not met").drop("met")
 
 
 def levels(needs: DataFrame, path: str) -> DataFrame:
     """(conv_id, call_id, level) of the calls in ``needs`` (conv_id, call_id,
-    needed) that get free, from level 1 on.  Each round drops the needs met in
-    the round before; a call left without any has that round as its level."""
-    waiting = saved(needs.distinct(), f"{path}/waiting0")
-    who = lambda rows: rows.select("conv_id", "call_id").distinct()
-    done = _without(waiting.select("conv_id", F.col("needed").alias("call_id")).distinct(), who(waiting))
-    found = waiting.select("conv_id", "call_id", F.lit(0).alias("level")).filter(F.lit(False))
-    for level in itertools.count(1):
-        left = saved(_without(waiting, done, "needed"), f"{path}/waiting{level}")
-        done = saved(_without(who(waiting), who(left)), f"{path}/level{level}")
-        if done.isEmpty():
-            return found
-        found, waiting = found.unionAll(done.withColumn("level", F.lit(level))), left
+    needed, distinct) that get free: one more than the highest level they need.
+
+    Chains of single needs take a logarithm of their length in rounds; calls
+    with several needs take one round per such call on the longest path."""
+    counted = saved(needs.join(needs.groupBy("conv_id", "call_id").agg(F.count(F.lit(1)).alias("k"))
+                               .select(F.col("conv_id").alias("c"), F.col("call_id").alias("i"), "k"),
+                               F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("call_id") == F.col("i"))).drop("c", "i"),
+                    f"{path}/counted")
+    single = counted.filter("k = 1").select("conv_id", "call_id", F.col("needed").alias("up"))
+    hops = chains(single, counted.count() + 1, path)
+    who = counted.select("conv_id", "call_id").distinct()
+
+    # Several needs: each leads, through its chain, to a call without need or to another of them.
+    several = counted.filter("k > 1").alias("l").join(hops.alias("r"), _on("l.needed = r.call_id"), "left").select(
+        "l.conv_id", "l.call_id", F.coalesce("r.up", "l.needed").alias("up"), (F.coalesce("r.steps", F.lit(0)) + 1).alias("steps"))
+    waiting = _mark(several, who, "up").withColumn("reached", F.when(~F.col("met"), F.col("steps"))).drop("met")
+    found = who.select("*", F.lit(0).alias("level")).filter(F.lit(False))
+    for turn in itertools.count():
+        waiting = saved(waiting, f"{path}/waiting{turn}")
+        free = waiting.groupBy("conv_id", "call_id").agg(F.max("reached").alias("level"), F.every(F.col("reached").isNotNull()).alias("free"))
+        free = free.filter("free").drop("free").alias("l").join(found.alias("r"), _on("l.call_id = r.call_id"), "left_anti")
+        free = saved(free, f"{path}/level{turn}")
+        if free.isEmpty():
+            break
+        found = found.unionAll(free)
+        waiting = waiting.alias("l").join(free.alias("r"), _on("l.up = r.call_id"), "left").select(
+            "l.conv_id", "l.call_id", "l.up", "l.steps", F.coalesce("l.reached", F.col("r.level") + F.col("l.steps")).alias("reached"))
+
+    ends = _mark(hops, who, "up").alias("l").join(found.alias("r"), _on("l.up = r.call_id"), "left")
+    level = F.when(~F.col("l.met"), F.col("l.steps")).otherwise(F.col("r.level") + F.col("l.steps"))
+    return ends.select("l.conv_id", "l.call_id", level.alias("level")).filter("level is not null").unionAll(found)
 
 
 @F.arrow_udf(StringType())
@@ -200,19 +239,22 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     calls, results = unpack(messages)
     calls = calls.withColumn("c", checked("name", "raw")).select("conv_id", "turn", "call_id", "name", "c.*")
     calls = saved(calls, f"{path}/calls")
-    first = calls.groupBy("conv_id", "call_id").agg(F.min("turn").alias("first"))
-    known = first.select("conv_id", "call_id").filter("call_id is not null")
+    known = calls.select("conv_id", "call_id").filter("call_id is not null").distinct()
     needs = calls.filter("call_id is not null").select("conv_id", "call_id", F.explode("needs").alias("needed")).distinct()
-    met = needs.alias("l").join(known.alias("r"), _on("l.needed = r.call_id"), "left_semi")
-    missing = (_without(needs, known, "needed").groupBy("conv_id", "call_id")
-               .agg(F.concat_ws("; ", F.sort_array(F.collect_set(F.concat(F.lit("no call "), "needed")))).alias("missing")))
-    waits = met.select("conv_id", "call_id").distinct().withColumn("waits", F.lit(True))
-    answer = (results.groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "content")).alias("answer")))
-
-    rows = calls
-    for part, column in ((first, "first"), (answer, "answer"), (missing, "missing"), (waits, "waits"),
-                         (levels(met, path), "level")):
-        rows = rows.alias("l").join(part.alias("r"), _on("l.call_id = r.call_id"), "left").select("l.*", f"r.{column}")
+    needs = saved(_mark(needs, known, "needed"), f"{path}/needs")
+    met = needs.filter("met").drop("met")
+
+    # What is known of each (conversation, id), from all sides, in one aggregate.
+    sides = {"first": (calls, F.col("turn")), "answer": (results, F.struct("turn", "content")),
+             "missing": (needs.filter("not met"), F.concat(F.lit("no call "), "needed")),
+             "waits": (met, F.lit(True)), "level": (levels(met, path), F.col("level"))}
+    parts = [rows.select("conv_id", "call_id", value.alias(name)) for name, (rows, value) in sides.items()]
+    facts = functools.reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    facts = facts.groupBy("conv_id", "call_id").agg(
+        F.min("first").alias("first"), F.min("answer").alias("answer"), F.max("waits").alias("waits"), F.max("level").alias("level"),
+        F.array_join(F.sort_array(F.collect_set("missing")), "; ").alias("missing"))
+    rows = calls.alias("l").join(facts.alias("r"), _on("l.call_id = r.call_id"), "left")
+    rows = rows.select("l.*", "r.first", "r.answer", "r.waits", "r.level", F.nullif("r.missing", F.lit("")).alias("missing"))
     later = F.coalesce(F.col("turn") != F.col("first"), F.lit(False))
     status = F.when(later, "repeated").when(F.col("answer").isNull(), "no_result").otherwise("linked")
     errors = F.concat_ws("; ", F.when(F.col("errors") != "", F.col("errors")), "missing",
@@ -223,7 +265,7 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
         (errors == "").alias("valid"), errors.alias("errors"),
         _record("arguments", "call_id", "name", F.when(~later, F.col("answer.content"))).alias("json"))
     nothing = F.lit(None).cast("string")
-    alone = _without(results, known).select(
+    alone = _mark(results, known).filter("not met").select(
         "conv_id", "turn", "call_id", nothing.alias("name"), F.lit("no_call").alias("status"),
         F.lit(None).cast("int").alias("level"), F.lit(False).alias("valid"), F.lit("no call").alias("errors"),
         _record(nothing, "call_id", nothing, "content").alias("json"))

@@ -46,6 +46,21 @@ def test_linking_and_order(spark):
     assert got[1, 3].valid and not got[1, 7].valid
 
 
+def test_levels_of_long_chains_and_joins(spark):
+    refs = lambda *ids: {"a": 1, "tags": [t.REFERENCE + i for i in ids]}
+    rows = [call(1, i, f"c{i}", refs(*([f"c{i - 1}"] if i else []))) for i in range(70)]
+    rows += [call(1, 100, "two", refs("c69", "c3")), call(1, 101, "three", refs("two", "c1")), call(1, 102, "after", refs("three")),
+             call(1, 103, "x", refs("y")), call(1, 104, "y", refs("z")), call(1, 105, "z", refs("x")), call(1, 106, "tail", refs("x")),
+             call(1, 107, "both", refs("x", "c0")), call(1, 108, "self", refs("self"))]
+    rows += [call(None, i, f"c{i}", refs(*([f"c{i - 1}"] if i else []))) for i in range(3)]
+    got = {(r.conv_id, r.call_id): (r.level, r.errors) for r in linked(spark, rows).collect()}
+    assert [got[1, f"c{i}"][0] for i in range(70)] == list(range(70))
+    assert [got[1, i][0] for i in ("two", "three", "after")] == [70, 71, 72]
+    for i in ("x", "y", "z", "tail", "both", "self"):
+        assert got[1, i][0] is None and got[1, i][1].endswith("cycle")
+    assert [got[None, f"c{i}"][0] for i in range(3)] == [0, 1, 2]
+
+
 @pytest.mark.parametrize("arguments,errors", [
     ({"a": 1}, ""), ({}, "/a: required"), ({"a": True}, "/a: type"), ([], "/: type"), ("{", "/: not JSON"), (None, "/: not JSON"),
     ('{"a":1,"a":2}', "/: not JSON"), ('{"a":NaN}', "/: not JSON"), ('{"a":1e999}', "/: not JSON"),
