@@ -23,12 +23,11 @@ def connected(links: DataFrame, path: str) -> DataFrame:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select(
             "node", F.least("node", "near").alias("up"))
-        parent = saved(parent, f"{path}/parent{len(steps)}")
         above = parent.select(F.col("node").alias("up"), F.col("up").alias("top"))
         step = saved(parent.join(above, "up").select("node", F.col("top").alias("label")), f"{path}/step{len(steps)}")
         for end in ("a", "b"):
             edges = edges.join(step.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("label", end)
-        edges = saved(edges.select("a", "b").filter("a <> b").distinct(), f"{path}/edges{len(steps)}")
+        edges = saved(edges.select("a", "b").filter("a <> b"), f"{path}/edges{len(steps)}")
         steps.append(step)
     labels = steps[0]
     for step in steps[1:]:

@@ -9,11 +9,11 @@ prefixes are joined; the other orders' prefixes of the surviving candidates
 are intersected; what is left is verified on the whole texts.
 
 Equal sets are one node.  The component of a node, not every pair, is asked
-for, so while a shingle's nodes would make too many pairs, only a few hubs a
-round are paired with the members of other components; linked nodes drop out.
-Once the pairs across components are at most ``PAIRS_PER_POSTING`` per
-posting, all of them are tried.  No link between different texts is lost, and
-no round makes more rows than ``HUBS`` per posting.
+for, so while a shingle's nodes would make more pairs than there are postings,
+only one hub a round is paired with the members of other components; linked
+nodes drop out.  After that (at the latest after ``HUB_TURNS`` rounds) all
+pairs across components are tried that share enough of their prefixes.  No
+link between different texts is lost.
 
 A shingle's sketch count bounds its postings: those under ``GROUP_ROWS`` are
 grouped in one place, others are only ever combined map-side and joined under
@@ -50,8 +50,7 @@ SKETCH_BITS = 20
 SLICE = 1 << 13
 GROUP_ROWS = 1000
 SALTS = 32
-HUBS = 8
-PAIRS_PER_POSTING = 4
+HUB_TURNS = 3
 FILTER_BITS = 23  # of the bitmap that spares unneeded texts the shuffle
 #: Odd multipliers, one per order and one for combining word hashes.
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
@@ -159,15 +158,24 @@ def prefixes(rows: DataFrame, counts: Broadcast, orders: int, percent: int) -> D
     return rows.select("doc_id", "text").mapInArrow(run, ddl)
 
 
-def shared_postings(docs: DataFrame) -> DataFrame:
-    """(token, node, n, salt) of first-order prefix shingles that two nodes or more may share."""
-    few = docs.select(F.explode("few").alias("token"), "node", "n")
+def shared_postings(docs: DataFrame, path: str, percent: int) -> DataFrame:
+    """(token, node, n, salt, shared) of first-order prefix shingles that two
+    nodes or more may share; ``shared`` counts the node's shingles here.  A
+    node that shares too few for any set size of a shingle is left out of it."""
     by_token = Window.partitionBy("token")
-    group = F.min("node").over(by_token) != F.max("node").over(by_token)
-    few = few.withColumn("shared", group).filter("shared").select("token", "node", "n", F.lit(0).alias("salt"))
-    many = docs.select(F.explode("many").alias("token"), "node", "n").select(
-        "token", "node", "n", (F.pmod("node", F.lit(SALTS)) + 1).cast("int").alias("salt"))
-    return few.unionAll(many)
+    few = docs.select(F.explode("few").alias("token"), "node", "n").select(
+        "*", F.min("n").over(by_token).alias("least"), F.max("n").over(by_token).alias("most"),
+        (F.min("node").over(by_token) != F.max("node").over(by_token)).alias("in_two"))
+    few = few.filter("in_two").dropDuplicates(["token", "node"])
+    few = few.select("token", "node", "n", F.lit(0).alias("salt"), "least", "most")
+    many = docs.select(F.explode("many").alias("token"), "node", "n").distinct().select(
+        "token", "node", "n", (F.pmod("node", F.lit(SALTS)) + 1).cast("int").alias("salt"),
+        F.lit(None).cast("bigint").alias("least"), F.lit(None).cast("bigint").alias("most"))
+    found = saved(few.unionAll(many), f"{path}/found")
+    shared = found.groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
+    # Least at either end of the sizes; 1 less, as rounding bends the curve between.
+    need = F.least(*[_need(F.col("n"), F.col(c), percent) for c in ("least", "most")])
+    return found.join(shared, "node").filter(F.col("shared") >= F.coalesce(need - 1, F.lit(1))).drop("least", "most")
 
 
 def _salts(salted) -> Column:
@@ -176,26 +184,44 @@ def _salts(salted) -> Column:
 
 
 def _live(postings: DataFrame) -> DataFrame:
-    """Shingles with nodes of two components or more: their largest component
-    and how many pairs of nodes lie in different ones."""
-    parts = postings.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"), F.max("salt").alias("salted"))
+    """Shingles with nodes of two components or more: their largest component,
+    how many pairs of nodes lie in different ones, and the hub: the node with
+    the largest part of its prefix shared, so that most of its kin link to it."""
+    alone = F.col("shared") / F.col("n")
+    parts = postings.groupBy("token", "comp").agg(
+        F.count(F.lit(1)).alias("k"), F.max("salt").alias("salted"), F.max(F.struct(alone, "node", "n", "comp", "shared")).alias("hub"))
     return (parts.groupBy("token").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("same"),
-                                       F.max(F.struct("k", "comp"))["comp"].alias("big"), F.max("salted").alias("salted"))
-            .withColumn("across", (F.col("all") * F.col("all") - F.col("same")) / 2).filter("across > 0"))
+                                       F.max(F.struct("k", "comp"))["comp"].alias("big"), F.max("salted").alias("salted"),
+                                       F.max("hub").alias("hub"))
+            .withColumn("across", (F.col("all") * F.col("all") - F.col("same")) / 2).filter("across > 0")
+            .withColumn("salt", F.explode(_salts(F.col("salted")))))
 
 
-def _hubs(postings: DataFrame) -> DataFrame:
-    """Up to HUBS nodes per shingle: the first of each of HUBS hash slots."""
-    slot = F.pmod(F.xxhash64("node"), F.lit(HUBS))
-    firsts = postings.groupBy("token", slot.alias("slot")).agg(F.min(F.struct("comp", "node", "n")).alias("hub"))
-    return firsts.groupBy("token").agg(F.collect_list("hub").alias("hubs"))
+def _prefix_length(n: Column, percent: int) -> Column:
+    return n - F.ceil(n * percent / 100) + 1
 
 
-def _pair(x: str, y: str, percent: int) -> tuple[Column, list[Column]]:
-    """For nodes ``x`` and ``y`` (prefixes of node, n, comp): may they link, and the pair (a, b)."""
-    n, m, i, j = F.col(f"{x}n"), F.col(f"{y}n"), F.col(f"{x}node"), F.col(f"{y}node")
-    fits = F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m)
-    return fits & (F.col(f"{x}comp") != F.col(f"{y}comp")), [F.least(i, j).alias("a"), F.greatest(i, j).alias("b")]
+def _need(n: Column, m: Column, percent: int) -> Column:
+    """How many prefix shingles two sets of these sizes must share to link:
+    ``whole`` shingles must be equal, and of the set whose prefix ends first at
+    most those behind its prefix are equal elsewhere."""
+    whole = F.ceil((n + m) * percent / (100 + percent))
+    return whole - F.greatest(n - _prefix_length(n, percent), m - _prefix_length(m, percent))
+
+
+def _fits(x: str, y: str, percent: int) -> tuple[Column, Column]:
+    """May nodes ``x`` and ``y`` (prefixes of n, comp, shared) link, and how
+    many prefix shingles must they share for it?"""
+    n, m = F.col(f"{x}n"), F.col(f"{y}n")
+    need = F.greatest(_need(n, m, percent), F.lit(1))
+    fits = ((F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m))
+            & (F.least(F.col(f"{x}shared"), F.col(f"{y}shared")) >= need) & (F.col(f"{x}comp") != F.col(f"{y}comp")))
+    return fits, need
+
+
+def _ends(x: str, y: str) -> list[Column]:
+    i, j = F.col(f"{x}node"), F.col(f"{y}node")
+    return [F.least(i, j).alias("a"), F.greatest(i, j).alias("b")]
 
 
 def node_of(tokens: np.ndarray) -> int:
@@ -216,33 +242,32 @@ def _verified(a: pa.Array, x: pa.Array, b: pa.Array, y: pa.Array, percent: pa.Ar
     return pa.array(out, pa.bool_())
 
 
+def _linked(links: DataFrame) -> DataFrame:
+    """(node, label): nodes under one label are connected, though not every
+    connected pair has one label; enough to spare pairs, in one step."""
+    both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("up"))
+    above = near.select(F.col("node").alias("up"), F.col("up").alias("label"))
+    return near.join(above, "up").select("node", "label")
+
+
 @dataclass
 class JaccardJoin:
     """The state of one run: its tables under ``path``."""
     rows: DataFrame  # doc_id, text
-    docs: DataFrame  # doc_id, node, n, prefixes
-    nodes: DataFrame  # node, doc_id (the smallest)
+    nodes: DataFrame  # node, doc_id (the smallest), others (prefixes under the other orders)
     path: str
     percent: int
 
-    def agreed(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose prefixes meet under every other order too."""
-        ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-        others = (self.docs.filter("others is not null").select("node", "others").join(ends, "node", "left_semi")
-                  .dropDuplicates(["node"]))
-        both = (pairs.join(others.select(F.col("node").alias("b"), F.col("others").alias("ob")), "b")
-                .join(others.select(F.col("node").alias("a"), F.col("others").alias("oa")), "a"))
-        meets = F.forall(F.zip_with("oa", "ob", F.arrays_overlap), lambda m: m)
-        return both.filter(meets).select("a", "b")
-
-    def verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs whose whole texts reach the threshold."""
+    def verified(self, pairs: DataFrame, path: str) -> DataFrame:
+        """The pairs whose prefixes meet under every other order too and whose
+        whole texts reach the threshold.  A fixed-size bitmap of their document
+        ids spares the other nodes and texts the shuffle."""
         ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-        needed = saved(ends.join(self.nodes, "node"), f"{self.path}/{name}/needed")
-        spot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS))
-        at = spot("doc_id")
-        bits = needed.groupBy(F.floor(at / 64).cast("int").alias("word")).agg(
-            F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {1 << FILTER_BITS}) % 64 as int))")).alias("bits"))
+        needed = saved(ends.join(self.nodes.select("node", "doc_id"), "node"), f"{path}/needed")
+        spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).cast("int")
+        bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {1 << FILTER_BITS}) % 64 as int))")
+        bits = needed.groupBy(F.floor(spot / 64).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits"))
         bitmap = np.zeros(1 << (FILTER_BITS - 6), np.int64)
         for r in bits.collect():
             bitmap[r["word"]] = r["bits"]
@@ -252,56 +277,61 @@ class JaccardJoin:
             s = spots.to_numpy(zero_copy_only=False).astype(np.int64)
             return pa.array((bitmap[s >> 6] >> (s & 63)) & 1 == 1, pa.bool_())
 
-        texts = self.rows.filter("doc_id is not null").filter(wanted(spot("doc_id"))).join(needed, "doc_id")
-        texts = saved(texts.select("node", "text"), f"{self.path}/{name}/texts")
-        full = (pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-                .join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a"))
-        return full.filter(_verified("a", "ta", "b", "tb", F.lit(self.percent))).select("a", "b")
+        def ended(rows: DataFrame, value: str) -> DataFrame:
+            """Pairs (a, b) with the value of either end."""
+            end = lambda c: rows.select(F.col("node").alias(c), F.col(value).alias(f"{value}_{c}"))
+            return pairs.join(end("b"), "b").join(end("a"), "a")
+
+        known = F.col("doc_id").isNotNull()
+        meets = F.forall(F.zip_with("others_a", "others_b", F.arrays_overlap), lambda m: m)
+        pairs = ended(self.nodes.filter(known).filter(wanted(spot)), "others").filter(meets).select("a", "b")
+        pairs = saved(pairs, f"{path}/agreed")
+        texts = self.rows.filter(known).filter(wanted(spot)).join(needed, "doc_id")
+        texts = saved(texts.select("node", "text"), f"{path}/texts")
+        same = _verified("a", "text_a", "b", "text_b", F.lit(self.percent))
+        return ended(texts, "text").filter(same).select("a", "b")
 
     def links(self, postings: DataFrame) -> DataFrame:
         """Links that connect every component in full."""
         tried, found = [], []
-        few = PAIRS_PER_POSTING * postings.count()
+        few = postings.count()
         postings = postings.withColumn("comp", F.col("node"))
         for turn in itertools.count():
-            live = saved(_live(postings), f"{self.path}/turn{turn}/live")
-            left = live.agg(F.sum("across")).first()[0]
+            path = f"{self.path}/turn{turn}"
+            live = saved(_live(postings), f"{path}/live")
+            left = live.filter("salt < 2").agg(F.sum("across")).first()[0]
             if not left:
                 break
-            postings = postings.join(live.select("token", "big", F.explode(_salts(F.col("salted"))).alias("salt")), ["token", "salt"])
-            rest, pairs = (None, self._all_pairs(postings)) if left <= few else self._hub_pairs(postings, live)
-            pairs = pairs.distinct()
+            if last := left <= few or turn == HUB_TURNS:
+                pairs = self._all_pairs(postings, live)
+            else:
+                met = postings.join(live.select("token", "salt", "hub"), ["token", "salt"])
+                pairs = met.filter(_fits("", "hub.", self.percent)[0]).select(*_ends("", "hub.")).distinct()
             for earlier in tried:
                 pairs = pairs.join(earlier, ["a", "b"], "left_anti")
-            pairs = saved(pairs, f"{self.path}/turn{turn}/pairs")
+            pairs = saved(pairs, f"{path}/pairs")
             tried.append(pairs)
-            agreed = saved(self.agreed(pairs), f"{self.path}/turn{turn}/agreed")
-            found.append(saved(self.verified(agreed, f"turn{turn}"), f"{self.path}/turn{turn}/links"))
-            if rest is None:
+            found.append(saved(self.verified(pairs, path), f"{path}/links"))
+            if last:
                 break
-            labels = saved(connected(_union(found), f"{self.path}/turn{turn}/comp"), f"{self.path}/turn{turn}/labels")
+            labels = saved(_linked(_union(found)), f"{path}/labels")
+            rest = met.filter(F.col("node") != F.col("hub.node")).select("token", "node", "n", "salt", "shared")
             rest = rest.join(labels, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
-            postings = saved(rest, f"{self.path}/turn{turn}/postings")
+            postings = saved(rest, f"{path}/postings")
         return _union(found) if found else postings.filter(F.lit(False)).select(F.col("node").alias("a"), F.col("node").alias("b"))
 
-    def _all_pairs(self, postings: DataFrame) -> DataFrame:
-        """Every pair of nodes of a shingle that lie in different components:
-        those outside its largest one against all."""
+    def _all_pairs(self, postings: DataFrame, live: DataFrame) -> DataFrame:
+        """Every pair of nodes that lie in different components and share
+        enough of their prefixes: per shingle, the nodes outside its largest
+        component against all.  A pair not tried before still has all the
+        shingles it shares, as a hub leaves only shingles where it was tried."""
+        postings = postings.join(live.select("token", "salt", "big"), ["token", "salt"])
         minor = postings.filter("comp <> big").withColumn("salt", F.explode(_salts(F.col("salt"))))
-        minor = minor.select("token", "salt", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "comp")])
-        fits, pair = _pair("x_", "", self.percent)
+        minor = minor.select("token", "salt", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "comp", "shared")])
+        fits, need = _fits("x_", "", self.percent)
         once = (F.col("comp") == F.col("big")) | (F.col("x_node") < F.col("node"))
-        return minor.join(postings, ["token", "salt"]).filter(fits & once).select(*pair)
-
-    def _hub_pairs(self, postings: DataFrame, live: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(postings without the hubs, pairs of every hub with the other components' nodes)."""
-        hubs = _hubs(postings).join(live.select("token", "salted"), "token").select(
-            "token", "hubs", F.explode(_salts(F.col("salted"))).alias("salt"))
-        met = postings.join(hubs, ["token", "salt"])
-        fits, pair = _pair("", "hub.", self.percent)
-        pairs = met.withColumn("hub", F.explode("hubs")).filter(fits).select(*pair)
-        rest = met.filter(~F.exists("hubs", lambda h: h["node"] == F.col("node"))).select("token", "node", "n", "salt")
-        return rest, pairs
+        shared = minor.join(postings, ["token", "salt"]).filter(fits & once).select(*_ends("x_", ""), need.alias("need"))
+        return shared.groupBy("a", "b", "need").count().filter("count >= need").select("a", "b")
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -320,9 +350,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_bytes(text_col).alias("text"))
     counts = spark.sparkContext.broadcast(sketch(rows, orders))
     sets = saved(prefixes(rows, counts, orders, percent), f"{path}/docs")
-    nodes = saved(sets.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), f"{path}/nodes")
-    join = JaccardJoin(rows, sets, nodes, path, percent)
-    postings = saved(shared_postings(sets), f"{path}/postings")
+    nodes = sets.filter("node is not null").groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.first("others", ignorenulls=True).alias("others"))
+    nodes = saved(nodes, f"{path}/nodes")
+    join = JaccardJoin(rows, nodes, path, percent)
+    postings = saved(shared_postings(sets, path, percent), f"{path}/postings")
     links = join.links(postings)
     labels = saved(connected(links, f"{path}/comp"), f"{path}/labels")
     mine = nodes.join(labels, "node", "left").select("node", "doc_id", F.coalesce("label", "node").alias("label"))

@@ -63,13 +63,14 @@ def test_query_equals_all_pairs(spark):
     assert got == restated([(r.doc_id, r.text) for r in table(spark, SF_SMALL, "documents").collect()])
 
 
-@pytest.mark.parametrize("few,hubs,rows", [(4, 8, 1000), (0, 2, 3)])
-def test_families_and_chains(spark, monkeypatch, few, hubs, rows):
-    monkeypatch.setattr(j, "PAIRS_PER_POSTING", few)
-    monkeypatch.setattr(j, "HUBS", hubs)
+@pytest.mark.parametrize("turns,rows", [(0, 1000), (3, 3), (100, 1000)])
+def test_families_and_chains(spark, monkeypatch, turns, rows):
+    monkeypatch.setattr(j, "HUB_TURNS", turns)
     monkeypatch.setattr(j, "GROUP_ROWS", rows)
     shared = prose(7, 60)
     texts = family(prose(1, 150), 14, 3, 100) | family(prose(2, 40), 6, 1, 200)
+    for c, edits in enumerate((1, 2, 4, 6, 8, 12, 1, 3)):  # kin with many and few edits
+        texts |= family(prose(4, 200), 1, edits, 500 + c)
     texts |= {300 + i: prose(20 + i, 200) + " " + shared for i in range(12)}  # a common passage links nothing
     w = prose(3, 100).split()
     texts |= {400 + i: " ".join(w[i * 4:] + [f"tail{k}" for k in range(i * 4)]) for i in range(6)}  # a chain
