@@ -50,7 +50,7 @@ SKETCH_BITS = 20
 SLICE = 1 << 13
 GROUP_ROWS = 1000
 SALTS = 32
-HUB_TURNS = 3
+HUB_TURNS = 1
 FILTER_BITS = 23  # of the bitmap that spares unneeded texts the shuffle
 #: Odd multipliers, one per order and one for combining word hashes.
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
@@ -242,15 +242,6 @@ def _verified(a: pa.Array, x: pa.Array, b: pa.Array, y: pa.Array, percent: pa.Ar
     return pa.array(out, pa.bool_())
 
 
-def _linked(links: DataFrame) -> DataFrame:
-    """(node, label): nodes under one label are connected, though not every
-    connected pair has one label; enough to spare pairs, in one step."""
-    both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("up"))
-    above = near.select(F.col("node").alias("up"), F.col("up").alias("label"))
-    return near.join(above, "up").select("node", "label")
-
-
 @dataclass
 class JaccardJoin:
     """The state of one run: its tables under ``path``."""
@@ -307,14 +298,14 @@ class JaccardJoin:
             else:
                 met = postings.join(live.select("token", "salt", "hub"), ["token", "salt"])
                 pairs = met.filter(_fits("", "hub.", self.percent)[0]).select(*_ends("", "hub.")).distinct()
-            for earlier in tried:
-                pairs = pairs.join(earlier, ["a", "b"], "left_anti")
+            if tried:
+                pairs = pairs.join(_union(tried), ["a", "b"], "left_anti")
             pairs = saved(pairs, f"{path}/pairs")
             tried.append(pairs)
             found.append(saved(self.verified(pairs, path), f"{path}/links"))
             if last:
                 break
-            labels = saved(_linked(_union(found)), f"{path}/labels")
+            labels = saved(connected(_union(found), f"{path}/comp"), f"{path}/labels")
             rest = met.filter(F.col("node") != F.col("hub.node")).select("token", "node", "n", "salt", "shared")
             rest = rest.join(labels, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
             postings = saved(rest, f"{path}/postings")
