@@ -1,9 +1,11 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Three-word n-grams of the test items are looked up in every training text.
-Those rare in the corpus (and the rarer half of every item's, so that an item
-copied a million times keeps seeds) are seeds; a seed joins a stretch of the
-text to an item.  The stretch is aligned to the item word by word (local
+Those rare in the corpus are seeds, and, so that a copy repeated a million times
+keeps seeds, the rarer half of every item's that occur at all and the rarest of
+every run of words that alone would be a leak.  One seed joins a stretch of the
+text to an item; so do some of the item's other n-grams close together, however
+frequent each is.  The stretch is aligned to the item word by word (local
 alignment with gaps), which finds edited copies; the score is relative to a
 full match.
 
@@ -23,6 +25,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,8 @@ RARE_DOCS, RARE_SHARE = 5, 1e-4
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5  # of a full match
 RUN_WORDS = 13  # so many equal words in a row leak an item too
+CROWD_SHARE, CROWD_LEAST = 8, 2  # an eighth of a passage's n-grams close together, at least two, join like a seed
+CHUNK_WORDS = 2_000  # of a text, whose n-grams are counted at a time
 #: ASCII digits and letters, and all bytes beyond ASCII; the rest parts words.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
                    for c in range(256))
@@ -59,6 +64,11 @@ class Block:
     vocabulary: dict[bytes, int] = field(default_factory=dict)
     passages: list[tuple[int, np.ndarray]] = field(default_factory=list)  # (item_id, word numbers)
     grams: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # sorted keys
+    #: Where n-gram g stands: slots starts[g] to starts[g + 1] of (passage, position in it).
+    starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    holder: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    place: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    crowd: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # n-grams that join, by passage
 
     def numbers(self, text: str) -> np.ndarray:
         get = self.vocabulary.get
@@ -98,7 +108,14 @@ def block_of(items: list[tuple[int, list[bytes]]]) -> Block:
             start = max(0, min(start, len(at) - PASSAGE_WORDS))
             block.passages.append((item_id, at[start:start + PASSAGE_WORDS]))
     keys = [block.keys(at) for _, at in block.passages]
-    block.grams = np.unique(np.concatenate(keys)) if keys else block.grams
+    if keys:
+        block.grams, gram = np.unique(np.concatenate(keys), return_inverse=True)
+        sizes = np.array([len(k) for k in keys])
+        order = np.argsort(gram, kind="stable")
+        block.starts = np.searchsorted(gram[order], np.arange(len(block.grams) + 1))
+        block.holder = np.repeat(np.arange(len(keys)), sizes)[order]
+        block.place = np.concatenate([np.arange(n) for n in sizes])[order]
+        block.crowd = np.maximum(CROWD_LEAST, sizes // CROWD_SHARE)
     return block
 
 
@@ -142,19 +159,46 @@ def document_counts(docs: DataFrame, block: Block) -> tuple[np.ndarray, int]:
 
 
 def choose_seeds(block: Block, counts: np.ndarray, n: int) -> dict[int, list[tuple[int, int]]]:
-    """gram index -> (passage, position in it) for the rare n-grams."""
+    """gram index -> (passage, position in it) for the rare n-grams and the
+    rarest of every ``RUN_WORDS`` words, among those that occur."""
     rare = max(RARE_DOCS, int(RARE_SHARE * n))
     seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for p, (_, at) in enumerate(block.passages):
         where, index = block.find(at)
-        if len(index):
-            limit = max(rare, int(np.median(counts[index])))
-            for pos, g in zip(where.tolist(), index.tolist()):
-                if counts[g] <= limit:
-                    seeds[g].append((p, pos))
+        held = counts[index]
+        occurs = held > 0
+        if not occurs.any():
+            continue
+        keep = occurs & (held <= max(rare, int(np.median(held[occurs]))))
+        order = np.where(occurs, held, np.iinfo(np.int64).max)
+        runs = np.lib.stride_tricks.sliding_window_view(order, min(RUN_WORDS - SEED_WORDS + 1, len(order)))
+        keep[np.arange(len(runs)) + runs.argmin(axis=1)] = True
+        for i in np.flatnonzero(keep & occurs).tolist():
+            seeds[int(index[i])].append((p, int(where[i])))
     return dict(seeds)
 
 
+def crowds(block: Block, where: np.ndarray, index: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(position in the text, passage, position in it) of n-grams where enough of a
+    passage's stand about as far apart as in the passage.  A copy over ``MIN_SCORE`` is at
+    most two passages long and shifts by at most one, so two neighbouring bands of starts
+    hold it, and chunks overlap by two passages."""
+    last = int(where[-1]) if len(where) else -1
+    bands, slots = last // PASSAGE_WORDS + 3, len(block.holder) + 1
+    for start in range(0, last + 1, CHUNK_WORDS):
+        lo, hi = np.searchsorted(where, (start - 2 * PASSAGE_WORDS, start + CHUNK_WORDS))
+        gram = index[lo:hi]
+        n = block.starts[gram + 1] - block.starts[gram]
+        slot = np.repeat(block.starts[gram] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        pos, holder, place = np.repeat(where[lo:hi], n), block.holder[slot], block.place[slot]
+        band = holder * bands + (pos - place) // PASSAGE_WORDS + 1
+        key, size = np.unique(np.unique(band * slots + slot) // slots, return_counts=True)
+        follows = np.append(key[1:] == key[:-1] + 1, False)
+        enough = size + np.where(follows, np.append(size[1:], 0), 0) >= block.crowd[key // bands]
+        joined = np.isin(band, np.append(key[enough], key[enough & follows] + 1))
+        yield from zip(pos[joined].tolist(), holder[joined].tolist(), place[joined].tolist())
+
+
 def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int, int]:
     """(best local score / full score, longest run of equal words, end in text)."""
     steps = np.arange(len(text) + 1) * -GAP
@@ -180,11 +224,11 @@ def leaks(block: Block, seeds: dict[int, list[tuple[int, int]]], text: str) -> l
     at = block.numbers(text)
     where, index = block.find(at)
     spots: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for pos, g in zip(where.tolist(), index.tolist()):
-        for p, in_item in seeds.get(g, ()):
-            size = len(block.passages[p][1])
-            first = pos - in_item - size // 2
-            spots[p].append((max(0, first), min(len(at), first + 2 * size)))
+    joins = [(pos, p, in_item) for pos, g in zip(where.tolist(), index.tolist()) for p, in_item in seeds.get(g, ())]
+    for pos, p, in_item in chain(joins, crowds(block, where, index)):
+        size = len(block.passages[p][1])
+        first = pos - in_item - size // 2
+        spots[p].append((max(0, first), min(len(at), first + 2 * size)))
     found: dict[int, dict] = {}
     for p, stretches in spots.items():
         item_id, item = block.passages[p]

@@ -55,6 +55,26 @@ def test_frequent_leaks_keep_their_seeds(spark):
     assert {r.doc_id for r in got.collect()} == set(range(60))
 
 
+def test_frequent_excerpts_and_edited_copies_keep_their_seeds(spark):
+    bench = {i: prose(1000 + i, 40) for i in range(3)}
+    excerpt = " ".join(bench[0].split()[12:27])  # under half of the item, a leak by its run
+    changed = [w if i % 4 else f"new{i}" for i, w in enumerate(bench[1].split())]  # a quarter changed
+    docs = {i: prose(200 + i, 60) + " " + excerpt for i in range(30)}
+    docs |= {100 + i: prose(300 + i, 60) + " " + " ".join(changed) + " " + prose(400 + i, 60) for i in range(30)}
+    docs |= {200 + i: prose(500 + i, 60) for i in range(30)}
+    got = d.contamination(docs_of(spark, docs), items(spark, bench)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, 0) for i in range(30)} | {(100 + i, 1) for i in range(30)}
+
+
+def test_a_whole_copy_does_not_hide_frequent_edited_ones(spark):
+    leak = prose(1000, 40)
+    copy = edited(leak, 4, 0.25)
+    docs = {i: prose(200 + i, 60) + " " + copy + " " + prose(400 + i, 2500) for i in range(30)}
+    docs |= {100: leak} | {200 + i: prose(500 + i, 60) for i in range(30)}
+    got = d.contamination(docs_of(spark, docs), items(spark, {7: leak})).collect()
+    assert {r.doc_id for r in got} == {*range(30), 100}
+
+
 def test_blocks_agree(spark):
     docs, bench = table(spark, SF_SMALL, "documents"), table(spark, SF_SMALL, "benchmark")
     runs = [sorted(map(tuple, d.contamination(docs, bench, n).select("doc_id", "item_id", "score").collect())) for n in (100_000, 300)]
