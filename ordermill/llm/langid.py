@@ -5,12 +5,17 @@ borders; each n-gram is hashed to an embedding, the mean embedding goes
 through a linear softmax.  Both are trained by stochastic gradient descent in
 numpy on a bounded sample of labelled texts (``per_lang`` expected rows of
 each of at most ``max_langs`` languages, whole texts).  A fifth of the sample
-is kept apart to scale the confidence and to place the rejection threshold.
+is kept apart to scale the confidence and to place the two rejection limits:
+the confidence, and, as a softmax is confident on what it never saw, how usual
+the n-grams are for the predicted language (mean log frequency against that of
+its own texts).  Each lies halfway between the least right predictions and
+texts with shuffled letters (the second also texts of a left-out language).
 
 Cases: null texts and texts without a letter are ``und`` with score 0 and
 rejected; a table without labelled rows predicts ``und`` everywhere; repeated
 rows get equal predictions; a null id is used neither as held out nor for
-learning; equal scores go to the first language in sorted order.
+learning; equal scores go to the first language in sorted order; under
+``LEAST_TEXTS`` labelled texts are too few to say which n-grams are usual.
 """
 
 from __future__ import annotations
@@ -34,6 +39,8 @@ RATE = 1.0
 PER_LANG = 1500
 MAX_LANGS = 200
 ACCEPT_SHARE = 0.999  # of right calibration predictions that stay accepted
+LEAST_TEXTS = 50  # to keep a fifth apart
+FEW_GRAMS = 20.0  # so many n-grams count half against a text
 UNKNOWN = "und"
 #: ASCII letters lower-cased, bytes of other scripts kept, the rest a space.
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -48,6 +55,9 @@ class LangModel:
     bias: np.ndarray
     temperature: float
     threshold: float
+    known: np.ndarray | None = None  # bucket -> log frequency by language
+    usual: np.ndarray | None = None  # its mean over a language's own texts
+    least: float = -np.inf  # least familiarity that is accepted
 
 
 def has_letter(text: str) -> bool:
@@ -73,6 +83,47 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
+def familiarity(known: np.ndarray, usual: np.ndarray, lang: int, grams: np.ndarray) -> float:
+    """How usual the text's n-grams are for the language; 0 as in its own texts, few n-grams weigh less."""
+    return float((known[grams, lang].mean(dtype=np.float64) - usual[lang]) * len(grams) / (len(grams) + FEW_GRAMS))
+
+
+def shuffled_letters(text: str, rng: np.random.Generator) -> str:
+    """The text's letters in random order; all else stays in place."""
+    letters = iter(rng.permutation([c for c in text if c.isalpha()]).tolist())
+    return "".join(next(letters) if c.isalpha() else c for c in text)
+
+
+def usual_grams(texts: list[str], y: np.ndarray, fit: np.ndarray, apart: np.ndarray, logits: np.ndarray, bias: np.ndarray,
+                rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, float]:
+    """(known, usual, least) of a LangModel: counted on ``fit``, placed on ``apart``."""
+    counts = np.full((1 << BUCKET_BITS, len(bias)), 0.5)
+    for i in fit:
+        counts[:, y[i]] += np.bincount(gram_buckets(texts[i]), minlength=1 << BUCKET_BITS)
+    known = np.log(counts / counts.sum(axis=0)).astype(np.float32)
+    held = [(i, g) for i in apart if len(g := gram_buckets(texts[i]))]
+    own = [known[g, y[i]].mean(dtype=np.float64) for i, g in held]
+    at = np.array([y[i] for i, _ in held], dtype=np.int64)
+    usual = np.array([np.mean([v for v, k in zip(own, at) if k == lang]) if (at == lang).any() else np.mean(own or [0.0])
+                      for lang in range(len(bias))])
+    right, wrong = [], []
+    for i, g in held:
+        z = logits[g].mean(axis=0, dtype=np.float64) + bias
+        if int(z.argmax()) == y[i]:
+            right.append(familiarity(known, usual, y[i], g))
+        if len(bias) > 1:  # as if its language had not been learned
+            z[y[i]] = -np.inf
+            wrong.append(familiarity(known, usual, int(z.argmax()), g))
+        noise = gram_buckets(shuffled_letters(texts[i], rng))
+        if len(noise):
+            best = int((logits[noise].mean(axis=0, dtype=np.float64) + bias).argmax())
+            wrong.append(familiarity(known, usual, best, noise))
+    if not right:
+        return known, usual, -np.inf
+    least = float(np.quantile(right, 1 - ACCEPT_SHARE))
+    return known, usual, min(least, (least + float(np.median(wrong))) / 2 if wrong else least)
+
+
 def train(texts: list[str], labels: list[str], seed: int = 5) -> LangModel | None:
     langs = sorted(set(labels))
     if not langs:
@@ -84,7 +135,7 @@ def train(texts: list[str], labels: list[str], seed: int = 5) -> LangModel | Non
     emb = rng.uniform(-1 / DIM, 1 / DIM, (1 << BUCKET_BITS, DIM)).astype(np.float32)
     out, bias = np.zeros((len(langs), DIM), np.float32), np.zeros(len(langs), np.float32)
     order = rng.permutation(len(texts))
-    apart, fit = (order[:len(order) // 5], order[len(order) // 5:]) if len(order) >= 50 else (order, order)
+    apart, fit = (order[:len(order) // 5], order[len(order) // 5:]) if len(order) >= LEAST_TEXTS else (order, order)
     steps, done = EPOCHS * len(fit), 0
     for _ in range(EPOCHS):
         for i in rng.permutation(fit):
@@ -100,20 +151,30 @@ def train(texts: list[str], labels: list[str], seed: int = 5) -> LangModel | Non
     logits = emb @ out.T
     held = np.array([(logits[bags[i][0]] * bags[i][1]).sum(axis=0) + bias for i in apart])
     grid = np.geomspace(0.1, 20, 60)
+    grid = grid[grid >= 1]  # a sample without errors is no reason to sharpen
     loss = [-np.log(softmax(held / t)[np.arange(len(apart)), y[apart]] + 1e-12).mean() for t in grid]
     heat = float(grid[int(np.argmin(loss))])
     p = softmax(held / heat)
     right = p.max(axis=1)[p.argmax(axis=1) == y[apart]]
     least = float(np.quantile(right, 1 - ACCEPT_SHARE)) if len(right) else 0.0
-    return LangModel(langs, logits, bias, heat, min(least, 1.5 / max(len(langs), 2)))
+    noise = [g for i in apart if len(g := gram_buckets(shuffled_letters(texts[i], rng)))]
+    if len(noise):
+        unsure = [softmax((logits[g].mean(axis=0, dtype=np.float64) + bias) / heat).max() for g in noise]
+        least = min(least, (least + float(np.median(unsure))) / 2)
+    if len(order) < LEAST_TEXTS:
+        return LangModel(langs, logits, bias, heat, least)
+    return LangModel(langs, logits, bias, heat, least, *usual_grams(texts, y, fit, apart, logits, bias, rng))
 
 
 def predict(model: LangModel | None, text: str | None) -> tuple[str, float, bool]:
     if model is None or text is None or not has_letter(text):
         return UNKNOWN, 0.0, False
-    p = softmax((model.table[gram_buckets(text)].mean(axis=0, dtype=np.float64) + model.bias) / model.temperature)
+    grams = gram_buckets(text)
+    p = softmax((model.table[grams].mean(axis=0, dtype=np.float64) + model.bias) / model.temperature)
     best = int(p.argmax())
-    return model.langs[best], float(p[best]), bool(p[best] >= model.threshold)
+    accepted = p[best] >= model.threshold and (
+        model.known is None or familiarity(model.known, model.usual, best, grams) >= model.least)
+    return model.langs[best], float(p[best]), bool(accepted)
 
 
 def fit(docs: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS, learn: Column | None = None) -> LangModel | None:

@@ -1,6 +1,7 @@
 """Language ID: held-out accuracy, rejection, odd rows."""
 
 import numpy as np
+import pytest
 
 from ordermill.llm import langid
 from ordermill.llm.common import table
@@ -32,6 +33,19 @@ def test_odd_rows(spark):
     assert langid.fit(no_docs(spark)) is None and langid.fit(docs.filter("lang is null")) is None
 
 
+@pytest.mark.parametrize("left_out", ["de", "en", "es", "fr"])
+def test_left_out_language_and_noise_are_rejected(spark, left_out):
+    docs = table(spark, SF_ORACLE, "documents").filter("text is not null and lang is not null")
+    model = langid.fit(docs.filter(f"lang <> '{left_out}'"), learn=langid.learning_rows())
+    rows = docs.filter(~langid.learning_rows()).select("text", "lang").collect()
+    accepted = lambda texts: np.mean([langid.predict(model, t)[2] for t in texts])
+    rng = np.random.default_rng(4)
+    noise = ["".join(chr(97 + rng.integers(26)) if c.isalpha() else c for c in r.text) for r in rows]
+    assert accepted(r.text for r in rows if r.lang != left_out) >= 0.98
+    assert accepted(r.text for r in rows if r.lang == left_out and len(r.text) > 100) <= 0.1
+    assert accepted(t for t in noise if len(t) > 100) <= 0.02
+
+
 def test_one_language_and_equal_scores():
     one = langid.train(["aa bb"] * 3, ["xx"] * 3)
     assert langid.predict(one, "zz")[:2] == ("xx", 1.0)
