@@ -1,9 +1,10 @@
 """License scans by ordered signature rules.
 
 Some 500 regexes come from hand-written forms over a table of licenses: grant
-sentences, SPDX tags, addresses, plain names.  Each rule waits for a keyword;
-one Aho-Corasick pass over the text says which keywords it holds, so a text
-without any costs one scan.  Found intervals are settled in order of
+sentences, SPDX tags, addresses, plain names.  A space in a rule is any run of
+white space.  Each rule waits for a keyword that every match of it holds; one
+Aho-Corasick pass over the text says which keywords it holds, so a text without
+any costs one scan.  Found intervals are settled in order of
 priority, then length: an interval inside, or overlapping, one already taken
 is dropped.  Four base phrases are counted apart and always stay.
 
@@ -29,7 +30,7 @@ from .common import spark_struct, structs, table, text_bytes
 #: Base phrases and their labels.
 BASE_PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-#: label, keyword that must be in the text, regex of the name, SPDX id regex
+#: label, keyword (or keywords by |) of which every match of the name holds one, regex of the name, SPDX id regex
 LICENSES = (
     ("agpl-3.0", "affero", r"gnu affero general public licen[sc]e(?:,? v(?:ersion)?\.? ?3(?:\.0)?)?", r"agpl-3\.0(?:-only|-or-later|\+)?"),
     ("lgpl-2.1", "lesser general", r"gnu lesser general public licen[sc]e,? v(?:ersion)?\.? ?2\.1", r"lgpl-2\.1(?:-only|-or-later|\+)?"),
@@ -102,7 +103,7 @@ LICENSES = (
     ("gpl", "general public", r"(?:gnu )?general public licen[sc]e", r"gpl"),
     ("apache", "apache", r"apache (?:software )?licen[sc]e", r"apache"),
     ("cc-by", "cc", r"cc[ -]by", r"cc-by"),
-    ("mit", "mit", r"(?:mit|expat) licen[sc]e", r"mit"),
+    ("mit", "mit|expat", r"(?:mit|expat) licen[sc]e", r"mit"),
     ("bsd", "bsd", r"bsd(?:-style)? licen[sc]e", r"bsd"),
 )
 
@@ -120,7 +121,7 @@ FORMS = (
 
 #: Hand-written signatures outside the forms: label, keyword, priority, confidence, regex.
 SIGNATURES = (
-    ("mit", "without restriction", 1, 0.95, r"permission is hereby granted, free of charge, to any person obtaining a copy"),
+    ("mit", "permission is hereby", 1, 0.95, r"permission is hereby granted, free of charge, to any person obtaining a copy"),
     ("isc", "permission to use", 1, 0.9, r"permission to use, copy, modify, and/or distribute this software for any purpose"),
     ("bsd", "redistribution", 1, 0.9, r"redistribution and use in source and binary forms, with or without modification"),
     ("gpl", "free software foundation", 1, 0.85, r"as published by the free software foundation"),
@@ -150,14 +151,21 @@ class Rule:
     pattern: re.Pattern
 
 
+def spaced(rx: str) -> str:
+    """The regex with any white space where it has a space."""
+    rx = rx.replace("[ -]", "(?:-| )").replace("[- ]", "(?:-| )").replace(r"[\w ,/]", r"(?:[\w,/]|\s++)")
+    swap = {" ": r"\s+", " ?": r"\s*"}
+    return re.sub(r"\[[^]]*\]| \??", lambda m: swap.get(m[0], m[0]), rx)
+
+
 def rules() -> list[Rule]:
     """All rules in order: hand-written signatures, then every form of every license."""
     made = [(label, key, prio, conf, rx) for label, key, prio, conf, rx in SIGNATURES]
     for label, key, name, spdx in LICENSES:
         for form, prio, conf, rx in FORMS:
-            keyword = "spdx-license-identifier" if form == "spdx" else key
+            keyword = {"spdx": "spdx-license-identifier", "field": "licen"}.get(form, key)
             made.append((label, keyword, prio, conf, rx.format(name=name, spdx=spdx)))
-    return [Rule(i, label, key, prio, conf, re.compile(rx)) for i, (label, key, prio, conf, rx) in enumerate(made)]
+    return [Rule(i, label, key, prio, conf, re.compile(spaced(rx))) for i, (label, key, prio, conf, rx) in enumerate(made)]
 
 
 def keyword_gate(found: list[Rule]) -> ahocorasick.Automaton:
@@ -165,7 +173,8 @@ def keyword_gate(found: list[Rule]) -> ahocorasick.Automaton:
     gate = ahocorasick.Automaton()
     waiting: dict[str, list[Rule]] = {}
     for r in found:
-        waiting.setdefault(r.keyword, []).append(r)
+        for word in r.keyword.split("|"):
+            waiting.setdefault(word, []).append(r)
     for word, mine in waiting.items():
         gate.add_word(word, mine)
     gate.make_automaton()
@@ -174,8 +183,9 @@ def keyword_gate(found: list[Rule]) -> ahocorasick.Automaton:
 
 def detections(text: str, gate: ahocorasick.Automaton) -> list[tuple[int, int, Rule]]:
     """Settled, non-overlapping (start, end, rule), in text order."""
-    awake = {id(mine): mine for _, mine in gate.iter(text)}
-    spans = [(m.start(), m.end(), r) for mine in awake.values() for r in mine for m in r.pattern.finditer(text)]
+    awake = {id(mine): mine for _, mine in gate.iter(" ".join(text.split()))}
+    waked = {r.order: r for mine in awake.values() for r in mine}
+    spans = [(m.start(), m.end(), r) for r in waked.values() for m in r.pattern.finditer(text)]
     spans.sort(key=lambda s: (s[2].priority, s[0] - s[1], s[2].order, s[0]))
     taken: list[tuple[int, int, Rule]] = []  # in text order, so only its neighbours can touch a new one
     for s in spans:

@@ -1,6 +1,8 @@
 """License scan: base phrases against a restatement, rules, suppression."""
 
+import random
 import re
+from types import SimpleNamespace
 
 from ordermill.llm import license_scan as s
 from ordermill.llm.common import table
@@ -59,6 +61,43 @@ def test_longer_and_earlier_rules_suppress_contained_ones():
     assert found("a license to thrill") == []
 
 
+def example(parsed, rng):
+    """A string that the parsed regex matches, its alternatives drawn at random."""
+    out = ""
+    for op, v in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(v)
+        elif op == "IN":
+            kind, first = str(v[0][0]), v[0][1]
+            out += " " if str(first) == "CATEGORY_SPACE" else "w" if kind == "CATEGORY" else chr(first if kind == "LITERAL" else first[0])
+        elif op == "BRANCH":
+            out += example(rng.choice(v[1]), rng)
+        elif op == "SUBPATTERN":
+            out += example(v[3], rng)
+        elif op in ("MAX_REPEAT", "POSSESSIVE_REPEAT"):
+            out += "".join(example(v[2], rng) for _ in range(rng.randint(v[0], max(v[0], min(v[1], 1)))))
+    return out
+
+
+def test_the_gate_skips_only_rules_that_cannot_match():
+    rng, rules = random.Random(6), s.rules()
+    every = SimpleNamespace(iter=lambda text: [(0, rules)])
+    for r in rules:
+        for text in {example(re._parser.parse(r.pattern.pattern), rng) for _ in range(12)}:
+            assert r.pattern.search(text), (r.label, text)
+            for t in (text, text.replace(" ", "\n ")):
+                awake = {x.order for _, mine in GATE.iter(" ".join(t.split())) for x in mine}
+                assert r.order in awake or not r.pattern.search(t), (r.label, t)
+        assert s.detections(text, GATE) == s.detections(text, every)
+
+
+def test_spdx_fields_and_broken_names():
+    assert found("license: mpl-2.0") == ["mpl-2.0"] and found("license = gpl-3.0-only") == ["gpl-3.0"]
+    assert found("covered by the GNU Lesser General\n  Public License") == ["lgpl"]
+    assert found("the Expat License") == ["mit"]
+
+
 def test_many_places_in_a_long_text_stay_linear():
     text = "cc by " * 20_000
     row = s.scan(text.encode(), GATE)
