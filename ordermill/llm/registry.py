@@ -6,6 +6,7 @@ from .decontam import op4_decontamination
 from .langid import op9_language_id
 from .license_scan import op6_license_scan
 from .lm_score import op8_lm_score
+from .merkle import MERKLE_SQL, op13_merkle_manifest
 from .mixing import MIXING_SQL, op1_mixing
 from .ngram_join import op7_ngram_join
 from .quality_rules import op3_quality_rules
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_lm_score": op8_lm_score,
     "op9_language_id": op9_language_id,
     "op10_rule_ensemble": op10_rule_ensemble,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE = {
     "op1_mixing": MIXING_SQL,
     "op2_warc": WARC_SQL,
     "op5_tool_calls": TOOL_CALLS_SQL,
+    "op13_merkle_manifest": MERKLE_SQL,
 }
