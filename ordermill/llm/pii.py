@@ -166,7 +166,7 @@ def entities(text: Column) -> Column:
     return F.concat(*[of(k) for k in KINDS])
 
 
-def disclosing(found: DataFrame, texts: DataFrame) -> DataFrame:
+def disclosing(found: DataFrame, texts: DataFrame, path: str) -> DataFrame:
     """entity, term, replacement: the terms that disclose an entity of
     ``found`` (row, entities), given all ``texts`` (text)."""
     total = texts.agg(F.count(F.lit(1)).alias("total"))
@@ -180,7 +180,7 @@ def disclosing(found: DataFrame, texts: DataFrame) -> DataFrame:
     n = total.scalar()
     shared = F.log(n * F.col("with_both") / (F.col("with_entity") * F.col("with_token")))
     share = (shared / F.log(n / F.col("with_entity"))).alias("share")  # null where all documents hold the entity
-    shares = beside.select("entity", "token", share)
+    shares = saved(beside.select("entity", "token", share), f"{path}/shares")  # read twice, counted once
     general = shares.select("entity", F.col("token").alias("general"), F.col("share").alias("general_share"))
     terms = shares.filter((F.col("share") >= DISCLOSED) & ~F.col("token").endswith("*")).withColumn("general", stem(F.col("token")))
     safe = F.coalesce(F.col("general_share"), F.lit(1.0)) < DISCLOSED
@@ -206,7 +206,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = saved(rows.select("doc_id", "entities", F.when(held, F.col("text")).alias("text"), F.when(held, F.sha2("text", 256)).alias("key"),
                              F.monotonically_increasing_id().alias("row")), f"{path}/rows")
     found = rows.filter(F.col("key").isNotNull())
-    terms = saved(disclosing(found, texts.select("text")), f"{path}/terms")
+    terms = saved(disclosing(found, texts.select("text"), path), f"{path}/terms")
     # One entry per text and term: removed if any entity asks for it.
     asked = found.select("key", F.explode(F.array_distinct("entities.entity")).alias("entity")).distinct().join(terms, "entity")
     asked = asked.groupBy("key", "term").agg(F.min("replacement").alias("replacement"))
