@@ -21,7 +21,7 @@ from ..sources.orders_csv import ingest_csv, read_orders_csv, write_orders_csv
 from ..sources.renderings import csv_text, safe_cast_text
 from ..sources.star import orders_from_star, read_table
 from ..streaming import bronze
-from . import catalog
+from . import catalog, timed
 from .pipeline import run_pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,18 +67,24 @@ def events_to_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("key").alias("kafka_key"), parsed).select("kafka_key", "d.*")
 
 
-def _drain(q) -> None:
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+FILES = 4  # of a stand-in topic; one is a micro-batch
+
+
+def _topic(ev: DataFrame, path: str, files: int = FILES) -> None:
+    """Envelope rows as the files of a stand-in topic."""
+    ev.repartition(files).write.parquet(path)
+
+
+def _limited(spark: SparkSession, path: str) -> DataFrame:
+    """ST1: a topic's rows, one file a micro-batch."""
+    return bronze.bronze_rows(bronze.envelope_file_source(spark, path, max_files_per_trigger=1))
 
 
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K3/ST1-ST4: Kafka-shaped files drained into bronze."""
+    """K3/ST1-ST4: Kafka-shaped files drained into bronze in several limited micro-batches."""
     base = scratch_path(spark, "stream")
-    bronze.to_envelope(orders_from_star(spark, sf_dir)).write.parquet(f"{base}/topic/part0")
-    rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*"))
-    _drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt_bronze"))
+    _topic(bronze.to_envelope(orders_from_star(spark, sf_dir)), f"{base}/topic/part0")
+    bronze.drain(bronze.start_bronze(_limited(spark, f"{base}/topic/*"), f"{base}/bronze", f"{base}/ckpt_bronze"), FILES)
     return spark.read.parquet(f"{base}/bronze")
 
 
@@ -92,9 +98,8 @@ def stream_bad_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                .when(slot == 3, F.regexp_replace(text, '"order_purchase_timestamp":"[^"]*"', '"order_purchase_timestamp":"soon"'))
                .otherwise(text))
     ev = bronze.to_envelope(orders_from_star(spark, sf_dir)).withColumn("value", spoiled.cast("binary"))
-    ev.write.parquet(f"{base}/topic/part0")
-    rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*"))
-    _drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt"))
+    _topic(ev, f"{base}/topic/part0")
+    bronze.drain(bronze.start_bronze(_limited(spark, f"{base}/topic/*"), f"{base}/bronze", f"{base}/ckpt"), FILES)
     return spark.read.parquet(f"{base}/bronze").select(
         "kafka_offset", "parse_failed", "Id", "review_score", "order_purchase_timestamp", "customer_city")
 
@@ -131,21 +136,26 @@ def stream_restart(spark: SparkSession, sf_dir: str, first_wave_before: str = "1
     base = scratch_path(spark, "restart")
     ev = bronze.to_envelope(orders_from_star(spark, sf_dir))
     early = F.coalesce(F.col("timestamp") < F.lit(first_wave_before).cast("timestamp"), F.lit(False))
-    ev.filter(early).write.parquet(f"{base}/topic/part0")
-    rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*"))
-    _drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt"))
-    ev.filter(~early).write.parquet(f"{base}/topic/part1")
-    for _ in range(2):
-        _drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt"))
+    rows = _limited(spark, f"{base}/topic/*")
+    run = lambda batches: bronze.drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt"), batches)
+    _topic(ev.filter(early), f"{base}/topic/part0", 2)
+    run(2)
+    _topic(ev.filter(~early), f"{base}/topic/part1", 2)
+    run(2)
+    run(0)
     return spark.read.parquet(f"{base}/bronze")
 
 
 def stream_state_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K4/ST5-ST6: the complete-mode running totals per state after the drain."""
+    """K4/ST5-ST6: the complete-mode running totals per state, carried over
+    limited micro-batches and over a restart half-way."""
     base = scratch_path(spark, "totals")
-    bronze.to_envelope(orders_from_star(spark, sf_dir)).write.parquet(f"{base}/topic/part0")
-    rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*"))
-    _drain(bronze.start_totals(rows, f"{base}/totals", f"{base}/ckpt"))
+    ev = bronze.to_envelope(orders_from_star(spark, sf_dir))
+    first = F.col("offset") % 2 == 0
+    rows = _limited(spark, f"{base}/topic/*")
+    for part, wave in enumerate((first, ~first)):
+        _topic(ev.filter(wave), f"{base}/topic/part{part}", 2)
+        bronze.drain(bronze.start_totals(rows, f"{base}/totals", f"{base}/ckpt"), 2)
     return bronze.read_totals(spark, f"{base}/totals")
 
 
@@ -281,4 +291,5 @@ QUERIES: dict[str, Query] = {
     "events_value_pearson": lambda spark, sf_dir: pearson(
         _events(spark, sf_dir).withColumn("hour", F.hour("ts")), [("value", "user_id"), ("value", "hour")],
         null_policy="pairwise"),
+    **timed.QUERIES,
 }

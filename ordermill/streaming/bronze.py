@@ -165,6 +165,19 @@ def start_stream_pipeline(raw: DataFrame, bronze_path: str, bronze_checkpoint: s
     return [q1, q2]
 
 
+def drain(query: StreamingQuery, batches: int = 1) -> int:
+    """Wait for a stream that ends by itself and raise its error, if any.
+    Returns the number of micro-batches that took new input; fewer than
+    ``batches`` is an error, as the limit per batch was not in effect."""
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    taken = sum(any(s["startOffset"] != s["endOffset"] for s in p["sources"]) for p in query.recentProgress)
+    if taken < batches:
+        raise RuntimeError(f"{taken} micro-batches took input, {batches} were expected")
+    return taken
+
+
 def await_all(queries: list[StreamingQuery], poll_seconds: float = 1.0) -> None:
     """Wait until every query has ended.  If one fails, stop the others and
     raise its error at once."""
