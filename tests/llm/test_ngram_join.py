@@ -10,7 +10,7 @@ from ordermill.llm.common import table
 from ordermill.session import scratch_path
 from tests.conftest import SF_SMALL
 
-from .helpers import docs_of, no_docs, odd_docs, prose
+from .helpers import SCHEMA, docs_of, no_docs, odd_docs, prose
 
 
 def restated(rows):
@@ -63,10 +63,10 @@ def test_query_equals_all_pairs(spark):
     assert got == restated([(r.doc_id, r.text) for r in table(spark, SF_SMALL, "documents").collect()])
 
 
-@pytest.mark.parametrize("turns,rows", [(0, 1000), (3, 3), (100, 1000)])
-def test_families_and_chains(spark, monkeypatch, turns, rows):
-    monkeypatch.setattr(j, "HUB_TURNS", turns)
+@pytest.mark.parametrize("rows,sent", [(1000, 200_000), (3, 2)])
+def test_families_and_chains(spark, monkeypatch, rows, sent):
     monkeypatch.setattr(j, "GROUP_ROWS", rows)
+    monkeypatch.setattr(j, "BROADCAST_ROWS", sent)
     shared = prose(7, 60)
     texts = family(prose(1, 150), 14, 3, 100) | family(prose(2, 40), 6, 1, 200)
     for c, edits in enumerate((1, 2, 4, 6, 8, 12, 1, 3)):  # kin with many and few edits
@@ -92,15 +92,36 @@ def test_odd_rows(spark):
     assert j.near_duplicates(no_docs(spark)).collect() == [] and j.keep_one(no_docs(spark)).collect() == []
 
 
+def test_a_family_without_a_common_hub(spark):
+    """Texts that differ from each other in many ways: several rounds, more than one hub each."""
+    base, texts = prose(11, 120).split(), {}
+    for c in range(60):
+        w = list(base)
+        for k in (c % 10 * 11, (c * 7 + 3) % 110, 115 - c % 3):
+            w[k] = f"edit{c % 12}"
+        texts[1000 + c] = " ".join(w)
+    check(spark, docs_of(spark, texts))
+
+
+def test_keep_one_loses_no_text(spark):
+    a, b, c = prose(31, 60), prose(32, 60), prose(33, 60)
+    rows = [(5, a), (5, b), (5, b), (6, a + " tail"), (9, b), (None, c), (None, c), (None, a), (None, ""), (7, None), (7, None)]
+    docs = spark.createDataFrame([(i, t, "en", f"src{k}", k) for k, (i, t) in enumerate(rows)], SCHEMA)
+    kept = sorted(((r.doc_id, r.text) for r in j.keep_one(docs).collect()), key=str)
+    assert kept == sorted([(5, a), (5, b), (None, c), (None, ""), (7, None), (7, None)], key=str)
+
+
 def test_prefixes_of_similar_sets_meet_under_every_order():
     rng = np.random.default_rng(0)
-    counts = rng.integers(0, 5, (2, 1 << j.SKETCH_BITS))
+    sketch = rng.integers(0, 5, 1 << j.LEAST_BITS)
+    cut = lambda t, o, whole: t[j.prefix(t, j.counts_of(t, sketch), o)][:len(t) - whole + 1]
     for _ in range(200):
         n = int(rng.integers(1, 60))
         x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
         y = np.unique(np.concatenate([x[rng.random(len(x)) < 0.93], rng.integers(0, 1 << 63, n // 20).astype(np.uint64)]))
         if j.alike(x, y):
-            assert all(len(np.intersect1d(j.prefix(x, counts[o], o), j.prefix(y, counts[o], o))) for o in range(2))
+            whole = -(-80 * (len(x) + len(y)) // 180)
+            assert all(len(np.intersect1d(cut(x, o, whole), cut(y, o, whole))) for o in range(j.ORDERS))
 
 
 def test_components(spark):
