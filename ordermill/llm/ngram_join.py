@@ -10,12 +10,12 @@ pair is made only where the shingle lies early enough in both for their sizes.
 The other orders' prefixes are intersected before the whole texts are verified.
 
 Equal sets are one node.  The component of a node, not every pair, is asked
-for.  While a round's shingles could make more pairs across components than
-they have postings, each is cut into slices, of which only one hub each meets
-the shingle's members in other components; linked nodes drop out, hubs are
-done, and the next round has twice as many slices.  What is left, no more
-pairs than postings, is joined in full.  No link between different texts is
-lost, and no round makes more pairs than slices times postings.
+for.  While the shingles could make more pairs across components than half the
+postings there were at first, each is cut into slices, of which only one hub
+each meets the shingle's members in other components; linked nodes drop out,
+hubs are done, and the next round has twice as many slices.  The pairs that are
+left are joined in full.  No link between different texts is lost, and no round
+makes more pairs than slices times postings.
 
 A shingle's sketch count bounds its postings: those under ``GROUP_ROWS`` are
 grouped in one place; others are combined map-side, and joined under as many
@@ -307,15 +307,16 @@ class JaccardJoin:
     def links(self, postings: DataFrame) -> DataFrame:
         """Links that connect every component in full."""
         tried, found = [], []
+        few = postings.count() / 2
         postings = postings.withColumn("comp", F.col("node"))
         for turn in itertools.count():
             path = f"{self.path}/turn{turn}"
             live = saved(_live(postings, 1 << turn), f"{path}/live")
-            left, held = live.filter("salt < 2").agg(F.sum("across"), F.sum("all")).first()
+            left = live.filter("salt < 2").agg(F.sum("across")).first()[0]
             if not left:
                 break
             postings = postings.join(live.select("token", "salt", "big", "hubs"), ["token", "salt"])
-            if last := left <= held:
+            if last := left <= few:
                 pairs = self._all_pairs(postings)
             else:
                 met = postings.select("*", F.explode("hubs").alias("hub")).filter(_fits("", "hub.", self.percent))
