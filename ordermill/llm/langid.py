@@ -3,24 +3,33 @@
 The text's letters, lower-cased, are cut into byte n-grams that see word
 borders; each n-gram is hashed to an embedding, the mean embedding goes
 through a linear softmax.  Both are trained by stochastic gradient descent in
-numpy on a bounded sample of labelled texts (``per_lang`` expected rows of
-each of at most ``max_langs`` languages, whole texts).  A fifth of the sample
-is kept apart to scale the confidence and to place the two rejection limits:
-the confidence, and, as a softmax is confident on what it never saw, how usual
-the n-grams are for the predicted language (mean log frequency against that of
-its own texts).  Each lies halfway between the least right predictions and
-texts with shuffled letters (the second also texts of a left-out language).
+numpy on a bounded sample of labelled whole texts: some ``per_lang`` rows of
+each language, and fewer if their n-grams could take more than
+``SAMPLE_BYTES``.  Tasks turn the sample into bags of n-grams; only these come
+to the driver, not the texts.  More than ``MAX_LANGS`` labels are an error, not
+cut off.  The model takes 4 MB, and 64 kB a language.
+
+A fifth of the sample is kept apart to scale the confidence and to place the
+two rejection limits: the confidence, and, as a softmax is confident on what it
+never saw, how usual the n-grams are for the predicted language (mean log
+frequency against that of its own texts).  Each lies halfway between the least
+right predictions and texts with shuffled letters (the second also texts of a
+left-out language).
 
 Cases: null texts and texts without a letter are ``und`` with score 0 and
-rejected; a table without labelled rows predicts ``und`` everywhere; repeated
-rows get equal predictions; a null id is used neither as held out nor for
-learning; equal scores go to the first language in sorted order; under
-``LEAST_TEXTS`` labelled texts are too few to say which n-grams are usual.
+rejected; a table without labelled rows, or an empty one, predicts ``und``
+everywhere; repeated rows get equal predictions; a null id is used neither as
+held out nor for learning; equal scores go to the first language in sorted
+order; under ``LEAST_TEXTS`` labelled texts are too few to say which n-grams are
+usual; a very long text is cut into n-grams whole; predictions read the text
+only, training the id, text and lang, and other columns pass through untouched
+whatever their names.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,25 +46,32 @@ GRAMS = (2, 3, 4)
 EPOCHS = 6
 RATE = 1.0
 PER_LANG = 1500
-MAX_LANGS = 200
+MAX_LANGS = 4000
+SAMPLE_BYTES = 256 << 20  # at most; texts repeat their n-grams, so about a quarter is used
+BYTES_A_GRAM = 6
 ACCEPT_SHARE = 0.999  # of right calibration predictions that stay accepted
 LEAST_TEXTS = 50  # to keep a fifth apart
 FEW_GRAMS = 20.0  # so many n-grams count half against a text
 UNKNOWN = "und"
+LOG_STEP = -0.1  # of stored log frequencies, 256 of them
 #: ASCII letters lower-cased, bytes of other scripts kept, the rest a space.
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 ASCII_LETTER = re.compile("[A-Za-z]")
 FIELDS = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("accepted", pa.bool_())])
 
 
+Bag = tuple[np.ndarray, np.ndarray]  # distinct buckets and how often each occurs
+
+
 @dataclass
 class LangModel:
     langs: list[str]
-    table: np.ndarray  # bucket -> logits: the embeddings already through the softmax layer
+    table: np.ndarray  # bucket -> embedding
+    out: np.ndarray  # language -> weights of the softmax layer
     bias: np.ndarray
     temperature: float
     threshold: float
-    known: np.ndarray | None = None  # bucket -> log frequency by language
+    known: np.ndarray | None = None  # bucket, language -> log frequency in steps of LOG_STEP
     usual: np.ndarray | None = None  # its mean over a language's own texts
     least: float = -np.inf  # least familiarity that is accepted
 
@@ -83,9 +99,20 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def familiarity(known: np.ndarray, usual: np.ndarray, lang: int, grams: np.ndarray) -> float:
+def bag_of(grams: np.ndarray) -> Bag:
+    found, times = np.unique(grams, return_counts=True)
+    return found.astype(np.uint16), times.astype(np.uint32)
+
+
+def mean_of(values: np.ndarray, bag: Bag) -> np.ndarray:
+    """Mean of the buckets' values over the bag."""
+    return bag[1].astype(np.float64) @ values[bag[0]] / bag[1].sum()
+
+
+def familiarity(known: np.ndarray, usual: np.ndarray, lang: int, bag: Bag) -> float:
     """How usual the text's n-grams are for the language; 0 as in its own texts, few n-grams weigh less."""
-    return float((known[grams, lang].mean(dtype=np.float64) - usual[lang]) * len(grams) / (len(grams) + FEW_GRAMS))
+    n = int(bag[1].sum())
+    return float((mean_of(known[:, lang], bag) * LOG_STEP - usual[lang]) * n / (n + FEW_GRAMS))
 
 
 def shuffled_letters(text: str, rng: np.random.Generator) -> str:
@@ -94,30 +121,35 @@ def shuffled_letters(text: str, rng: np.random.Generator) -> str:
     return "".join(next(letters) if c.isalpha() else c for c in text)
 
 
-def usual_grams(texts: list[str], y: np.ndarray, fit: np.ndarray, apart: np.ndarray, logits: np.ndarray, bias: np.ndarray,
-                rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, float]:
+def bags_of(text: str) -> tuple[Bag, Bag]:
+    """The text's bag, and that of the text with shuffled letters."""
+    noise = shuffled_letters(text, np.random.default_rng(zlib.crc32(text.encode("utf-8", "replace"))))
+    return bag_of(gram_buckets(text)), bag_of(gram_buckets(noise))
+
+
+def usual_grams(bags: list[Bag], noise: list[Bag], y: np.ndarray, fit: np.ndarray, apart: np.ndarray,
+                logits) -> tuple[np.ndarray, np.ndarray, float]:
     """(known, usual, least) of a LangModel: counted on ``fit``, placed on ``apart``."""
-    counts = np.full((1 << BUCKET_BITS, len(bias)), 0.5)
+    langs = int(y.max()) + 1
+    counts = np.full((1 << BUCKET_BITS, langs), 0.5, np.float32)
     for i in fit:
-        counts[:, y[i]] += np.bincount(gram_buckets(texts[i]), minlength=1 << BUCKET_BITS)
-    known = np.log(counts / counts.sum(axis=0)).astype(np.float32)
-    held = [(i, g) for i in apart if len(g := gram_buckets(texts[i]))]
-    own = [known[g, y[i]].mean(dtype=np.float64) for i, g in held]
-    at = np.array([y[i] for i, _ in held], dtype=np.int64)
+        counts[bags[i][0], y[i]] += bags[i][1]
+    known = np.clip(np.rint(np.log(counts / counts.sum(axis=0)) / LOG_STEP), 0, 255).astype(np.uint8)
+    held = [i for i in apart if len(bags[i][0])]
+    own = [mean_of(known[:, y[i]], bags[i]) * LOG_STEP for i in held]
+    at = y[held] if held else np.empty(0, np.int64)
     usual = np.array([np.mean([v for v, k in zip(own, at) if k == lang]) if (at == lang).any() else np.mean(own or [0.0])
-                      for lang in range(len(bias))])
+                      for lang in range(langs)])
     right, wrong = [], []
-    for i, g in held:
-        z = logits[g].mean(axis=0, dtype=np.float64) + bias
+    for i in held:
+        z = logits(bags[i])
         if int(z.argmax()) == y[i]:
-            right.append(familiarity(known, usual, y[i], g))
-        if len(bias) > 1:  # as if its language had not been learned
+            right.append(familiarity(known, usual, y[i], bags[i]))
+        if langs > 1:  # as if its language had not been learned
             z[y[i]] = -np.inf
-            wrong.append(familiarity(known, usual, int(z.argmax()), g))
-        noise = gram_buckets(shuffled_letters(texts[i], rng))
-        if len(noise):
-            best = int((logits[noise].mean(axis=0, dtype=np.float64) + bias).argmax())
-            wrong.append(familiarity(known, usual, best, noise))
+            wrong.append(familiarity(known, usual, int(z.argmax()), bags[i]))
+        if len(noise[i][0]):
+            wrong.append(familiarity(known, usual, int(logits(noise[i]).argmax()), noise[i]))
     if not right:
         return known, usual, -np.inf
     least = float(np.quantile(right, 1 - ACCEPT_SHARE))
@@ -125,21 +157,27 @@ def usual_grams(texts: list[str], y: np.ndarray, fit: np.ndarray, apart: np.ndar
 
 
 def train(texts: list[str], labels: list[str], seed: int = 5) -> LangModel | None:
+    both = [bags_of(t) for t in texts]
+    return train_bags([b for b, _ in both], [n for _, n in both], labels, seed)
+
+
+def train_bags(bags: list[Bag], noise: list[Bag], labels: list[str], seed: int = 5) -> LangModel | None:
+    """A model from bags of texts with a language, and those of their letters shuffled."""
     langs = sorted(set(labels))
     if not langs:
         return None
-    y = np.array([langs.index(v) for v in labels])
-    bags = [np.unique(gram_buckets(t), return_counts=True) for t in texts]
-    bags = [(u, (c / c.sum())[:, None].astype(np.float32)) for u, c in bags]
+    place = {v: i for i, v in enumerate(langs)}
+    y = np.array([place[v] for v in labels])
     rng = np.random.default_rng(seed)
     emb = rng.uniform(-1 / DIM, 1 / DIM, (1 << BUCKET_BITS, DIM)).astype(np.float32)
     out, bias = np.zeros((len(langs), DIM), np.float32), np.zeros(len(langs), np.float32)
-    order = rng.permutation(len(texts))
+    order = rng.permutation(len(bags))
     apart, fit = (order[:len(order) // 5], order[len(order) // 5:]) if len(order) >= LEAST_TEXTS else (order, order)
     steps, done = EPOCHS * len(fit), 0
     for _ in range(EPOCHS):
         for i in rng.permutation(fit):
-            u, share = bags[i]
+            u, times = bags[i]
+            share = (times / max(int(times.sum()), 1)).astype(np.float32)[:, None]
             rate, done = RATE * (1 - done / steps), done + 1
             mean = (emb[u] * share).sum(axis=0)
             grad = softmax(out @ mean + bias)
@@ -148,8 +186,8 @@ def train(texts: list[str], labels: list[str], seed: int = 5) -> LangModel | Non
             out -= rate * np.outer(grad, mean)
             bias -= 0.1 * rate * grad
             emb[u] -= (rate * 10) * share * back
-    logits = emb @ out.T
-    held = np.array([(logits[bags[i][0]] * bags[i][1]).sum(axis=0) + bias for i in apart])
+    logits = lambda bag: out @ (mean_of(emb, bag) if len(bag[0]) else np.zeros(DIM)) + bias
+    held = np.array([logits(bags[i]) for i in apart])
     grid = np.geomspace(0.1, 20, 60)
     grid = grid[grid >= 1]  # a sample without errors is no reason to sharpen
     loss = [-np.log(softmax(held / t)[np.arange(len(apart)), y[apart]] + 1e-12).mean() for t in grid]
@@ -157,48 +195,66 @@ def train(texts: list[str], labels: list[str], seed: int = 5) -> LangModel | Non
     p = softmax(held / heat)
     right = p.max(axis=1)[p.argmax(axis=1) == y[apart]]
     least = float(np.quantile(right, 1 - ACCEPT_SHARE)) if len(right) else 0.0
-    noise = [g for i in apart if len(g := gram_buckets(shuffled_letters(texts[i], rng)))]
-    if len(noise):
-        unsure = [softmax((logits[g].mean(axis=0, dtype=np.float64) + bias) / heat).max() for g in noise]
+    unsure = [softmax(logits(noise[i]) / heat).max() for i in apart if len(noise[i][0])]
+    if unsure:
         least = min(least, (least + float(np.median(unsure))) / 2)
-    if len(order) < LEAST_TEXTS:
-        return LangModel(langs, logits, bias, heat, least)
-    return LangModel(langs, logits, bias, heat, least, *usual_grams(texts, y, fit, apart, logits, bias, rng))
+    model = LangModel(langs, emb, out, bias, heat, least)
+    if len(order) >= LEAST_TEXTS:
+        model.known, model.usual, model.least = usual_grams(bags, noise, y, fit, apart, logits)
+    return model
 
 
 def predict(model: LangModel | None, text: str | None) -> tuple[str, float, bool]:
     if model is None or text is None or not has_letter(text):
         return UNKNOWN, 0.0, False
-    grams = gram_buckets(text)
-    p = softmax((model.table[grams].mean(axis=0, dtype=np.float64) + model.bias) / model.temperature)
+    bag = bag_of(gram_buckets(text))
+    p = softmax((model.out @ mean_of(model.table, bag) + model.bias) / model.temperature)
     best = int(p.argmax())
     accepted = p[best] >= model.threshold and (
-        model.known is None or familiarity(model.known, model.usual, best, grams) >= model.least)
+        model.known is None or familiarity(model.known, model.usual, best, bag) >= model.least)
     return model.langs[best], float(p[best]), bool(accepted)
 
 
-def fit(docs: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS, learn: Column | None = None) -> LangModel | None:
-    """Train on rows of ``docs`` (text, lang) where ``learn`` holds.  The
-    sample is drawn by a hash of the id; ``2 * per_lang * languages`` bounds it."""
+def _bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        both = [bags_of(v.as_py()) for v in batch.column("text")]
+        parts = {f"{name}_{part}": pa.array([b[k][j].tobytes() for b in both], pa.binary())
+                 for k, name in enumerate(("bag", "noise")) for j, part in enumerate(("buckets", "times"))}
+        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "lang": batch.column("lang"), **parts})
+
+
+def fit(docs: DataFrame, per_lang: int = PER_LANG, learn: Column | None = None) -> LangModel | None:
+    """Train on rows of ``docs`` (doc_id, text, lang) where ``learn`` holds.
+    The sample is drawn by a hash of the id, at most ``2 * per_lang * languages``
+    rows; of each language it is the share that keeps both limits."""
     rows = docs.filter("text is not null and lang is not null")
     rows = rows if learn is None else rows.filter(learn)
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    # Two bags of three n-grams a byte at most, none with more entries than there are buckets.
+    most = 2 * BYTES_A_GRAM * F.least(len(GRAMS) * F.octet_length("text").cast("bigint"), F.lit(1 << BUCKET_BITS))
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(most).alias("bytes")).limit(MAX_LANGS + 1).collect()
     if not sizes:
         return None
-    share = F.lit(0.0)
-    for r in sizes:
-        share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, per_lang / r["count"]))).otherwise(share)
-    sample = (rows.filter(unit_hash(F.col("doc_id"), seed=9) < share).select("doc_id", "text", "lang")
-              .limit(2 * per_lang * len(sizes)).toPandas().sort_values("doc_id"))
-    return train(sample["text"].tolist(), sample["lang"].tolist())
+    if len(sizes) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} language labels")
+    shares = {r["lang"]: min(1.0, per_lang / r["n"], SAMPLE_BYTES / len(sizes) / max(r["bytes"], 1)) for r in sizes}
+    share = F.element_at(F.create_map(*[F.lit(v) for pair in shares.items() for v in pair]), F.col("lang"))
+    sample = rows.filter(unit_hash(F.col("doc_id"), seed=9) < share).select(F.col("doc_id").cast("bigint"), "text", "lang")
+    ddl = "doc_id bigint, lang string, bag_buckets binary, bag_times binary, noise_buckets binary, noise_times binary"
+    got = sample.limit(2 * per_lang * len(sizes)).mapInArrow(_bagged, ddl).toArrow().sort_by("doc_id")
+    held = lambda name, kind: [np.frombuffer(v.as_buffer(), kind) for v in got.column(name)]
+    bags = list(zip(held("bag_buckets", np.uint16), held("bag_times", np.uint32)))
+    noise = list(zip(held("noise_buckets", np.uint16), held("noise_times", np.uint32)))
+    return train_bags(bags, noise, got.column("lang").to_pylist())
 
 
 def language(model: LangModel | None, text_col: str = "text") -> Column:
     """A struct (lang_pred, score, accepted) of the whole text."""
+    shared = SparkSession.active().sparkContext.broadcast(model)
+
     @F.arrow_udf(spark_struct(FIELDS))
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            yield structs([predict(model, v.as_py()) for v in batch], FIELDS)
+            yield structs([predict(shared.value, v.as_py()) for v in batch], FIELDS)
 
     return run(F.col(text_col).cast("string"))
 

@@ -49,7 +49,7 @@ def test_left_out_language_and_noise_are_rejected(spark, left_out):
 def test_one_language_and_equal_scores():
     one = langid.train(["aa bb"] * 3, ["xx"] * 3)
     assert langid.predict(one, "zz")[:2] == ("xx", 1.0)
-    blank = langid.LangModel(["a", "b"], np.zeros((1 << langid.BUCKET_BITS, 2)), np.zeros(2), 1.0, 0.0)
+    blank = langid.LangModel(["a", "b"], np.zeros((1 << langid.BUCKET_BITS, 3)), np.zeros((2, 3)), np.zeros(2), 1.0, 0.0)
     assert langid.predict(blank, "word") == ("a", 0.5, True)
 
 
@@ -61,10 +61,44 @@ def test_whole_text_counts():
 def test_sample_is_bounded(spark):
     docs = spark.range(4000).selectExpr("id as doc_id", "concat('word ', id) as text", "if(id % 2 = 0, 'a', 'b') as lang")
     calls = []
-    real = langid.train
-    langid.train = lambda texts, labels: calls.append(len(texts)) or real(texts[:10], labels[:10])
+    real = langid.train_bags
+    langid.train_bags = lambda bags, noise, labels: calls.append(len(bags)) or real(bags[:10], noise[:10], labels[:10])
     try:
         langid.fit(docs, per_lang=50)
     finally:
-        langid.train = real
+        langid.train_bags = real
     assert 50 <= calls[0] <= 200
+
+
+def test_predictions_equal_a_plain_restatement(spark):
+    """Bucket by bucket in plain Python: n-grams, hash, mean embedding, softmax."""
+    docs = table(spark, SF_ORACLE, "documents").limit(300)
+    model = langid.fit(docs, learn=langid.learning_rows())
+    for r in docs.select("text", langid.language(model).alias("p")).collect():
+        letters = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in (r.text or "").lower().encode())
+        raw = b" " + b" ".join(w for w in letters.split(b" ") if w) + b" "
+        if r.p.lang_pred == "und":
+            continue
+        total, n = np.zeros(langid.DIM), 0
+        for size in langid.GRAMS:
+            for i in range(len(raw) - size + 1):
+                key = int.from_bytes(raw[i:i + size], "little")
+                total += model.table[((key + size) * 2654435761 % 2 ** 32) >> (32 - langid.BUCKET_BITS)]
+                n += 1
+        z = (model.out @ (total / n) + model.bias) / model.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert r.p.lang_pred == model.langs[int(p.argmax())] and abs(r.p.score - p.max()) < 1e-6
+
+
+def test_sample_is_bounded_in_bytes_and_labels(spark, monkeypatch):
+    docs = table(spark, SF_ORACLE, "documents")
+    monkeypatch.setattr(langid, "SAMPLE_BYTES", 4 << 20)
+    seen = []
+    monkeypatch.setattr(langid, "train_bags", lambda bags, noise, labels: seen.append((bags, noise, labels)))
+    langid.fit(docs)
+    bags, noise, labels = seen[0]
+    assert 20 < len(bags) < 400 and len(set(labels)) == 4
+    assert sum(langid.BYTES_A_GRAM * len(u) for u, _ in bags + noise) <= 4 << 20
+    monkeypatch.setattr(langid, "MAX_LANGS", 3)
+    with pytest.raises(ValueError, match="3 language labels"):
+        langid.fit(docs)
