@@ -82,6 +82,71 @@ def publish_layers(spark: SparkSession, db: str, paths: dict[str, str], base: st
             register_table(spark, db, name, path)
 
 
+def upsert(spark: SparkSession, db: str, name: str, updates: DataFrame, key: list[str], scratch: str) -> list:
+    """Bring ``db.name``, a partitioned table, up to date with ``updates``, rows
+    of its columns: a row replaces all rows with its key (null keys are equal),
+    a new key is added.  Returns the values of the partitions it rewrote.
+
+    Only rows that differ from the table's count as updates, and only
+    partitions that gain or lose one are read in full and written again; the
+    list of these is as long as the table has partitions at most.  The new
+    content is written under ``scratch`` first, as a table being read cannot be
+    overwritten, and then replaces those partitions at once."""
+    table = spark.table(f"{db}.{name}")
+    by = [c.name for c in spark.catalog.listColumns(f"{db}.{name}") if c.isPartition]
+    if len(by) != 1:
+        raise ValueError(f"{db}.{name} must be partitioned by one column")
+    part = by[0]
+    where = F.when(F.col(part) != "", F.col(part))  # an empty text is stored as NULL
+    updates = write_and_read(updates.select(*table.columns).withColumn(part, where), f"{scratch}/updates")
+    whole = F.xxhash64(F.struct(*sorted(table.columns))).alias("__row")  # narrows the join; equality is checked below
+    rows = F.struct(*table.columns).alias("__all")
+    on = lambda a, b, keys: _all([a[k].eqNullSafe(b[k]) for k in keys])
+    old = table.join(updates.select(*key).distinct(), on(table, updates, key), "left_semi")
+    had, new = old.select(*key, whole, rows), updates.select(*key, whole, rows)
+    same = [*key, "__row", "__all"]
+    changed = new.join(had, on(new, had, same), "left_anti").unionAll(had.join(new, on(had, new, same), "left_anti"))
+    changed = write_and_read(changed.select(*key, F.col(f"__all.{part}").alias("__part")), f"{scratch}/changed")
+    touched = [r[0] for r in changed.select("__part").distinct().collect()]
+    if not touched:
+        return []
+    inside = _all_or_null(F.col(part), touched)
+    keys = changed.select(*key).distinct()
+    kept = table.filter(inside)
+    kept = kept.join(keys, on(kept, keys, key), "left_anti")
+    put = updates.join(keys, on(updates, keys, key), "left_semi")
+    content = write_and_read(kept.unionByName(put), f"{scratch}/content")
+    filled = {r[0] for r in content.select(part).distinct().collect()}
+    writer = spark.newSession()  # the setting is the session's; the caller's stays as it is
+    writer.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    content = writer.read.schema(content.schema).parquet(f"{scratch}/content").hint("rebalance", part)
+    content.select(*table.columns).write.mode("overwrite").insertInto(f"{db}.{name}")
+    for value in set(touched) - filled:  # dynamic overwrite leaves a partition without new rows as it was
+        text = "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+        spark.sql(f"ALTER TABLE {db}.{name} DROP IF EXISTS PARTITION (`{part}` = {text})")
+    spark.catalog.refreshTable(f"{db}.{name}")
+    return touched
+
+
+def _all(conditions: list):
+    out = F.lit(True)
+    for c in conditions:
+        out &= c
+    return out
+
+
+def _all_or_null(column, values: list):
+    """``column`` is one of ``values``, which may hold NULL."""
+    there = [v for v in values if v is not None]
+    found = column.isin(there) if there else F.lit(False)
+    return found | column.isNull() if None in values else found
+
+
+def write_and_read(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def use_database(spark: SparkSession, db: str = DATABASE) -> None:
     spark.catalog.setCurrentDatabase(db)
 

@@ -102,3 +102,5 @@ select cast(kafka_partition as integer) as kafka_partition, first_offset::bigint
   (landed - (last_offset - first_offset + 1))::bigint as repeated,
   (first_offset - lag(last_offset) over (partition by kafka_partition order by first_offset) - 1)::bigint as missing_before
 from counted"""
+
+SQL["catalog_incremental"] = ORACLE["clean_orders"]

@@ -1,5 +1,7 @@
 """Catalog publishing, partitioned tables and SQL."""
 
+from pyspark.sql import functions as F
+
 from ordermill.plans import catalog
 from ordermill.session import scratch_path
 
@@ -38,3 +40,30 @@ def test_use_database_sets_current(spark):
         assert spark.catalog.currentDatabase() == db
     finally:
         spark.catalog.setCurrentDatabase(before)
+
+
+def _files(table):
+    return {r[0]: r[1] for r in table.select(F.col("_metadata.file_path"), "customer_state").distinct().collect()}
+
+
+def test_upsert_rewrites_only_touched_partitions(spark):
+    base = scratch_path(spark, "upsert")
+    db = catalog.ensure_database(spark, "upsert_db", f"{base}/db")
+    rows = [(1, "a", "SP"), (2, "b", "SP"), (3, "c", "RJ"), (4, "d", None), (5, "e", "MG"), (6, "f", "O'X"), (7, "g", "07"), (None, "n", "SP")]
+    frame = lambda r: spark.createDataFrame(r, "id int, v string, customer_state string")
+    table = lambda: spark.table(f"{db}.t")
+    content = lambda: sorted(map(tuple, table().collect()), key=str)
+    catalog.publish_table(frame(rows), db, "t", f"{base}/t", ["customer_state"])
+    before = _files(table())
+    # same rows again, in another order: nothing is written
+    assert catalog.upsert(spark, db, "t", frame(rows[::-1]), ["id"], f"{base}/s0") == [] and _files(table()) == before
+    # a change, a new row, a move that empties a partition, one into the NULL partition, and a null key
+    updates = [(2, "B", "SP"), (8, "h", "MG"), (6, "f", "RJ"), (3, "c", ""), (None, "N", "SP"), (1, "a", "SP")]
+    touched = catalog.upsert(spark, db, "t", frame(updates), ["id"], f"{base}/s1")
+    assert set(touched) == {"SP", "MG", "O'X", "RJ", None}
+    assert content() == sorted([(1, "a", "SP"), (2, "B", "SP"), (None, "N", "SP"), (3, "c", None), (4, "d", None), (5, "e", "MG"),
+                                (8, "h", "MG"), (6, "f", "RJ"), (7, "g", "07")], key=str)
+    after = _files(table())
+    assert {f for f, s in after.items() if s == "07"} == {f for f, s in before.items() if s == "07"}  # untouched: the same file
+    assert "O'X" not in after.values()
+    assert catalog.upsert(spark, db, "t", frame([]), ["id"], f"{base}/s2") == []

@@ -37,7 +37,7 @@ def test_publishing_does_not_change_gold(spark):
     state = F.when(slot == 0, "07").when(slot == 1, "7").when(slot == 2, " ")
     orders = orders_from_star(spark, SF_SMALL).withColumn("customer_state", state)
     plain = run_pipeline(spark, orders, scratch_path(spark, "plain"), names=["state_sales"])
-    shown = run_pipeline(spark, orders, scratch_path(spark, "shown"), publish_db="states_db", names=["state_sales"])
+    shown = run_pipeline(spark, orders, scratch_path(spark, "shown"), publish_db="states_db", names=["state_sales", "orders_clean"])
     rows = [sorted(map(str, spark.read.parquet(p["state_sales"]).collect())) for p in (plain, shown)]
     assert rows[0] == rows[1] and len(rows[0]) == 4
     assert dict(spark.table("states_db.orders_clean").dtypes)["customer_state"] == "string"
@@ -45,9 +45,29 @@ def test_publishing_does_not_change_gold(spark):
         "customer_state").distinct().collect()[0][0] == "07"
 
 
+def test_only_named_tables_are_written(spark):
+    orders = orders_from_star(spark, SF_SMALL)
+    for names in (["city_sales"], ["orders_clean"], ["delivery_vs_review"]):
+        out, db = scratch_path(spark, "named"), f"named_{names[0]}"
+        assert list(run_pipeline(spark, orders, out, db, names)) == names
+        assert [r.tableName for r in catalog.list_tables(spark, db).collect()] == names
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(out)
+        folders = {r.path.split(out.rsplit("/", 1)[1])[1].split("/")[1:3][0] for r in files.select("path").collect()}
+        # silver only where a gold table reads it several times; published silver is written once, by state
+        assert folders == {"city_sales": {"gold"}, "orders_clean": {"catalog"}, "delivery_vs_review": {"gold", "silver"}}[names[0]]
+
+
+def test_a_wrong_statement_is_told_without_a_trace(spark, capsys):
+    for text in ("SELEC 1", "SELECT no_such_column FROM range(3)", "SELECT * FROM no_such_table", "SELECT 1/0"):
+        assert main(["sql", "--db", "default", text], spark=spark) == 1
+        said = capsys.readouterr().err
+        assert said.startswith("error: ") and "\tat org." not in said and "Traceback" not in said
+    assert main(["sql", "--db", "default", "SELECT 41 + 1 AS n"], spark=spark) == 0 and "42" in capsys.readouterr().out
+
+
 def test_statement_runs_in_its_database_from_layers(spark):
     out = scratch_path(spark, "sqlout")
-    run_pipeline(spark, orders_from_star(spark, SF_SMALL), out, names=["state_sales"])
+    run_pipeline(spark, orders_from_star(spark, SF_SMALL), out, names=["state_sales", "orders_clean"])
     for name in set(GOLD) - {"state_sales"}:  # a full layer folder
         spark.range(1).write.parquet(f"{out}/gold/{name}")
     fresh = spark.newSession()

@@ -1,5 +1,7 @@
 """Stream = batch; restart adds nothing; envelope parsing."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ordermill.functions.clean import clean
@@ -153,3 +155,29 @@ def test_kafka_source_needs_the_connector(spark):
         assert "kafka" in str(e).lower()
     else:
         pytest.skip("Kafka connector present; covered by a live-broker run")
+
+
+def test_paced_stream_takes_a_batch_per_interval(spark):
+    """ST9: with a processing time the stream runs on, a limited batch per interval."""
+    base = scratch_path(spark, "paced")
+    registry._topic(bronze.to_envelope(orders_from_star(spark, SF_SMALL)), f"{base}/topic/a", 3)
+    rows = bronze.bronze_rows(bronze.envelope_file_source(spark, f"{base}/topic/*", max_files_per_trigger=1))
+    q = bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt", available_now=False, processing_time="2 seconds")
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+        starts = [dt.datetime.fromisoformat(p["timestamp"].rstrip("Z")) for p in q.recentProgress if p["numInputRows"]]
+        assert len(starts) == 3 and all((b - a).total_seconds() > 1 for a, b in zip(starts, starts[1:]))
+    finally:
+        q.stop()
+    assert spark.read.parquet(f"{base}/bronze").count() == orders_from_star(spark, SF_SMALL).count()
+
+
+def test_limited_streams_take_several_batches(spark, monkeypatch):
+    """ST1/ST5: the registered streams really take four batches, over one or two runs."""
+    taken, drain = [], bronze.drain
+    monkeypatch.setattr(bronze, "drain", lambda q, n=1: taken.append(drain(q, n)))
+    for query, batches in ((registry.stream_bronze, [4]), (registry.stream_restart, [2, 2, 0]), (registry.stream_state_totals, [2, 2])):
+        taken.clear()
+        query(spark, SF_SMALL)
+        assert taken == batches
