@@ -1,13 +1,14 @@
 """Quality rules: compression bands.
 
 zstandard ratios (packed / raw bytes) of the whole text and of fixed chunks
-are held against limits that depend on the length.  Too low: the text repeats
+(the last one ends with the text and may overlap the one before) are held
+against limits that depend on the length.  Too low: the text repeats
 itself.  Too high: it is noise.  A base rule counts short texts and texts
 whose three-word windows repeat.
 
 Cases: a null text has no words and fails the base rule, as an empty one
 does; a text too short for a band has no verdict of its own and is judged by
-the base rule only; repeated rows get equal verdicts; other columns are not
+the base rule only, one shorter than a chunk by its whole ratio; repeated rows get equal verdicts; other columns are not
 read.  Every text is packed whole, however long.
 """
 
@@ -34,8 +35,8 @@ CHUNK = 2048
 BANDS = ((200, 0.42, 1.00), (400, 0.465, 0.90), (800, 0.465, 0.80), (1600, 0.443, 0.75), (3200, 0.422, 0.72),
          (6400, 0.407, 0.70), (12800, 0.385, 0.70), (25600, 0.37, 0.70), (51200, 0.35, 0.70), (1000000, 0.28, 0.70))
 _LENGTHS, _LOWEST, _HIGHEST = np.log([b[0] for b in BANDS]), [b[1] for b in BANDS], [b[2] for b in BANDS]
-#: A full chunk under LOW_CHUNK repeats itself, one over HIGH_CHUNK is noise;
-#: a text goes if more than CHUNK_SHARE of its full chunks do so.
+#: A chunk under LOW_CHUNK repeats itself, one over HIGH_CHUNK is noise; a text
+#: goes if more than CHUNK_SHARE of its chunks do so.
 LOW_CHUNK, HIGH_CHUNK, CHUNK_SHARE = 0.40, 0.75, 0.25
 
 FIELDS = pa.struct([("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()),
@@ -83,10 +84,13 @@ def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
 
 
 def compression(text: bytes, packer: zstandard.ZstdCompressor) -> tuple[float | None, int, int, int]:
-    """(whole ratio, chunks that repeat, chunks of noise, full chunks)."""
+    """(whole ratio, chunks that repeat, chunks of noise, chunks)."""
     whole = len(packer.compress(text)) / len(text) if text else None
     view, low, high, n = memoryview(text), 0, 0, 0
-    for start in range(0, len(text) - CHUNK + 1, CHUNK):
+    starts = list(range(0, len(text) - CHUNK + 1, CHUNK))
+    if starts and len(text) % CHUNK:
+        starts.append(len(text) - CHUNK)
+    for start in starts:
         ratio = len(packer.compress(view[start:start + CHUNK])) / CHUNK
         low, high, n = low + (ratio < LOW_CHUNK), high + (ratio > HIGH_CHUNK), n + 1
     return whole, low, high, n

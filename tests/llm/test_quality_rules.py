@@ -58,3 +58,13 @@ def test_bands_reject_repetition_and_noise_at_every_length():
         mostly = good[:len(good) // 2] + b"the same again " * (len(good) // 30)
         assert not inside(mostly) or words <= 200
     assert inside(b"short") and inside(b"")
+
+
+def test_every_byte_of_a_text_is_in_a_chunk():
+    packer = zstandard.ZstdCompressor(level=q.LEVEL)
+    good, noise = prose(5, 9000).encode(), random.Random(1).randbytes(2000)
+    for n in (4096, 6144, 3000):
+        text = good[:n]
+        assert q.inside_bands(n, *q.compression(text, packer))
+        assert not q.inside_bands(n + 2000, *q.compression(text + noise, packer))  # nothing but the tail is noise
+    assert [q.compression(good[:n], packer)[3] for n in (100, 2047, 2048, 2049, 4096, 4097)] == [0, 0, 1, 2, 2, 3]
