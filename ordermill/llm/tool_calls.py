@@ -23,7 +23,9 @@ import functools
 import itertools
 import json
 import math
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
+from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -51,19 +53,39 @@ SCHEMAS = {
 
 # --- canonical JSON ------------------------------------------------------
 
-def _ordered(value):
-    if isinstance(value, dict):  # keys by UTF-16 code units
-        return {k: _ordered(value[k]) for k in sorted(value, key=lambda k: k.encode("utf-16-be", "surrogatepass"))}
-    if isinstance(value, list):
-        return [_ordered(v) for v in value]
-    if isinstance(value, float) and value.is_integer() and abs(value) < 2 ** 53:
-        return int(value)
-    return value
+def number_text(value: int | float) -> str:
+    """A number's shortest decimal form, the same for equal numbers: digits
+    from 1e-6 up to 1e21, else one exponent form; integers that no double holds
+    keep all their digits."""
+    if isinstance(value, int) and (abs(value) < 10 ** 21 or abs(value) > 10 ** 308 or int(float(value)) != value):
+        return str(value)
+    if value == 0:
+        return "0"
+    sign, found, exponent = Decimal(repr(float(value))).normalize().as_tuple()
+    digits = "".join(map(str, found))
+    point = len(digits) + exponent  # where the decimal point stands
+    if len(digits) <= point <= 21:
+        text = digits + "0" * (point - len(digits))
+    elif 0 < point <= 21:
+        text = f"{digits[:point]}.{digits[point:]}"
+    elif -6 < point <= 0:
+        text = f"0.{'0' * -point}{digits}"
+    else:
+        rest = f".{digits[1:]}" if len(digits) > 1 else ""
+        text = f"{digits[0]}{rest}e{point - 1:+d}"
+    return "-" * sign + text
 
 
 def canonical(value) -> str:
-    """Sorted keys, no white space, shortest numbers, text as it is."""
-    return json.dumps(_ordered(value), ensure_ascii=False, separators=(",", ":"), allow_nan=False)
+    """Keys sorted by UTF-16 code units, no white space, ``number_text``, text as it is."""
+    if isinstance(value, dict):
+        keys = sorted(value, key=lambda k: k.encode("utf-16-be", "surrogatepass"))
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{canonical(value[k])}" for k in keys) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(canonical, value)) + "]"
+    if isinstance(value, (int, float)) and not isinstance(value, bool):
+        return number_text(value)
+    return json.dumps(value, ensure_ascii=False)
 
 
 def strict(text: str):
@@ -94,32 +116,98 @@ _IS = {
 }
 
 
-def violations(value, schema: dict, path: str = "") -> list[str]:
-    """``path: rule`` for each broken rule (type, enum, required, properties,
-    additionalProperties, items, and the limits of numbers and lengths)."""
+#: Keywords that say nothing about whether a value is valid.
+_NOTES = {"$schema", "$id", "$defs", "definitions", "title", "description", "default", "examples", "format", "deprecated", "readOnly", "writeOnly"}
+_RULES = {"type", "enum", "const", "required", "properties", "additionalProperties", "patternProperties", "items", "minimum", "maximum",
+          "exclusiveMinimum", "exclusiveMaximum", "multipleOf", "minLength", "maxLength", "pattern", "minItems", "maxItems",
+          "uniqueItems", "minProperties", "maxProperties", "allOf", "anyOf", "oneOf", "not", "$ref"}
+
+
+def check_schema(schema: dict | bool, root: dict | bool | None = None) -> None:
+    """Raise for a schema with a keyword or reference that ``violations`` does not know."""
+    root = schema if root is None else root
+    if isinstance(schema, bool):
+        return
+    unknown = set(schema) - _RULES - _NOTES
+    if unknown:
+        raise ValueError(f"schema keywords {sorted(unknown)} are not supported")
+    if "$ref" in schema:
+        _target(schema["$ref"], root)
+    inner = [*schema.get("allOf", []), *schema.get("anyOf", []), *schema.get("oneOf", [])]
+    for k in ("properties", "patternProperties", "$defs", "definitions"):
+        inner += schema.get(k, {}).values()
+    for s in inner + [schema[k] for k in ("items", "additionalProperties", "not") if k in schema]:
+        check_schema(s, root)
+
+
+def _target(ref: str, root):
+    """The schema at a reference inside ``root`` (``#`` and a JSON pointer)."""
+    if not ref.startswith("#"):
+        raise ValueError(f"reference {ref!r} leaves the schema")
+    at = root
+    for part in ref[1:].split("/")[1:]:
+        part = part.replace("~1", "/").replace("~0", "~")
+        try:
+            at = at[int(part)] if isinstance(at, list) else at[part]
+        except (KeyError, IndexError, ValueError, TypeError):
+            raise ValueError(f"reference {ref!r} leads nowhere") from None
+    return at
+
+
+def _multiple(value, step) -> bool:
+    return Decimal(repr(value)) % Decimal(repr(step)) == 0
+
+
+def violations(value, schema: dict | bool, path: str = "", root: dict | bool | None = None) -> list[str]:
+    """``path: rule`` for each broken rule of the schema.  Equal values are those
+    with one canonical text, so ``true`` is not ``1``."""
+    root = schema if root is None else root
     at, out = path or "/", []
+    if isinstance(schema, bool):
+        return [] if schema else [f"{at}: unknown"]
+    broken = lambda s: violations(value, s, path, root)
+
+    def rule(name: str, holds: Callable[[], bool]) -> None:
+        if name in schema and not holds():
+            out.append(f"{at}: {name}")
+
     kinds = schema.get("type")
     if kinds is not None and not any(_IS[k](value) for k in ([kinds] if isinstance(kinds, str) else kinds)):
         return [f"{at}: type"]
-    if "enum" in schema and value not in schema["enum"]:
-        out.append(f"{at}: enum")
+    if "$ref" in schema:
+        out += broken(_target(schema["$ref"], root))
+    rule("enum", lambda: canonical(value) in map(canonical, schema["enum"]))
+    rule("const", lambda: canonical(value) == canonical(schema["const"]))
+    for s in schema.get("allOf", []):
+        out += broken(s)
+    rule("anyOf", lambda: any(not broken(s) for s in schema["anyOf"]))
+    rule("oneOf", lambda: sum(not broken(s) for s in schema["oneOf"]) == 1)
+    rule("not", lambda: bool(broken(schema["not"])))
     if _IS["number"](value):
-        out += [f"{at}: minimum"] * (value < schema.get("minimum", -math.inf))
-        out += [f"{at}: maximum"] * (value > schema.get("maximum", math.inf))
+        rule("minimum", lambda: value >= schema["minimum"])
+        rule("maximum", lambda: value <= schema["maximum"])
+        rule("exclusiveMinimum", lambda: value > schema["exclusiveMinimum"])
+        rule("exclusiveMaximum", lambda: value < schema["exclusiveMaximum"])
+        rule("multipleOf", lambda: _multiple(value, schema["multipleOf"]))
     if isinstance(value, str):
-        out += [f"{at}: minLength"] * (len(value) < schema.get("minLength", 0))
-        out += [f"{at}: maxLength"] * (len(value) > schema.get("maxLength", math.inf))
+        rule("minLength", lambda: len(value) >= schema["minLength"])
+        rule("maxLength", lambda: len(value) <= schema["maxLength"])
+        rule("pattern", lambda: re.search(schema["pattern"], value) is not None)
     if isinstance(value, list):
+        rule("minItems", lambda: len(value) >= schema["minItems"])
+        rule("maxItems", lambda: len(value) <= schema["maxItems"])
+        rule("uniqueItems", lambda: not schema["uniqueItems"] or len(set(map(canonical, value))) == len(value))
         for i, v in enumerate(value):
-            out += violations(v, schema.get("items", {}), f"{path}/{i}")
+            out += violations(v, schema.get("items", True), f"{path}/{i}", root)
     if isinstance(value, dict):
-        known = schema.get("properties", {})
+        rule("minProperties", lambda: len(value) >= schema["minProperties"])
+        rule("maxProperties", lambda: len(value) <= schema["maxProperties"])
         out += [f"{path}/{k}: required" for k in schema.get("required", []) if k not in value]
         for k in sorted(value):
-            if k in known:
-                out += violations(value[k], known[k], f"{path}/{k}")
-            elif schema.get("additionalProperties") is False:
-                out.append(f"{path}/{k}: unknown")
+            held = [schema["properties"][k]] if k in schema.get("properties", {}) else []
+            held += [s for p, s in schema.get("patternProperties", {}).items() if re.search(p, k)]
+            for s in held or [schema.get("additionalProperties", True)]:
+                out += violations(value[k], s, f"{path}/{k}", root)
     return out
 
 
@@ -229,6 +317,8 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """One row per call and per result without call: status, level, validity,
     errors and the call as canonical JSON.  (conv_id, level, turn, call_id)
     sorts every conversation topologically."""
+    for schema in schemas.values():
+        check_schema(schema)
     path = scratch_path(messages.sparkSession, "toolcalls")
 
     @F.arrow_udf(spark_struct(CHECKED))

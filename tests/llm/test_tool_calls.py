@@ -91,3 +91,34 @@ def test_odd_rows(spark):
     assert by[4, 1][0].status == "linked" and len(by[4, 1][0].json) > 400_000
     assert [r.status for r in by[5, 1]] == ["no_result", "no_result"]
     assert linked(spark, []).collect() == []
+
+
+@pytest.mark.parametrize("raw,text", [
+    ("1e-7", "1e-7"), ("0.00001", "0.00001"), ("1E-05", "0.00001"), ("0.000001", "0.000001"), ("1e16", "10000000000000000"),
+    ("10000000000000000", "10000000000000000"), ("1e20", "100000000000000000000"), ("1e21", "1e+21"), ("1000000000000000000000", "1e+21"),
+    ("123456789012345678901234", "123456789012345678901234"), ("-0.0", "0"), ("-1.50", "-1.5"), ("100", "100"), ("1e2", "100"), ("12.5e1", "125"),
+    ("5e-324", "5e-324"), ("1.7976931348623157e308", "1.7976931348623157e+308"), ("333333333.33333329", "333333333.3333333")])
+def test_equal_numbers_have_one_text(raw, text):
+    assert t.canonical(t.strict(raw)) == text
+
+
+@pytest.mark.parametrize("schema,good,bad", [
+    ({"pattern": "^a+$"}, ["aa", 1], ["ab"]), ({"const": 1}, [1, 1.0], [True, 2]), ({"enum": [False, None]}, [False, None], [0]),
+    ({"anyOf": [{"type": "string"}, {"minimum": 3}]}, ["x", 3], [2]), ({"oneOf": [{"minimum": 3}, {"maximum": 5}]}, [2, 6], [4]),
+    ({"allOf": [{"minimum": 3}, {"maximum": 5}]}, [4], [2, 6]), ({"not": {"type": "null"}}, [1], [None]),
+    ({"exclusiveMinimum": 1, "exclusiveMaximum": 2}, [1.5], [1, 2]), ({"multipleOf": 0.1}, [0.3, 2], [0.25]),
+    ({"minItems": 1, "maxItems": 2, "uniqueItems": True}, [[1], [1, "1"], [True, 1]], [[], [1, 1.0], [1, 2, 3]]),
+    ({"minProperties": 1, "maxProperties": 1}, [{"a": 1}], [{}, {"a": 1, "b": 1}]),
+    ({"properties": {"a": True}, "additionalProperties": {"type": "integer"}}, [{"a": "x", "b": 1}], [{"b": "x"}]),
+    ({"patternProperties": {"^n_": {"type": "number"}}, "additionalProperties": False}, [{"n_a": 1}], [{"n_a": "x"}, {"m": 1}]),
+    ({"$ref": "#/$defs/tree", "$defs": {"tree": {"type": "object", "properties": {"next": {"$ref": "#/$defs/tree"}, "v": {"type": "integer"}}}}},
+     [{"next": {"next": {"v": 1}}}], [{"next": {"next": {"v": "x"}}}, {"next": 1}])])
+def test_schema_keywords(schema, good, bad):
+    t.check_schema(schema)
+    assert all(t.violations(v, schema) == [] for v in good) and all(t.violations(v, schema) for v in bad)
+
+
+def test_unknown_keywords_are_refused(spark):
+    for schema in ({"contains": {}}, {"properties": {"a": {"if": {}}}}, {"$ref": "#/nowhere"}, {"$ref": "http://other"}):
+        with pytest.raises(ValueError):
+            t.check_schema(schema)
