@@ -1,7 +1,7 @@
 """License scans by ordered signature rules.
 
-Some 500 regexes come from hand-written forms over a table of licenses: grant
-sentences, SPDX tags, addresses, plain names.  A space in a rule is any run of
+Some 650 regexes come from hand-written forms over tables of licenses and their
+short names: grant sentences, SPDX tags, addresses, plain names.  A space in a rule is any run of
 white space.  Each rule waits for a keyword that every match of it holds; one
 Aho-Corasick pass over the text says which keywords it holds, so a text without
 any costs one scan.  Found intervals are settled in order of
@@ -107,6 +107,48 @@ LICENSES = (
     ("bsd", "bsd", r"bsd(?:-style)? licen[sc]e", r"bsd"),
 )
 
+#: Short names by which a license is told for certain: label, keyword, regex.
+SHORT = (
+    ("agpl-3.0", "agpl", r"(?:gnu )?agpl[ -]?v?3(?:\.0)?(?:\+|-only|-or-later)?"),
+    ("agpl", "agpl", r"(?:gnu )?agpl"),
+    ("lgpl-2.1", "lgpl", r"(?:gnu )?lgpl[ -]?v?2\.1(?:\+|-only|-or-later)?"),
+    ("lgpl-2.0", "lgpl", r"(?:gnu )?lgpl[ -]?v?2(?:\.0)?(?:\+|-only|-or-later)?"),
+    ("lgpl-3.0", "lgpl", r"(?:gnu )?lgpl[ -]?v?3(?:\.0)?(?:\+|-only|-or-later)?"),
+    ("lgpl", "lgpl", r"(?:gnu )?lgpl"),
+    ("gpl-2.0", "gpl", r"(?:gnu )?gpl[ -]?v?2(?:\.0)?(?:\+|-only|-or-later)?"),
+    ("gpl-3.0", "gpl", r"(?:gnu )?gpl[ -]?v?3(?:\.0)?(?:\+|-only|-or-later)?"),
+    ("gpl", "gpl", r"(?:gnu )?gpl"),
+    ("apache-2.0", "apache", r"apache[ -](?:software )?(?:licen[sc]e )?v?2(?:\.0)?(?: licen[sc]e)?"),
+    ("apache-1.1", "apache", r"apache[ -]v?1\.1(?: licen[sc]e)?"),
+    ("bsd-2-clause", "bsd", r"(?:bsd[ -](?:2|two)[ -]clause|(?:2|two)[ -]clause bsd|simplified bsd)"),
+    ("bsd-3-clause", "bsd", r"(?:bsd[ -](?:3|three)[ -]clause|(?:3|three)[ -]clause bsd|new bsd|modified bsd)"),
+    ("bsd-4-clause", "bsd", r"(?:bsd[ -](?:4|four)[ -]clause|(?:4|four)[ -]clause bsd)"),
+    ("mpl-2.0", "mpl", r"mpl[ -]?v?2(?:\.0)?"),
+    ("mpl-1.1", "mpl", r"mpl[ -]?v?1\.1"),
+    ("epl-2.0", "epl", r"epl[ -]?v?2(?:\.0)?"),
+    ("epl-1.0", "epl", r"epl[ -]?v?1(?:\.0)?"),
+    ("eupl-1.2", "eupl", r"eupl[ -]?v?1\.2"),
+    ("cddl-1.0", "cddl", r"cddl(?:[ -]?v?1(?:\.[01])?)?"),
+    ("cc0-1.0", "cc0", r"cc0[ -]?1\.0"),
+    ("cc-by-sa", "by-sa", r"cc-by-sa-[1-4]\.0"),
+    ("cc-by-nc", "by-nc", r"cc-by-nc-[1-4]\.0"),
+    ("cc-by-nd", "by-nd", r"cc-by-nd-[1-4]\.0"),
+    ("sspl-1.0", "sspl", r"sspl(?:[ -]?v?1(?:\.0)?)?"),
+    ("bsl-1.0", "bsl", r"bsl-1\.0"),
+    ("mit-0", "mit-0", r"mit-0"),
+    ("0bsd", "0bsd", r"0bsd"),
+    ("unlicense", "unlicense", r"unlicense"),
+    ("openrail", "openrail", r"openrail(?:-m|\+\+)?"),
+)
+#: Names that are words of their own elsewhere, and name a license where one is
+#: granted or a field is filled only.
+GRANTED = (
+    ("mit", "mit", r"mit"), ("mit", "expat", r"expat"), ("bsd", "bsd", r"bsd"), ("isc", "isc", r"isc"), ("zlib", "zlib", r"zlib"),
+    ("apache", "apache", r"apache"), ("x11", "x11", r"x11"), ("artistic-2.0", "artistic", r"artistic 2(?:\.0)?"), ("wtfpl", "wtfpl", r"wtfpl"),
+    ("cc0-1.0", "cc0", r"cc0"), ("public-domain", "public domain", r"public domain"), ("postgresql", "postgresql", r"postgresql"),
+    ("boost", "boost", r"boost"), ("ruby", "ruby", r"ruby"), ("openssl", "openssl", r"openssl"),
+)
+
 #: Forms of a mention: priority (lower goes first), confidence, regex around the name.
 FORMS = (
     ("spdx", 0, 1.0, r"spdx-license-identifier:\s*(?:{spdx})(?![\w.-])"),
@@ -158,13 +200,26 @@ def spaced(rx: str) -> str:
     return re.sub(r"\[[^]]*\]| \??", lambda m: swap.get(m[0], m[0]), rx)
 
 
+#: What may not follow a short name: more of a word, a number or an address.
+_END = r"(?![\w+@/]|[.-]\w)"
+
+
 def rules() -> list[Rule]:
-    """All rules in order: hand-written signatures, then every form of every license."""
+    """All rules in order: hand-written signatures, then every form of every
+    license, then the short names in the forms that suit them."""
     made = [(label, key, prio, conf, rx) for label, key, prio, conf, rx in SIGNATURES]
     for label, key, name, spdx in LICENSES:
         for form, prio, conf, rx in FORMS:
             keyword = {"spdx": "spdx-license-identifier", "field": "licen"}.get(form, key)
             made.append((label, keyword, prio, conf, rx.format(name=name, spdx=spdx)))
+    shapes = {form: (prio, conf, rx) for form, prio, conf, rx in FORMS}
+    for names, forms in ((SHORT, ("grant", "permission", "notice", "field", "name")), (GRANTED, ("grant", "field"))):
+        for label, key, name in names:
+            for form in forms:
+                prio, conf, rx = shapes[form]
+                rx = rx.replace("(?:{spdx}|{name})", "(?:{name})").replace(r"(?![\w.-])", "(?!\\w)").replace(r"(?!\w)", "{end}")
+                rx = rx.replace(r"(?<!\w)", r"(?<![\w@/.-])") if form == "name" else rx
+                made.append((label, key, prio, round(conf - 0.05, 2), rx.format(name=name, end=_END)))
     return [Rule(i, label, key, prio, conf, re.compile(spaced(rx))) for i, (label, key, prio, conf, rx) in enumerate(made)]
 
 

@@ -4,6 +4,8 @@ import random
 import re
 from types import SimpleNamespace
 
+import pytest
+
 from ordermill.llm import license_scan as s
 from ordermill.llm.common import table
 from tests.conftest import SF_SMALL
@@ -102,3 +104,12 @@ def test_many_places_in_a_long_text_stay_linear():
     text = "cc by " * 20_000
     row = s.scan(text.encode(), GATE)
     assert row[1] == 20_000 and row[3] == 39_998 and len(row[7]) == 20_000
+
+
+@pytest.mark.parametrize("text,labels", [
+    ("GPLv3", "gpl-3.0"), ("gpl-3.0", "gpl-3.0"), ("LGPL v3", "lgpl-3.0"), ("GNU LGPL v2.1", "lgpl-2.1"), ("Apache-2.0", "apache-2.0"),
+    ("released under the apache 2.0 license", "apache-2.0"), ("under the BSD 3-clause", "bsd-3-clause"), ("licensed under lgpl-2.1", "lgpl-2.1"),
+    ("licensed under the mit", "mit"), ("MPL 2.0", "mpl-2.0"), ("terms of the\ngnu  gpl v2", "gpl-2.0"), ("license = bsd", "bsd"),
+    ("mit der Katze und isc", ""), ("the apache web server in ruby", ""), ("see gpl/foo or a-gpl", ""), ("mail gpl@example.com", "")])
+def test_short_names(text, labels):
+    assert s.scan(text.encode(), s.keyword_gate(s.rules()))[5] == labels
