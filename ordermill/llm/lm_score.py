@@ -167,7 +167,7 @@ def _part_scores(common, word_base: Callable[[int], float]):
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known_words = common.value
-        schema = pa.schema([("word", pa.binary()), ("doc_id", pa.int64()), ("mark", pa.int32()), ("times", pa.int32()),
+        schema = pa.schema([("word", pa.binary()), ("doc_id", pa.int64()), ("mark", pa.int64()), ("times", pa.int32()),
                             ("whole", pa.struct([("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()),
                                                  ("base", pa.float64()), ("score", pa.float64())]))])
 
@@ -178,7 +178,7 @@ def _part_scores(common, word_base: Callable[[int], float]):
         for batch in batches:
             for doc_id, held, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 raw = text.as_py() or b""
-                mark = xxhash.xxh3_64_intdigest(raw) & 0x7FFFFFFF
+                mark = xxhash.xxh3_64_intdigest(raw) - (1 << 63)
                 found = tokens(raw)
                 known, base, score = 0, 0.0, 0.0
                 for w, times in Counter(found).items():
@@ -226,7 +226,7 @@ def score_texts(docs: DataFrame, learn, path: str = PIECES, head: int = HEAD, id
     shared = spark.sparkContext.broadcast(common)
     parts = rows.select("doc_id", "held_out", "text").mapInArrow(
         _part_scores(shared, word_base),
-        "word binary, doc_id bigint, mark int, times int, whole struct<held_out:boolean,n_tokens:bigint,known:bigint,"
+        "word binary, doc_id bigint, mark bigint, times int, whole struct<held_out:boolean,n_tokens:bigint,known:bigint,"
         "base:double,score:double>")
     joined = parts.join(words, "word", "left")
     tail = F.col("whole").isNull()
