@@ -108,3 +108,51 @@ def test_odd_rows(spark):
     assert d.contamination(no_docs(spark), bench).collect() == []
     assert d.contamination(docs, bench.filter("false")).collect() == []
     assert d.drop_contaminated(docs, bench.filter("false")).count() == docs.count()
+
+
+def test_every_third_word_changed(spark):
+    leak = prose(1000, 40)
+    copy = " ".join(w if i % 3 != 2 else f"new{i}" for i, w in enumerate(leak.split()))
+    docs = {i: prose(200 + i, 60) + " " + copy + " " + prose(400 + i, 60) for i in range(4)} | {100 + i: prose(500 + i, 60) for i in range(20)}
+    got = d.contamination(docs_of(spark, docs), items(spark, {7: leak})).collect()
+    assert {r.doc_id for r in got} == set(range(4)) and all(0.5 <= r.score < 0.52 for r in got)
+
+
+def test_recall_against_every_text_times_every_item(spark):
+    """Random edits of 10 to 40 words in a hundred, against the alignment of all pairs."""
+    bench = {i: prose(2000 + i, 25 + 5 * (i % 5)) for i in range(12)}
+    docs = {i: prose(3000 + i, 120) for i in range(40)}
+    for i, text in bench.items():
+        for k, share in enumerate((0.1, 0.2, 0.25, 0.3, 0.33, 0.4)):
+            docs[100 + 10 * i + k] = prose(4000 + 10 * i + k, 50) + " " + edited(text, 10 * i + k, share) + " " + prose(5000 + 10 * i + k, 50)
+    got = {(r.doc_id, r.item_id) for r in d.contamination(docs_of(spark, docs), items(spark, bench)).collect()}
+    block = d.block_of([(i, d.words_of(t)) for i, t in bench.items()])
+    texts = {i: block.numbers(t) for i, t in docs.items()}
+    want = set()
+    for item_id, item in block.passages:
+        for i, text in texts.items():
+            score, run, _ = d.align(item, text)
+            if score >= d.MIN_SCORE or run >= d.RUN_WORDS:
+                want.add((i, item_id))
+    assert len(want) > 55 and got <= want
+    assert len(got & want) >= 0.97 * len(want)
+
+
+def test_an_ngram_that_all_items_share_is_held_in_parts(monkeypatch):
+    shared = ["many", "items", "share", "this"]
+    block = d.block_of([(i, shared + d.words_of(prose(6000 + i, 12))) for i in range(300)])
+    at = block.numbers(" ".join(shared * 40) + " " + prose(6007, 12))
+    whole = sorted(d.crowds(block, *block.find(at)))
+    held, unique = [], np.unique
+    monkeypatch.setattr(d, "CROWD_SLOTS", 500)
+    monkeypatch.setattr(d.np, "unique", lambda a, **k: held.append(len(a)) or unique(a, **k))
+    assert sorted(d.crowds(block, *block.find(at))) == whole and whole
+    assert max(held) <= 2_000
+
+
+def test_an_item_without_id_is_found(spark):
+    leak = prose(1000, 30)
+    docs = docs_of(spark, {1: leak, 2: prose(5, 30)})
+    bench = items(spark, {None: leak})
+    assert [(r.doc_id, r.item_id) for r in d.contamination(docs, bench).collect()] == [(1, None)]
+    assert [r.doc_id for r in d.drop_contaminated(docs, bench).collect()] == [2]
