@@ -10,8 +10,8 @@ pair is made only where the shingle lies early enough in both for their sizes.
 The other orders' prefixes are intersected before the whole texts are verified.
 
 Equal sets are one node.  The component of a node, not every pair, is asked
-for.  While the shingles could make more pairs across components than half the
-postings there were at first, each is cut into slices, of which only one hub
+for.  While the shingles could make more pairs across components than there were
+postings at first, each is cut into slices, of which only one hub
 each meets the shingle's members in other components; linked nodes drop out,
 hubs are done, and the next round has twice as many slices.  The pairs that are
 left are joined in full.  No link between different texts is lost, and no round
@@ -307,7 +307,7 @@ class JaccardJoin:
     def links(self, postings: DataFrame) -> DataFrame:
         """Links that connect every component in full."""
         tried, found = [], []
-        few = postings.count() / 2
+        few = postings.count()
         postings = postings.withColumn("comp", F.col("node"))
         for turn in itertools.count():
             path = f"{self.path}/turn{turn}"
