@@ -1,7 +1,10 @@
 """Rule ensemble: held-out accuracy, compiled rules, odd rows."""
 
+import re
+
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from ordermill.llm import rule_ensemble as e
@@ -53,3 +56,27 @@ def test_lasso_drops_useless_rules():
     y = a[:, 0]
     _, w = e.lasso(a, y, 0.02)
     assert np.argmax(np.abs(w)) == 0 and (np.abs(w[1:]) < 1e-6).sum() >= 15
+
+
+def restated(text):
+    """The statistics by their names, from the words and lines of the text."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    if not words:
+        return [0.0] * len(e.STATISTICS)
+    raw, lines = text.encode(), [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    repeats = {j for i, w in enumerate(windows) if windows.count(w) > 1 for j in (i, i + 1, i + 2)}
+    letters = sum(chr(b).isascii() and chr(b).isalpha() or b >= 128 for b in raw)
+    stops = sum(x.rstrip(" \t\n\v\f\r")[-1] in ".!?" for x in lines)
+    return [len(words), sum(map(len, words)) / len(words), sum(c in "#*$%&|<>" for c in text) / sum(map(len, words)),
+            sum(x in lines[:i] for i, x in enumerate(lines)) / len(lines), len(repeats) / len(words),
+            sum("A" <= c <= "Z" for c in text) / max(1, letters), sum("0" <= c <= "9" for c in text) / len(raw),
+            text.count("!") / len(words), text.count(",") / len(words), len(set(words)) / len(words), len(words) / len(lines),
+            stops / len(lines), len(zstandard.ZstdCompressor(level=3).compress(raw)) / len(raw), sum(len(w.encode()) == 1 for w in words) / len(words)]
+
+
+def test_statistics_equal_restatement(spark):
+    docs = table(spark, SF_ORACLE, "documents").filter("length(text) < 3000").limit(200).unionByName(
+        odd_docs(spark).select("doc_id", "text", "lang", "source", "n_chars").filter("text is null or length(text) < 3000"))
+    for r in docs.select("text", e._statistics(F.col("text").cast("binary")).alias("s")).collect():
+        assert list(r.s) == pytest.approx(restated(r.text or ""))
