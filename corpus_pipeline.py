@@ -5,6 +5,14 @@ predecessor kept.  All but the last return the columns of documents; the last
 repeats or leaves out documents and adds ``rate``, ``replica`` and
 ``shuffle_key``.  Between stages the documents are written as Parquet to the
 shared folder and read again, so a lost executor costs one stage at most.
+
+Cases: rows with a null, empty or letterless text go in the first stage.  Null
+ids, languages and sources are kept as values: a row without an id neither
+trains nor is held out, is mixed under one draw with its like, and gives way to
+a copy that has an id.  Rows with one id but texts that are not linked all
+stay; of equal rows one stays.  Columns besides those of documents pass through
+all stages; they may not be called ``rate``, ``replica`` or ``shuffle_key``.
+An empty table gives no rows; long texts are read whole in every stage.
 """
 
 from __future__ import annotations
