@@ -11,10 +11,10 @@ The other orders' prefixes are intersected before the whole texts are verified.
 
 Equal sets are one node.  The component of a node, not every pair, is asked
 for.  While the shingles could make more pairs across components than there were
-postings at first, each is cut into slices, of which only one hub
-each meets the shingle's members in other components; linked nodes drop out,
-hubs are done, and the next round has twice as many slices.  The pairs that are
-left are joined in full.  No link between different texts is lost, and no round
+postings at first, each is cut into slices, of which only one hub each meets the
+shingle's members in other components; linked nodes drop out, hubs are done, and
+the next round has twice as many slices.  The pairs that are left are joined in
+full.  No link between different texts is lost, and no round
 makes more pairs than slices times postings.
 
 A shingle's sketch count bounds its postings: those under ``GROUP_ROWS`` are
