@@ -18,6 +18,7 @@ from ..schema import ENVELOPE_SCHEMA
 from ..session import scratch_path
 from ..sources.star import orders_from_star, read_table
 from ..streaming import bronze, event_time
+from .catalog import write_and_read
 
 DAY = 86_400_000_000
 MINUTE = 60_000_000
@@ -117,6 +118,7 @@ def sales_seven_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cleaned(spark, sf_dir).filter(F.col("order_status") != "canceled").withColumn("at", micros("order_date"))
     units = F.round(F.col("order_total_value") * 10000).cast("bigint")  # money of the fixture is exact in these
     days = moving(rows, ["customer_state"], "at", 6 * DAY, 56 * DAY, {"units": units})
+    days = write_and_read(days, scratch_path(spark, "days"))  # a row per state and day, read twice
     days = neighbours(days, ["customer_state"], "at", 56 * DAY, ["rows"])
     date = lambda c: F.to_date(F.timestamp_micros(c))
     return days.select(
@@ -185,7 +187,7 @@ def bronze_offset_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     lost = F.col("offset") % 997 < 3
     times = F.when(F.col("offset") % 500 == 11, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     landed = bronze.bronze_rows(ev.filter(~lost).withColumn("__copy", F.explode(times)).drop("__copy"))
-    return offset_ranges(landed, block=1 << 10)
+    return offset_ranges(landed, 1 << 10, scratch_path(spark, "ranges"))
 
 
 QUERIES = {
