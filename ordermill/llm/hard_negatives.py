@@ -113,7 +113,7 @@ class Anchors:
         across = np.sqrt(np.maximum(of(self.norm) - least * least / rows.length, 0) * rows.residual)
         slack = 1e-7 * np.sqrt(of(self.norm) * rows.norm) + 1e-3
         middle, width = rows.share * t, np.abs(rows.share) * of(self.error) + across + slack
-        return middle - width, middle + width
+        return np.clip(middle - width, LONG.min, LONG.max), np.clip(middle + width, LONG.min, LONG.max)
 
 
 class Rows:
@@ -182,7 +182,8 @@ def _negatives(anchors: Anchors, positive: np.ndarray, there: np.ndarray, keep:
     """Slots are (anchor, positive); rows of other labels within the positive's band."""
     each = positive.shape[1]
     best = Best(positive.size, keep)
-    floor = np.where(there, -(-LOW * positive // HIGH), LONG.max)
+    low = LOW * (positive // HIGH) - -LOW * (positive % HIGH) // HIGH  # rounded up, without leaving a long
+    floor = np.where(there, low, LONG.max)
     top = np.where(there, positive, LONG.min).max(1)
 
     def meet(at: slice, rows: Rows, low: np.ndarray, high: np.ndarray) -> np.ndarray:
