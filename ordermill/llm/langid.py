@@ -4,9 +4,9 @@ The text's letters, lower-cased, are cut into byte n-grams that see word
 borders; each n-gram is hashed to an embedding, the mean embedding goes
 through a linear softmax.  Both are trained by stochastic gradient descent in
 numpy on a bounded sample of labelled whole texts: some ``per_lang`` rows of
-each language, and fewer if their n-grams could take more than
-``SAMPLE_BYTES``.  Tasks turn the sample into bags of n-grams; only these come
-to the driver, not the texts.  More than ``MAX_LANGS`` labels are an error, not
+each language, and fewer if their texts take more than ``SAMPLE_BYTES``.  The
+driver holds these texts and the bag of n-grams of one at a time (a bag is
+several times as long as its text).  More than ``MAX_LANGS`` labels are an error, not
 cut off.  The model takes 4 MB, and 64 kB a language.
 
 A fifth of the sample is kept apart to scale the confidence and to place the
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, id_bucket, spark_struct, structs, table, unit_hash
+from .common import held_out, id_bucket, spark_struct, structs, table, text_bytes, unit_hash
 
 BUCKET_BITS = 16
 DIM = 16
@@ -47,8 +47,7 @@ EPOCHS = 6
 RATE = 1.0
 PER_LANG = 1500
 MAX_LANGS = 4000
-SAMPLE_BYTES = 256 << 20  # at most; texts repeat their n-grams, so about a quarter is used
-BYTES_A_GRAM = 6
+SAMPLE_BYTES = 32 << 20  # of text, expected
 ACCEPT_SHARE = 0.999  # of right calibration predictions that stay accepted
 LEAST_TEXTS = 50  # to keep a fifth apart
 FEW_GRAMS = 20.0  # so many n-grams count half against a text
@@ -100,8 +99,9 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 
 def bag_of(grams: np.ndarray) -> Bag:
-    found, times = np.unique(grams, return_counts=True)
-    return found.astype(np.uint16), times.astype(np.uint32)
+    times = np.bincount(grams, minlength=1 << BUCKET_BITS)
+    found = np.flatnonzero(times)
+    return found, times[found]
 
 
 def mean_of(values: np.ndarray, bag: Bag) -> np.ndarray:
@@ -121,48 +121,52 @@ def shuffled_letters(text: str, rng: np.random.Generator) -> str:
     return "".join(next(letters) if c.isalpha() else c for c in text)
 
 
-def bags_of(text: str) -> tuple[Bag, Bag]:
-    """The text's bag, and that of the text with shuffled letters."""
-    noise = shuffled_letters(text, np.random.default_rng(zlib.crc32(text.encode("utf-8", "replace"))))
-    return bag_of(gram_buckets(text)), bag_of(gram_buckets(noise))
+def bag(text: bytes) -> Bag:
+    return bag_of(gram_buckets(text.decode("utf-8", "replace")))
 
 
-def usual_grams(bags: list[Bag], noise: list[Bag], y: np.ndarray, fit: np.ndarray, apart: np.ndarray,
-                logits) -> tuple[np.ndarray, np.ndarray, float]:
+def noise_bag(text: bytes) -> Bag:
+    """The bag of the text with shuffled letters."""
+    return bag_of(gram_buckets(shuffled_letters(text.decode("utf-8", "replace"), np.random.default_rng(zlib.crc32(text)))))
+
+
+def usual_grams(texts: list[bytes], y: np.ndarray, fit: np.ndarray, apart: np.ndarray, logits) -> tuple[np.ndarray, np.ndarray, float]:
     """(known, usual, least) of a LangModel: counted on ``fit``, placed on ``apart``."""
     langs = int(y.max()) + 1
     counts = np.full((1 << BUCKET_BITS, langs), 0.5, np.float32)
     for i in fit:
-        counts[bags[i][0], y[i]] += bags[i][1]
+        found, times = bag(texts[i])
+        counts[found, y[i]] += times
     known = np.clip(np.rint(np.log(counts / counts.sum(axis=0)) / LOG_STEP), 0, 255).astype(np.uint8)
-    held = [i for i in apart if len(bags[i][0])]
-    own = [mean_of(known[:, y[i]], bags[i]) * LOG_STEP for i in held]
-    at = y[held] if held else np.empty(0, np.int64)
-    usual = np.array([np.mean([v for v, k in zip(own, at) if k == lang]) if (at == lang).any() else np.mean(own or [0.0])
-                      for lang in range(langs)])
+    del counts
+    own: dict[int, list[float]] = {}
+    for i in apart:
+        mine = bag(texts[i])
+        if len(mine[0]):
+            own.setdefault(int(y[i]), []).append(mean_of(known[:, y[i]], mine) * LOG_STEP)
+    every = np.mean([v for held in own.values() for v in held] or [0.0])
+    usual = np.array([np.mean(own[lang]) if lang in own else every for lang in range(langs)])
     right, wrong = [], []
-    for i in held:
-        z = logits(bags[i])
+    for i in apart:
+        mine, noise = bag(texts[i]), noise_bag(texts[i])
+        if not len(mine[0]):
+            continue
+        z = logits(mine)
         if int(z.argmax()) == y[i]:
-            right.append(familiarity(known, usual, y[i], bags[i]))
+            right.append(familiarity(known, usual, y[i], mine))
         if langs > 1:  # as if its language had not been learned
             z[y[i]] = -np.inf
-            wrong.append(familiarity(known, usual, int(z.argmax()), bags[i]))
-        if len(noise[i][0]):
-            wrong.append(familiarity(known, usual, int(logits(noise[i]).argmax()), noise[i]))
+            wrong.append(familiarity(known, usual, int(z.argmax()), mine))
+        if len(noise[0]):
+            wrong.append(familiarity(known, usual, int(logits(noise).argmax()), noise))
     if not right:
         return known, usual, -np.inf
     least = float(np.quantile(right, 1 - ACCEPT_SHARE))
     return known, usual, min(least, (least + float(np.median(wrong))) / 2 if wrong else least)
 
 
-def train(texts: list[str], labels: list[str], seed: int = 5) -> LangModel | None:
-    both = [bags_of(t) for t in texts]
-    return train_bags([b for b, _ in both], [n for _, n in both], labels, seed)
-
-
-def train_bags(bags: list[Bag], noise: list[Bag], labels: list[str], seed: int = 5) -> LangModel | None:
-    """A model from bags of texts with a language, and those of their letters shuffled."""
+def train(texts: list[str | bytes], labels: list[str], seed: int = 5) -> LangModel | None:
+    texts = [t.encode("utf-8", "replace") if isinstance(t, str) else t for t in texts]
     langs = sorted(set(labels))
     if not langs:
         return None
@@ -171,12 +175,12 @@ def train_bags(bags: list[Bag], noise: list[Bag], labels: list[str], seed: int =
     rng = np.random.default_rng(seed)
     emb = rng.uniform(-1 / DIM, 1 / DIM, (1 << BUCKET_BITS, DIM)).astype(np.float32)
     out, bias = np.zeros((len(langs), DIM), np.float32), np.zeros(len(langs), np.float32)
-    order = rng.permutation(len(bags))
+    order = rng.permutation(len(texts))
     apart, fit = (order[:len(order) // 5], order[len(order) // 5:]) if len(order) >= LEAST_TEXTS else (order, order)
     steps, done = EPOCHS * len(fit), 0
     for _ in range(EPOCHS):
         for i in rng.permutation(fit):
-            u, times = bags[i]
+            u, times = bag(texts[i])
             share = (times / max(int(times.sum()), 1)).astype(np.float32)[:, None]
             rate, done = RATE * (1 - done / steps), done + 1
             mean = (emb[u] * share).sum(axis=0)
@@ -186,8 +190,8 @@ def train_bags(bags: list[Bag], noise: list[Bag], labels: list[str], seed: int =
             out -= rate * np.outer(grad, mean)
             bias -= 0.1 * rate * grad
             emb[u] -= (rate * 10) * share * back
-    logits = lambda bag: out @ (mean_of(emb, bag) if len(bag[0]) else np.zeros(DIM)) + bias
-    held = np.array([logits(bags[i]) for i in apart])
+    logits = lambda mine: out @ (mean_of(emb, mine) if len(mine[0]) else np.zeros(DIM)) + bias
+    held = np.array([logits(bag(texts[i])) for i in apart])
     grid = np.geomspace(0.1, 20, 60)
     grid = grid[grid >= 1]  # a sample without errors is no reason to sharpen
     loss = [-np.log(softmax(held / t)[np.arange(len(apart)), y[apart]] + 1e-12).mean() for t in grid]
@@ -195,56 +199,42 @@ def train_bags(bags: list[Bag], noise: list[Bag], labels: list[str], seed: int =
     p = softmax(held / heat)
     right = p.max(axis=1)[p.argmax(axis=1) == y[apart]]
     least = float(np.quantile(right, 1 - ACCEPT_SHARE)) if len(right) else 0.0
-    unsure = [softmax(logits(noise[i]) / heat).max() for i in apart if len(noise[i][0])]
+    unsure = [softmax(logits(noise) / heat).max() for noise in (noise_bag(texts[i]) for i in apart) if len(noise[0])]
     if unsure:
         least = min(least, (least + float(np.median(unsure))) / 2)
     model = LangModel(langs, emb, out, bias, heat, least)
     if len(order) >= LEAST_TEXTS:
-        model.known, model.usual, model.least = usual_grams(bags, noise, y, fit, apart, logits)
+        model.known, model.usual, model.least = usual_grams(texts, y, fit, apart, logits)
     return model
 
 
 def predict(model: LangModel | None, text: str | None) -> tuple[str, float, bool]:
     if model is None or text is None or not has_letter(text):
         return UNKNOWN, 0.0, False
-    bag = bag_of(gram_buckets(text))
-    p = softmax((model.out @ mean_of(model.table, bag) + model.bias) / model.temperature)
+    mine = bag_of(gram_buckets(text))
+    p = softmax((model.out @ mean_of(model.table, mine) + model.bias) / model.temperature)
     best = int(p.argmax())
     accepted = p[best] >= model.threshold and (
-        model.known is None or familiarity(model.known, model.usual, best, bag) >= model.least)
+        model.known is None or familiarity(model.known, model.usual, best, mine) >= model.least)
     return model.langs[best], float(p[best]), bool(accepted)
 
 
-def _bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        both = [bags_of(v.as_py()) for v in batch.column("text")]
-        parts = {f"{name}_{part}": pa.array([b[k][j].tobytes() for b in both], pa.binary())
-                 for k, name in enumerate(("bag", "noise")) for j, part in enumerate(("buckets", "times"))}
-        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "lang": batch.column("lang"), **parts})
-
-
 def fit(docs: DataFrame, per_lang: int = PER_LANG, learn: Column | None = None) -> LangModel | None:
     """Train on rows of ``docs`` (doc_id, text, lang) where ``learn`` holds.
     The sample is drawn by a hash of the id, at most ``2 * per_lang * languages``
     rows; of each language it is the share that keeps both limits."""
     rows = docs.filter("text is not null and lang is not null")
     rows = rows if learn is None else rows.filter(learn)
-    # Two bags of three n-grams a byte at most, none with more entries than there are buckets.
-    most = 2 * BYTES_A_GRAM * F.least(len(GRAMS) * F.octet_length("text").cast("bigint"), F.lit(1 << BUCKET_BITS))
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(most).alias("bytes")).limit(MAX_LANGS + 1).collect()
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).limit(MAX_LANGS + 1).collect()
     if not sizes:
         return None
     if len(sizes) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} language labels")
     shares = {r["lang"]: min(1.0, per_lang / r["n"], SAMPLE_BYTES / len(sizes) / max(r["bytes"], 1)) for r in sizes}
     share = F.element_at(F.create_map(*[F.lit(v) for pair in shares.items() for v in pair]), F.col("lang"))
-    sample = rows.filter(unit_hash(F.col("doc_id"), seed=9) < share).select(F.col("doc_id").cast("bigint"), "text", "lang")
-    ddl = "doc_id bigint, lang string, bag_buckets binary, bag_times binary, noise_buckets binary, noise_times binary"
-    got = sample.limit(2 * per_lang * len(sizes)).mapInArrow(_bagged, ddl).toArrow().sort_by("doc_id")
-    held = lambda name, kind: [np.frombuffer(v.as_buffer(), kind) for v in got.column(name)]
-    bags = list(zip(held("bag_buckets", np.uint16), held("bag_times", np.uint32)))
-    noise = list(zip(held("noise_buckets", np.uint16), held("noise_times", np.uint32)))
-    return train_bags(bags, noise, got.column("lang").to_pylist())
+    sample = rows.filter(unit_hash(F.col("doc_id"), seed=9) < share).select("doc_id", text_bytes().alias("text"), "lang")
+    got = sample.limit(2 * per_lang * len(sizes)).toArrow().sort_by("doc_id")
+    return train(got.column("text").to_pylist(), got.column("lang").to_pylist())
 
 
 def language(model: LangModel | None, text_col: str = "text") -> Column:

@@ -61,12 +61,12 @@ def test_whole_text_counts():
 def test_sample_is_bounded(spark):
     docs = spark.range(4000).selectExpr("id as doc_id", "concat('word ', id) as text", "if(id % 2 = 0, 'a', 'b') as lang")
     calls = []
-    real = langid.train_bags
-    langid.train_bags = lambda bags, noise, labels: calls.append(len(bags)) or real(bags[:10], noise[:10], labels[:10])
+    real = langid.train
+    langid.train = lambda texts, labels: calls.append(len(texts)) or real(texts[:10], labels[:10])
     try:
         langid.fit(docs, per_lang=50)
     finally:
-        langid.train_bags = real
+        langid.train = real
     assert 50 <= calls[0] <= 200
 
 
@@ -92,13 +92,13 @@ def test_predictions_equal_a_plain_restatement(spark):
 
 def test_sample_is_bounded_in_bytes_and_labels(spark, monkeypatch):
     docs = table(spark, SF_ORACLE, "documents")
-    monkeypatch.setattr(langid, "SAMPLE_BYTES", 4 << 20)
+    monkeypatch.setattr(langid, "SAMPLE_BYTES", 1 << 18)
     seen = []
-    monkeypatch.setattr(langid, "train_bags", lambda bags, noise, labels: seen.append((bags, noise, labels)))
+    monkeypatch.setattr(langid, "train", lambda texts, labels: seen.append((texts, labels)))
     langid.fit(docs)
-    bags, noise, labels = seen[0]
-    assert 20 < len(bags) < 400 and len(set(labels)) == 4
-    assert sum(langid.BYTES_A_GRAM * len(u) for u, _ in bags + noise) <= 4 << 20
+    texts, labels = seen[0]
+    assert 20 < len(texts) < 400 and len(set(labels)) == 4
+    assert sum(map(len, texts)) < 2 * (1 << 18)
     monkeypatch.setattr(langid, "MAX_LANGS", 3)
     with pytest.raises(ValueError, match="3 language labels"):
         langid.fit(docs)
