@@ -165,7 +165,7 @@ class Best:
         self.least[self.held[0][last]] = self.held[1][last]
 
 
-def _positives(anchors: Anchors, keep: int) -> Callable:
+def _positives(anchors: Anchors, keep: int) -> tuple[Best, Callable, Callable]:
     """Slots are anchors; rows of the anchor's label other than itself."""
     best = Best(len(anchors.row), keep)
 
@@ -178,7 +178,7 @@ def _positives(anchors: Anchors, keep: int) -> Callable:
     return best, meet, take
 
 
-def _negatives(anchors: Anchors, positive: np.ndarray, there: np.ndarray, keep: int) -> Callable:
+def _negatives(anchors: Anchors, positive: np.ndarray, there: np.ndarray, keep: int) -> tuple[Best, Callable, Callable]:
     """Slots are (anchor, positive); rows of other labels within the positive's band."""
     each = positive.shape[1]
     best = Best(positive.size, keep)

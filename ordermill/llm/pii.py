@@ -207,8 +207,11 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                              F.monotonically_increasing_id().alias("row")), f"{path}/rows")
     found = rows.filter(F.col("key").isNotNull())
     terms = saved(disclosing(found, texts.select("text"), path), f"{path}/terms")
-    # One entry per text and term: removed if any entity asks for it.
-    asked = found.select("key", F.explode(F.array_distinct("entities.entity")).alias("entity")).distinct().join(terms, "entity")
+    # The texts' own words meet the terms, not the entities all of theirs.  One
+    # entry per text and term: removed if any entity asks for it.
+    said = found.select("key", F.col("entities.entity").alias("held"), "text").dropDuplicates(["key"])
+    said = said.select("key", "held", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
+    asked = said.join(terms, "term").filter(F.array_contains("held", F.col("entity")))
     asked = asked.groupBy("key", "term").agg(F.min("replacement").alias("replacement"))
     asked = asked.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "replacement"))).alias("terms"))
     base = F.transform("entities", lambda e: F.struct(
