@@ -99,11 +99,13 @@ def prefix(tokens: np.ndarray, counts: np.ndarray, order: int, percent: int = PE
     return np.lexsort((tokens * np.uint64(FACTORS[order]), scale))[:keep]
 
 
-def sketch(rows: DataFrame) -> np.ndarray:
+def sketch(rows: DataFrame, path: str) -> np.ndarray:
     """Document counts of hashed shingles.
 
     Tasks count into arrays and pass them on in slices; each slice is summed
-    as it streams in, so no task holds more than its own slices."""
+    as it streams in, so no task holds more than its own slices.  The sums are
+    written and read back a file split at a time: a job each, not one per
+    shuffle partition."""
     length = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(max((length // BYTES_A_COUNTER).bit_length(), LEAST_BITS), MOST_BITS)
 
@@ -129,7 +131,8 @@ def sketch(rows: DataFrame) -> np.ndarray:
 
     ddl = "slice int, counts binary"
     total = np.zeros(((1 << bits) // SLICE, SLICE), np.int32)
-    for r in rows.select("text").mapInArrow(count, ddl).repartition("slice").mapInArrow(add, ddl).toLocalIterator():
+    sums = saved(rows.select("text").mapInArrow(count, ddl).repartition("slice").mapInArrow(add, ddl), f"{path}/sketch")
+    for r in sums.toLocalIterator():
         total[r["slice"]] = np.frombuffer(bytes(r["counts"]), np.int32)
     return total.reshape(-1)
 
@@ -181,13 +184,12 @@ def shared_postings(docs: DataFrame, path: str, percent: int) -> DataFrame:
                                       (F.min("node") != F.max("node")).alias("in_two"))
     sizes = sizes.filter("in_two").select("token", "least", "most", F.ceil(F.col("k") / GROUP_ROWS).cast("int").alias("salts"))
     many = many.join(sizes, "token").withColumn("salt", (F.pmod("node", "salts") + 1).cast("int"))
-    found = saved(few.unionByName(many), f"{path}/found")
-    shared = found.groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
+    found = few.unionByName(many).withColumn("shared", F.count(F.lit(1)).over(Window.partitionBy("node")))
     # Least at either end of the sizes; 1 less, as rounding bends the curve between.
     need = F.least(*[_need(F.col("n"), F.col(c), percent) for c in ("least", "most")])
     smallest = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
     early = F.col("at") <= F.col("n") - _whole(F.col("n"), smallest, percent)
-    return (found.join(shared, "node").filter(F.col("shared") >= F.greatest(need - 1, F.lit(1))).filter(early)
+    return (found.filter(F.col("shared") >= F.greatest(need - 1, F.lit(1))).filter(early)
             .drop("least", "most"))
 
 
@@ -202,6 +204,11 @@ def _live(postings: DataFrame, slices: int) -> DataFrame:
     nodes: the one with the largest part of its prefix shared, so that most of
     its kin link to it."""
     hub = F.struct((F.col("shared") / F.col("n")).alias("part"), "node", "n", "comp", "shared", "at")
+    if slices == 1:  # the first round: each node is a component, and stands once under a shingle
+        comps = postings.groupBy("token").agg(F.count(F.lit(1)).alias("all"), F.max("comp").alias("big"), F.max("salts").alias("salts"),
+                                              F.array(F.max(hub)).alias("hubs"))
+        comps = comps.withColumn("across", F.col("all") * (F.col("all") - 1) / 2).filter("across > 0")
+        return comps.withColumn("salt", F.explode(_salts())).drop("salts")
     parts = postings.groupBy("token", "comp", F.pmod(F.xxhash64("node"), F.lit(slices)).alias("slice")).agg(
         F.count(F.lit(1)).alias("k"), F.max("salts").alias("salts"), F.max(hub).alias("hub"))
     comps = parts.groupBy("token", "comp").agg(F.sum("k").alias("k"), F.max("salts").alias("salts"))
@@ -267,8 +274,12 @@ def _small(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def _nodes_of(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
+def _of_pairs(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows (node, ...) whose node is in a written table of pairs.  Few
+    nodes are sent to all tasks as they are, so nothing is shuffled."""
+    ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node")))
+    ends = F.broadcast(ends) if 2 * pairs.count() <= BROADCAST_ROWS else ends.distinct()
+    return rows.join(ends, "node", "left_semi")
 
 
 def _ended(pairs: DataFrame, rows: DataFrame, *values: str) -> DataFrame:
@@ -295,11 +306,9 @@ class JaccardJoin:
         cut = lambda x, size: F.slice(x, F.lit(1), (size - whole + 1).cast("int"))
         meets = F.forall(F.zip_with("others_a", "others_b", lambda x, y: F.arrays_overlap(cut(x, n), cut(y, m))), lambda v: v)
         enough = F.size(F.array_intersect("first_a", "first_b")) >= _need(n, m, self.percent)
-        needed = saved(_nodes_of(pairs), f"{path}/nodes")
-        sets = self.sets.filter("first is not null").join(_small(needed), "node").dropDuplicates(["node"])
+        sets = _of_pairs(self.sets.filter("first is not null"), pairs).dropDuplicates(["node"])
         agreed = saved(_ended(pairs, sets, "n", "first", "others").filter(enough).filter(meets).select("a", "b"), f"{path}/agreed")
-        needed = _nodes_of(agreed).join(self.nodes.filter("doc_id is not null"), "node")
-        needed = saved(needed, f"{path}/ids")
+        needed = saved(_of_pairs(self.nodes.filter("doc_id is not null"), agreed), f"{path}/ids")
         texts = saved(self.rows.join(_small(needed), "doc_id").select("node", "text"), f"{path}/texts")
         same = _verified("a", "text_a", "b", "text_b", F.lit(self.percent))
         return _ended(agreed, texts, "text").filter(same).select("a", "b")
@@ -359,7 +368,7 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, percent: int, orders: i
     spark = docs.sparkSession
     path = scratch_path(spark, "jaccard")
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_bytes(text_col).alias("text"))
-    counts = spark.sparkContext.broadcast(sketch(rows))
+    counts = spark.sparkContext.broadcast(sketch(rows, path))
     sets = saved(prefixes(rows, counts, orders, percent), f"{path}/docs")
     counts.unpersist()
     nodes = saved(sets.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), f"{path}/nodes")

@@ -130,3 +130,21 @@ def test_components(spark):
     got = {r.node: r.label for r in components.connected(df, scratch_path(spark, "cc")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 10: 10, 11: 10, 12: 10, 13: 10}
     assert components.connected(df.filter("false"), scratch_path(spark, "cc")).collect() == []
+
+
+def test_jobs_do_not_grow_with_shuffle_partitions(spark):
+    docs = docs_of(spark, {i: prose(40 + i, 40) for i in range(6)})
+    jobs, before = [], {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for n in (2, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            spark.sparkContext.setJobGroup(f"ngram{n}", "counted")
+            assert j.near_duplicates(docs).count() == 6
+            jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"ngram{n}")))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+        for key in ("spark.jobGroup.id", "spark.job.description"):
+            spark.sparkContext.setLocalProperty(key, None)
+    assert jobs[1] <= jobs[0] + 10
