@@ -67,24 +67,33 @@ def events_to_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("key").alias("kafka_key"), parsed).select("kafka_key", "d.*")
 
 
-FILES = 4  # of a stand-in topic; one is a micro-batch
+BATCHES = 4  # that a stand-in topic is dealt out for
 
 
-def _topic(ev: DataFrame, path: str, files: int = FILES) -> None:
+def _topic(ev: DataFrame, path: str, files: int = BATCHES) -> None:
     """Envelope rows as the files of a stand-in topic."""
     ev.repartition(files).write.parquet(path)
 
 
-def _limited(spark: SparkSession, path: str) -> DataFrame:
-    """ST1: a topic's rows, one file a micro-batch."""
-    return bronze.bronze_rows(bronze.envelope_file_source(spark, path, max_files_per_trigger=1))
+def _dealt(ev: DataFrame, sf_dir: str, path: str, batches: int = BATCHES) -> int:
+    """The files of a stand-in topic, more of them for more orders; how many of
+    them a micro-batch takes."""
+    orders = read_table(ev.sparkSession, sf_dir, "orders").count()
+    _topic(ev, path, bronze.file_count(orders, batches))
+    return max(1, bronze.files_in(ev.sparkSession, path) // batches)
+
+
+def _limited(spark: SparkSession, path: str, files: int) -> DataFrame:
+    """ST1: a topic's rows, so many files a micro-batch."""
+    return bronze.bronze_rows(bronze.envelope_file_source(spark, path, max_files_per_trigger=files))
 
 
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3/ST1-ST4: Kafka-shaped files drained into bronze in several limited micro-batches."""
     base = scratch_path(spark, "stream")
-    _topic(bronze.to_envelope(orders_from_star(spark, sf_dir)), f"{base}/topic/part0")
-    bronze.drain(bronze.start_bronze(_limited(spark, f"{base}/topic/*"), f"{base}/bronze", f"{base}/ckpt_bronze"), FILES)
+    files = _dealt(bronze.to_envelope(orders_from_star(spark, sf_dir)), sf_dir, f"{base}/topic/part0")
+    rows = _limited(spark, f"{base}/topic/*", files)
+    bronze.drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt_bronze"), BATCHES)
     return spark.read.parquet(f"{base}/bronze")
 
 
@@ -98,8 +107,8 @@ def stream_bad_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                .when(slot == 3, F.regexp_replace(text, '"order_purchase_timestamp":"[^"]*"', '"order_purchase_timestamp":"soon"'))
                .otherwise(text))
     ev = bronze.to_envelope(orders_from_star(spark, sf_dir)).withColumn("value", spoiled.cast("binary"))
-    _topic(ev, f"{base}/topic/part0")
-    bronze.drain(bronze.start_bronze(_limited(spark, f"{base}/topic/*"), f"{base}/bronze", f"{base}/ckpt"), FILES)
+    rows = _limited(spark, f"{base}/topic/*", _dealt(ev, sf_dir, f"{base}/topic/part0"))
+    bronze.drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt"), BATCHES)
     return spark.read.parquet(f"{base}/bronze").select(
         "kafka_offset", "parse_failed", "Id", "review_score", "order_purchase_timestamp", "customer_city")
 
@@ -136,13 +145,14 @@ def stream_restart(spark: SparkSession, sf_dir: str, first_wave_before: str = "1
     base = scratch_path(spark, "restart")
     ev = bronze.to_envelope(orders_from_star(spark, sf_dir))
     early = F.coalesce(F.col("timestamp") < F.lit(first_wave_before).cast("timestamp"), F.lit(False))
-    rows = _limited(spark, f"{base}/topic/*")
-    run = lambda batches: bronze.drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt"), batches)
-    _topic(ev.filter(early), f"{base}/topic/part0", 2)
-    run(2)
-    _topic(ev.filter(~early), f"{base}/topic/part1", 2)
-    run(2)
-    run(0)
+
+    def run(batches: int, files: int) -> None:
+        rows = _limited(spark, f"{base}/topic/*", files)
+        bronze.drain(bronze.start_bronze(rows, f"{base}/bronze", f"{base}/ckpt"), batches)
+
+    run(2, _dealt(ev.filter(early), sf_dir, f"{base}/topic/part0", 2))
+    run(2, files := _dealt(ev.filter(~early), sf_dir, f"{base}/topic/part1", 2))
+    run(0, files)
     return spark.read.parquet(f"{base}/bronze")
 
 
@@ -152,9 +162,8 @@ def stream_state_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "totals")
     ev = bronze.to_envelope(orders_from_star(spark, sf_dir))
     first = F.col("offset") % 2 == 0
-    rows = _limited(spark, f"{base}/topic/*")
     for part, wave in enumerate((first, ~first)):
-        _topic(ev.filter(wave), f"{base}/topic/part{part}", 2)
+        rows = _limited(spark, f"{base}/topic/*", _dealt(ev.filter(wave), sf_dir, f"{base}/topic/part{part}", 2))
         bronze.drain(bronze.start_totals(rows, f"{base}/totals", f"{base}/ckpt"), 2)
     return bronze.read_totals(spark, f"{base}/totals")
 

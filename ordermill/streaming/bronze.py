@@ -25,6 +25,7 @@ from ..sinks.events import order_events
 # Topic, start, and the offsets per micro-batch of a small deployment.
 TOPIC = "orders"
 SMALL_BATCH_OFFSETS = 500
+ROWS_A_FILE = 500_000  # of a stand-in topic: some 70 MB to the task that writes it
 KEPT_EPOCHS = 10  # totals folders a reader may still be in
 STARTING_OFFSETS = "earliest"
 
@@ -66,6 +67,17 @@ def to_envelope(orders: DataFrame, partitions: int = 3) -> DataFrame:
     return src.select(*[f.name for f in ENVELOPE_SCHEMA.fields])
 
 
+def file_count(rows: int, batches: int = 1) -> int:
+    """Files of a stand-in topic: the same number for each of its micro-batches,
+    and so many that none has many more than ``ROWS_A_FILE`` rows."""
+    return batches * max(1, -(-rows // (batches * ROWS_A_FILE)))
+
+
+def files_in(spark: SparkSession, path: str) -> int:
+    """Data files in a folder that Spark wrote."""
+    return sum(name.startswith("part-") for name in _folder(spark, path))
+
+
 def parse_envelope(raw: DataFrame) -> DataFrame:
     """Kafka columns renamed, JSON value parsed to text fields, flattened.
 

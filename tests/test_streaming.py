@@ -182,3 +182,24 @@ def test_limited_streams_take_several_batches(spark, monkeypatch):
         taken.clear()
         query(spark, SF_SMALL)
         assert taken == batches
+
+
+def test_topics_get_more_files_for_more_orders(spark, monkeypatch):
+    """No task writes a fixed share of a topic; the number of micro-batches stays."""
+    taken, files, drain, topic = [], [], bronze.drain, registry._topic
+
+    def counted(ev, path, *given):
+        topic(ev, path, *given)
+        files.append(sum(name.startswith("part-") for name in bronze._folder(spark, path)))
+
+    monkeypatch.setattr(bronze, "ROWS_A_FILE", 100, raising=False)
+    monkeypatch.setattr(bronze, "drain", lambda q, n=1: taken.append(drain(q, n)))
+    monkeypatch.setattr(registry, "_topic", counted)
+    n = orders_from_star(spark, SF_SMALL).count()
+    for query, batches in ((registry.stream_bronze, [4]), (registry.stream_bad_payloads, [4]),
+                           (registry.stream_restart, [2, 2, 0]), (registry.stream_state_totals, [2, 2])):
+        taken.clear(), files.clear()
+        got = query(spark, SF_SMALL)
+        assert taken == batches
+        assert min(files) >= n // 100
+        assert (got.groupBy().sum("orders").first()[0] if "orders" in got.columns else got.count()) == n
