@@ -1,7 +1,8 @@
 """Registered queries over event time, offsets and several levels of totals.
 
-Streams run over stand-ins for a topic: files of envelope rows in the order of
-their arrival, one micro-batch each.
+Streams run over stand-ins for a topic: waves of envelope rows in the order of
+their arrival, one micro-batch each.  All waves of a topic have the same number
+of files, which grows with the rows.
 """
 
 from __future__ import annotations
@@ -33,18 +34,25 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders_from_star(spark, sf_dir).transform(clean)
 
 
-def _topic(rows: DataFrame, wave: Column, path: str) -> None:
-    """Envelope rows as files under ``path``/topic, one a wave, written one
-    after the other so that they arrive in that order."""
+def _topic(rows: DataFrame, wave: Column, path: str) -> DataFrame:
+    """Envelope rows as files under ``path``/topic, the waves written one after
+    the other so that they arrive in that order, and the stream of them, a
+    micro-batch a wave.
+
+    The largest wave's rows give the number of files of every wave; a wave with
+    too few rows for it is filled up with empty files."""
+    spark = rows.sparkSession
     wave = F.greatest(F.lit(WAVES[0]), F.least(wave, F.lit(WAVES[-1])))
     rows.withColumn("__wave", wave).write.partitionBy("__wave").parquet(f"{path}/waves")
+    held = spark.read.schema(WAVE_SCHEMA).parquet(f"{path}/waves")
+    most = held.groupBy("__wave").count().agg(F.max("count")).first()[0] or 0
+    files = bronze.file_count(most)
     for w in WAVES:
-        held = rows.sparkSession.read.schema(WAVE_SCHEMA).parquet(f"{path}/waves")
-        held.filter(F.col("__wave") == w).drop("__wave").coalesce(1).write.parquet(f"{path}/topic/wave{w}")
-
-
-def _source(spark: SparkSession, path: str) -> DataFrame:
-    return bronze.envelope_file_source(spark, f"{path}/topic/*", max_files_per_trigger=1)
+        at = f"{path}/topic/wave{w}"
+        held.filter(F.col("__wave") == w).drop("__wave").repartition(files).write.parquet(at)
+        for _ in range(bronze.files_in(spark, at), files):
+            spark.createDataFrame([], ENVELOPE_SCHEMA).coalesce(1).write.mode("append").parquet(at)
+    return bronze.envelope_file_source(spark, f"{path}/topic/*", max_files_per_trigger=files)
 
 
 def stream_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,8 +61,8 @@ def stream_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted as late, from the landed rows."""
     base = scratch_path(spark, "daily")
     ev = bronze.to_envelope(orders_from_star(spark, sf_dir))
-    _topic(ev, F.year("timestamp") + F.when(F.col("offset") % 9 == 0, 2).otherwise(0), base)
-    rows = bronze.bronze_rows(_source(spark, base))
+    source = _topic(ev, F.year("timestamp") + F.when(F.col("offset") % 9 == 0, 2).otherwise(0), base)
+    rows = bronze.bronze_rows(source)
     windows = event_time.windowed_sales(rows, "1 day", LATE_BY, ["customer_state"])
     bronze.drain(event_time.start_append(windows, f"{base}/daily", f"{base}/ckpt"), batches=4)
     landed = bronze.bronze_rows(spark.read.parquet(f"{base}/topic/*"))
@@ -64,8 +72,7 @@ def stream_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_weekly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST5/G11: closed weeks, from Monday on, of orders that arrive in order."""
     base = scratch_path(spark, "weekly")
-    _topic(bronze.to_envelope(orders_from_star(spark, sf_dir)), F.year("timestamp"), base)
-    rows = bronze.bronze_rows(_source(spark, base))
+    rows = bronze.bronze_rows(_topic(bronze.to_envelope(orders_from_star(spark, sf_dir)), F.year("timestamp"), base))
     windows = event_time.windowed_sales(rows, "7 days", "0 days", [], start="4 days")
     bronze.drain(event_time.start_append(windows, f"{base}/weekly", f"{base}/ckpt"), batches=4)
     return spark.read.parquet(f"{base}/weekly")
@@ -79,8 +86,8 @@ def stream_without_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = F.year("timestamp")
     sent = F.when(F.col("offset") % 21 == 0, F.array(year, year + 1, year + 2)).when(
         F.col("offset") % 7 == 0, F.array(year, year + 1)).otherwise(F.array(year))
-    _topic(ev.withColumn("__sent", F.explode(sent)), F.col("__sent"), base)
-    raw = event_time.without_replays(_source(spark, base), ["partition", "offset"], REPLAYED_FOR)
+    source = _topic(ev.withColumn("__sent", F.explode(sent)), F.col("__sent"), base)
+    raw = event_time.without_replays(source, ["partition", "offset"], REPLAYED_FOR)
     bronze.drain(bronze.start_bronze(bronze.bronze_rows(raw), f"{base}/bronze", f"{base}/ckpt"), batches=4)
     return spark.read.parquet(f"{base}/bronze")
 
@@ -90,13 +97,13 @@ def stream_purchase_to_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     with its delivery within ``DELIVERED_WITHIN``, or with none once the
     watermark has passed that time."""
     base = scratch_path(spark, "deliveries")
-    orders = orders_from_star(spark, sf_dir)
-    _topic(bronze.to_envelope(orders), F.year("timestamp"), f"{base}/purchases")
+    orders = write_and_read(orders_from_star(spark, sf_dir), f"{base}/orders")  # both topics' source
+    purchases = _topic(bronze.to_envelope(orders), F.year("timestamp"), f"{base}/purchases")
     done = F.col("order_delivered_customer_date")
     sent = bronze.to_envelope(orders.filter(done.isNotNull()).withColumn("order_purchase_timestamp", done))
-    _topic(sent, F.year("timestamp"), f"{base}/deliveries")
-    bought = bronze.bronze_rows(_source(spark, f"{base}/purchases")).select("Id", "customer_state", event_time.EVENT_TIME)
-    came = bronze.bronze_rows(_source(spark, f"{base}/deliveries")).select("Id", "order_delivered_customer_date")
+    deliveries = _topic(sent, F.year("timestamp"), f"{base}/deliveries")
+    bought = bronze.bronze_rows(purchases).select("Id", "customer_state", event_time.EVENT_TIME)
+    came = bronze.bronze_rows(deliveries).select("Id", "order_delivered_customer_date")
     rows = event_time.joined_in_time(bought, came, "Id", event_time.EVENT_TIME, "order_delivered_customer_date",
                                      DELIVERED_WITHIN, "1 hour", "1 hour")
     bronze.drain(event_time.start_append(rows, f"{base}/joined", f"{base}/ckpt"), batches=4)

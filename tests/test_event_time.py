@@ -5,6 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from ordermill.plans import timed
+from ordermill.schema import ENVELOPE_SCHEMA
 from ordermill.session import scratch_path
 from ordermill.streaming import bronze, event_time as et
 
@@ -84,3 +86,24 @@ def test_a_missing_limit_is_noticed(spark):
     rows = spark.readStream.schema(SCHEMA).parquet(f"{base}/in/*")
     with pytest.raises(RuntimeError, match="1 micro-batches"):
         bronze.drain(et.start_append(rows, f"{base}/out", f"{base}/ckpt"), 2)
+
+
+def test_waves_of_many_files_stay_one_micro_batch_each(spark, monkeypatch):
+    """Large, tiny and empty waves have equally many files, so each is a batch of its own."""
+    monkeypatch.setattr(bronze, "ROWS_A_FILE", 20, raising=False)
+    base, held = scratch_path(spark, "waves"), {1995: 90, 1996: 3, 1998: 41, 1999: 1, 2003: 60}
+    rows = [(b"A", b"{}", "t", 0, i, dt.datetime(year, 5, 1), 0) for year, n in held.items() for i in range(n)]
+    ev = spark.createDataFrame(rows, ENVELOPE_SCHEMA)
+    source = timed._topic(ev, F.year("timestamp"), base)
+    files = [sum(name.startswith("part-") for name in bronze._folder(spark, f"{base}/topic/wave{w}")) for w in timed.WAVES]
+    assert files == [5] * len(timed.WAVES)
+    query = et.start_append(source.select(F.year("timestamp").alias("year")), f"{base}/out", f"{base}/ckpt")
+    assert bronze.drain(query, len(timed.WAVES)) == len(timed.WAVES)
+    assert [p["numInputRows"] for p in query.recentProgress][:len(timed.WAVES)] == [held.get(w, 0) for w in timed.WAVES]
+    assert {r.year: r["count"] for r in spark.read.parquet(f"{base}/out").groupBy("year").count().collect()} == held
+
+
+def test_a_topic_without_rows(spark):
+    source = timed._topic(spark.createDataFrame([], ENVELOPE_SCHEMA), F.year("timestamp"), base := scratch_path(spark, "none"))
+    bronze.drain(et.start_append(source, f"{base}/out", f"{base}/ckpt"), len(timed.WAVES))
+    assert spark.read.schema(ENVELOPE_SCHEMA).parquet(f"{base}/out").count() == 0
