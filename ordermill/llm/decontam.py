@@ -42,6 +42,7 @@ SHAPES = ((0, 1, 2), (0, 1, 3))
 SEED_WORDS = len(SHAPES[0])
 PASSAGE_WORDS = 200
 BLOCK_WORDS = 1_000_000
+BYTES_A_WORD = 6  # of an item, about
 RARE_DOCS, RARE_SHARE = 5, 1e-4
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5  # of a full match
@@ -131,10 +132,12 @@ def block_of(items: list[tuple[int, list[bytes]]]) -> Block:
 
 
 def blocks(benchmark: DataFrame, block_words: int) -> Iterator[Block]:
-    """The distinct items in blocks of at most ``block_words`` words (or one item)."""
+    """The distinct items in blocks of at most ``block_words`` words (or one item).
+    They are read in parts of about a block: a job each, not one per shuffle partition."""
     items, held = [], 0
-    rows = benchmark.select("item_id", "text").filter("text is not null").dropDuplicates()
-    for r in rows.toLocalIterator():
+    rows = benchmark.select("item_id", "text").filter("text is not null")
+    length = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    for r in rows.dropDuplicates().coalesce(length // (BYTES_A_WORD * block_words) + 1).toLocalIterator():
         words = words_of(r["text"])
         if len(words) < SEED_WORDS:  # no seed
             continue
@@ -159,14 +162,10 @@ def document_counts(docs: DataFrame, block: Block) -> tuple[np.ndarray, int]:
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"gram": pa.array([*seen, -1], pa.int64()), "n": pa.array([*counts[seen], n], pa.int64())})
 
-    totals = np.zeros(len(block.grams), np.int64)
-    n = 0
-    for r in docs.select("text").mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).collect():
-        if r["gram"] < 0:
-            n = r["n"]
-        else:
-            totals[r["gram"]] = r["n"]
-    return totals, n
+    totals = np.zeros(len(block.grams) + 1, np.int64)  # the last of all texts, as gram -1
+    found = docs.select("text").mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    totals[found.column("gram").to_numpy()] = found.column("n").to_numpy()
+    return totals[:-1], int(totals[-1])
 
 
 def choose_seeds(block: Block, counts: np.ndarray, n: int) -> dict[int, list[tuple[int, int]]]:

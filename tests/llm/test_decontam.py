@@ -156,3 +156,25 @@ def test_an_item_without_id_is_found(spark):
     bench = items(spark, {None: leak})
     assert [(r.doc_id, r.item_id) for r in d.contamination(docs, bench).collect()] == [(1, None)]
     assert [r.doc_id for r in d.drop_contaminated(docs, bench).collect()] == [2]
+
+
+def test_reading_items_takes_no_job_per_shuffle_partition(spark):
+    bench = items(spark, {i: prose(500 + i, 30) for i in range(60)}).repartition(3)
+    found, jobs, before = [], [], {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for n in (2, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            for words in (d.BLOCK_WORDS, 600):
+                group = f"items{n}-{words}"
+                spark.sparkContext.setJobGroup(group, "counted")
+                found.append(list(d.blocks(bench, words)))
+                jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+    finally:
+        for key, v in before.items():
+            spark.conf.set(key, v)
+        for key in ("spark.jobGroup.id", "spark.job.description"):
+            spark.sparkContext.setLocalProperty(key, None)
+    assert all(sorted(i for b in run for i, _ in b.passages) == list(range(60)) for run in found)
+    assert [len(run) for run in found] == [1, 3, 1, 3]
+    assert jobs[2] <= jobs[0] + 2 and jobs[3] <= jobs[1] + 5
