@@ -17,6 +17,10 @@ the next round has twice as many slices.  The pairs that are left are joined in
 full.  No link between different texts is lost, and no round
 makes more pairs than slices times postings.
 
+Tables of ids and hashes are written by as many tasks as the text asks for, not
+by one per shuffle partition: what a round costs the driver, which hears of
+every task, follows the text.
+
 A shingle's sketch count bounds its postings: those under ``GROUP_ROWS`` are
 grouped in one place; others are combined map-side, and joined under as many
 salts as their exact count asks for.  The sketch grows with the text up to
@@ -54,6 +58,7 @@ LEAST_BITS, MOST_BITS = 20, 24  # of the sketch: 4 to 64 MB
 BYTES_A_COUNTER = 768  # of text: some hundred shingles
 SLICE = 1 << 13
 GROUP_ROWS = 1000
+PART_BYTES = 8 << 20  # of text, for each task that writes a table of the join, and two tasks a core at least
 BROADCAST_ROWS = 200_000  # ids and nodes that may be sent to all tasks, some 10 MB
 #: Odd multipliers, one per order and one for combining word hashes.
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
@@ -99,14 +104,18 @@ def prefix(tokens: np.ndarray, counts: np.ndarray, order: int, percent: int = PE
     return np.lexsort((tokens * np.uint64(FACTORS[order]), scale))[:keep]
 
 
-def sketch(rows: DataFrame, path: str) -> np.ndarray:
-    """Document counts of hashed shingles.
+def parts_of(rows: DataFrame, length: int) -> int:
+    """How many tasks write a table of ids or hashes of ``length`` bytes of text."""
+    return max(length // PART_BYTES + 1, 2 * rows.sparkSession.sparkContext.defaultParallelism)
+
+
+def sketch(rows: DataFrame, path: str, length: int, parts: int) -> np.ndarray:
+    """Document counts of hashed shingles of texts of ``length`` bytes.
 
     Tasks count into arrays and pass them on in slices; each slice is summed
     as it streams in, so no task holds more than its own slices.  The sums are
     written and read back a file split at a time: a job each, not one per
     shuffle partition."""
-    length = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(max((length // BYTES_A_COUNTER).bit_length(), LEAST_BITS), MOST_BITS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +140,7 @@ def sketch(rows: DataFrame, path: str) -> np.ndarray:
 
     ddl = "slice int, counts binary"
     total = np.zeros(((1 << bits) // SLICE, SLICE), np.int32)
-    sums = saved(rows.select("text").mapInArrow(count, ddl).repartition("slice").mapInArrow(add, ddl), f"{path}/sketch")
+    sums = saved(rows.select("text").mapInArrow(count, ddl).repartition("slice").mapInArrow(add, ddl), f"{path}/sketch", parts)
     for r in sums.toLocalIterator():
         total[r["slice"]] = np.frombuffer(bytes(r["counts"]), np.int32)
     return total.reshape(-1)
@@ -166,7 +175,7 @@ def prefixes(rows: DataFrame, counts: Broadcast, orders: int, percent: int) -> D
     return rows.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(run, ddl)
 
 
-def shared_postings(docs: DataFrame, path: str, percent: int) -> DataFrame:
+def shared_postings(docs: DataFrame, path: str, percent: int, parts: int) -> DataFrame:
     """(token, node, n, at, shared, salt, salts) of first-order prefix shingles
     that two nodes or more share; ``at`` counts from 0, ``shared`` counts the
     node's shingles here.  A posting that no size of its shingle's nodes can
@@ -179,7 +188,7 @@ def shared_postings(docs: DataFrame, path: str, percent: int) -> DataFrame:
         (F.min("node").over(by_token) != F.max("node").over(by_token)).alias("in_two"))
     few = few.filter("in_two").dropDuplicates(["token", "node"]).drop("in_two")
     few = few.withColumns({"salt": F.lit(0), "salts": F.lit(0)})
-    many = saved(spread.filter("hot").drop("hot").distinct(), f"{path}/many")
+    many = saved(spread.filter("hot").drop("hot").distinct(), f"{path}/many", parts)
     sizes = many.groupBy("token").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count(F.lit(1)).alias("k"),
                                       (F.min("node") != F.max("node")).alias("in_two"))
     sizes = sizes.filter("in_two").select("token", "least", "most", F.ceil(F.col("k") / GROUP_ROWS).cast("int").alias("salts"))
@@ -296,6 +305,7 @@ class JaccardJoin:
     nodes: DataFrame  # node, doc_id (the smallest)
     path: str
     percent: int
+    parts: int  # files of a table
 
     def verified(self, pairs: DataFrame, path: str) -> DataFrame:
         """The pairs that share enough of the first prefixes, whose prefixes
@@ -320,7 +330,7 @@ class JaccardJoin:
         postings = postings.withColumn("comp", F.col("node"))
         for turn in itertools.count():
             path = f"{self.path}/turn{turn}"
-            live = saved(_live(postings, 1 << turn), f"{path}/live")
+            live = saved(_live(postings, 1 << turn), f"{path}/live", self.parts)
             left = live.filter("salt < 2").agg(F.sum("across")).first()[0]
             if not left:
                 break
@@ -332,15 +342,15 @@ class JaccardJoin:
                 pairs = met.select(*_ends("", "hub.")).distinct()
             if tried:
                 pairs = pairs.join(_union(tried), ["a", "b"], "left_anti")
-            pairs = saved(pairs, f"{path}/pairs")
+            pairs = saved(pairs, f"{path}/pairs", self.parts)
             tried.append(pairs)
             found.append(saved(self.verified(pairs, path), f"{path}/links"))
             if last:
                 break
-            labels = saved(connected(_union(found), f"{path}/comp"), f"{path}/labels")
+            labels = saved(connected(_union(found), f"{path}/comp", self.parts), f"{path}/labels", self.parts)
             rest = postings.filter(~F.array_contains("hubs.node", F.col("node"))).drop("comp", "big", "hubs")
             rest = rest.join(labels, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
-            postings = saved(rest, f"{path}/postings")
+            postings = saved(rest, f"{path}/postings", self.parts)
         return _union(found) if found else postings.select(F.col("node").alias("a"), F.col("node").alias("b")).filter(F.lit(False))
 
     def _all_pairs(self, postings: DataFrame) -> DataFrame:
@@ -368,13 +378,15 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, percent: int, orders: i
     spark = docs.sparkSession
     path = scratch_path(spark, "jaccard")
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_bytes(text_col).alias("text"))
-    counts = spark.sparkContext.broadcast(sketch(rows, path))
+    length = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = parts_of(rows, length)
+    counts = spark.sparkContext.broadcast(sketch(rows, path, length, parts))
     sets = saved(prefixes(rows, counts, orders, percent), f"{path}/docs")
     counts.unpersist()
-    nodes = saved(sets.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), f"{path}/nodes")
-    postings = saved(shared_postings(sets, path, percent), f"{path}/postings")
-    links = JaccardJoin(rows, sets, nodes, path, percent).links(postings)
-    labels = saved(connected(links, f"{path}/comp"), f"{path}/labels")
+    nodes = saved(sets.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), f"{path}/nodes", parts)
+    postings = saved(shared_postings(sets, path, percent, parts), f"{path}/postings", parts)
+    links = JaccardJoin(rows, sets, nodes, path, percent, parts).links(postings)
+    labels = saved(connected(links, f"{path}/comp", parts), f"{path}/labels", parts)
     mine = nodes.join(labels, "node", "left").select("node", "doc_id", F.coalesce("label", "node").alias("label"))
     return sets.select("doc_id", "mark", "node", "n"), mine
 

@@ -148,3 +148,30 @@ def test_jobs_do_not_grow_with_shuffle_partitions(spark):
         for key in ("spark.jobGroup.id", "spark.job.description"):
             spark.sparkContext.setLocalProperty(key, None)
     assert jobs[1] <= jobs[0] + 10
+
+
+def test_tables_are_written_by_as_many_tasks_as_the_text_asks_for(spark, monkeypatch):
+    """A task per shuffle partition and table fills the driver, which hears of each."""
+    texts = {i: prose(40 + i, 40) for i in range(6)} | family(prose(90, 60), 12, 2, 100)
+    docs = docs_of(spark, texts)
+    files, write = [], components.saved
+
+    def counted(df, path, *parts):
+        out = write(df, path, *parts)
+        files.append((path.rsplit("/", 1)[-1], len(out.inputFiles())))
+        return out
+
+    for module in (components, j):
+        monkeypatch.setattr(module, "saved", counted)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        assert check(spark, docs)[100] == (56, 100)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    limit = 2 * spark.sparkContext.defaultParallelism
+    names = {"sketch", "nodes", "many", "postings", "live", "pairs", "step0", "edges0", "labels"}
+    assert names <= {name for name, _ in files}
+    assert max(n for name, n in files if name in names) <= limit
